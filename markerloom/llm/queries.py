@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from markerloom.llm import license_scan, mixing, secret_scan
+from markerloom.llm import language_id, license_scan, mixing, ngram_join, packing, quality, secret_scan
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": license_scan.op1_license_scan,
         "op3_source_mix": mixing.op3_source_mix,
+        "op5_ngram_jaccard": ngram_join.op5_ngram_jaccard,
+        "op7_language_id": language_id.op7_language_id,
+        "op8_packing": packing.op8_packing,
         "op9_secret_scan": secret_scan.op9_secret_scan,
+        "op10_quality": quality.op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan.oracle(), "op9_secret_scan": secret_scan.oracle()}
+    return {"op1_license_scan": license_scan.oracle(), "op5_ngram_jaccard": ngram_join.oracle(), "op9_secret_scan": secret_scan.oracle()}
