@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from markerloom.llm import language_id, license_scan, mixing, ngram_join, packing, quality, secret_scan
+from markerloom.llm import embedding_dedup, language_id, license_scan, mixing, ngram_join, packing, quality, secret_scan, topk
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": license_scan.op1_license_scan,
+        "op2_exact_topk": topk.op2_exact_topk,
         "op3_source_mix": mixing.op3_source_mix,
+        "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
         "op5_ngram_jaccard": ngram_join.op5_ngram_jaccard,
         "op7_language_id": language_id.op7_language_id,
         "op8_packing": packing.op8_packing,
@@ -18,4 +20,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan.oracle(), "op5_ngram_jaccard": ngram_join.oracle(), "op9_secret_scan": secret_scan.oracle()}
+    return {
+        "op1_license_scan": license_scan.oracle(),
+        "op2_exact_topk": topk.oracle(),
+        "op4_embedding_dedup": embedding_dedup.oracle(),
+        "op5_ngram_jaccard": ngram_join.oracle(),
+        "op9_secret_scan": secret_scan.oracle(),
+    }
