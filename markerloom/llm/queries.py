@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from markerloom.llm import embedding_dedup, language_id, license_scan, mixing, ngram_join, packing, quality, secret_scan, topk
+from markerloom.llm import embedding_dedup, language_id, license_scan, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup, topk
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_source_mix": mixing.op3_source_mix,
         "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
         "op5_ngram_jaccard": ngram_join.op5_ngram_jaccard,
+        "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
         "op7_language_id": language_id.op7_language_id,
         "op8_packing": packing.op8_packing,
         "op9_secret_scan": secret_scan.op9_secret_scan,
