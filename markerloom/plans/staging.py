@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -56,3 +57,11 @@ class Staging:
             jvm, hadoop = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(hadoop).delete(target, True)
+
+
+def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """A staged table of a few short columns as a join's side: broadcast up to ``max_rows`` rows.
+
+    The rows are counted first (cheap on a staged table); a longer table is joined by a shuffle.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
