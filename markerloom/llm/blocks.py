@@ -1,8 +1,10 @@
-"""Small numpy helpers that tasks of several operators share."""
+"""Small helpers that several operators share: hashing, local components, bounded samples."""
 
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _U = np.uint64
 
@@ -28,3 +30,16 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if np.array_equal(label, before):
             break
     return label
+
+
+def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
+    """``n`` rows at most, those whose ids hash lowest; ``df`` should hold only what is needed.
+
+    The n-th hash is found on the ids alone, so that no task sends more than its share of the
+    sampled rows to the driver, however many rows and columns there are.
+    """
+    h = F.xxhash64(id_col)
+    cut = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    if cut is None:
+        return df.limit(0)
+    return df.filter(h <= cut).orderBy(h).limit(n)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from markerloom.llm.blocks import hash_sample
 from markerloom.llm.language_id import remainder
 
 PASSAGE = 512
@@ -107,12 +108,17 @@ class AttentionBag:
         return self
 
 
-def train(labelled: DataFrame, text: str, label: str, id_col: str, train_docs: int = 5000, train_passages: int = 8) -> AttentionBag | None:
-    """Fit on ``train_docs`` labelled rows at most, all of one weight."""
+def train(docs: DataFrame, labels: DataFrame, text: str, label: str, id_col: str, train_docs: int = 5000, train_passages: int = 8) -> AttentionBag | None:
+    """Fit on ``train_docs`` labelled ids at most, all of one weight.
+
+    The sample is drawn from the labels alone, so ``train_docs`` bounds what is broadcast to the
+    texts, and of each text only its sampled passages travel.
+    """
     size = F.length(F.coalesce(F.col(text), F.lit("")))
     step = lambda i: F.substring(F.coalesce(F.col(text), F.lit("")), (F.floor(F.greatest(size - PASSAGE, F.lit(0)) * (i / (train_passages - 1))) + 1).cast("int"), F.lit(PASSAGE))
-    chosen = labelled.filter(F.col(label).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(train_docs)
-    rows = chosen.select(F.col(label).cast("int").alias("y"), F.array_distinct(F.array(*map(step, range(train_passages)))).alias("parts")).collect()
+    chosen = hash_sample(labels.filter(F.col(label).isNotNull()).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")), "id", train_docs).dropDuplicates(["id"])
+    narrow = docs.select(F.col(id_col).alias("id"), F.array_distinct(F.array(*map(step, range(train_passages)))).alias("parts"))
+    rows = narrow.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").collect()
     if not rows:
         return None
     bags = [features([part.encode()[:PASSAGE] for part in r["parts"]])[0] for r in rows]
@@ -120,9 +126,12 @@ def train(labelled: DataFrame, text: str, label: str, id_col: str, train_docs: i
     return AttentionBag(bags[0].shape[1]).fit(bags, y, np.ones(len(y)))
 
 
-def score_quality(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "quality", id_col: str = "doc_id", **bounds: int) -> DataFrame:
-    """``id_col`` and ``score`` of every row of ``docs``; only the text is an input of a score."""
-    net = train(labelled, text, label, id_col, **bounds)
+def score_quality(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", id_col: str = "doc_id", **bounds: int) -> DataFrame:
+    """``id_col`` and ``score`` of every row of ``docs``; only the text is an input of a score.
+
+    ``labels`` holds ids and labels of the rows to learn from.
+    """
+    net = train(docs, labels, text, label, id_col, **bounds)
     columns = docs.select(id_col, text)
     schema = T.StructType([columns.schema[id_col], T.StructField("score", T.DoubleType())])
     if net is None:
@@ -150,6 +159,5 @@ def score_quality(docs: DataFrame, labelled: DataFrame, text: str = "text", labe
 def op10_quality(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    learn = docs.join(labels, "doc_id").filter(remainder("doc_id", 4) != 2)
-    scored = score_quality(docs, learn)
+    scored = score_quality(docs, labels.filter(remainder("doc_id", 4) != 2))
     return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
