@@ -106,6 +106,26 @@ def route(patterns: list[tuple[tuple, int]], quotas: dict, passes: int) -> list[
     return flow
 
 
+def _seeded_prefix(state: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Choose, per pattern, the unchosen documents that fit its gap, in seeded order up to the gap.
+
+    Sizes are summed per bucket of the order first; only the bucket in which the gap is reached is
+    looked at document by document.
+    """
+    joined = state.join(F.broadcast(gaps), "pattern", "left")
+    fits = F.coalesce((F.col("chosen") == 0) & (F.col("n") > 0) & (F.col("n") <= F.col("gap")), F.lit(False))
+    joined = joined.withColumn("fits", fits)
+    running = W.partitionBy("pattern").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    sums = joined.filter("fits").groupBy("pattern", "bucket").agg(F.sum("n").alias("bucket_n")).withColumn("upto", F.sum("bucket_n").over(running))
+    placed = joined.join(sums.select("pattern", "bucket", "upto", (F.col("upto") - F.col("bucket_n")).alias("before")), ["pattern", "bucket"], "left")
+    border = F.coalesce(F.col("fits") & (F.col("before") < F.col("gap")) & (F.col("upto") > F.col("gap")), F.lit(False))
+    inside = W.partitionBy("pattern", "bucket").orderBy("h", "id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    near = placed.filter(border).withColumn("now", (F.col("before") + F.sum("n").over(inside) <= F.col("gap")).cast("int"))
+    rest = placed.filter(~border).withColumn("now", (F.col("fits") & (F.col("upto") <= F.col("gap"))).cast("int"))
+    both = near.unionAll(rest)
+    return both.select("id", "pattern", "n", "h", "bucket", "base", (F.col("chosen") + F.coalesce("now", F.lit(0))).alias("chosen"))
+
+
 def mix_sources(
     docs: DataFrame,
     targets: Callable[[dict], dict],
@@ -116,14 +136,16 @@ def mix_sources(
     id_col: str = "doc_id",
     size_col: str = "size",
     sources_col: str = "sources",
+    prefixes: int = 3,
     rounds: int = 4,
 ) -> DataFrame:
     """Add ``taken`` (tokens the mix takes of a document) and the struct ``mixed`` of its pattern.
 
     ``docs`` has an id, a size and an array of source names; ``targets`` maps the total size of
     each source (each document counts in all its sources) to the tokens wanted of it. Documents
-    are taken whole, at most ``passes`` times. After the seeded prefix, up to ``rounds`` further
-    documents per pattern, each the largest that still fits, close the gap to the flow.
+    are taken whole, at most ``passes`` times. The seeded order is walked up to ``prefixes`` times,
+    each time past documents that no longer fit; then up to ``rounds`` further documents per
+    pattern, each the largest that still fits, close the gap to the flow.
     """
     spark = docs.sparkSession
     staging = Staging(spark, "mixing")
@@ -144,22 +166,25 @@ def mix_sources(
         base = min(passes, total // r["n"]) if r["n"] else 0
         bits = max(0, (-(-r["docs"] // bucket_docs) - 1).bit_length())
         plan.append((r["pattern"], int(base), int(total - base * r["n"]) if base < passes else 0, bits))
-    schema = "pattern string, base bigint, rest bigint, bits int"
-    planned = spark.createDataFrame(plan, schema)
+    planned = spark.createDataFrame(plan, "pattern string, base bigint, rest bigint, bits int")
     bucket = F.expr("CASE WHEN bits = 0 THEN 0L ELSE shiftrightunsigned(h, 64 - bits) END")
-    work = staging.put(narrow.drop("members").join(F.broadcast(planned), "pattern").withColumn("bucket", bucket), "work")
+    work = narrow.drop("members").join(F.broadcast(planned), "pattern")
+    state = staging.put(work.select("id", "pattern", "n", "h", bucket.alias("bucket"), "base", F.lit(0).alias("chosen")), "work")
     staging.drop(narrow)
-    running = W.partitionBy("pattern").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    sums = work.filter("rest > 0").groupBy("pattern", "bucket", "rest").agg(F.sum("n").alias("bucket_n")).withColumn("upto", F.sum("bucket_n").over(running))
-    sums = staging.put(sums.select("pattern", "bucket", "upto", (F.col("upto") - F.col("bucket_n")).alias("before")), "buckets")
-    placed = work.join(sums, ["pattern", "bucket"], "left")
-    inside = W.partitionBy("pattern", "bucket").orderBy("h", "id").rowsBetween(W.unboundedPreceding, W.currentRow)
-    border = placed.filter("rest > 0 AND before < rest AND upto > rest").withColumn("at", F.col("before") + F.sum("n").over(inside)).withColumn("chosen", (F.col("at") <= F.col("rest")).cast("int"))
-    others = placed.filter("NOT (rest > 0 AND before < rest AND upto > rest)  OR before IS NULL").withColumn("chosen", F.when((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")), 1).otherwise(0))
-    columns = ["id", "pattern", "n", "h", "base", "rest", "chosen"]
-    state = staging.put(border.select(columns).unionAll(others.select(columns)), "chosen")
+    gaps = {p: rest for p, _, rest, _ in plan}
+    for _ in range(prefixes):
+        still = [(p, int(g)) for p, g in gaps.items() if g > 0]
+        if not still:
+            break
+        following = staging.put(_seeded_prefix(state, spark.createDataFrame(still, "pattern string, gap bigint")), "chosen")
+        staging.drop(state)
+        state = following
+        got = {r["pattern"]: r["n"] for r in state.groupBy("pattern").agg(F.sum(F.col("n") * F.col("chosen")).alias("n")).collect()}
+        left = {p: rest - got.get(p, 0) for p, _, rest, _ in plan}
+        if left == gaps:
+            break
+        gaps = left
     added: list[tuple[str, int, int]] = []
-    gaps = {r["pattern"]: r["gap"] for r in state.filter("rest > 0").groupBy("pattern").agg((F.first("rest") - F.sum(F.col("n") * F.col("chosen"))).alias("gap")).collect()}
     for _ in range(rounds):
         still = [(p, int(g)) for p, g in gaps.items() if g > 0]
         if not still:
