@@ -15,6 +15,7 @@ gives an empty table; columns other than id and text are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import zlib
@@ -47,7 +48,7 @@ class WordIds:
     At most ``keep`` words are remembered; then the memory starts afresh.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
         from tokenizers import Tokenizer
 
@@ -74,9 +75,7 @@ class WordIds:
         self._add(names, np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in ids], dtype=np.int64))
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > self.keep:
-            self.clear()
-        fresh = sorted(words.difference(self.words))
+        fresh = sorted(words)
         split, plain, odd = [], set(), set()
         for word in fresh:
             m = _SIMPLE.fullmatch(word)
@@ -102,10 +101,17 @@ class WordIds:
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        self.learn(set().union(*split))
+        look = lambda words: np.fromiter(map(self.words.get, words, itertools.repeat(-1)), np.int64, len(words))
+        known = [look(words) for words in split]
+        unseen = {words[i] for words, seen in zip(split, known, strict=True) for i in np.flatnonzero(seen < 0).tolist()}
+        if unseen:
+            if len(self.words) + len(unseen) > self.keep:
+                self.clear()
+                unseen = set().union(*split)
+            self.learn(unseen)
+            known = [look(words) if len(self.words) == len(unseen) or seen.min() < 0 else seen for words, seen in zip(split, known, strict=True)]
         out = []
-        for words in split:
-            seen = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        for seen in known:
             parts = np.stack([self.first[seen], self.second[seen]], axis=1).ravel()
             size = self.size[parts]
             upto = np.cumsum(size)
