@@ -179,8 +179,9 @@ def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2, max_
     """``(contig, chr)``: chromosomes of contigs spread along links.
 
     Contigs placed in one chromosome seed; ambiguous ones are settled by their own scores; then,
-    in rounds, unplaced contigs linked to placed ones are scored at either end, and all those at
-    the round's largest lead are placed. What is left goes to every chromosome it scores
+    in rounds, unplaced contigs linked to placed ones are scored at either end, and every one whose
+    lead none of its unplaced neighbours exceeds is placed (only neighbours can change a score, so
+    contigs far apart need not wait for each other). What is left goes to every chromosome it scores
     ``score_diff`` in, and so do its unplaced neighbours until nothing changes.
     """
     staging = Staging(la.sparkSession, "propagate-links")
@@ -201,14 +202,16 @@ def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2, max_
         free = near.select("contig", "chr", "end", F.col("score").cast("double").alias("score")).unionAll(base.select("contig", "chr", "end", F.col("score").cast("double"))).join(placed_, "contig", "left_anti")
         return free.groupBy("contig", "chr", "end").agg(F.max("score").alias("score")).groupBy("contig", "chr").agg(F.sum("score").alias("score"))
 
+    near = staging.put(ends.select("x", "y").distinct(), "near")
     for _ in range(max_rounds):
         order = W.partitionBy("contig").orderBy(F.desc("score"), F.desc("chr"))
         lead = scored(placed).withColumn("lead", F.col("score") - F.coalesce(F.lead("score").over(order), F.lit(0.0))).withColumn("rn", F.row_number().over(order)).filter("rn = 1")
-        lead = staging.put(lead.filter(F.col("lead") >= score_diff), "lead")
-        most = lead.agg(F.max("lead")).first()[0]
-        if most is None:
+        lead = staging.put(lead.filter(F.col("lead") >= score_diff).select("contig", "chr", "lead"), "lead")
+        if lead.isEmpty():
             break
-        placed = staging.put(placed.unionAll(lead.filter(F.col("lead") == most).select("contig", "chr")), "placed")
+        beside = near.join(lead.select(F.col("contig").alias("y"), F.col("lead").alias("other")), "y").groupBy(F.col("x").alias("contig")).agg(F.max("other").alias("other"))
+        now = lead.join(beside, "contig", "left").filter(F.col("other").isNull() | (F.col("lead") >= F.col("other")))
+        placed = staging.put(placed.unionAll(now.select("contig", "chr")), "placed")
     spread = staging.put(scored(placed).filter(F.col("score") >= score_diff).select("contig", "chr"), "spread")
     front = spread
     both = staging.put(ends.groupBy("x", "y").agg(F.sum("score").alias("score")).filter(F.col("score") >= score_diff).select("x", "y"), "both")
