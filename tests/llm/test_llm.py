@@ -344,7 +344,7 @@ def test_pipeline_stages(spark, empty):
     import corpus_pipeline as cp
 
     data = made_docs(n=30) + [(500, "password = hunter2222 " + "then kan los mira " * 9, "en", "s1", 3)]
-    docs = spark.createDataFrame(data, DOCS)
+    docs = spark.createDataFrame(data, DOCS).withColumn("score", F.lit("clash")).withColumn("lang_pred", F.col("doc_id")).withColumn("secret_spans", F.lit(1)).withColumn("times", F.lit(9)).withColumn("class", F.lit(None).cast("string"))
     lang = cp.language(spark, docs, "")
     assert lang.columns == docs.columns and {r.doc_id for r in lang.collect()} == {i for i, t, *_ in data if t and any(map(str.isalpha, t))}
     single = cp.near_duplicates(spark, lang, "")
@@ -353,6 +353,7 @@ def test_pipeline_stages(spark, empty):
     clean = cp.secrets(spark, single, "")
     assert clean.columns == docs.columns and "[SECRET]" in clean.filter("doc_id = 500").first().text and clean.filter("doc_id = 500").first().n_chars == len(clean.filter("doc_id = 500").first().text)
     mixed = cp.source_mix(spark, clean, "")
+    assert {(r.score, r.secret_spans, r.times) for r in mixed.collect()} == {("clash", 1, 9)} and mixed.filter("lang_pred <> doc_id").count() == 0
     assert mixed.columns == docs.columns and max(r["count"] for r in mixed.groupBy("doc_id").count().collect()) <= 2
     packed = cp.pack(spark, mixed, "")
     assert packed.select(F.sum("length")).first()[0] == packed.filter("start = 0").select(F.sum("doc_tokens")).first()[0]
