@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # The IUPAC letters and their complements.
@@ -161,6 +162,12 @@ def map_distance(fraction: Column, method: str = "kosambi") -> Column:
     raise ValueError(method)
 
 
+def map_position(df: DataFrame, fraction: str = "r", by: str = "lg", order: tuple[str, ...] = ("line",), method: str = "kosambi") -> DataFrame:
+    """Add ``cm``: the running sum of map distances along each group."""
+    upto = W.partitionBy(by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return df.withColumn("cm", F.sum(map_distance(F.col(fraction), method)).over(upto))
+
+
 def natural_key(col: Column) -> list[Column]:
     """Sort keys that order ``ctg2`` before ``ctg10``: the text part, then the number."""
     return [F.regexp_extract(col, r"^(\D*)", 1), F.regexp_extract(col, r"(\d+)", 1).try_cast("bigint"), col]

@@ -14,7 +14,7 @@ SQL = {
 SELECT CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, CAST(20000 + p_size * 1000 AS BIGINT) AS length FROM part
 """,
     "map_markers": """
-SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS marker_id,
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS BIGINT) AS marker_id,
  CONCAT('ctg', CAST(l_partkey AS STRING)) AS contig,
  1 + CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) % (20000 + p_size * 1000) AS pos,
  CASE WHEN l_tax > 0.07 THEN 1 + l_suppkey % 12 ELSE 1 + l_partkey % 12 END AS lg,
@@ -40,7 +40,7 @@ SELECT CAST(64 + 16 * (event_id % 2) AS BIGINT) AS flag, CONCAT('ctg', CAST(user
 SELECT CONCAT('ctg', CAST(doc_id AS STRING)) AS contig, REPEAT(TRANSLATE(MD5(CAST(doc_id AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT'), CAST(1 + n_chars % 50 AS INT)) AS seq FROM documents
 """,
     "la": """
-SELECT ROW_NUMBER() OVER (ORDER BY chr, contig, orig_start) AS line, contig, orig_start AS start_pos, orig_end AS end_pos, orientation, chr,
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY chr, contig, orig_start) AS BIGINT) AS line, contig, orig_start AS start_pos, orig_end AS end_pos, orientation, chr,
  orig_start, orig_start + 5 AS alt_start, orig_end, orig_end - 5 AS alt_end,
  CASE WHEN linked = 1 THEN COALESCE(LAG(contig) OVER (PARTITION BY chr ORDER BY contig, orig_start), 'null') ELSE 'null' END AS prev_contig,
  CASE WHEN linked = 1 THEN link_type ELSE 'null' END AS prev_type, CASE WHEN linked = 1 THEN prev_score ELSE 0 END AS prev_score,
@@ -70,7 +70,7 @@ SELECT CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, '1' AS start_s, '9990
  UNION ALL SELECT CONCAT('ctg', CAST(p_partkey AS STRING)), '9991-10011', '20000*', '?', 1 + p_partkey % 12 FROM part
 """,
     "chain": """
-SELECT ROW_NUMBER() OVER (ORDER BY score DESC, tname, qname, tstart, qstart, qend, tend, qstrand) AS id, c.* FROM (SELECT CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS score,
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY score DESC, tname, qname, tstart, qstart, qend, tend, qstrand) AS BIGINT) AS id, c.* FROM (SELECT CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS score,
  CONCAT('ctg', CAST(l_partkey AS STRING)) AS tname, CAST(20000 + p1.p_size * 1000 AS BIGINT) AS tsize, '+' AS tstrand,
  CAST(FLOOR(l_quantity) * 100 AS BIGINT) AS tstart, CAST(20000 + p1.p_size * 1000 - l_linenumber * 100 AS BIGINT) AS tend,
  CONCAT('ctg', CAST(p2.p_partkey AS STRING)) AS qname, CAST(20000 + p2.p_size * 1000 AS BIGINT) AS qsize,
@@ -79,7 +79,7 @@ SELECT ROW_NUMBER() OVER (ORDER BY score DESC, tname, qname, tstart, qstart, qen
 """,
     "agp": """
 SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_size * 1000) OVER w - (20000 + p_size * 1000) + 1 AS obj_beg, SUM(20000 + p_size * 1000) OVER w AS obj_end,
- ROW_NUMBER() OVER w AS part_no, 'W' AS ctype, CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, 1 AS contig_beg, 20000 + p_size * 1000 AS contig_end, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS orientation
+ CAST(ROW_NUMBER() OVER w AS BIGINT) AS part_no, 'W' AS ctype, CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, 1 AS contig_beg, 20000 + p_size * 1000 AS contig_end, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS orientation
  FROM part WHERE p_partkey % 10 <> 0 WINDOW w AS (PARTITION BY p_partkey % 12 ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """,
     "cuts": """
@@ -104,12 +104,12 @@ SELECT CONCAT('ctg', CAST(user_id % 5 AS STRING)) AS contig1, CAST(1 + 10000 * (
  FROM events GROUP BY user_id % 5, event_id % 7, user_id % 3, event_id % 4
 """,
     "ld_pairs": """
-SELECT ROW_NUMBER() OVER (ORDER BY weight DESC, contig1, pos1, contig2, pos2) AS line, p.* FROM (SELECT CONCAT('ctg', CAST(l_partkey % 6 AS STRING)) AS contig1, CAST(l_linenumber * 700 AS BIGINT) AS pos1,
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY weight DESC, contig1, pos1, contig2, pos2) AS BIGINT) AS line, p.* FROM (SELECT CONCAT('ctg', CAST(l_partkey % 6 AS STRING)) AS contig1, CAST(l_linenumber * 700 AS BIGINT) AS pos1,
  CONCAT('ctg', CAST(6 + l_suppkey % 6 AS STRING)) AS contig2, CAST(FLOOR(l_quantity) * 900 AS BIGINT) AS pos2, CAST(MAX(FLOOR(l_extendedprice)) AS BIGINT) AS weight FROM lineitem GROUP BY 1, 2, 3, 4) p
 """,
     "agp_seq": """
 SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_size * 1000) OVER w - (20000 + p_size * 1000) + 1 AS obj_beg, SUM(20000 + p_size * 1000) OVER w AS obj_end,
- ROW_NUMBER() OVER w AS part_no, 'W' AS ctype, CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, 1 AS contig_beg, 20000 + p_size * 1000 AS contig_end, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS orientation
+ CAST(ROW_NUMBER() OVER w AS BIGINT) AS part_no, 'W' AS ctype, CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, 1 AS contig_beg, 20000 + p_size * 1000 AS contig_end, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS orientation
  FROM part WHERE p_partkey % 10 <> 0 AND p_partkey IN (SELECT doc_id FROM documents) WINDOW w AS (PARTITION BY p_partkey % 12 ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """,
 }

@@ -161,6 +161,7 @@ def _cigar(sp: SparkSession, d: str) -> DataFrame:
 _add("cigar_blocks", _cigar, "paf", "SELECT qname, qstart, tname, tstart, as_score, 0 AS no, qend - qstart - 200 AS size, as_score % 9 + 1 AS dt, CAST(7 AS BIGINT) AS dq FROM paf UNION ALL SELECT qname, qstart, tname, tstart, as_score, 1, CAST(200 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM paf")
 _RF = "(l_discount * CAST(4 AS DOUBLE))"
 _add("map_distance", lambda sp, d: sp.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_discount") * 4.0).alias("r")).select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(s.map_distance(F.col("r"), m), 6).alias(m) for m in ("kosambi", "haldane", "morgan")]), "", f"SELECT l_orderkey, l_linenumber, l_partkey, round(25 * ln((1 + 2 * {_RF}) / (1 - 2 * {_RF})), 6) AS kosambi, round(0 - 50 * ln(1 - 2 * {_RF}), 6) AS haldane, round(100 * {_RF}, 6) AS morgan FROM lineitem")
+_add("map_position", lambda sp, d: s.map_position(_markers(sp, d).select("marker_id", "lg", ((F.col("pos") % 40) / 100.0).alias("r")), order=("marker_id",)).select("marker_id", "lg", F.round("cm", 3).alias("cm")), "map_markers", "WITH r AS (SELECT marker_id, lg, (pos % 40) / CAST(100 AS DOUBLE) AS r FROM map_markers) SELECT marker_id, lg, round(sum(25 * ln((1 + 2 * r) / (1 - 2 * r))) OVER (PARTITION BY lg ORDER BY marker_id), 3) AS cm FROM r")
 _add("natural_sort", lambda sp, d: s.natural_sort(fx(sp, d, "contig_length"), "contig"), "contig_length", "SELECT * FROM contig_length")
 _add("validate_fasta", lambda sp, d: s.validate_fasta(fx(sp, d, "fasta_seq").withColumn("seq", F.when(F.col("contig").endswith("7"), F.concat("seq", F.lit("X"))).otherwise(F.col("seq")))), "fasta_seq", "SELECT contig, 'letters' AS problem FROM fasta_seq WHERE contig LIKE '%7' UNION ALL SELECT contig, 'repeated name' FROM fasta_seq GROUP BY contig HAVING count(*) > 1")
 
