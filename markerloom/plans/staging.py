@@ -6,7 +6,6 @@ missing (tests, a laptop) is a local folder made and used instead.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -14,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+#: Spark's own switch for dropping a finished query's shuffle files at once.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,16 +39,21 @@ class Staging:
         self.count = 0
 
     def put(self, df: DataFrame, name: str, release: bool = False) -> DataFrame:
-        """Write ``df`` and read it back; ``release`` lets Spark drop finished shuffle files."""
+        """Write ``df`` and read it back; ``release`` drops the query's shuffle files at once."""
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
-        df.write.parquet(path)
+        if release:
+            before = self.spark.conf.get(_CLEANUP, None)
+            self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if release and before is not None:
+                self.spark.conf.set(_CLEANUP, before)
+            elif release:
+                self.spark.conf.unset(_CLEANUP)
         back = self.spark.read.schema(df.schema).parquet(path)
         back.staged_path = path
-        if release:
-            del df
-            gc.collect()
-            self.spark.sparkContext._jvm.System.gc()
         return back
 
     def drop(self, df: DataFrame | None) -> None:
