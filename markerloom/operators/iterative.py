@@ -40,7 +40,7 @@ def _rounds(rows: DataFrame, a: str, b: str, decide, max_rounds: int) -> DataFra
         blocked = fresh if blocked is None else blocked.unionAll(fresh).distinct()
         blocked = staging.put(blocked, "blocked")
         left = staging.put(judged.filter("NOT ready").select(*rows.columns), "left")
-        # a row with both ends blocked can flag nothing any more
+        # a row with a blocked end can flag nothing any more
         spent = blocked.select(F.col("end"))
         left = left.join(spent.withColumnRenamed("end", a).withColumn("xa", F.lit(1)), a, "left").join(spent.withColumnRenamed("end", b).withColumn("xb", F.lit(1)), b, "left")
         left = staging.put(left.filter("xa IS NULL AND xb IS NULL").select(*rows.columns), "left")
@@ -122,9 +122,8 @@ def _pass(la: DataFrame, score_diff: float, bridge: bool) -> DataFrame:
     score = F.greatest(one, two, both) if bridge else F.greatest(one, two)
     scores = df.filter("count > 1").select("piece", "chr", score.alias("score")).filter("score IS NOT NULL")
     chosen = assign_by_margin(scores, score_diff).select("piece", F.col("chr").alias("home"))
-    homed = lambda c, name: df_join(c, name)
 
-    def df_join(column: str, name: str) -> DataFrame:
+    def homed(column: str, name: str) -> DataFrame:
         return chosen.select(F.col("piece").alias(column), F.col("home").alias(name))
 
     df = df.withColumn("prev_piece", F.when(before_ok, F.col("before.piece"))).withColumn("next_piece", F.when(after_ok, F.col("after.piece")))
