@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from markerloom.llm.blocks import hash_sample
+
 WIDTHS = (2, 3, 4)
 WINDOW = 192
 _LETTER = r"\p{L}"
@@ -128,11 +130,12 @@ def responses(t: dict, x: np.ndarray) -> np.ndarray:
 
 
 def train(labelled: DataFrame, text: str, lang: str, id_col: str, train_docs: int = 3000, train_windows: int = 4) -> ByteConvNet | None:
-    """Fit on ``train_docs`` labelled rows at most, chosen by a hash of id and text, null labels left out."""
-    chosen = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(_LETTER)).orderBy(F.xxhash64(id_col, text), id_col).limit(train_docs)
+    """Fit on ``train_docs`` labelled rows at most, those whose ids hash lowest; null labels and texts teach nothing."""
     # no more of a very long text is sent to the driver than its sampled windows
     places = F.array(*[F.substring(F.col(text), (F.floor(F.greatest(F.length(text) - WINDOW, F.lit(0)) * (i / max(1, train_windows - 1))) + 1).cast("int"), F.lit(WINDOW)) for i in range(train_windows)])
-    rows = chosen.select(F.col(lang).alias("lang"), F.array_distinct(places).alias("parts")).collect()
+    taught = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    narrow = taught.select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.array_distinct(places).alias("parts"))
+    rows = [r for r in hash_sample(narrow, "id", train_docs).collect() if any(any(map(str.isalpha, part)) for part in r["parts"])]
     classes = sorted({r["lang"] for r in rows})
     if not classes:
         return None
