@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from markerloom.llm.blocks import hash_sample
 from markerloom.llm.vectors import matrix, usable
 from markerloom.plans.staging import Staging
 
@@ -81,7 +82,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     width = source.agg(F.max(F.size("x"))).first()[0]
     if width is None:
         return spark.createDataFrame([], out_schema)
-    sample = matrix(source.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("x").toArrow().column("x"), width)
+    sample = matrix(hash_sample(source.select("id", "x"), "id", sample_rows).select("x").toArrow().column("x"), width)
     pivots = spread_pivots(sample, n_pivots)
     away = distances(sample, pivots)
     nearest, least = away.argmin(axis=1), away.min(axis=1)
