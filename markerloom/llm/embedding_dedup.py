@@ -13,7 +13,8 @@ counts and a spanning forest of its links, never all pairs.
 
 Defined results: a vector without label, or one that is null, empty, zero or holds a null or
 non-finite component, links with nothing and is its own component; vectors of different lengths
-never link; repeated rows link with each other; ties go to the smaller id; an empty table gives
+never link; repeated rows link with each other; a row without id gets its vector's component but
+counts as no link; ties go to the smaller id; an empty table gives
 an empty table; columns other than id, vector and label are not read.
 """
 
@@ -65,7 +66,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98, tile_rows: int = 2
     staging = Staging(rows.sparkSession, "near-vectors")
     sound = F.col("label").isNotNull() & usable(F.col("vec")) & F.exists("vec", lambda x: x != 0)
     source = rows.select(F.col(id_col).alias("id"), F.col(vector).alias("vec"), F.col(label).alias("label")).withColumn("sound", F.coalesce(sound, F.lit(False)))
-    distinct = source.filter("sound").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
+    distinct = source.filter("sound AND id IS NOT NULL").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
     members = staging.put(distinct, "members")
     tiles = members.groupBy("label", F.size("vec").alias("dim")).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles"))
     dealt = members.withColumn("dim", F.size("vec")).join(tiles, ["label", "dim"]).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))

@@ -12,7 +12,7 @@ every row is indexed. Rings are cut into tiles by a hash and queries into blocks
 crowded ring nor a crowd of equal queries meets in one task. Only pivots, ring borders and one
 summary row a ring reach the driver; their number is fixed by the parameters.
 
-Defined results: vectors that are null or hold null or non-finite components take no part; shorter
+Defined results: vectors that are null or hold null or non-finite components take no part, nor do rows without id; shorter
 vectors count as filled up with zeros; an empty vector is all zeros; ties go to the smaller id; a
 query's own row is left out, other rows with the same vector are not; with fewer than k candidates
 all are returned; an empty table gives an empty table; other columns are not read.
@@ -77,7 +77,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     """``query_id``, ``rank``, ``id_col`` and ``score``; ``vector`` holds arrays of whole numbers."""
     spark = vectors.sparkSession
     staging = Staging(spark, "top-k")
-    source = staging.put(vectors.filter(usable(F.col(vector))).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), F.col(vector).cast("array<bigint>").alias("x")), "vectors")
+    source = staging.put(vectors.filter(usable(F.col(vector)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), F.col(vector).cast("array<bigint>").alias("x")), "vectors")
     out_schema = f"query_id bigint, rank int, {id_col} bigint, score bigint"
     width = source.agg(F.max(F.size("x"))).first()[0]
     if width is None:

@@ -361,3 +361,17 @@ def test_pipeline_stages(spark, empty):
     for _, stage in cp.STAGES:
         out = stage(spark, out, "")
     assert out.count() == 0
+
+
+def test_rows_without_id(spark):
+    text = "kan los mira rupel tedor " * 30
+    df = spark.createDataFrame([(None, text, None, None, None), (None, "x " * 80, "en", "a", 1), (4, text, "en", None, None)], DOCS)
+    assert rows(ngram_join.jaccard_classes(df).filter("doc_id = 4"), "component_id") == [(4,)] and ngram_join.jaccard_classes(df).count() == 3
+    assert rows(suffix_dedup.repeated_strings(df).filter("doc_id = 4"), "n_removed") == [(len(text) - 25,)]
+    assert packing.pack(df).filter("start = 0").count() == 3 and secret_scan.scan_secrets(df).count() == 3
+    assert language_id.identify(df, df).count() == 3
+    vectors = spark.createDataFrame([(None, [1.0, 2.0], 1), (None, [3.0, 1.0], 1), (5, [1.0, 2.0], 1)], "vec_id long, embedding array<double>, label int")
+    assert rows(embedding_dedup.near_duplicates(vectors).filter("vec_id = 5"), "n_links", "component_id") == [(0, 5)]
+    assert topk.exact_top_k(vectors.select("vec_id", topk.scaled(F.col("embedding")).alias("vector")), F.lit(True)).count() == 0
+    mixed = mixing.mix_sources(df.select("doc_id", mixing.count_words(F.col("text")).alias("size"), F.array("source").alias("sources")), mixing.contract_targets)
+    assert mixed.count() == 3
