@@ -18,7 +18,7 @@ per name; what repeats inside the block is settled there. Exact copies of whole
 by digest first, and only the first copy is cut up.
 
 Defined results: a null text counts as empty; nothing is removed from texts shorter than
-``length``; rows repeating an id are told apart by no column, so ids must be unique; texts may be
+``length`` or from rows without id; ids must be unique, as no column tells rows of one id apart; texts may be
 of any length and are cut into overlapping segments; an empty table gives an empty table; columns
 other than id and text are not read.
 """
@@ -103,37 +103,47 @@ _FOUND = "doc_id bigint, starts binary"
 def _sent(doc: np.ndarray, at: np.ndarray, name: np.ndarray, bits: int, wide: bool, later_only: bool) -> pa.RecordBatch:
     """Rows by bucket: one position per name (the earliest), and those the block has settled.
 
-    ``later_only``: of equal names in the block all but the earliest are settled; else all are.
+    Positions come sorted by document and start. ``later_only``: of equal names in the block all
+    but the earliest are settled; else all are.
     """
-    order = np.lexsort((at, doc, name))
-    doc, at, name = doc[order], at[order], name[order]
-    fresh = np.concatenate([[True], name[1:] != name[:-1]]) if len(name) else np.zeros(0, bool)
-    settled = ~fresh
-    if not later_only and len(name):
-        settled = settled | np.concatenate([settled[1:], [False]])
-    bucket = (name >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(name), np.int64)
+    order = np.argsort(name)
+    sorted_ = name[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(name) else np.zeros(0, np.int64)
+    fresh = np.zeros(len(name), dtype=bool)
+    settled = np.zeros(len(name), dtype=bool)
+    if len(name):
+        fresh[np.minimum.reduceat(order, first)] = True
+        size = np.diff(np.append(first, len(name)))
+        settled[order[np.repeat(size > 1, size)]] = True
+        if later_only:
+            settled &= ~fresh
+    bucket = (name >> _U(64 - bits)).astype(np.int32) if bits else np.zeros(len(name), np.int32)
     rest = name if wide else (name >> _U(32 - bits)).astype(np.uint32)
+    # narrow keys sort by counting, and keep the order of documents inside a bucket
+    dealt = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
+    used, edges = np.unique(bucket[dealt], return_index=True)
     rows = []
-    used, edges = np.unique(bucket, return_index=True)
     for b, lo, hi in zip(used.tolist(), edges.tolist(), [*edges[1:].tolist(), len(bucket)], strict=True):
-        s = slice(lo, hi)
-        sides = []
-        for keep in (fresh[s], settled[s]):
-            d, a, r = doc[s][keep], at[s][keep], rest[s][keep]
-            again = np.lexsort((a, d))
-            sides.append((*_by_doc(d[again], a[again]), r[again]))
-        rows.append((b, sides[0][3].tobytes(), *sides[0][:3], *sides[1][:3]))
+        here = dealt[lo:hi]
+        one, own = here[fresh[here]], here[settled[here]]
+        rows.append((b, rest[one].tobytes(), *_by_doc(doc[one], at[one]), *_by_doc(doc[own], at[own])))
     columns = list(zip(*rows, strict=True)) or [()] * 8
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=[c.split()[0] for c in _SENT.split(", ")])
 
 
 def _rows_of(doc: np.ndarray, at: np.ndarray) -> pa.Table:
     """One row per document with its packed starts."""
-    order = np.lexsort((at, doc))
-    doc, at = doc[order], at[order]
-    ids, first = np.unique(doc, return_index=True)
-    parts = np.split(at, first[1:]) if len(ids) else []
-    return pa.table({"doc_id": pa.array(ids.astype(np.int64)), "starts": pa.array([_packed(np.diff(p, prepend=0)) for p in parts], pa.binary())})
+    if len(doc) and 0 <= doc.min() and doc.max() < 2**31:
+        key = np.sort((doc.astype(np.uint64) << _U(32)) | at.astype(np.uint64))
+        doc, at = (key >> _U(32)).astype(np.int64), (key & _U(0xFFFFFFFF)).astype(np.int64)
+    else:
+        order = np.lexsort((at, doc))
+        doc, at = doc[order], at[order]
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    step = np.diff(at, prepend=0)
+    step[first] = at[first]
+    ends = np.append(first[1:], len(doc))
+    return pa.table({"doc_id": pa.array(doc[first].astype(np.int64)), "starts": pa.array([_packed(step[x:y]) for x, y in zip(first.tolist(), ends.tolist(), strict=True)], pa.binary())})
 
 
 def _meet(wide: bool, later_only: bool):
@@ -150,12 +160,18 @@ def _meet(wide: bool, later_only: bool):
             found_d.append(d)
             found_a.append(a)
         doc, at, name = np.concatenate(docs), np.concatenate(starts), np.concatenate(names)
-        order = np.lexsort((at, doc, name)) if later_only else np.argsort(name, kind="stable")
-        doc, at, name = doc[order], at[order], name[order]
-        again = np.concatenate([[False], name[1:] == name[:-1]])
-        if not later_only:
-            again |= np.concatenate([again[1:], [False]])
-        return _rows_of(np.concatenate([*found_d, doc[again]]), np.concatenate([*found_a, at[again]]))
+        order = np.argsort(name)
+        name = name[order]
+        same = name[1:] == name[:-1]
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        order, name = order[shared], name[shared]
+        doc, at = doc[order], at[order]
+        if later_only and len(name):
+            order = np.lexsort((at, doc, name))
+            doc, at, name = doc[order], at[order], name[order]
+            later = np.concatenate([[False], name[1:] == name[:-1]])
+            doc, at = doc[later], at[later]
+        return _rows_of(np.concatenate([*found_d, doc]), np.concatenate([*found_a, at]))
 
     return run
 
@@ -171,10 +187,10 @@ def _segments(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[list[
                 held.append((doc, offset, piece, rest))
                 size += len(piece)
                 if size >= BLOCK:
-                    yield held
+                    yield sorted(held, key=lambda x: x[:2])
                     held, size = [], 0
     if held:
-        yield held
+        yield sorted(held, key=lambda x: x[:2])
 
 
 def _laid(block: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,9 +203,11 @@ def _merged_starts(pieces: list[bytes]) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.int64), *[np.cumsum(_unpacked(p)) for p in pieces]]))
 
 
-def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 << 20, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 16 << 20, id_col: str = "doc_id", text: str = "text", with_kept: bool = True) -> DataFrame:
     """``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (bytes) of every text.
 
+    Without ``with_kept`` the last column is null and the kept bytes stay in the tasks.
+
     A byte is removed if some ``length``-byte string that covers it also starts earlier, in an
     earlier document or earlier in the same one.
     """
@@ -207,7 +225,7 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 <
     total = copies.agg(F.sum("n_bytes")).first()[0] or 0
     bits = max(0, int(-(-total // bucket_bytes) - 1).bit_length()) if total else 0
     staging.drop(copies)
-    unique = source.filter(F.octet_length("text") >= length).join(later.select("doc_id"), "doc_id", "left_anti")
+    unique = source.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)).join(later.select("doc_id"), "doc_id", "left_anti")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         on = np.zeros(MODULUS, dtype=bool)
@@ -274,7 +292,7 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 <
                     last = e
                 kept.append(data[last:])
                 left = b"".join(kept)
-                rows.append((doc, n, n - len(left), len(begin), hashlib.sha256(left).hexdigest(), left))
+                rows.append((doc, n, n - len(left), len(begin), hashlib.sha256(left).hexdigest(), left if with_kept else None))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
@@ -283,4 +301,4 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 <
 
 
 def op6_suffix_dedup(spark, sf_dir):
-    return repeated_strings(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
+    return repeated_strings(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_kept=False).drop("kept")
