@@ -97,6 +97,7 @@ def _positions(docs: bytes, counts: bytes, starts: bytes) -> tuple[np.ndarray, n
 
 
 _SENT = "bucket int, names binary, docs binary, counts binary, starts binary, own_docs binary, own_counts binary, own_starts binary"
+_PARTS = "part int, docs binary, counts binary, starts binary"
 _FOUND = "doc_id bigint, starts binary"
 
 
@@ -131,14 +132,30 @@ def _sent(doc: np.ndarray, at: np.ndarray, name: np.ndarray, bits: int, wide: bo
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=[c.split()[0] for c in _SENT.split(", ")])
 
 
-def _rows_of(doc: np.ndarray, at: np.ndarray) -> pa.Table:
-    """One row per document with its packed starts."""
+def _in_order(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions sorted by document and start."""
     if len(doc) and 0 <= doc.min() and doc.max() < 2**31:
         key = np.sort((doc.astype(np.uint64) << _U(32)) | at.astype(np.uint64))
-        doc, at = (key >> _U(32)).astype(np.int64), (key & _U(0xFFFFFFFF)).astype(np.int64)
-    else:
-        order = np.lexsort((at, doc))
-        doc, at = doc[order], at[order]
+        return (key >> _U(32)).astype(np.int64), (key & _U(0xFFFFFFFF)).astype(np.int64)
+    order = np.lexsort((at, doc))
+    return doc[order], at[order]
+
+
+def _parts_of(doc: np.ndarray, at: np.ndarray, parts: int) -> pa.Table:
+    """Positions packed by a hash of their document, a row per part that has any."""
+    doc, at = _in_order(doc, at)
+    part = (mix64(doc.astype(np.uint64)) % _U(parts)).astype(np.uint16 if parts <= 65536 else np.int32)
+    order = np.argsort(part, kind="stable")
+    used, edges = np.unique(part[order], return_index=True)
+    rows = [(p, *_by_doc(doc[order[lo:hi]], at[order[lo:hi]])) for p, lo, hi in zip(used.tolist(), edges.tolist(), [*edges[1:].tolist(), len(part)], strict=True)]
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.table({c.split()[0]: pa.array(v, pa.binary() if k else pa.int32()) for k, (c, v) in enumerate(zip(_PARTS.split(", "), columns, strict=True))})
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """All starts of each document of a part, one row per document."""
+    found = [_positions(r["docs"], r["counts"], r["starts"]) for r in table.select(["docs", "counts", "starts"]).to_pylist()]
+    doc, at = _in_order(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
     step = np.diff(at, prepend=0)
     step[first] = at[first]
@@ -146,7 +163,7 @@ def _rows_of(doc: np.ndarray, at: np.ndarray) -> pa.Table:
     return pa.table({"doc_id": pa.array(doc[first].astype(np.int64)), "starts": pa.array([_packed(step[x:y]) for x, y in zip(first.tolist(), ends.tolist(), strict=True)], pa.binary())})
 
 
-def _meet(wide: bool, later_only: bool):
+def _meet(wide: bool, later_only: bool, parts: int):
     """Equal names among the blocks of a bucket: all of them, or all but the earliest."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -171,7 +188,7 @@ def _meet(wide: bool, later_only: bool):
             doc, at, name = doc[order], at[order], name[order]
             later = np.concatenate([[False], name[1:] == name[:-1]])
             doc, at = doc[later], at[later]
-        return _rows_of(np.concatenate([*found_d, doc]), np.concatenate([*found_a, at]))
+        return _parts_of(np.concatenate([*found_d, doc]), np.concatenate([*found_a, at]), parts)
 
     return run
 
@@ -199,8 +216,8 @@ def _laid(block: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(x[2] for x in block), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-def _merged_starts(pieces: list[bytes]) -> np.ndarray:
-    return np.unique(np.concatenate([np.zeros(0, np.int64), *[np.cumsum(_unpacked(p)) for p in pieces]]))
+def _starts(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(packed))
 
 
 def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 16 << 20, id_col: str = "doc_id", text: str = "text", with_kept: bool = True) -> DataFrame:
@@ -243,9 +260,9 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 16
             yield _sent(np.concatenate(doc), np.concatenate(at), names_at(raw, np.concatenate(name), tuple_bytes), bits, wide=False, later_only=False)
 
     named = unique.select("doc_id", "text").mapInArrow(sample, _SENT)
-    sampled = staging.put(named.groupBy("bucket").applyInArrow(_meet(wide=False, later_only=False), _FOUND), "sample", release=True)
-    reached = sampled.groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
-    merging = source.join(reached, "doc_id").select("doc_id", "text", "starts")
+    met = named.groupBy("bucket").applyInArrow(_meet(wide=False, later_only=False, parts=1 << bits), _PARTS)
+    sampled = staging.put(met.groupBy("part").applyInArrow(_gather, _FOUND), "sample", release=True)
+    merging = source.join(sampled, "doc_id").select("doc_id", "text", "starts")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _segments(batches, length - 1):
@@ -255,7 +272,7 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 16
                 upto = min(n - length + 1, SEGMENT)
                 if upto <= 0:
                     continue
-                hits = _merged_starts(rest[0]) - offset
+                hits = _starts(rest[0]) - offset
                 hits = hits[(hits >= 0) & (hits < upto + MODULUS)]
                 edge = np.zeros(upto + MODULUS + 1, dtype=np.int64)
                 np.add.at(edge, np.maximum(hits - MODULUS + 1, 0), 1)
@@ -268,10 +285,10 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 16
                 yield _sent(np.concatenate(doc), np.concatenate(at), names_at(raw, np.concatenate(name), length), bits, wide=True, later_only=True)
 
     prefixes = merging.mapInArrow(merge, _SENT)
-    repeats = staging.put(prefixes.groupBy("bucket").applyInArrow(_meet(wide=True, later_only=True), _FOUND), "repeats", release=True)
+    met = prefixes.groupBy("bucket").applyInArrow(_meet(wide=True, later_only=True, parts=1 << bits), _PARTS)
+    repeats = staging.put(met.groupBy("part").applyInArrow(_gather, _FOUND), "repeats", release=True)
     staging.drop(sampled)
-    found = repeats.groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
-    cut = source.join(found.join(later, "doc_id", "full"), "doc_id", "left").select("doc_id", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy"))
+    cut = source.join(repeats.join(later, "doc_id", "full"), "doc_id", "left").select("doc_id", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,7 +299,7 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 16
                 if copy:
                     begin, end = np.array([0]), np.array([n])
                 else:
-                    at = _merged_starts(starts or [])
+                    at = _starts(starts or b"")
                     gap = np.flatnonzero(np.diff(at) > length) if len(at) else np.zeros(0, np.int64)
                     begin = at[np.concatenate([[0], gap + 1])] if len(at) else at
                     end = at[np.concatenate([gap, [len(at) - 1]])] + length if len(at) else at
