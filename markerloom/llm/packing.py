@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +46,10 @@ class WordIds:
     The tokenizer never joins text across a space, tab or line break, so a text's ids are those of
     its words in turn. A word of plain letters and closing punctuation is two parts to it; unseen
     parts are encoded many at a time, and the marks of word ends in the vocabulary tell them apart.
-    At most ``keep`` words are remembered; then the memory starts afresh.
+    About ``keep`` words are remembered; later ones are encoded each time they come.
     """
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
         from tokenizers import Tokenizer
 
@@ -104,12 +105,10 @@ class WordIds:
         look = lambda words: np.fromiter(map(self.words.get, words, itertools.repeat(-1)), np.int64, len(words))
         known = [look(words) for words in split]
         unseen = {words[i] for words, seen in zip(split, known, strict=True) for i in np.flatnonzero(seen < 0).tolist()}
+        held = len(self.words), len(self.parts), len(self.flat)
         if unseen:
-            if len(self.words) + len(unseen) > self.keep:
-                self.clear()
-                unseen = set().union(*split)
             self.learn(unseen)
-            known = [look(words) if len(self.words) == len(unseen) or seen.min() < 0 else seen for words, seen in zip(split, known, strict=True)]
+            known = [look(words) if seen.min() < 0 else seen for words, seen in zip(split, known, strict=True)]
         out = []
         for seen in known:
             parts = np.stack([self.first[seen], self.second[seen]], axis=1).ravel()
@@ -119,8 +118,18 @@ class WordIds:
             ids[:-1] = self.flat[np.repeat(self.at[parts] - upto + size, size) + np.arange(len(ids) - 1)]
             ids[-1] = end
             out.append(ids)
+        if len(self.words) > self.keep:
+            self._forget(*held)
         return out
 
+    def _forget(self, words: int, parts: int, flat: int) -> None:
+        """Back to what was known before the last texts; the words met first are the frequent ones."""
+        for known, size in ((self.words, words), (self.parts, parts)):
+            while len(known) > size:
+                known.popitem()
+        self.first, self.second = self.first[:words].copy(), self.second[:words].copy()
+        self.at, self.size, self.flat = self.at[:parts].copy(), self.size[:parts].copy(), self.flat[:flat].copy()
+
 
 @functools.lru_cache(maxsize=2)
 def _word_ids(path: str) -> WordIds:
@@ -185,15 +194,17 @@ def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int
     def batches(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(path)
         for batch in batches_:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
             rows: list[tuple] = []
             at = 0
-            while at < len(texts):
+            while at < batch.num_rows:
                 upto, held = at, 0
-                while upto < len(texts) and (held == 0 or held + len(texts[upto]) <= 1_000_000):
-                    held += len(texts[upto])
+                while upto < batch.num_rows and (held == 0 or held + sizes[upto] <= 400_000):
+                    held += int(sizes[upto])
                     upto += 1
-                for doc, tokens in zip(ids[at:upto], words.encode(texts[at:upto], end), strict=True):
+                # texts become Python strings a few at a time
+                ids, texts = (batch.column(k).slice(at, upto - at).to_pylist() for k in (0, 1))
+                for doc, tokens in zip(ids, words.encode([t or "" for t in texts], end), strict=True):
                     for start in range(0, len(tokens), length):
                         piece = tokens[start : start + length]
                         rows.append((doc, start, len(piece), zlib.crc32(piece.astype("<u4").tobytes()), len(tokens)))
