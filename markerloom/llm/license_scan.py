@@ -1,8 +1,9 @@
 """Licence scan in DataFrame expressions only: canonical texts, hashed and joined to known digests.
 
-A text becomes canonical by lower case, dropped copyright lines, one space for every run of ASCII
+A text becomes canonical by lower case, dropped copyright statements (lines such as "Copyright (c)
+2020 Somebody", not every line that mentions the word), one space for every run of ASCII
 punctuation and white space, and one spelling for equivalent words. Its digest is then hash-joined
-to the digests of known licences. Single lines that speak of a licence are looked up the same way,
+to the digests of known licences: the short forms below and the full texts in ``licenses/``. Single lines that speak of a licence are looked up the same way,
 so that a notice inside a longer document is found too.
 
 Defined results: a null text has a null digest and no licence; an empty text (or one of copyright
@@ -12,6 +13,9 @@ judged each on its own; an empty table gives an empty table; further columns are
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,28 +51,70 @@ KNOWN: list[tuple[str, str]] = [
 #: Equivalent spellings, applied in order to text padded with one space on either side.
 SPELLINGS = (("licence", "license"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("merchantibility", "merchantability"), ("acknowledgement", "acknowledgment"), ("organisation", "organization"))
 COPYRIGHT = ("copyright", "(c)", "©", "all rights reserved")
+#: A whole line that is a copyright statement, in lower case: the mark and then a year or a holder.
+#: A body line that happens to start with the word ("copyright notice", "copyright holders be") is none.
+_BODY_WORD = (
+    r"(?:the (?:software|library|program|work)|(?:notices?|holders?|owners?|laws?|licen[sc]e[sd]?|statements?|protection|interests?|rights?|treat(?:y|ies)|act|and|or|in|on|is|are|to|of|for|that|this|may|shall"
+    r"|with|as|under|which|permission|disclaimers?|infringement|symbol|status|materials?|works?|line|claims?|resulting|conditions?|information|management|term|doctrines?|exceptions?|registration|ownership|if)\b)"
+)
+STATEMENT = (
+    r"^[\s\x21-\x27*+,./:;<=|\x2d]*(?:(?:portions\s+)?copyright\s*[:,]?\s*(?:\(c\)|©)|(?:portions\s+)?copyright\s*:?\s+(?!" + _BODY_WORD + r")[\p{L}\d\[{<]|©"
+    r"|\(c\)\s*(?:copyright\b|[\[{<]?(?:\d{4}|y{4}|year))|all rights reserved[\s.*/#]*$)"
+)
 _GAPS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form that digests are taken of; null for null."""
-    lines = F.filter(F.split(F.lower(text), "\n"), lambda line: ~(line.contains(COPYRIGHT[0]) | line.contains(COPYRIGHT[1]) | line.contains(COPYRIGHT[2]) | line.contains(COPYRIGHT[3])))
+    mentions = lambda line: line.contains(COPYRIGHT[0]) | line.contains(COPYRIGHT[1]) | line.contains(COPYRIGHT[2]) | line.contains(COPYRIGHT[3])
+    lines = F.filter(F.split(F.lower(text), "\n"), lambda line: ~(mentions(line) & line.rlike(STATEMENT)))
     out = F.regexp_replace(F.array_join(lines, "\n"), _GAPS, " ")
     for other, usual in SPELLINGS:
         out = F.replace(out, F.lit(other), F.lit(usual))
     return F.trim(out)
 
 
+_TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License"),
+}
+#: Wordings in which genuine copies of one licence differ.
+_WORDINGS = {
+    "ISC": (("and/or distribute", "and distribute"),),
+    "BSD-2-Clause": ((r"(?m)^\s*\d\. ", "* "), (r"COPYRIGHT(\s+)HOLDER(\s+)OR", r"COPYRIGHT\1OWNER\2OR")),
+    "BSD-3-Clause": ((r"(?m)^\s*\d\. ", "* "), (r"COPYRIGHT(\s+)HOLDER(\s+)OR", r"COPYRIGHT\1OWNER\2OR"), (r"the(\s+)copyright(\s+)holder(\s+)nor", r"the\1copyright\2holders\3nor")),
+}
+_APPENDIX = re.compile(r"(END OF TERMS AND CONDITIONS).*", re.S)
+_LINE_BREAK = re.compile(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)")
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """``(license_id, body)`` of the full texts, with usual titles, wordings and without appendix."""
+    found: dict[tuple[str, str], None] = {}
+    for file in sorted(resources.files("markerloom.llm").joinpath("licenses").iterdir(), key=lambda f: f.name):
+        name, bodies = file.name.removesuffix(".txt"), [file.read_text(encoding="utf-8")]
+        for pattern, other in _WORDINGS.get(name, ()):
+            bodies += [re.sub(pattern, other, body) for body in bodies]
+        bodies += [_APPENDIX.sub(r"\1", body) for body in bodies]
+        bodies += [body.replace("http://", "https://") for body in bodies]
+        # statements end where their line does, so texts of one line a paragraph are known besides
+        bodies += [_LINE_BREAK.sub(" ", body) for body in bodies]
+        found |= {(name, f"{title}\n\n{body}" if title else body): None for body in bodies for title in ("", *_TITLES.get(name, ()))}
+    return list(found)
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """``(license_id, license_digest)``, one row per digest (the smallest id where two agree)."""
-    rows = spark.createDataFrame(known or KNOWN, "license_id string, body string")
+    rows = spark.createDataFrame(known or KNOWN + full_texts(), "license_id string, body string")
     return rows.groupBy(F.md5(canonical(F.col("body"))).alias("license_digest")).agg(F.min("license_id").alias("license_id"))
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", known: list[tuple[str, str]] | None = None) -> DataFrame:
     """Add ``digest``, ``license_id`` (of the entire text) and ``notices`` (ids of its lines, comma-joined).
 
-    The known table is as long as ``known``, a fixed list, which bounds what is broadcast.
+    The known table is as long as ``known`` (the built-in list and texts by default), a fixed list, which bounds what is broadcast.
     """
     table = known_digests(docs.sparkSession, known)
     by_digest = F.create_map(*[F.lit(x) for row in table.collect() for x in (row["license_digest"], row["license_id"])])
