@@ -3,7 +3,8 @@
 Three base kinds are matched leftmost and without overlap inside a kind; matches that fail their
 length test are dropped after matching. The entropy kind slides a window over candidate strings
 and keeps the Shannon entropy of the window by incremental counts: each step subtracts the term
-of the leaving character and adds the term of the entering one.
+of the leaving character and adds the term of the entering one. Runs of letters and digits inside
+a candidate are judged besides, each class of characters by a limit of its own.
 
 Defined results: a null text counts as empty; an empty text has no spans; repeated rows are judged
 each on its own; very long texts are scanned whole; ties at one start are ordered by kind as listed
@@ -33,8 +34,17 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 #: (test a candidate must pass, bits of entropy a window of it must reach), by character class.
 CLASSES = {"hex": (r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.0), "mixed": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).*$", 3.6)}
+#: Letters and digits without the marks that glue names, values and words to each other.
+RUN = r"[A-Za-z0-9]{20,}"
+#: Further classes of runs, after those above; prose and digits alone stay below these limits.
+RUN_CLASSES = {"lower": (r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", 3.5), "upper": (r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", 3.5), "letters": (r"^[A-Za-z]+$", 3.9)}
 #: Well-known harmless strings: UUIDs, examples, runs of the alphabet or of digits.
 ALLOWED = r"(?:[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}|EXAMPLE|[Ee]xample|abcdefghij|ABCDEFGHIJ|0123456789|1234567890)"
+#: The same at full length, with their lengths; a hot span is harmless if they leave less than a window of it.
+HARMLESS = (
+    ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", 40), ("[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}", 36),
+    ("abcdefghijklmnopqrstuvwxyz|ABCDEFGHIJKLMNOPQRSTUVWXYZ", 26), ("abcdefghij|ABCDEFGHIJ|0123456789|1234567890", 10), ("EXAMPLE|[Ee]xample", 7),
+)
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -81,15 +91,31 @@ def _hot_range(value: Column, bits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), zero, step)
 
 
-def _entropy(text: Column, base: Column) -> Column:
-    bits = lambda value: F.coalesce(*[F.when(value.rlike(test), F.lit(least)) for test, least in CLASSES.values()])
-    some = F.filter(_pieces(text, CANDIDATE, 0), lambda m: bits(m["value"]).isNotNull() & ~m["value"].rlike(ALLOWED))
-    ranged = F.transform(some, lambda m: F.struct(m["start"].alias("at"), _hot_range(m["value"], bits(m["value"])).alias("r")))
-    spans = F.transform(
-        F.filter(ranged, lambda x: x["r"]["first"] >= 0),
+def _masked(value: Column) -> Column:
+    for pattern, size in HARMLESS:
+        value = F.regexp_replace(value, pattern, " " * size)
+    return value
+
+
+def _hot_spans(text: Column, pattern: str, classes: dict[str, tuple[str, float]]) -> Column:
+    """Spans of the hot ranges in matches of ``pattern``, each judged by the first class it is of."""
+    bits = lambda value: F.coalesce(*[F.when(value.rlike(test), F.lit(least)) for test, least in classes.values()])
+    some = F.filter(_pieces(text, pattern, 0), lambda m: bits(m["value"]).isNotNull())
+    ranged = F.transform(some, lambda m: F.struct(m["start"].alias("at"), m["value"].alias("value"), _hot_range(m["value"], bits(m["value"])).alias("r")))
+    hot = lambda x: F.substring(_masked(x["value"]), x["r"]["first"] - (WINDOW - 2), x["r"]["last"] - x["r"]["first"] + WINDOW)
+    own = lambda x: F.length(F.replace(hot(x), F.lit(" "), F.lit(""))) >= WINDOW
+    return F.transform(
+        F.filter(ranged, lambda x: (x["r"]["first"] >= 0) & own(x)),
         lambda x: F.struct((x["at"] + x["r"]["first"] - (WINDOW - 1)).cast("bigint").alias("start"), F.lit(3).alias("kind"), (x["at"] + x["r"]["last"] + 1).cast("bigint").alias("end")),
     ).cast(SPAN)
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
+
+
+def _entropy(text: Column, base: Column) -> Column:
+    """Hot spans of whole candidates and of the runs in them, without those inside another span."""
+    spans = F.array_distinct(F.concat(_hot_spans(text, CANDIDATE, CLASSES), _hot_spans(text, RUN, CLASSES | RUN_CLASSES)))
+    inside = lambda s, o: (o["start"] <= s["start"]) & (o["end"] >= s["end"])
+    outer = F.filter(spans, lambda s: ~F.exists(base, lambda b: inside(s, b)))
+    return F.filter(outer, lambda s: ~F.exists(outer, lambda o: inside(s, o) & (o != s)))
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
