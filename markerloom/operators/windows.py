@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from markerloom.functions.scalars import after_dash, bed_key, leading_int, reverse_complement
 from markerloom.operators.joins import liftover
+from markerloom.plans.staging import Staging
 
 
 def _share(x: float) -> float:
@@ -330,16 +331,18 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
     Two passes use windows of a tenth and a seventh of a group's markers, each moved by half its
     width; a marker gains a penalty in every window where its residual is above twice the mean,
     the upper half of the last window one more, and fails at three. The spline is piecewise
-    linear with a knot per ``resolution`` (second pass: 0.7 of it) markers at quantiles, whose
-    Gram sums are aggregated per group; only those small systems reach the driver.
+    linear with a knot per ``resolution`` (second pass: 0.7 of it) markers at quantiles. Its
+    tridiagonal Gram sums are aggregated per group and knot and solved group by group in the tasks.
     """
     ordered = W.partitionBy(by).orderBy(x, y)
     df = marey.withColumn("i", F.row_number().over(ordered)).withColumn("n", F.count("*").over(W.partitionBy(by)))
     span = W.partitionBy(by)
     df = df.withColumn("u", ((F.col(x) - F.min(x).over(span)) / F.greatest(F.max(x).over(span) - F.min(x).over(span), F.lit(1))).cast("double"))
+    staging = Staging(marey.sparkSession, "outliers")
+    df = staging.put(df, "rows")
     penalty = F.lit(0)
     for k, (size, part) in enumerate(((resolution, 10), (int(resolution * 0.7), 7))):
-        df = _with_residual(df, by, y, size, f"res{k}")
+        df = staging.put(_with_residual(df, by, y, size, f"res{k}"), "residuals")
         half = F.greatest(F.bround(F.col("n") / part / 2, 0).cast("int"), F.lit(1))
         count = F.greatest(F.ceil((F.col("n") - half) / half).cast("int"), F.lit(1))
         slot = F.least(F.floor((F.col("i") - 1) / half).cast("int"), count)
@@ -349,32 +352,53 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
         middle = F.floor((F.col("w") * F.col("half") + 1 + F.col("n")) / 2)
         late = (F.col("w") == F.col("count") - 1) & (F.col("i") >= middle)
         points = spread.withColumn("p", (F.abs(f"res{k}") > 2 * mean).cast("int") + late.cast("int")).groupBy(by, "i").agg(F.sum("p").alias(f"p{k}"))
-        df = df.join(points, [by, "i"])
+        df = staging.put(df.join(points, [by, "i"]), "points")
         penalty = penalty + F.col(f"p{k}")
     return df.withColumn("penalty", penalty.cast("int")).withColumn("qc", F.when(F.col("penalty") >= 3, "FAIL").otherwise("PASS")).select(*marey.columns, "penalty", "qc")
 
 
 def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str) -> DataFrame:
-    spark = df.sparkSession
-    counts = {r[by]: r["n"] for r in df.groupBy(by).agg(F.count("*").alias("n")).collect()}
-    # a spline of at most 40 knots a group keeps the systems small whatever the number of markers
-    knots = {g: max(1, min(40, round(n / size))) for g, n in counts.items()}
-    levels = max(knots.values(), default=1)
-    quantiles = df.groupBy(by).agg(F.percentile("u", F.array(*[F.lit(q / 1000.0) for q in range(0, 1001, 25)])).alias("q")).collect()
-    rows = [(r[by], [float(np.interp((j + 1) / (knots[r[by]] + 1), np.linspace(0, 1, 41), r["q"])) for j in range(knots[r[by]])]) for r in quantiles]
-    kind = dict(df.dtypes)[by]
-    table = F.broadcast(spark.createDataFrame(rows, f"{by} {kind}, knots array<double>"))
-    basis = F.concat(F.array(F.lit(1.0), F.col("u")), F.transform("knots", lambda t: F.greatest(F.col("u") - t, F.lit(0.0))))
-    based = df.join(table, by).withColumn("b", basis)
-    width = levels + 2
-    cell = lambda a, b: F.sum(F.coalesce(F.get("b", F.lit(a)) * F.get("b", F.lit(b)), F.lit(0.0)))
-    gram = based.groupBy(by).agg(F.array(*[cell(a, b) for a in range(width) for b in range(a, width)]).alias("g"), F.array(*[F.sum(F.coalesce(F.get("b", F.lit(a)) * F.col(y), F.lit(0.0))) for a in range(width)]).alias("h")).collect()
-    fitted = []
-    for r in gram:
-        m = np.zeros((width, width))
-        m[np.triu_indices(width)] = r["g"]
-        m = m + np.triu(m, 1).T
-        fitted.append((r[by], [float(v) for v in np.linalg.lstsq(m, np.array(r["h"]), rcond=1e-12)[0]]))
-    coefficients = F.broadcast(spark.createDataFrame(fitted, f"{by} {kind}, coef array<double>"))
-    value = F.aggregate(F.zip_with("b", F.slice("coef", F.lit(1), F.size("b")), lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
-    return based.join(coefficients, by).withColumn(name, F.col(y) - value).drop("knots", "b", "coef")
+    """Add ``name``: ``y`` less its least-squares fit by lines between one node per ``size`` rows."""
+    kind, staging = dict(df.dtypes)[by], Staging(df.sparkSession, "spline")
+    up = W.partitionBy(by).orderBy("u")
+    ranked = df.filter(F.col("u").isNotNull()).select(by, "u", F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint").alias("k"), (F.row_number().over(up) - 1).cast("bigint").alias("s"), F.lead("u").over(up).alias("after"), F.greatest(F.count("*").over(W.partitionBy(by)) - 1, F.lit(1)).alias("m"))
+    # node j of 0 .. k + 1 lies at rank j / (k + 1) * m, between the rows of ranks s and s + 1
+    least = lambda s: F.floor((s * (F.col("k") + 1) + F.col("m") - 1) / F.col("m"))
+    first, last = least(F.col("s")), F.least(least(F.col("s") + 1) - 1, F.col("k") + 1)
+    held = ranked.filter(first <= last).withColumn("j", F.explode(F.sequence(first, last)))
+    at = F.col("u") + F.coalesce((F.col("j") * F.col("m") / (F.col("k") + 1) - F.col("s")) * (F.col("after") - F.col("u")), F.lit(0.0))
+    nodes = staging.put(held.select(by, at.alias("u")).distinct().withColumn("node", F.lit(1)), "nodes")
+    # a row belongs to the last node that is not above it; nodes come before rows of the same place
+    running = W.partitionBy(by).orderBy("u", F.desc_nulls_last("node")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    both = df.withColumn("node", F.lit(0)).unionByName(nodes, allowMissingColumns=True).withColumn("seg", F.sum("node").over(running)).withColumn("t", F.last(F.when(F.col("node") == 1, F.col("u")), ignorenulls=True).over(running))
+    ends = nodes.select(by, F.row_number().over(up).cast("bigint").alias("seg"), F.lead("u").over(up).alias("t2"))
+    based = both.filter("node = 0").join(ends, [by, "seg"], "left").withColumn("f", F.coalesce((F.col("u") - F.col("t")) / (F.col("t2") - F.col("t")), F.lit(0.0))).drop("node", "t", "t2")
+    f, g = F.col("f"), 1 - F.col("f")
+    sums = based.filter(F.col("u").isNotNull() & F.col(y).isNotNull()).groupBy(by, "seg").agg(F.sum(g * g).alias("a"), F.sum(g * f).alias("b"), F.sum(f * f).alias("c"), F.sum(g * F.col(y)).cast("double").alias("p"), F.sum(f * F.col(y)).cast("double").alias("q"))
+    sums = ends.select(by, "seg").join(sums, [by, "seg"], "left").fillna(0.0, ["a", "b", "c", "p", "q"])
+    fitted = staging.put(sums.groupBy(by).applyInPandas(_solve, f"`{by}` {kind}, seg bigint, at double, next double"), "heights")
+    value = (1 - F.col("f")) * F.col("at") + F.col("f") * F.col("next")
+    return based.join(fitted, [by, "seg"]).withColumn(name, F.col(y) - value).drop("seg", "f", "at", "next")
+
+
+def _solve(group: pd.DataFrame) -> pd.DataFrame:
+    """Heights of one group's nodes: the tridiagonal normal equations, by elimination.
+
+    A node that no row decides has a pivot of zero; any height fits it, and it gets zero.
+    """
+    group = group.sort_values("seg")
+    a, b, c, p, q = (group[name].to_numpy(float) for name in "abcpq")
+    diagonal, right = a + np.r_[0.0, c[:-1]], p + np.r_[0.0, q[:-1]]
+    pivot, value = diagonal.copy(), right.copy()
+    free = np.zeros(len(a), bool)
+    for k in range(len(a)):
+        if k and not free[k - 1]:
+            ratio = b[k - 1] / pivot[k - 1]
+            pivot[k] -= ratio * b[k - 1]
+            value[k] -= ratio * value[k - 1]
+        free[k] = pivot[k] <= 1e-12 * max(diagonal[k], 1e-300)
+    height = np.zeros(len(a) + 1)
+    for k in range(len(a) - 1, -1, -1):
+        if not free[k]:
+            height[k] = (value[k] - b[k] * height[k + 1]) / pivot[k]
+    return pd.DataFrame({group.columns[0]: group.iloc[:, 0], "seg": group["seg"], "at": height[:-1], "next": height[1:]})
