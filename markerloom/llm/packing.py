@@ -7,9 +7,10 @@ least room that still holds it. A segment tree over remaining capacities finds t
 Pieces are spread over shards by a hash, each shard holding a bounded number of them, and each
 shard is packed by itself; only its last few sequences stay partly empty.
 
-Defined results: a null text counts as empty; an empty text is the end id alone; repeated rows
-are packed as separate documents; ties in length go by id, start and checksum; an empty table
-gives an empty table; columns other than id and text are not read.
+Defined results: a null text counts as empty; an empty text is the end id alone; a very long text
+is read whole, in stretches cut at white space; repeated rows are packed as separate documents, and
+rows without id keep a null id; ties in length go by id, start and checksum; an empty table gives
+an empty table; columns other than id and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -17,13 +18,11 @@ from __future__ import annotations
 import functools
 import itertools
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -36,20 +35,32 @@ END = 2
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-#: A run of Latin letters, then a run of ASCII punctuation; an apostrophe may begin a contraction.
-_SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)")
+#: Classes of bytes: white space that always ends a word, ASCII letters, digits and marks, and the rest.
+_REST, _BLANK, _LETTER, _DIGIT, _MARK = range(5)
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[33:127] = _MARK
+_CLASS[[9, 10, 13, 32]] = _BLANK
+_CLASS[48:58] = _DIGIT
+_CLASS[65:91] = _CLASS[97:123] = _LETTER
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: By class of a byte and of the next: whether a new part begins between them.
+_CUTS = np.array([[False if a == _BLANK else b == _BLANK or (a != b and _REST not in (a, b)) for b in range(5)] for a in range(5)]).ravel()
+_PLAIN = r"^([a-z]+|[!-/:-@\[-`{-~]+)$"
 
 
 class WordIds:
-    """Token ids of texts, word by word, remembering the ids of words seen before.
-
-    The tokenizer never joins text across a space, tab or line break, so a text's ids are those of
-    its words in turn. A word of plain letters and closing punctuation is two parts to it; unseen
-    parts are encoded many at a time, and the marks of word ends in the vocabulary tell them apart.
-    About ``keep`` words are remembered; later ones are encoded each time they come.
+    """Token ids of texts, part by part, remembering the ids of parts seen before.
+
+    The tokenizer lowers case, drops white space and never joins ASCII letters, digits and marks
+    with each other (but for an apostrophe before a letter, which is not cut here), so a text's ids
+    are those of its parts in turn. Parts are cut and told apart by array operations on the bytes;
+    only a part that is new becomes a Python string. New parts of one class are encoded many at a
+    time, and the marks of word ends in the vocabulary tell their ids apart. Up to ``keep`` parts
+    are remembered, which takes about 30 bytes each; later ones are encoded each time they come.
     """
 
-    def __init__(self, path: str, keep: int = 200_000):
+    def __init__(self, path: str, keep: int = 1_500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
         from tokenizers import Tokenizer
 
@@ -57,78 +68,104 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.clear()
-
-    def clear(self) -> None:
-        self.words: dict[str, int] = {}
-        self.parts: dict[str, int] = {"": 0}
-        self.first, self.second = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.at, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
-
-    def _add(self, names: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.parts.update(zip(names, range(len(self.at), len(self.at) + len(names)), strict=True))
-        self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def _one_by_one(self, names: list[str]) -> None:
-        ids = [np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, dtype=np.uint32) for x in names]
-        self._add(names, np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in ids], dtype=np.int64))
-
-    def learn(self, words: set[str]) -> None:
-        fresh = sorted(words)
-        split, plain, odd = [], set(), set()
-        for word in fresh:
-            m = _SIMPLE.fullmatch(word)
-            a, b = (m[1].lower(), m[2]) if m else (word, "")
-            split.append((a, b))
-            (plain if m else odd).add(a)
-            plain.add(b)
-        plain = sorted(plain.difference(self.parts))
-        odd = sorted(odd.difference(self.parts))
-        for at in range(0, len(plain), 20_000):
-            names = plain[at : at + 20_000]
-            joined = [" ".join(names[i : i + 200]) for i in range(0, len(names), 200)]
-            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known = pa.chunked_array([pa.array([""])])
+        self.size, self.flat, self.held = np.zeros(1, np.int32), np.zeros(1 << 16, np.uint32), 0
+
+    def _plainly(self, names: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
+
+    def _encoded(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Parts in a new order, their numbers of ids, and their ids in one array."""
+        plain = pc.match_substring_regex(parts, _PLAIN)
+        order, sizes, flat = [], [np.zeros(0, np.int32)], [np.zeros(0, np.uint32)]
+        single = parts.filter(plain)
+        for at in range(0, len(single), 20_000):
+            names = single.slice(at, 20_000).to_pylist()
+            ids = np.concatenate(self._plainly([" ".join(names[i : i + 200]) for i in range(0, len(names), 200)]))
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(names):
-                self._add(names, ids, np.diff(ends, prepend=0))
+                sizes.append(np.diff(ends, prepend=0).astype(np.int32))
+                flat.append(ids)
             else:
-                self._one_by_one(names)
-        self._one_by_one(odd)
-        self.words.update(zip(fresh, range(len(self.first), len(self.first) + len(fresh)), strict=True))
-        self.first = np.concatenate([self.first, np.array([self.parts[a] for a, _ in split], np.int64)])
-        self.second = np.concatenate([self.second, np.array([self.parts[b] for _, b in split], np.int64)])
+                each = self._plainly(names)
+                sizes.append(np.array([len(x) for x in each], np.int32))
+                flat.extend(each)
+        order.append(single)
+        odd = parts.filter(pc.invert(plain))
+        for at in range(0, len(odd), 20_000):
+            each = self._plainly(odd.slice(at, 20_000).to_pylist())
+            sizes.append(np.array([len(x) for x in each], np.int32))
+            flat.extend(each)
+        order.append(odd)
+        return pa.concat_arrays(order), np.concatenate(sizes), np.concatenate(flat)
+
+    def _remember(self, parts: pa.Array, sizes: np.ndarray, flat: np.ndarray) -> None:
+        if self.held + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.held], np.zeros(max(len(self.flat), 2 * len(flat)), np.uint32)])
+        self.flat[self.held : self.held + len(flat)] = flat
+        self.held += len(flat)
+        self.size = np.concatenate([self.size, sizes])
+        self.known = pa.chunked_array([*self.known.chunks, parts]) if self.known.num_chunks < 16 else pa.chunked_array([pa.concat_arrays([*self.known.chunks, parts])])
+
+    def ids(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts that begin at ``starts`` in an array of UTF-8 bytes."""
+        if not len(data):
+            return [np.zeros(0, np.uint32) for _ in starts]
+        kinds = _CLASS[data]
+        apostrophes = np.flatnonzero(data[:-1] == 39)
+        kinds[apostrophes[kinds[apostrophes + 1] == _LETTER]] = _REST
+        begins = np.zeros(len(data), dtype=bool)
+        begins[1:] = _CUTS[kinds[:-1] * np.uint8(5) + kinds[1:]]
+        ends = np.append(starts[1:], len(data))
+        begins[starts[starts < ends]] = True
+        begins[0] = True
+        at = np.flatnonzero(begins).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at, np.int32(len(data)))), pa.py_buffer(_LOWER[data])).dictionary_encode()
+        distinct = pc.ascii_trim(parts.dictionary, " \t\n\r").dictionary_encode()
+        found = pc.index_in(distinct.dictionary, self.known)
+        unseen = distinct.dictionary.filter(pc.is_null(found))
+        sizes, flat = self.size, self.flat[: self.held]
+        if len(unseen):
+            parts_, more, ids = self._encoded(unseen)
+            place = np.empty(len(distinct.dictionary), np.int64)
+            seen = found.is_valid().to_numpy(zero_copy_only=False)
+            place[seen] = found.drop_null().to_numpy()
+            place[~seen] = len(sizes) + pc.index_in(unseen, parts_).to_numpy()
+            if len(sizes) < self.keep:
+                self._remember(parts_, more, ids)
+                sizes, flat = self.size, self.flat[: self.held]
+            else:
+                sizes, flat = np.concatenate([sizes, more]), np.concatenate([flat, ids])
+        else:
+            place = found.to_numpy()
+        first = (np.cumsum(sizes, dtype=np.int64) - sizes).astype(np.int32 if len(flat) < 2**31 else np.int64)
+        part = place[distinct.indices.to_numpy()][parts.indices.to_numpy()]
+        size = sizes[part]
+        upto = np.cumsum(size, dtype=first.dtype)
+        out = flat[np.repeat(first[part] - upto + size, size) + np.arange(upto[-1], dtype=first.dtype)]
+        before = np.concatenate([[0], upto])[np.searchsorted(at, np.append(starts, len(data)))]
+        texts = [out[a:b] for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True)]
+        return self._with_special(data, starts, ends, texts)
+
+    def _with_special(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, texts: list[np.ndarray]) -> list[np.ndarray]:
+        """Texts that spell out a special token are encoded whole."""
+        whole = data.tobytes() if self.special else b""
+        for mark in self.special:
+            at = whole.find(mark)
+            while at >= 0:
+                k = int(np.searchsorted(starts, at, side="right")) - 1
+                if at + len(mark) <= ends[k]:
+                    texts[k] = self._plainly([whole[starts[k] : ends[k]].decode()])[0]
+                    at = whole.find(mark, int(ends[k]))
+                else:
+                    at = whole.find(mark, at + 1)
+        return texts
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        look = lambda words: np.fromiter(map(self.words.get, words, itertools.repeat(-1)), np.int64, len(words))
-        known = [look(words) for words in split]
-        unseen = {words[i] for words, seen in zip(split, known, strict=True) for i in np.flatnonzero(seen < 0).tolist()}
-        held = len(self.words), len(self.parts), len(self.flat)
-        if unseen:
-            self.learn(unseen)
-            known = [look(words) if seen.min() < 0 else seen for words, seen in zip(split, known, strict=True)]
-        out = []
-        for seen in known:
-            parts = np.stack([self.first[seen], self.second[seen]], axis=1).ravel()
-            size = self.size[parts]
-            upto = np.cumsum(size)
-            ids = np.empty(int(upto[-1]) + 1, np.uint32)
-            ids[:-1] = self.flat[np.repeat(self.at[parts] - upto + size, size) + np.arange(len(ids) - 1)]
-            ids[-1] = end
-            out.append(ids)
-        if len(self.words) > self.keep:
-            self._forget(*held)
-        return out
-
-    def _forget(self, words: int, parts: int, flat: int) -> None:
-        """Back to what was known before the last texts; the words met first are the frequent ones."""
-        for known, size in ((self.words, words), (self.parts, parts)):
-            while len(known) > size:
-                known.popitem()
-        self.first, self.second = self.first[:words].copy(), self.second[:words].copy()
-        self.at, self.size, self.flat = self.at[:parts].copy(), self.size[:parts].copy(), self.flat[:flat].copy()
+        data = [t.encode() for t in texts]
+        sizes = np.array([len(d) for d in data], np.int64)
+        return [np.append(x, np.uint32(end)) for x in self.ids(np.frombuffer(b"".join(data), np.uint8), np.cumsum(sizes) - sizes)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -188,35 +225,69 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
     return sequences, offsets
 
 
-def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def _cut_text(data: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Stretches of a long text of about ``most`` bytes, cut before white space, where no token crosses."""
+    edges = [0]
+    while len(data) - edges[-1] > most:
+        at = edges[-1]
+        blanks = np.flatnonzero(_CLASS[data[at + 1 : at + most]] == _BLANK)
+        if len(blanks):
+            edges.append(at + 1 + int(blanks[-1]))
+            continue
+        upto = at + most
+        while upto < len(data) and not len(blanks):
+            blanks = np.flatnonzero(_CLASS[data[upto : upto + most]] == _BLANK)
+            upto += most
+        if not len(blanks):
+            break
+        edges.append(upto - most + int(blanks[0]))
+    return list(itertools.pairwise([*edges, len(data)]))
+
+
+def _token_runs(words: WordIds, texts: pa.Array, end: int, most: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(index, ids with the end id) of every text, about ``most`` bytes at a time."""
+    texts = pc.fill_null(texts, "")
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    edges = np.frombuffer(texts.buffers()[1], wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(edges, edges[at] + most, side="right")) - 1)
+        piece = data[edges[at] : edges[upto]]
+        if len(piece) <= most:
+            found = words.ids(piece, edges[at:upto] - edges[at])
+        else:
+            found = [np.concatenate([words.ids(piece[lo:hi], np.zeros(1, np.int64))[0] for lo, hi in _cut_text(piece, most)])]
+        for k, ids in enumerate(found):
+            yield at + k, np.append(ids, np.uint32(end))
+        at = upto
+
+
+def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
     """One row per piece of every document: full windows and what remains."""
 
     def batches(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(path)
         for batch in batches_:
-            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
-            rows: list[tuple] = []
-            at = 0
-            while at < batch.num_rows:
-                upto, held = at, 0
-                while upto < batch.num_rows and (held == 0 or held + sizes[upto] <= 400_000):
-                    held += int(sizes[upto])
-                    upto += 1
-                # texts become Python strings a few at a time
-                ids, texts = (batch.column(k).slice(at, upto - at).to_pylist() for k in (0, 1))
-                for doc, tokens in zip(ids, words.encode([t or "" for t in texts], end), strict=True):
-                    for start in range(0, len(tokens), length):
-                        piece = tokens[start : start + length]
-                        rows.append((doc, start, len(piece), zlib.crc32(piece.astype("<u4").tobytes()), len(tokens)))
-                at = upto
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-
-    return docs.select(F.col(id_col).alias("doc_id"), text).mapInArrow(batches, PIECES)
+            owner, cut, crc, tokens = [], [], [], []
+            for i, ids in _token_runs(words, batch.column(1), end, slice_bytes):
+                for start in range(0, len(ids), length):
+                    piece = ids[start : start + length]
+                    owner.append(i)
+                    cut.append((start, len(piece)))
+                    crc.append(zlib.crc32(np.ascontiguousarray(piece, "<u4")))
+                    tokens.append(len(ids))
+            start, size = np.array(cut, np.int64).reshape(-1, 2).T
+            columns = [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(start), pa.array(size), pa.array(crc, pa.int64()), pa.array(tokens, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(batches, PIECES)
 
 
 def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, shard_pieces: int = 16384, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; ``shard_pieces`` is about what one shard holds."""
+    import public_tokenizers
+
     staging = Staging(docs.sparkSession, "packing")
     pieces = staging.put(tokenized_pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), length, end, id_col, text), "pieces")
     shards = max(1, -(-pieces.count() // shard_pieces))

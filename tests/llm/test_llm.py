@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,7 +223,6 @@ def test_repeated_strings_match_brute_force(spark, empty, monkeypatch):
 
 def test_difference_cover_and_segments(monkeypatch):
     assert suffix_dedup.covers(suffix_dedup.MODULUS, suffix_dedup.COVER)
-    import pyarrow as pa
 
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 50)
     text = "".join(map(str, range(100)))
@@ -297,8 +297,15 @@ def test_words_encode_as_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     texts = ["", " a  b\n\tc ", "It's DON'T 've", "<|endoftext|> x", "É é ß İ Σ ΑΣ.", "a\u0085b\xa0c", "...!! $%& 12ab34"]
     words, tokenizer = packing.WordIds(path, keep=3), Tokenizer.from_file(path)
+    texts += ["'tis (\"'s) x'Y", "<|ENDOFTEXT|>é<|endoftext|>y", "\u2260=\u0338", "a\x0bb\x0c c\x1cd", "\x00a'", " ", "don'"]
+    rng = random.Random(1)
+    texts += ["".join(rng.choice("aBz'\u2019 \n\t.,-1é中İΣ\u0301<|>_\xa0\x0b") for _ in range(rng.randint(0, 14))) for _ in range(1000)]
     for _ in range(2):
         assert [x.tolist() for x in words.encode(texts, 2)] == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    # a long text is read in stretches; the result is that of the whole
+    long = " ".join(texts) + "x" * 300 + " tail"
+    (_, ids), (_, last) = packing._token_runs(words, pa.array([long, None]), 2, most=64)
+    assert ids.tolist() == tokenizer.encode(long, add_special_tokens=False).ids + [2] and last.tolist() == [2]
 
 
 # ---- 9 secrets ----
