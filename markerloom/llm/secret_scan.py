@@ -15,6 +15,7 @@ unless they bear the name of a result column, which then replaces them.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
+#: Candidates hold characters from the plus sign to the small z.
+FIRST_CODE, LAST_CODE = 43, 122
 #: (test a candidate must pass, bits of entropy a window of it must reach), by character class.
 CLASSES = {"hex": (r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.0), "mixed": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).*$", 3.6)}
 #: Letters and digits without the marks that glue names, values and words to each other.
@@ -48,18 +51,46 @@ HARMLESS = (
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body speaks of it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scanned(items: Column, zero: Column, add: Callable[[Column, Column], Column], out: Callable[[Column, Column], Column], kind: str) -> Column:
+    """``out(state, item)`` of every item, where the state folds all earlier items by ``add``.
+
+    Spark has no running fold over an array, and appending to one copies it. So items are walked in
+    blocks of about the square root of their number, and only a block's results are appended.
+    """
+
+    def blocked(items: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(items))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(items) / F.greatest(width, F.lit(1))).cast("int") - 1, F.lit(0))), lambda k: F.slice(items, k * width + 1, F.greatest(width, F.lit(1))))
+        begun = lambda acc, block: F.struct(
+            F.aggregate(block, acc["state"], add).alias("state"), F.concat(acc["blocks"], F.array(F.struct(acc["state"].alias("state"), block.alias("items")))).alias("blocks"))
+        start = F.struct(zero.alias("state"), F.slice(F.array(F.struct(zero.alias("state"), items.alias("items"))), 1, 0).alias("blocks"))
+        none = F.array().cast(f"array<{kind}>")
+        inside = lambda block: F.aggregate(
+            block["items"], F.struct(block["state"].alias("state"), none.alias("out")),
+            lambda acc, x: F.struct(add(acc["state"], x).alias("state"), F.concat(acc["out"], F.array(out(acc["state"], x))).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.transform(F.aggregate(blocks, start, begun, lambda acc: acc["blocks"]), inside))
+
+    return _let(items, lambda x: F.when(F.size(x) > 0, blocked(x)).otherwise(F.array().cast(f"array<{kind}>")))
+
+
+_PIECE = "struct<start:bigint,size:bigint,value:string>"
+
+
 def _pieces(text: Column, pattern: str, size_group: int) -> Column:
     """``array<struct<start,size,value>>`` of every match; starts count code points from 0."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     sizes = F.regexp_extract_all(text, F.lit(pattern), F.lit(size_group))
-    joined = F.arrays_zip(found.alias("value"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), sizes.alias("sized"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,size:bigint,value:string>>").alias("out"))
-    step = lambda acc, x: F.struct(
-        (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).cast("bigint").alias("at"),
-        F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).cast("bigint").alias("start"), F.length(x["sized"]).cast("bigint").alias("size"), x["value"].alias("value")))).alias("out"),
-    )
-    none = F.array().cast("array<struct<start:bigint,size:bigint,value:string>>")
-    return F.when(text.rlike(pattern), F.aggregate(joined, zero, step, lambda acc: acc["out"])).otherwise(none)
+    measured = F.transform(F.arrays_zip(found.alias("value"), gaps.alias("gap"), sizes.alias("sized")), lambda x: F.struct(x["value"].alias("value"), F.length(x["gap"]).cast("bigint").alias("gap"), F.length(x["value"]).cast("bigint").alias("long"), F.length(x["sized"]).cast("bigint").alias("size")))
+    # the last gap has no match behind it
+    joined = F.filter(measured, lambda x: x["value"].isNotNull())
+    piece = lambda at, x: F.struct((at + x["gap"]).alias("start"), x["size"].alias("size"), x["value"].alias("value"))
+    starts = _scanned(joined, F.lit(0).cast("bigint"), lambda at, x: at + x["gap"] + x["long"], piece, _PIECE)
+    return F.when(text.rlike(pattern), starts).otherwise(F.array().cast(f"array<{_PIECE}>"))
 
 
 def _base(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
@@ -71,24 +102,37 @@ def _term(count: Column) -> Column:
     return F.when(count <= 1, F.lit(0.0)).otherwise(count * F.log2(F.greatest(count, F.lit(1)).cast("double")))
 
 
-def _count(char: Column, inside: Column) -> Column:
-    return F.length(inside) - F.length(F.replace(inside, char, F.lit("")))
+def _hot_range(value: Column, bits: Column) -> Column:
+    """First and last window end (index of its last character) whose entropy reaches ``bits``.
 
+    The fold carries how often each character is in the window, and the sum of the terms of these
+    counts; a step changes both by the character that leaves and the one that enters.
+    """
 
-def _hot_range(value: Column, bits: Column) -> Column:
-    """First and last window end (index of its last character) whose entropy reaches ``bits``."""
+    def step(codes: Column) -> Callable[[Column, Column], Column]:
+        def run(acc: Column, i: Column) -> Column:
+            entering, leaving = F.get(codes, i), F.coalesce(F.get(codes, i - WINDOW), F.lit(-1))
+            gone, same = F.get(acc["counts"], leaving), (entering == leaving).cast("int")
+            had = F.get(acc["counts"], entering) - same
+            out = F.when(leaving >= 0, _term(gone) - _term(gone - 1)).otherwise(F.lit(0.0))
+            total = acc["total"] - out + _term(had + 1) - _term(had)
+            counts = F.transform(acc["counts"], lambda n, k: n + (k == entering).cast("int") - (k == leaving).cast("int"))
+            return F.struct(total.alias("total"), counts.alias("counts"), acc["first"].alias("first"), acc["last"].alias("last"), i.alias("i"))
+
+        def judged(acc: Column, i: Column) -> Column:
+            return _let(run(acc, i), marked)
+
+        return judged
 
-    def step(acc: Column, i: Column) -> Column:
-        shared = F.substring(value, F.greatest(i - WINDOW + 2, F.lit(1)), F.least(i, F.lit(WINDOW - 1)))
-        entering, leaving = F.substring(value, i + 1, F.lit(1)), F.substring(value, i - WINDOW + 1, F.lit(1))
-        a, b = _count(entering, shared), _count(leaving, shared)
-        out = F.when(i >= WINDOW, _term(b + 1) - _term(b)).otherwise(F.lit(0.0))
-        total = acc["total"] - out + _term(a + 1) - _term(a)
-        reached = (i >= WINDOW - 1) & (F.round(F.lit(math.log2(WINDOW)) - total / WINDOW, 6) >= bits)
-        return F.struct(total.alias("total"), F.when(reached & (acc["first"] < 0), i).otherwise(acc["first"]).alias("first"), F.when(reached, i).otherwise(acc["last"]).alias("last"))
+    def marked(acc: Column) -> Column:
+        i = acc["i"]
+        reached = (i >= WINDOW - 1) & (F.round(F.lit(math.log2(WINDOW)) - acc["total"] / WINDOW, 6) >= bits)
+        return F.struct(acc["total"].alias("total"), acc["counts"].alias("counts"), F.when(reached & (acc["first"] < 0), i).otherwise(acc["first"]).alias("first"), F.when(reached, i).otherwise(acc["last"]).alias("last"))
 
-    zero = F.struct(F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-    return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), zero, step)
+    zero = F.struct(F.lit(0.0).alias("total"), F.array_repeat(F.lit(0), LAST_CODE - FIRST_CODE + 1).alias("counts"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+    codes = F.transform(F.split(value, ""), lambda c: F.ascii(c) - FIRST_CODE)
+    ends = lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last"))
+    return _let(codes, lambda codes: F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step(codes), ends))
 
 
 def _masked(value: Column) -> Column:
@@ -100,8 +144,9 @@ def _masked(value: Column) -> Column:
 def _hot_spans(text: Column, pattern: str, classes: dict[str, tuple[str, float]]) -> Column:
     """Spans of the hot ranges in matches of ``pattern``, each judged by the first class it is of."""
     bits = lambda value: F.coalesce(*[F.when(value.rlike(test), F.lit(least)) for test, least in classes.values()])
-    some = F.filter(_pieces(text, pattern, 0), lambda m: bits(m["value"]).isNotNull())
-    ranged = F.transform(some, lambda m: F.struct(m["start"].alias("at"), m["value"].alias("value"), _hot_range(m["value"], bits(m["value"])).alias("r")))
+    judged = F.transform(_pieces(text, pattern, 0), lambda m: F.struct(m["start"].alias("at"), m["value"].alias("value"), bits(m["value"]).alias("bits")))
+    some = F.filter(judged, lambda m: m["bits"].isNotNull())
+    ranged = F.transform(some, lambda m: F.struct(m["at"].alias("at"), m["value"].alias("value"), _hot_range(m["value"], m["bits"]).alias("r")))
     hot = lambda x: F.substring(_masked(x["value"]), x["r"]["first"] - (WINDOW - 2), x["r"]["last"] - x["r"]["first"] + WINDOW)
     own = lambda x: F.length(F.replace(hot(x), F.lit(" "), F.lit(""))) >= WINDOW
     return F.transform(
@@ -111,11 +156,17 @@ def _hot_spans(text: Column, pattern: str, classes: dict[str, tuple[str, float]]
 
 
 def _entropy(text: Column, base: Column) -> Column:
-    """Hot spans of whole candidates and of the runs in them, without those inside another span."""
-    spans = F.array_distinct(F.concat(_hot_spans(text, CANDIDATE, CLASSES), _hot_spans(text, RUN, CLASSES | RUN_CLASSES)))
-    inside = lambda s, o: (o["start"] <= s["start"]) & (o["end"] >= s["end"])
-    outer = F.filter(spans, lambda s: ~F.exists(base, lambda b: inside(s, b)))
-    return F.filter(outer, lambda s: ~F.exists(outer, lambda o: inside(s, o) & (o != s)))
+    """Hot spans of whole candidates and of the runs in them, without those inside another span.
+
+    By start, then from the longest, base spans first, whatever a span lies in comes before it; so
+    it lies in one if some earlier span ends no earlier.
+    """
+    spans = F.concat(base, _hot_spans(text, CANDIDATE, CLASSES), _hot_spans(text, RUN, CLASSES | RUN_CLASSES))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
+    kind = "struct<start:bigint,back:bigint,kind:int,upto:bigint>"
+    passed = _scanned(ordered, F.lit(0).cast("bigint"), lambda upto, s: F.greatest(upto, -s["back"]), lambda upto, s: F.struct(s["start"].alias("start"), s["back"].alias("back"), s["kind"].alias("kind"), upto.alias("upto")), kind)
+    own = F.filter(passed, lambda s: (s["kind"] == KINDS.index("entropy")) & (s["upto"] < -s["back"]))
+    return F.transform(own, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), (-s["back"]).alias("end"))).cast(SPAN)
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -135,14 +186,29 @@ def spans_text(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with each stretch of overlapping sorted spans replaced by one ``mark``; null stays null."""
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-    step = lambda acc, s: F.struct(
-        F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))).alias("out"),
-        F.greatest(acc["at"], s["end"]).alias("at"),
-    )
-    done = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, done)).otherwise(text)
+    """``text`` with each stretch of overlapping sorted spans replaced by one ``mark``; null stays null.
+
+    The stretches between are cut from the text block by block, so that no cut counts characters
+    from the text's start.
+    """
+    kind = "struct<lo:bigint,hi:bigint,new:boolean>"
+    gap = lambda upto, s: F.struct(upto.alias("lo"), s["start"].alias("hi"), (s["start"] >= upto).alias("new"))
+    end = F.aggregate(spans, F.lit(0).cast("bigint"), lambda acc, s: F.greatest(acc, s["end"]))
+    gaps = F.filter(_scanned(spans, F.lit(0).cast("bigint"), lambda upto, s: F.greatest(upto, s["end"]), gap, kind), lambda g: g["new"])
+    part = lambda whole, at, lo, hi: F.substring(whole, (lo - at + 1).cast("int"), (hi - lo).cast("int"))
+
+    def pieces(gaps: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(gaps))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(gaps) / width).cast("int") - 1), lambda k: F.slice(gaps, k * width + 1, width))
+        first, last = lambda b: F.get(b, F.lit(0))["lo"], lambda b: F.element_at(b, -1)["hi"]
+        cut = lambda acc, b: F.struct(
+            F.substring(acc["rest"], (last(b) - acc["at"] + 1).cast("int"), F.length(acc["rest"])).alias("rest"), last(b).alias("at"),
+            F.concat(acc["out"], F.array(_let(F.struct(part(acc["rest"], acc["at"], first(b), last(b)).alias("text"), first(b).alias("at")), lambda x: F.transform(b, lambda g: part(x["text"], x["at"], g["lo"], g["hi"]))))).alias("out"))
+        zero = F.struct(text.alias("rest"), F.lit(0).cast("bigint").alias("at"), F.array().cast("array<array<string>>").alias("out"))
+        tail = lambda acc: F.concat(F.flatten(acc["out"]), F.array(F.substring(acc["rest"], (end - acc["at"] + 1).cast("int"), F.length(acc["rest"]))))
+        return F.array_join(F.aggregate(blocks, zero, cut, tail), mark)
+
+    return F.when(F.size(spans) > 0, _let(gaps, pieces)).otherwise(text)
 
 
 def op9_secret_scan(spark, sf_dir):
