@@ -51,12 +51,12 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float, rows: int = 256
         s = slice(x, x + rows)
         bound = (qa[s].astype(exact) @ codes_b) * sa[s, None] * sb[None, :] + la[s, None] * eb[None, :] + ea[s, None] * (1 + 1e-9)
         maybe = bound >= threshold - 1e-9
-        r, c = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
-        if len(r):
-            cosine = (a[s][r] @ b[c].T) / (size_a[s][r][:, None] * size_b[c][None, :])
-            i, j = np.nonzero((cosine >= threshold) & maybe[np.ix_(r, c)])
-            out_a.append(r[i] + x)
-            out_b.append(c[j])
+        i, j = np.nonzero(maybe)
+        for at in range(0, len(i), 1 << 16):
+            r, c = i[at : at + (1 << 16)] + x, j[at : at + (1 << 16)]
+            linked = np.einsum("ij,ij->i", a[r], b[c]) / (size_a[r] * size_b[c]) >= threshold
+            out_a.append(r[linked])
+            out_b.append(c[linked])
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
 

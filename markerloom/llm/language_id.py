@@ -12,7 +12,8 @@ byte pairs for width 2, pairs plus bytes for width 3, two pairs for width 4.
 
 Defined results: a null text, or one without a letter (as Unicode has it), is ``und`` with score
 0; ties go to the language first in code-point order; repeated rows are judged each on its own;
-where no labelled row exists, every document is ``und``; an empty table gives an empty table;
+where no labelled row exists, every document is ``und``; a very long text is read whole, some
+thousand windows at a time; an empty table gives an empty table;
 further columns are carried along unless they bear the name of a result column.
 """
 
@@ -30,7 +31,6 @@ from markerloom.llm.blocks import hash_sample
 
 WIDTHS = (2, 3, 4)
 WINDOW = 192
-_LETTER = r"\p{L}"
 
 
 def remainder(doc_id: str, divisor: int) -> Column:

@@ -8,7 +8,8 @@ so that a notice inside a longer document is found too.
 
 Defined results: a null text has a null digest and no licence; an empty text (or one of copyright
 lines alone) has the digest of the empty string, which no known licence has; repeated rows are
-judged each on its own; an empty table gives an empty table; further columns are carried along.
+judged each on its own; a very long text is digested whole; an empty table gives an empty table;
+further columns are carried along, but those that bear the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ KNOWN: list[tuple[str, str]] = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
 ]
-#: Equivalent spellings, applied in order to text padded with one space on either side.
+#: Equivalent spellings, applied in order, also inside longer words ("licences").
 SPELLINGS = (("licence", "license"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("merchantibility", "merchantability"), ("acknowledgement", "acknowledgment"), ("organisation", "organization"))
 COPYRIGHT = ("copyright", "(c)", "©", "all rights reserved")
 #: A whole line that is a copyright statement, in lower case: the mark and then a year or a holder.

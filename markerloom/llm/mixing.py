@@ -12,11 +12,13 @@ seeded order first, so that no pattern, however large, is ordered in one task.
 
 Defined results: a null text has size 0; documents of size 0 are never taken; a document without
 source takes part under the null source; ties in the seeded order go to the smaller id; repeated
-rows are separate documents; an empty table gives an empty table.
+rows and rows without id are separate documents; a very long text counts whole; an empty table gives
+an empty table; columns other than the id, the size and the sources are not read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -106,24 +108,21 @@ def route(patterns: list[tuple[tuple, int]], quotas: dict, passes: int) -> list[
     return flow
 
 
-def _seeded_prefix(state: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Choose, per pattern, the unchosen documents that fit its gap, in seeded order up to the gap.
+def _seeded_prefix(free: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Add ``now``: whether the walk along the seeded order takes a document before its pattern's gap is full.
 
-    Sizes are summed per bucket of the order first; only the bucket in which the gap is reached is
-    looked at document by document.
+    ``free`` holds documents that fit their gaps. Sizes are summed per bucket of the order first;
+    only the bucket in which the gap is reached is looked at document by document.
     """
-    joined = state.join(F.broadcast(gaps), "pattern", "left")
-    fits = F.coalesce((F.col("chosen") == 0) & (F.col("n") > 0) & (F.col("n") <= F.col("gap")), F.lit(False))
-    joined = joined.withColumn("fits", fits)
+    joined = free.join(F.broadcast(gaps), "pattern")
     running = W.partitionBy("pattern").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    sums = joined.filter("fits").groupBy("pattern", "bucket").agg(F.sum("n").alias("bucket_n")).withColumn("upto", F.sum("bucket_n").over(running))
-    placed = joined.join(sums.select("pattern", "bucket", "upto", (F.col("upto") - F.col("bucket_n")).alias("before")), ["pattern", "bucket"], "left")
-    border = F.coalesce(F.col("fits") & (F.col("before") < F.col("gap")) & (F.col("upto") > F.col("gap")), F.lit(False))
-    inside = W.partitionBy("pattern", "bucket").orderBy("h", "id").rowsBetween(W.unboundedPreceding, W.currentRow)
-    near = placed.filter(border).withColumn("now", (F.col("before") + F.sum("n").over(inside) <= F.col("gap")).cast("int"))
-    rest = placed.filter(~border).withColumn("now", (F.col("fits") & (F.col("upto") <= F.col("gap"))).cast("int"))
-    both = near.unionAll(rest)
-    return both.select("id", "pattern", "n", "h", "bucket", "base", (F.col("chosen") + F.coalesce("now", F.lit(0))).alias("chosen"))
+    sums = joined.groupBy("pattern", "bucket").agg(F.sum("n").alias("bucket_n")).withColumn("upto", F.sum("bucket_n").over(running))
+    placed = joined.join(sums.select("pattern", "bucket", "upto", (F.col("upto") - F.col("bucket_n")).alias("before")), ["pattern", "bucket"])
+    border = (F.col("before") < F.col("gap")) & (F.col("upto") > F.col("gap"))
+    inside = W.partitionBy("pattern", "bucket").orderBy("h", "id", "row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    near = placed.filter(border).withColumn("now", F.col("before") + F.sum("n").over(inside) <= F.col("gap"))
+    rest = placed.filter(~border).withColumn("now", F.col("upto") <= F.col("gap"))
+    return near.unionAll(rest).select("row", "id", "pattern", "n", "h", "bucket", "now")
 
 
 def mix_sources(
@@ -136,21 +135,20 @@ def mix_sources(
     id_col: str = "doc_id",
     size_col: str = "size",
     sources_col: str = "sources",
-    prefixes: int = 3,
-    rounds: int = 4,
 ) -> DataFrame:
     """Add ``taken`` (tokens the mix takes of a document) and the struct ``mixed`` of its pattern.
 
     ``docs`` has an id, a size and an array of source names; ``targets`` maps the total size of
     each source (each document counts in all its sources) to the tokens wanted of it. Documents
-    are taken whole, at most ``passes`` times. The seeded order is walked up to ``prefixes`` times,
-    each time past documents that no longer fit; then up to ``rounds`` further documents per
-    pattern, each the largest that still fits, close the gap to the flow.
+    are taken whole, at most ``passes`` times. The seeded order is walked to the gap between whole
+    passes and the flow, then again past the documents that no longer fit, until none fits: what is
+    missing in the end is less than the pattern's smallest document that is not taken once more.
     """
     spark = docs.sparkSession
     staging = Staging(spark, "mixing")
     order = F.xxhash64(F.lit(seed), F.col(id_col), F.col(size_col))
-    narrow = staging.put(docs.select(F.col(id_col).alias("id"), F.col(size_col).alias("n"), F.to_json(F.array_sort(F.array_distinct(sources_col))).alias("pattern"), F.array_distinct(sources_col).alias("members"), order.alias("h")), "sizes")
+    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(size_col).alias("n"), F.to_json(F.array_sort(F.array_distinct(sources_col))).alias("pattern"), F.array_distinct(sources_col).alias("members"), order.alias("h"))
+    narrow = staging.put(narrow, "sizes")  # written, so that a row's number stays what it is
     rows = narrow.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("n").alias("n"), F.count("*").alias("docs")).orderBy("pattern").limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
@@ -168,40 +166,23 @@ def mix_sources(
         plan.append((r["pattern"], int(base), int(total - base * r["n"]) if base < passes else 0, bits))
     planned = spark.createDataFrame(plan, "pattern string, base bigint, rest bigint, bits int")
     bucket = F.expr("CASE WHEN bits = 0 THEN 0L ELSE shiftrightunsigned(h, 64 - bits) END")
-    work = narrow.drop("members").join(F.broadcast(planned), "pattern")
-    state = staging.put(work.select("id", "pattern", "n", "h", bucket.alias("bucket"), "base", F.lit(0).alias("chosen")), "work")
-    staging.drop(narrow)
-    gaps = {p: rest for p, _, rest, _ in plan}
-    for _ in range(prefixes):
-        still = [(p, int(g)) for p, g in gaps.items() if g > 0]
-        if not still:
-            break
-        following = staging.put(_seeded_prefix(state, spark.createDataFrame(still, "pattern string, gap bigint")), "chosen")
-        staging.drop(state)
-        state = following
-        got = {r["pattern"]: r["n"] for r in state.groupBy("pattern").agg(F.sum(F.col("n") * F.col("chosen")).alias("n")).collect()}
-        left = {p: rest - got.get(p, 0) for p, _, rest, _ in plan}
-        if left == gaps:
-            break
-        gaps = left
-    added: list[tuple[str, int, int]] = []
-    for _ in range(rounds):
-        still = [(p, int(g)) for p, g in gaps.items() if g > 0]
-        if not still:
-            break
-        free = state.filter("chosen = 0 AND n > 0").join(F.broadcast(spark.createDataFrame(still, "pattern string, gap bigint")), "pattern").filter("n <= gap")
-        if added:
-            free = free.join(F.broadcast(spark.createDataFrame(added, "pattern string, id bigint, h bigint")), ["pattern", "id", "h"], "left_anti")
-        best = free.groupBy("pattern").agg(F.max(F.struct("n", "h", "id")).alias("best")).collect()
-        if not best:
-            break
-        for r in best:
-            added.append((r["pattern"], r["best"]["id"], r["best"]["h"]))
-            gaps[r["pattern"]] -= r["best"]["n"]
-        gaps = {r["pattern"]: gaps[r["pattern"]] for r in best}
-    extra = F.broadcast(spark.createDataFrame(added, "pattern string, id bigint, h bigint").withColumn("extra", F.lit(1)))
-    final = state.join(extra, ["pattern", "id", "h"], "left")
-    once = F.greatest("chosen", F.coalesce("extra", F.lit(0)))
+    state = narrow.join(F.broadcast(planned), "pattern").select("row", "id", "pattern", "n", "h", bucket.alias("bucket"), "base")
+    gaps = {p: rest for p, _, rest, _ in plan if rest > 0}
+    fitting = lambda df: df.join(F.broadcast(spark.createDataFrame(sorted(gaps.items()), "pattern string, gap bigint")), "pattern").filter("n > 0 AND n <= gap").select("row", "id", "pattern", "n", "h", "bucket")
+    taken: list[DataFrame] = []
+    free = fitting(state) if gaps else None
+    while free is not None:
+        walked = staging.put(_seeded_prefix(free, spark.createDataFrame(sorted(gaps.items()), "pattern string, gap bigint")), "walk")
+        got = {r["pattern"]: r["got"] for r in walked.filter("now").groupBy("pattern").agg(F.sum("n").alias("got")).collect()}
+        taken.append(walked.filter("now").select("row", F.lit(1).alias("more")))
+        # a pattern of which nothing fitted is done; a walk takes the first that fits of every other
+        gaps = {p: gaps[p] - n for p, n in got.items() if gaps[p] > n}
+        free = fitting(walked.filter("NOT now")) if gaps else None
+    once = F.lit(0)
+    if taken:
+        state = state.join(functools.reduce(DataFrame.unionAll, taken), "row", "left")
+        once = F.coalesce("more", F.lit(0))
+    final = state
     per = spark.createDataFrame([(r["pattern"], int(r["n"]), [(s, float(wanted.get(s, 0.0)), int(sizes[s])) for s in r["members"]]) for r in rows], "pattern string, pattern_size bigint, members array<struct<source:string,target:double,size:bigint>>")
     return final.withColumn("taken", (F.col("n") * (F.col("base") + once)).cast("bigint")).join(F.broadcast(per), "pattern").select(F.col("id").alias(id_col), F.col("n").alias(size_col), "taken", F.struct("pattern_size", "members").alias("mixed"))
 

@@ -8,8 +8,11 @@ Training reads a bounded, documented sample: ``train_docs`` labelled documents i
 up to ``train_passages`` passages spread over each. Scoring reads every passage of every text.
 
 Defined results: a null text counts as empty; an empty text is one empty passage and gets the
-score the model gives that; repeated rows are judged each on its own; without any labelled row
-every score is 0.5; an empty table gives an empty table; labels that are null teach nothing.
+score the model gives that; repeated rows are judged each on its own; of rows that repeat a labelled
+id the least sampled passages and the least label teach; without any labelled row every score is
+0.5; a very long text is scored whole, a stretch of passages at a time, by running sums of the
+attention; equal scores are not ordered; an empty table gives an empty table; labels that are null
+teach nothing; columns other than id, text and label, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from markerloom.llm.language_id import remainder
 
 PASSAGE = 512
 PAIRS = 256
+#: Bytes whose features a task holds at a time: whole passages.
+STRETCH = 1024 * PASSAGE
 
 
 def features(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +83,33 @@ class AttentionBag:
     def score(self, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return self._forward(x, counts)[-1]
 
+    def score_in_stretches(self, data: bytes, stretch: int) -> float:
+        """The score of one text of any length, ``stretch`` bytes (whole passages) of features at a time."""
+        p, top, total, weighted = self.params, -np.inf, 0.0, 0.0
+        for at in range(0, max(1, len(data)), stretch):
+            h = np.tanh(features([data[at : at + stretch]])[0] @ p["W"] + p["b"])
+            e = (np.tanh(h @ p["V"]) * _sigmoid(h @ p["U"])) @ p["w"]
+            before, top = top, max(top, e.max())
+            a, shrink = np.exp(e - top), np.exp(before - top)
+            total, weighted = total * shrink + a.sum(), weighted * shrink + a @ h
+        return float(_sigmoid(weighted / total @ p["o"] + p["c"])[0])
+
+    def gradients(self, x: np.ndarray, counts: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
+        """Of the weighted mean cross entropy of the bags, and the decay of the encoder."""
+        p = self.params
+        bag, first, h, t, g, a, z, s = self._forward(x, counts)
+        d = (s - y) * weight / len(y)
+        grads = {"o": z.T @ d, "c": np.array([d.sum()])}
+        dz = d[:, None] * p["o"]
+        da = (dz[bag] * h).sum(axis=1)
+        de = a * (da - np.add.reduceat(a * da, first)[bag])
+        grads["w"] = (t * g).T @ de
+        dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
+        grads["V"], grads["U"] = h.T @ dt, h.T @ dg
+        dh = (a[:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T) * (1 - h * h)
+        grads["W"], grads["b"] = x.T @ dh + 1e-5 * p["W"], dh.sum(axis=0)
+        return grads
+
     def fit(self, bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.005, seed: int = 4) -> AttentionBag:
         rng = np.random.default_rng(seed)
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.params.items()}
@@ -87,18 +119,7 @@ class AttentionBag:
             for at in range(0, len(order), batch):
                 rows = order[at : at + batch]
                 x, counts = np.concatenate([bags[i] for i in rows]).astype(np.float64), np.array([len(bags[i]) for i in rows])
-                p = self.params
-                bag, first, h, t, g, a, z, s = self._forward(x, counts)
-                d = (s - y[rows]) * weight[rows] / len(rows)
-                grads = {"o": z.T @ d, "c": np.array([d.sum()])}
-                dz = d[:, None] * p["o"]
-                da = (dz[bag] * h).sum(axis=1)
-                de = a * (da - np.add.reduceat(a * da, first)[bag])
-                grads["w"] = (t * g).T @ de
-                dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
-                grads["V"], grads["U"] = h.T @ dt, h.T @ dg
-                dh = (a[:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T) * (1 - h * h)
-                grads["W"], grads["b"] = x.T @ dh + 1e-5 * p["W"], dh.sum(axis=0)
+                p, grads = self.params, self.gradients(x, counts, y[rows], weight[rows])
                 step += 1
                 for k, grad in grads.items():
                     m, v = moments[k]
@@ -116,9 +137,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str, label: str, id_col: str
     """
     size = F.length(F.coalesce(F.col(text), F.lit("")))
     step = lambda i: F.substring(F.coalesce(F.col(text), F.lit("")), (F.floor(F.greatest(size - PASSAGE, F.lit(0)) * (i / (train_passages - 1))) + 1).cast("int"), F.lit(PASSAGE))
-    chosen = hash_sample(labels.filter(F.col(label).isNotNull()).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")), "id", train_docs).dropDuplicates(["id"])
+    chosen = hash_sample(labels.filter(F.col(label).isNotNull()).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")), "id", train_docs).groupBy("id").agg(F.min("y").alias("y"))
     narrow = docs.select(F.col(id_col).alias("id"), F.array_distinct(F.array(*map(step, range(train_passages)))).alias("parts"))
-    rows = narrow.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").collect()
+    rows = narrow.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("parts").alias("parts"), F.min("y").alias("y")).orderBy("id").collect()
     if not rows:
         return None
     bags = [features([part.encode()[:PASSAGE] for part in r["parts"]])[0] for r in rows]
@@ -143,12 +164,16 @@ def score_quality(docs: DataFrame, labels: DataFrame, text: str = "text", label:
         for batch in batches_:
             out: list[np.ndarray] = []
             held, size = [], 0
-            for s in batch.column(1).to_pylist():
-                held.append((s or "").encode())
-                size += len(held[-1])
-                if size >= 1_000_000:
+            for s in batch.column(1):
+                data = (s.as_py() or "").encode()
+                if size + len(data) > STRETCH and held:
                     out.append(model.score(*features(held)))
                     held, size = [], 0
+                if len(data) > STRETCH:
+                    out.append(np.array([model.score_in_stretches(data, STRETCH)]))
+                    continue
+                held.append(data)
+                size += len(data)
             if held:
                 out.append(model.score(*features(held)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())], names=[id_col, "score"])

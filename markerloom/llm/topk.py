@@ -15,7 +15,8 @@ summary row a ring reach the driver; their number is fixed by the parameters.
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do rows without id; shorter
 vectors count as filled up with zeros; an empty vector is all zeros; ties go to the smaller id; a
 query's own row is left out, other rows with the same vector are not; with fewer than k candidates
-all are returned; an empty table gives an empty table; other columns are not read.
+all are returned; rows that repeat an id are one query (of its least vector, and none of them is its
+candidate) but candidates each; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -142,7 +143,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
 
     ranked = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     top = lambda df: df.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
-    queries = indexed.filter("q").select("id", "x")
+    queries = indexed.filter("q").groupBy("id").agg(F.min("x").alias("x"))
     near = staging.put(top(searched(queries.mapInArrow(visits(True), "id bigint, x array<bigint>, floor bigint, shell int"))), "near")
     floors = near.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
     known = queries.join(floors, "id", "left").select("id", "x", F.coalesce("floor", F.lit(np.iinfo(np.int64).min)).alias("floor"))
