@@ -132,31 +132,26 @@ def cigar_blocks(cigar: Column) -> Column:
     before the first match have a block of size 0, adjoining matches are one block. Operations
     other than M, I and D raise.
     """
-    sizes, ops = F.regexp_extract_all(cigar, F.lit(r"(\d+)([A-Za-z=])"), F.lit(1)), F.regexp_extract_all(cigar, F.lit(r"(\d+)([A-Za-z=])"), F.lit(2))
     kind = "struct<size:bigint,dt:bigint,dq:bigint>"
-    zero = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(0).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("dt"), F.lit(0).cast("bigint").alias("dq"))
-
-    def block(acc: Column) -> Column:
-        return F.array(F.struct(acc["size"].alias("size"), acc["dt"].alias("dt"), acc["dq"].alias("dq")))
-
-    def step(acc: Column, x: Column) -> Column:
-        n = x["n"].cast("bigint")
-        gap = (acc["dt"] + acc["dq"]) > 0
-        match = F.struct(F.when(gap, F.concat(acc["done"], block(acc))).otherwise(acc["done"]).alias("done"), F.when(gap, n).otherwise(acc["size"] + n).alias("size"), F.when(gap, F.lit(0).cast("bigint")).otherwise(acc["dt"]).alias("dt"), F.when(gap, F.lit(0).cast("bigint")).otherwise(acc["dq"]).alias("dq"))
-        one = F.struct(acc["done"].alias("done"), acc["size"].alias("size"), (acc["dt"] + n).alias("dt"), acc["dq"].alias("dq"))
-        two = F.struct(acc["done"].alias("done"), acc["size"].alias("size"), acc["dt"].alias("dt"), (acc["dq"] + n).alias("dq"))
-        return F.when(x["op"] == "M", match).when(x["op"] == "I", one).otherwise(two)
-
-    blocks = F.aggregate(F.arrays_zip(sizes.alias("n"), ops.alias("op")), zero, step, lambda acc: F.concat(acc["done"], block(acc)))
-    return F.when(cigar.rlike(r"^(\d+[MID])+$"), blocks).when(cigar.isNotNull(), F.raise_error(F.concat(F.lit("unknown CIGAR: "), F.substring(cigar, 1, 40))).cast(f"array<{kind}>"))
+    # a run of matches with the gaps behind it, or gaps before the first match
+    block = r"((?:\d+M)+)((?:\d+[ID])*)|^((?:\d+[ID])+)"
+    runs = F.regexp_extract_all(cigar, F.lit(block), F.lit(0))
+    total = lambda x, op: F.aggregate(F.regexp_extract_all(x, F.lit(rf"(\d+){op}"), F.lit(1)), F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint"))
+    blocks = F.transform(runs, lambda x: F.struct(total(x, "M").alias("size"), total(x, "I").alias("dt"), total(x, "D").alias("dq")))
+    known = (cigar != "") & (F.regexp_replace(cigar, r"\d+[MID]", "") == "")
+    return F.when(known, blocks).when(cigar.isNotNull(), F.raise_error(F.concat(F.lit("unknown CIGAR: "), F.substring(cigar, 1, 40))).cast(f"array<{kind}>"))
 
 
 def map_distance(fraction: Column, method: str = "kosambi") -> Column:
-    """Centimorgans of a recombination fraction by Kosambi, Haldane or Morgan."""
+    """Centimorgans of a recombination fraction by Kosambi, Haldane or Morgan.
+
+    Unlinked markers (a fraction of 0.5 and more) have no finite distance by the first two: null.
+    """
+    linked = F.when(fraction < 0.5, fraction)
     if method == "kosambi":
-        return F.lit(25.0) * F.ln((1 + 2 * fraction) / (1 - 2 * fraction))
+        return F.lit(25.0) * F.ln((1 + 2 * linked) / (1 - 2 * linked))
     if method == "haldane":
-        return F.lit(-50.0) * F.ln(1 - 2 * fraction)
+        return F.lit(-50.0) * F.ln(1 - 2 * linked)
     if method == "morgan":
         return F.lit(100.0) * fraction
     raise ValueError(method)

@@ -55,6 +55,7 @@ def normalise_proximity(prox: DataFrame, mode: str = "max") -> DataFrame:
 
     ``max``: 200 / mean where both sums are at most half the mean, else 100 / larger sum.
     ``min``: 100 / mean where either sum is at most the mean, else 100 / smaller sum.
+    A divisor of zero, as where no bin has weight with itself, gives null.
     """
     diagonal = _diagonal(prox)
     mean = F.broadcast(diagonal.agg(F.avg("s").alias("mean")).withColumn("one", F.lit(1)))
@@ -62,9 +63,9 @@ def normalise_proximity(prox: DataFrame, mode: str = "max") -> DataFrame:
     joined = prox.join(side(1), ["contig1", "pos1"], "left").join(side(2), ["contig2", "pos2"], "left").withColumn("one", F.lit(1)).join(mean, "one")
     s1, s2, avg = F.coalesce("s1", F.lit(0)), F.coalesce("s2", F.lit(0)), F.col("mean")
     if mode == "max":
-        factor = F.when((s1 <= avg / 2) & (s2 <= avg / 2), F.lit(200.0) / avg).otherwise(F.lit(100.0) / F.greatest(s1, s2, F.lit(1)))
+        factor = F.when((s1 <= avg / 2) & (s2 <= avg / 2), F.try_divide(F.lit(200.0), avg)).otherwise(F.try_divide(F.lit(100.0), F.greatest(s1, s2)))
     elif mode == "min":
-        factor = F.when((s1 <= avg) | (s2 <= avg), F.lit(100.0) / avg).otherwise(F.lit(100.0) / F.greatest(F.least(s1, s2), F.lit(1)))
+        factor = F.when((s1 <= avg) | (s2 <= avg), F.try_divide(F.lit(100.0), avg)).otherwise(F.try_divide(F.lit(100.0), F.least(s1, s2)))
     else:
         raise ValueError(mode)
     return joined.select("contig1", "pos1", "contig2", "pos2", (F.col("weight") * factor).alias("weight"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -9,47 +12,69 @@ from pyspark.sql import functions as F
 
 from markerloom.functions.scalars import bed_key, to_bin
 from markerloom.operators.aggregates import assign_by_margin
+from markerloom.operators.components import connected_components
+from markerloom.operators.numbering import with_row_number
 from markerloom.plans.staging import Staging
 
 
-def _rounds(rows: DataFrame, a: str, b: str, decide, max_rounds: int) -> DataFrame:
-    """Rows accepted one after another by ``id``, each seeing which ends earlier rows have blocked.
+#: Rounds over the whole table before what is left is looked at component by component.
+_SPREAD_ROUNDS = 8
+
+
+def _in_turn(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows of one component that are accepted, taken one after another by their number."""
+    taken, kept = set(), []
+    rows = rows.sort_values("turn")
+    for k, (a, b, take) in enumerate(zip(rows["a"], rows["b"], rows["take"], strict=True)):
+        if a not in taken and b not in taken:
+            taken.add(take)
+            kept.append(k)
+    return rows.iloc[kept][["turn"]]
+
 
-    A row's fate depends only on earlier rows that share an end with it, so in each round every
-    row that is the first undecided one at both of its ends is decided. ``decide`` adds a string
-    column ``flagged`` (the end that the row blocks, or null) from ``a_blocked`` and ``b_blocked``.
+def _accepted(rows: DataFrame, component_rows: int) -> DataFrame:
+    """``turn`` of the rows (turn, a, b, take) accepted one after another by ``turn``.
+
+    A row is accepted if no earlier one has taken either of its ends; it then takes its end
+    ``take``. A row that is the first of all at both of its ends depends on no other, so each round
+    accepts all of these and drops every row that meets an end they take. A long chain of dependent
+    rows would need as many rounds; after some rounds the components of what is left are small, and
+    those of up to ``component_rows`` rows are walked in order, each in a task. Larger ones go on
+    in rounds, which end because every round accepts the first row left.
     """
     staging = Staging(rows.sparkSession, "greedy")
-    left = staging.put(rows, "left")
-    done, blocked = None, None
-    for _ in range(max_rounds):
-        if blocked is not None:
-            known = blocked.select(F.col("end").alias(a), F.lit(True).alias("a_blocked"))
-            other = blocked.select(F.col("end").alias(b), F.lit(True).alias("b_blocked"))
-            seen = left.join(known, a, "left").join(other, b, "left")
+    left = staging.put(rows.select("turn", "a", "b", "take"), "left")
+    parts: list[DataFrame] = []
+    count = 0
+    while not left.isEmpty():
+        count += 1
+        if count % _SPREAD_ROUNDS == 0:
+            named = left.join(connected_components(left, "a", "b"), F.col("a") == F.col("node")).drop("node")
+            named = staging.put(named, "named")
+            small = named.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") <= component_rows).select("component")
+            walked = named.join(small, "component", "left_semi").groupBy("component").applyInPandas(_in_turn, rows.select("turn").schema)
+            parts.append(staging.put(walked, "walked"))
+            following = staging.put(named.join(small, "component", "left_anti").drop("component"), "left")
+            staging.drop(named)
         else:
-            seen = left.withColumn("a_blocked", F.lit(None).cast("boolean")).withColumn("b_blocked", F.lit(None).cast("boolean"))
-        seen = seen.withColumn("a_blocked", F.coalesce("a_blocked", F.lit(False))).withColumn("b_blocked", F.coalesce("b_blocked", F.lit(False)))
-        ends = left.select(F.col(a).alias("end"), "id").unionAll(left.select(F.col(b), "id"))
-        least = ends.groupBy("end").agg(F.min("id").alias("least"))
-        ready = seen.join(least.select(F.col("end").alias(a), F.col("least").alias("la")), a).join(least.select(F.col("end").alias(b), F.col("least").alias("lb")), b)
-        judged = staging.put(decide(ready.withColumn("ready", (F.col("id") == F.col("la")) & (F.col("id") == F.col("lb"))).drop("la", "lb")), "round")
-        now = judged.filter("ready")
-        done = now if done is None else done.unionAll(now)
-        fresh = now.filter("flagged IS NOT NULL").select(F.col("flagged").alias("end"))
-        blocked = fresh if blocked is None else blocked.unionAll(fresh).distinct()
-        blocked = staging.put(blocked, "blocked")
-        left = staging.put(judged.filter("NOT ready").select(*rows.columns), "left")
-        # a row with a blocked end can flag nothing any more
-        spent = blocked.select(F.col("end"))
-        left = left.join(spent.withColumnRenamed("end", a).withColumn("xa", F.lit(1)), a, "left").join(spent.withColumnRenamed("end", b).withColumn("xb", F.lit(1)), b, "left")
-        left = staging.put(left.filter("xa IS NULL AND xb IS NULL").select(*rows.columns), "left")
-        if left.isEmpty():
-            return done
-    raise RuntimeError(f"undecided rows after {max_rounds} rounds")
-
-
-def full_haplotypes(chains: DataFrame, min_score: float = 50, max_gap: int = 10000, max_rounds: int = 200) -> DataFrame:
+            least = left.select(F.col("a").alias("end"), "turn").unionAll(left.select("b", "turn")).groupBy("end").agg(F.min("turn").alias("least"))
+            at = lambda end, name: least.select(F.col("end").alias(end), F.col("least").alias(name))
+            judged = staging.put(left.join(at("a", "la"), "a").join(at("b", "lb"), "b").withColumn("first", (F.col("turn") == F.col("la")) & (F.col("turn") == F.col("lb"))).select("turn", "a", "b", "take", "first"), "judged")
+            parts.append(staging.put(judged.filter("first").select("turn"), "accepted"))
+            taken = judged.filter("first").select("take")
+            free = judged.filter("NOT first").drop("first")
+            for end in ("a", "b"):
+                free = free.join(taken.select(F.col("take").alias(end)).distinct(), end, "left_anti")
+            following = staging.put(free.select("turn", "a", "b", "take"), "left")
+            staging.drop(judged)
+        staging.drop(left)
+        left = following
+    if not parts:
+        return rows.select("turn").limit(0)
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
+def full_haplotypes(chains: DataFrame, min_score: float = 50, max_gap: int = 10000, component_rows: int = 500_000) -> DataFrame:
     """Contigs that another one covers: score of ``min_score`` per base and few bases unaligned.
 
     Chains are judged in ``id`` order; a contig already taken blocks later chains of either side.
@@ -57,14 +82,10 @@ def full_haplotypes(chains: DataFrame, min_score: float = 50, max_gap: int = 100
     """
     gap_t, gap_q = F.col("tsize") - (F.col("tend") - F.col("tstart")), F.col("qsize") - (F.col("qend") - F.col("qstart"))
     fit_t, fit_q = (F.col("score") >= min_score * F.col("tsize")) & (gap_t <= max_gap), (F.col("score") >= min_score * F.col("qsize")) & (gap_q <= max_gap)
-    rows = chains.filter("tname <> qname").withColumn("gap_t", gap_t).withColumn("gap_q", gap_q).withColumn("fit_t", fit_t).withColumn("fit_q", fit_q).filter("fit_t OR fit_q")
-
-    def decide(df: DataFrame) -> DataFrame:
-        free = ~F.col("a_blocked") & ~F.col("b_blocked")
-        target = F.col("fit_t") & (~F.col("fit_q") | (F.col("gap_t") <= F.col("gap_q")))
-        return df.withColumn("flagged", F.when(free & target, F.col("tname")).when(free, F.col("qname"))).drop("a_blocked", "b_blocked")
-
-    done = _rounds(rows, "tname", "qname", decide, max_rounds).filter("flagged IS NOT NULL")
+    take = F.when(fit_t & (~fit_q | (gap_t <= gap_q)), F.col("tname")).otherwise(F.col("qname"))
+    rows = chains.filter("tname <> qname").filter(fit_t | fit_q).withColumn("flagged", take)
+    accepted = _accepted(rows.select(F.col("id").alias("turn"), F.col("tname").alias("a"), F.col("qname").alias("b"), F.col("flagged").alias("take")), component_rows)
+    done = rows.join(accepted.select(F.col("turn").alias("id")), "id", "left_semi")
     minus, is_t = F.col("qstrand") == "-", F.col("flagged") == F.col("tname")
     flip = lambda size, lo, hi: (F.when(minus, F.col(size) - F.col(hi)).otherwise(F.col(lo)), F.when(minus, F.col(size) - F.col(lo)).otherwise(F.col(hi)))
     (q_lo, q_hi), (t_lo, t_hi) = flip("qsize", "qstart", "qend"), (F.col("tstart"), F.col("tend"))
@@ -75,17 +96,16 @@ def full_haplotypes(chains: DataFrame, min_score: float = 50, max_gap: int = 100
     )
 
 
-def scored_haplotypes(records: DataFrame, limit: int = 2000, max_rounds: int = 200) -> DataFrame:
-    """Records with score >= (length - limit) / limit, best first, unless their partner is taken."""
+def scored_haplotypes(records: DataFrame, limit: int = 2000, component_rows: int = 500_000) -> DataFrame:
+    """Records with score >= (length - limit) / limit, best first, unless their partner is taken.
+
+    Of one piece's records the best counts; ties go by contig, partner and start.
+    """
     order = W.partitionBy("contig", "start", "end").orderBy(F.desc("score"), "partner")
     best = records.filter(F.col("score") >= (F.col("end") - F.col("start") + 1 - limit) / limit).withColumn("rn", F.row_number().over(order)).filter("rn = 1").drop("rn")
-    # scores order the rounds; an integer that sorts like (score desc, contig, partner) serves as id
-    rows = best.withColumn("id", F.struct((-F.col("score")).alias("s"), F.col("contig").alias("c"), F.col("partner").alias("p"), F.col("start").alias("b")))
-
-    def decide(df: DataFrame) -> DataFrame:
-        return df.withColumn("flagged", F.when(~F.col("a_blocked") & ~F.col("b_blocked"), F.col("contig"))).drop("a_blocked", "b_blocked")
-
-    return _rounds(rows, "contig", "partner", decide, max_rounds).filter("flagged IS NOT NULL").select(*records.columns)
+    numbered = with_row_number(best, ["-score", "contig", "partner", "start", "end"], "turn")
+    accepted = _accepted(numbered.select("turn", F.col("contig").alias("a"), F.col("partner").alias("b"), F.col("contig").alias("take")), component_rows)
+    return numbered.join(accepted, "turn", "left_semi").select(*records.columns)
 
 
 def remove_haplotypes(bed: DataFrame, haplotypes: DataFrame) -> DataFrame:
@@ -141,16 +161,19 @@ def _pass(la: DataFrame, score_diff: float, bridge: bool) -> DataFrame:
 def propagate(la: DataFrame, score_diff: float = 2, max_rounds: int | None = None, bridge: bool = False) -> DataFrame:
     """Settle pieces that lie in several chromosomes, pass after pass until nothing changes.
 
-    ``max_rounds`` of 1 is a single pass, which is a plain query.
+    A pass only drops rows and nulls links, so the passes come to an end. ``max_rounds`` asks for so
+    many passes at most; with 1 it is a plain query.
     """
     if max_rounds == 1:
         return _pass(la, score_diff, bridge)
     staging = Staging(la.sparkSession, "propagate")
     mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)"))).first()
     current = staging.put(la, "pass")
-    before = mark(current)
-    for _ in range(max_rounds or 100):
-        current = staging.put(_pass(current, score_diff, bridge), "pass")
+    before, passes = mark(current), 0
+    while max_rounds is None or passes < max_rounds:
+        following = staging.put(_pass(current, score_diff, bridge), "pass")
+        staging.drop(current)
+        current, passes = following, passes + 1
         after = mark(current)
         if after == before:
             break
@@ -174,7 +197,7 @@ def link_scores(links: DataFrame) -> DataFrame:
     return per_file.groupBy("contig1", "o1", "contig2", "o2").agg(F.max("score").alias("score"))
 
 
-def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2, max_rounds: int = 200) -> DataFrame:
+def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2) -> DataFrame:
     """``(contig, chr)``: chromosomes of contigs spread along links.
 
     Contigs placed in one chromosome seed; ambiguous ones are settled by their own scores; then,
@@ -202,7 +225,8 @@ def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2, max_
         return free.groupBy("contig", "chr", "end").agg(F.max("score").alias("score")).groupBy("contig", "chr").agg(F.sum("score").alias("score"))
 
     near = staging.put(ends.select("x", "y").distinct(), "near")
-    for _ in range(max_rounds):
+    # the unplaced contig with the greatest lead is placed in every round, so the rounds come to an end
+    while True:
         order = W.partitionBy("contig").orderBy(F.desc("score"), F.desc("chr"))
         lead = scored(placed).withColumn("lead", F.col("score") - F.coalesce(F.lead("score").over(order), F.lit(0.0))).withColumn("rn", F.row_number().over(order)).filter("rn = 1")
         lead = staging.put(lead.filter(F.col("lead") >= score_diff).select("contig", "chr", "lead"), "lead")
@@ -210,11 +234,14 @@ def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2, max_
             break
         beside = near.join(lead.select(F.col("contig").alias("y"), F.col("lead").alias("other")), "y").groupBy(F.col("x").alias("contig")).agg(F.max("other").alias("other"))
         now = lead.join(beside, "contig", "left").filter(F.col("other").isNull() | (F.col("lead") >= F.col("other")))
-        placed = staging.put(placed.unionAll(now.select("contig", "chr")), "placed")
+        following = staging.put(placed.unionAll(now.select("contig", "chr")), "placed")
+        staging.drop(lead)
+        staging.drop(placed)
+        placed = following
     spread = staging.put(scored(placed).filter(F.col("score") >= score_diff).select("contig", "chr"), "spread")
     front = spread
     both = staging.put(ends.groupBy("x", "y").agg(F.sum("score").alias("score")).filter(F.col("score") >= score_diff).select("x", "y"), "both")
-    for _ in range(max_rounds):
+    while True:
         known = placed.select("contig").unionAll(spread.select("contig")).distinct()
         front = both.join(front.select(F.col("contig").alias("y"), "chr"), "y").select(F.col("x").alias("contig"), "chr").join(known, "contig", "left_anti").distinct()
         front = staging.put(front, "front")
@@ -241,56 +268,80 @@ def ld_dedupe(links: DataFrame, window: int = 10000) -> DataFrame:
 _ROW = "qname string, qlen bigint, qstart bigint, qend bigint, strand string, tname string, tlen bigint, tstart bigint, tend bigint, mapq bigint, as_score bigint, cigar string, chained int"
 
 
-def _join_cigars(rows: list, trims: list[int]) -> str:
-    text = rows[0].cigar
-    for before, row, trim in zip(rows, rows[1:], trims[1:], strict=False):
-        gap1 = row.qstart - before.qend + trim
-        gap2 = (row.tstart - before.tend if row.strand == "+" else before.tstart - row.tend) + trim
-        first = int(row.cigar.split("M")[0])
-        text += (f"{gap1}I" if gap1 > 0 else "") + (f"{gap2}D" if gap2 > 0 else "") + (f"{first - trim}M{row.cigar.split('M', 1)[1]}" if trim else row.cigar)
-    return text
+def _link_costs(part: dict[str, np.ndarray], j: int, gap_open: int, gap_penalty: int, best: float) -> tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Later parts that part ``j`` may lead to: (slice, allowed, cut, price on the query, price in all).
+
+    Parts come by start on the query. Once the gap there alone costs more than ``best`` no later one
+    can follow. An overlap is cut off the later part's first match, which must be long enough.
+    """
+    reach = part["qend"][j] + (max(0.0, best + gap_open) / -gap_penalty if gap_penalty else np.inf)
+    s = slice(j + 1, int(np.searchsorted(part["qstart"], reach, side="right")) if np.isfinite(reach) else len(part["qstart"]))
+    on_q = part["qstart"][s] - part["qend"][j]
+    on_t = part["tstart"][s] - part["tend"][j] if part["forward"] else part["tstart"][j] - part["tend"][s]
+    cut = np.maximum(0, np.maximum(-on_q, -on_t))
+    price = lambda gap: np.where(gap > 0, gap_open + gap_penalty * gap, 0)
+    first = price(on_q + cut)
+    return s, cut <= part["head"][s], cut, first, first + price(on_t + cut) - cut * part["density"][s]
+
+
+def _best_chains(part: dict[str, np.ndarray], gap_open: int, gap_penalty: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score of the best chain that ends in each part, the part before it (or itself), and its cut."""
+    n = len(part["score"])
+    best, before, cuts = part["score"].astype(float), np.arange(n), np.zeros(n, np.int64)
+    for j in range(n - 1):
+        s, allowed, cut, first, price = _link_costs(part, j, gap_open, gap_penalty, best[j])
+        # the first part that the chain cannot pay for ends the search
+        spent = np.flatnonzero(allowed & (best[j] + first <= 0))
+        if len(spent):
+            s, allowed, cut, price = slice(s.start, s.start + int(spent[0])), allowed[: spent[0]], cut[: spent[0]], price[: spent[0]]
+        total = best[j] + part["score"][s] + price
+        better = np.flatnonzero(allowed & (total > best[s]))
+        best[s.start + better], before[s.start + better], cuts[s.start + better] = total[better], j, cut[better]
+    return best, before, cuts
+
+
+def _merged(rows: pd.DataFrame, cuts: np.ndarray, score: float) -> tuple:
+    """One alignment row of the parts of a chain; gaps between them become insertions and deletions."""
+    first, last, forward = rows.iloc[0], rows.iloc[-1], rows["strand"].iloc[0] == "+"
+    q_gap = rows["qstart"].to_numpy()[1:] - rows["qend"].to_numpy()[:-1] + cuts[1:]
+    t_gap = (rows["tstart"].to_numpy()[1:] - rows["tend"].to_numpy()[:-1] if forward else rows["tstart"].to_numpy()[:-1] - rows["tend"].to_numpy()[1:]) + cuts[1:]
+    text = [first["cigar"]]
+    for cigar, ins, dele, cut in zip(rows["cigar"].tolist()[1:], q_gap.tolist(), t_gap.tolist(), cuts[1:].tolist(), strict=True):
+        head, _, tail = cigar.partition("M")
+        text += [f"{ins}I" if ins > 0 else "", f"{dele}D" if dele > 0 else "", f"{int(head) - cut}M{tail}" if cut else cigar]
+    lo, hi = (first["tstart"], last["tend"]) if forward else (last["tstart"], first["tend"])
+    return (first["qname"], first["qlen"], first["qstart"], last["qend"], first["strand"], first["tname"], first["tlen"], lo, hi, 0, int(score), "".join(text), len(rows))
 
 
 def _chain_group(rows: pd.DataFrame, gap_open: int, gap_penalty: int) -> pd.DataFrame:
-    """Best chains of one query, target and strand, taken off until no chain of two is left."""
-    items = list(rows.sort_values(["qstart", "qend", "tstart", "tend", "as_score"]).itertuples(index=False))
-    out = [tuple(r)[:12] + (1,) for r in items]
-    cost = lambda end, start: 0 if start >= end else gap_open + gap_penalty * (end - start)
-    while len(items) > 1:
-        best, came, trim = [float(r.as_score) for r in items], list(range(len(items))), [0] * len(items)
-        for j, a in enumerate(items):
-            for k in range(j + 1, len(items)):
-                b = items[k]
-                gap1, gap2 = b.qstart - a.qend, (b.tstart - a.tend if a.strand == "+" else a.tstart - b.tend)
-                over = max(-gap1, -gap2)
-                if over > 0 and over > int(b.cigar.split("M")[0] if b.cigar.split("M")[0].isdigit() else 0):
-                    continue
-                shift = max(over, 0)
-                one, two = cost(gap1 + shift, 0), cost(gap2 + shift, 0)
-                if over > 0:
-                    two -= b.as_score * over / min(b.tend - b.tstart, b.qend - b.qstart)
-                if best[j] + one <= 0:
-                    break
-                total = best[j] + b.as_score + one + two
-                if total > best[k]:
-                    best[k], came[k], trim[k] = total, j, shift
-        gone: set[int] = set()
-        while len(gone) < len(items):
-            top = max((k for k in range(len(items)) if k not in gone), key=lambda k: (best[k], -k))
-            path = [top]
-            while came[path[-1]] != path[-1]:
-                path.append(came[path[-1]])
-            if gone.intersection(path):
+    """A segment's alignments and its chains, the best taken off first.
+
+    As soon as the next best chain shares a part with one taken off, chains are sought anew among
+    the parts that are left.
+    """
+    rows = rows.drop(columns="segment").sort_values(["qstart", "qend", "tstart", "tend", "as_score"], ignore_index=True)
+    head = rows["cigar"].str.extract(r"^(\d+)M", expand=False).fillna("0").astype("int64").to_numpy()
+    shorter = np.minimum(rows["tend"] - rows["tstart"], rows["qend"] - rows["qstart"]).to_numpy()
+    part = {c: rows[c].to_numpy() for c in ("qstart", "qend", "tstart", "tend")} | {"score": rows["as_score"].to_numpy(), "head": head, "density": rows["as_score"].to_numpy() / np.maximum(shorter, 1)}
+    left, chains = np.arange(len(rows)), []
+    while len(left) > 1:
+        best, before, cuts = _best_chains({c: v[left] for c, v in part.items()} | {"forward": rows["strand"].iloc[0] == "+"}, gap_open, gap_penalty)
+        used = np.zeros(len(left), bool)
+        for top in np.lexsort((np.arange(len(left)), -best)):
+            if used[top]:
+                continue
+            path = [int(top)]
+            while before[path[-1]] != path[-1]:
+                path.append(int(before[path[-1]]))
+            if used[path].any():
                 break
-            gone.update(path)
+            used[path] = True
             if len(path) > 1:
-                path.reverse()
-                held = [items[k] for k in path]
-                first, last = held[0], held[-1]
-                lo, hi = (first.tstart, last.tend) if first.strand == "+" else (last.tstart, first.tend)
-                out.append((first.qname, first.qlen, first.qstart, last.qend, first.strand, first.tname, first.tlen, lo, hi, 0, int(best[top]), _join_cigars(held, [trim[k] for k in path]), len(path)))
-        items = [r for k, r in enumerate(items) if k not in gone]
-    return pd.DataFrame(out, columns=[c.split()[0] for c in _ROW.split(", ")])
+                path = path[::-1]
+                chains.append(_merged(rows.iloc[left[path]], cuts[path], best[top]))
+        left = left[~used]
+    merged = pd.DataFrame(chains, columns=[c.split()[0] for c in _ROW.split(", ")])
+    return pd.concat([rows.assign(chained=1), merged], ignore_index=True) if chains else rows.assign(chained=1)
 
 
 def chain_paf(paf: DataFrame, gap_open: int = -12, gap_penalty: int = -1) -> DataFrame:
@@ -299,11 +350,19 @@ def chain_paf(paf: DataFrame, gap_open: int = -12, gap_penalty: int = -1) -> Dat
     A chain's score is the sum of its parts less gap costs; an overlap is cut off the first match
     of the later part at the price of its share of score. ``chained`` counts a row's parts. Rows
     without a positive score are dropped; without a CIGAR a row counts as one match.
+
+    Alignments of one query, target and strand are cut into segments wherever the gap on the query
+    costs more than all that precedes it scores, which no chain can pay for.
     """
     whole = F.concat(F.least(F.col("qend") - F.col("qstart"), F.col("tend") - F.col("tstart")).cast("string"), F.lit("M"))
     cigar = F.coalesce("cigar", whole) if "cigar" in paf.columns else whole
     rows = paf.filter("as_score > 0").withColumn("cigar", cigar).select(*[c.split()[0] for c in _ROW.split(", ")[:12]])
-    counted = rows.withColumn("peers", F.count("*").over(W.partitionBy("qname", "tname", "strand")))
-    alone = counted.filter("peers = 1").drop("peers").withColumn("chained", F.lit(1))
+    along = W.partitionBy("qname", "tname", "strand").orderBy("qstart", "qend", "tstart", "tend", "as_score")
+    earlier = along.rowsBetween(W.unboundedPreceding, -1)
+    gap = F.col("qstart") - F.max("qend").over(earlier)
+    apart = F.coalesce((gap > 0) & (F.sum("as_score").over(earlier) + gap_open + gap_penalty * gap <= 0), F.lit(False))
+    cut = rows.withColumn("apart", apart.cast("int")).withColumn("segment", F.sum("apart").over(along.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("apart")
+    counted = cut.withColumn("peers", F.count("*").over(W.partitionBy("qname", "tname", "strand", "segment")))
+    alone = counted.filter("peers = 1").drop("peers", "segment").withColumn("chained", F.lit(1))
     several = counted.filter("peers > 1").drop("peers")
-    return alone.unionAll(several.groupBy("qname", "tname", "strand").applyInPandas(lambda g: _chain_group(g, gap_open, gap_penalty), _ROW))
+    return alone.unionAll(several.groupBy("qname", "tname", "strand", "segment").applyInPandas(lambda g: _chain_group(g, gap_open, gap_penalty), _ROW))

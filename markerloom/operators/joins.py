@@ -28,20 +28,36 @@ def to_allmaps(markers: DataFrame, mode: str = "average") -> DataFrame | tuple[D
     return markers.select(*base, F.col("male_cm").alias("cm")), markers.select(*base, F.col("female_cm").alias("cm"))
 
 
+def _first_cover(pieces: DataFrame, key: str, lo: str, hi: str, rank: list) -> DataFrame:
+    """Stretches of each key that pieces cover, with the first piece by ``rank`` of each.
+
+    Returns ``s_key``, ``s_bin``, ``s_lo``, ``s_hi`` and the struct ``s_piece``. Pieces are cut at
+    bins, and inside a bin at each other's ends; no two stretches meet, so a point lies in one at
+    most.
+    """
+    kept = pieces.filter(F.col(lo) <= F.col(hi)).withColumn("s_bin", F.explode(F.sequence(F.floor(F.col(lo) / BIN), F.floor(F.col(hi) / BIN))))
+    held = kept.select(F.col(key).alias("s_key"), "s_bin", F.greatest(F.col(lo), F.col("s_bin") * BIN).alias("c_lo"), F.least(F.col(hi), F.col("s_bin") * BIN + (BIN - 1)).alias("c_hi"), F.struct(*pieces.columns).alias("s_piece"), F.struct(*rank).alias("rank"))
+    edges = held.select("s_key", "s_bin", F.col("c_lo").alias("s_lo")).unionAll(held.select("s_key", "s_bin", F.col("c_hi") + 1)).distinct()
+    after = W.partitionBy("s_key", "s_bin").orderBy("s_lo")
+    stretches = edges.withColumn("s_hi", F.lead("s_lo").over(after) - 1).filter("s_hi IS NOT NULL")
+    covered = stretches.join(held, ["s_key", "s_bin"]).filter("c_lo <= s_lo AND s_hi <= c_hi")
+    return covered.groupBy("s_key", "s_bin", "s_lo", "s_hi").agg(F.min_by("s_piece", "rank").alias("s_piece"))
+
+
 def _pieces(agp: DataFrame, inverse: bool) -> DataFrame:
     w = agp.filter("ctype = 'W'")
     names = ("obj", "obj_beg", "obj_end", "contig", "contig_beg", "contig_end") if inverse else ("contig", "contig_beg", "contig_end", "obj", "obj_beg", "obj_end")
     key, lo, hi, name, to_lo, to_hi = names
-    out = w.select(F.col(key).alias("a_key"), F.col(lo).cast("bigint").alias("a_lo"), F.col(hi).cast("bigint").alias("a_hi"), F.col(name).alias("a_to"), F.col(to_lo).cast("bigint").alias("b_lo"), F.col(to_hi).cast("bigint").alias("b_hi"), F.col("orientation").alias("a_or"), *([F.col("line").alias("a_line")] if "line" in agp.columns else [F.struct("obj", "obj_beg").alias("a_line")]))
-    return out.withColumn("a_bin", F.explode(F.sequence(F.floor(F.col("a_lo") / BIN), F.floor(F.col("a_hi") / BIN))))
+    line = F.col("line") if "line" in agp.columns else F.struct("obj", "obj_beg")
+    out = w.select(F.col(key).alias("a_key"), F.col(lo).cast("bigint").alias("a_lo"), F.col(hi).cast("bigint").alias("a_hi"), F.col(name).alias("a_to"), F.col(to_lo).cast("bigint").alias("b_lo"), F.col(to_hi).cast("bigint").alias("b_hi"), F.col("orientation").alias("a_or"), line.alias("a_line"))
+    return _first_cover(out, "a_key", "a_lo", "a_hi", ["a_line", "a_lo", "b_lo"])
 
 
 def _placed(points: DataFrame, agp: DataFrame, inverse: bool, contig: str, pos: str) -> DataFrame:
     """Points with their first covering piece (or nulls), each point once."""
-    keyed = points.withColumn("p_id", F.monotonically_increasing_id()).withColumn("p_bin", F.floor(F.col(pos) / BIN))
-    hit = (F.col(contig) == F.col("a_key")) & (F.col("p_bin") == F.col("a_bin")) & F.col(pos).between(F.col("a_lo"), F.col("a_hi"))
-    first = W.partitionBy("p_id").orderBy(F.col("a_line").asc_nulls_last())
-    return keyed.join(_pieces(agp, inverse), hit, "left").withColumn("rn", F.row_number().over(first)).filter("rn = 1").drop("rn", "p_bin", "a_bin", "a_key", "p_id", "a_line")
+    hit = (F.col(contig) == F.col("s_key")) & (F.floor(F.col(pos) / BIN) == F.col("s_bin")) & F.col(pos).between(F.col("s_lo"), F.col("s_hi"))
+    piece = [F.col(f"s_piece.{c}").alias(c) for c in ("a_lo", "a_hi", "a_to", "b_lo", "b_hi", "a_or")]
+    return points.join(_pieces(agp, inverse), hit, "left").select(*points.columns, *piece)
 
 
 def liftover(points: DataFrame, agp: DataFrame, inverse: bool = False, contig: str = "contig", pos: str = "pos") -> DataFrame:
@@ -139,8 +155,13 @@ def longread_links(paf: DataFrame, q: int = 1) -> DataFrame:
 
 
 def umi_proximity(umis: DataFrame, bin_size: int = 10000, min_d: int = 2) -> DataFrame:
-    """Pairs of contig bins and the number of barcodes that both hold, ``min_d`` at least."""
-    held = umis.select("contig", to_bin(F.col("pos"), bin_size).alias("bin"), "umi").distinct()
+    """Pairs of contig bins and the number of barcodes that both hold, ``min_d`` at least.
+
+    The pairs are the result, so they grow with the square of the bins that one barcode holds; a
+    barcode is one molecule and holds few. Bins are told apart before the join, so a barcode read
+    many times in one bin counts once.
+    """
+    held = umis.filter(F.col("umi").isNotNull()).select("contig", to_bin(F.col("pos"), bin_size).alias("bin"), "umi").distinct()
     a, b = held.select("umi", F.col("contig").alias("contig1"), F.col("bin").alias("bin1")), held.select("umi", F.col("contig").alias("contig2"), F.col("bin").alias("bin2"))
     pairs = a.join(b, "umi").filter(F.struct("contig1", "bin1") < F.struct("contig2", "bin2"))
     counted = pairs.groupBy("contig1", "bin1", "contig2", "bin2").agg(F.count("*").alias("n")).filter(F.col("n") >= min_d)
@@ -173,15 +194,14 @@ def liftover_chain(points: DataFrame, chains: DataFrame, contig: str = "contig",
     """
     span = F.array(F.struct((F.col("tend") - F.col("tstart")).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("dt"), F.lit(0).cast("bigint").alias("dq")))
     blocks = F.col("blocks") if "blocks" in chains.columns else span
-    kind = "array<struct<t:bigint,q:bigint,size:bigint>>"
-    zero = F.struct(F.col("tstart").cast("bigint").alias("t"), F.col("qstart").cast("bigint").alias("q"), F.array().cast(kind).alias("out"))
-    step = lambda acc, b: F.struct((acc["t"] + b["size"] + b["dt"]).alias("t"), (acc["q"] + b["size"] + b["dq"]).alias("q"), F.concat(acc["out"], F.array(F.struct(acc["t"].alias("t"), acc["q"].alias("q"), b["size"].alias("size")))).alias("out"))
-    parts = chains.select("id", "score", "tname", "qname", "qsize", "qstrand", F.explode(F.aggregate(blocks, zero, step, lambda acc: acc["out"])).alias("b"))
-    parts = parts.filter("b.size > 0").withColumn("bin", F.explode(F.sequence(F.floor(F.col("b.t") / BIN), F.floor((F.col("b.t") + F.col("b.size") - 1) / BIN))))
-    keyed = points.withColumn("p_id", F.monotonically_increasing_id()).withColumn("p_bin", F.floor((F.col(pos) - 1) / BIN))
-    at = F.col(pos) - 1 - F.col("b.t")
-    hit = (F.col(contig) == F.col("tname")) & (F.col("p_bin") == F.col("bin")) & (at >= 0) & (at < F.col("b.size"))
-    best = W.partitionBy("p_id").orderBy(F.desc("score"), "id", "b.t")
-    to = F.col("b.q") + at
-    placed = keyed.join(parts, hit).withColumn("rn", F.row_number().over(best)).filter("rn = 1")
-    return placed.select(*points.columns, F.col("qname").alias("lifted_name"), F.when(F.col("qstrand") == "-", F.col("qsize") - to).otherwise(to + 1).cast("bigint").alias("lifted_pos"))
+    head = ["id", "score", "tname", "tstart", "qname", "qsize", "qstrand", "qstart"]
+    each = chains.select(*head, F.posexplode(blocks).alias("no", "b"))
+    earlier = W.partitionBy(*head).orderBy("no").rowsBetween(W.unboundedPreceding, -1)
+    moved = lambda start, gap: F.col(start) + F.coalesce(F.sum(F.col("b.size") + F.col(f"b.{gap}")).over(earlier), F.lit(0))
+    placed = each.withColumn("lo", (moved("tstart", "dt") + 1).cast("bigint")).withColumn("q", moved("qstart", "dq").cast("bigint"))
+    parts = placed.withColumn("hi", F.col("lo") + F.col("b.size") - 1).select("tname", "lo", "hi", "score", "id", "qname", "qsize", "qstrand", "q")
+    first = _first_cover(parts, "tname", "lo", "hi", [(-F.col("score")).alias("worst"), "id", "lo"])
+    hit = (F.col(contig) == F.col("s_key")) & (F.floor(F.col(pos) / BIN) == F.col("s_bin")) & F.col(pos).between(F.col("s_lo"), F.col("s_hi"))
+    to = F.col("s_piece.q") + F.col(pos) - F.col("s_piece.lo")
+    lifted = F.when(F.col("s_piece.qstrand") == "-", F.col("s_piece.qsize") - to).otherwise(to + 1).cast("bigint")
+    return points.join(first, hit).select(*points.columns, F.col("s_piece.qname").alias("lifted_name"), lifted.alias("lifted_pos"))

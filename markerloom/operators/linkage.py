@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from markerloom.operators.components import connected_components
+from markerloom.operators.numbering import with_row_number
 from markerloom.plans.staging import Staging
 
 # Upper quantiles of the chi-square distribution with one degree of freedom.
@@ -53,8 +54,7 @@ def separate_chromosomes(lod: DataFrame, markers: DataFrame, limit: float, size_
     joined = connected_components(lod.filter(F.col("lod") >= limit), "a", "b")
     named = markers.select("marker_id").join(joined, F.col("marker_id") == F.col("node"), "left").select("marker_id", F.coalesce("component", "marker_id").alias("root"))
     sizes = named.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") >= size_limit)
-    # one row per group, far fewer than markers, so numbering them in one window is bounded
-    numbered = sizes.select("root", F.row_number().over(W.orderBy(F.desc("n"), "root")).cast("bigint").alias("lg"))
+    numbered = with_row_number(sizes, ["-n", "root"], "lg").select("root", "lg")
     return named.join(numbered, "root", "left").select("marker_id", F.coalesce("lg", F.lit(0)).cast("bigint").alias("lg"))
 
 
@@ -79,12 +79,15 @@ def refine_lg(groups: DataFrame, lod: DataFrame, lg: int, lo: int, hi: int, size
     return renamed.unionAll(groups.filter(F.col("lg") != lg).select(limits, "marker_id", F.col("lg").cast("bigint").alias("lg")))
 
 
-def join_singles(groups: DataFrame, lod: DataFrame, limit: float, diff: float, iterate: bool = False, max_rounds: int = 50) -> DataFrame:
-    """Markers of group 0 join the group of their best LOD if that reaches ``limit`` and leads by ``diff``."""
+def join_singles(groups: DataFrame, lod: DataFrame, limit: float, diff: float, iterate: bool = False) -> DataFrame:
+    """Markers of group 0 join the group of their best LOD if that reaches ``limit`` and leads by ``diff``.
+
+    ``iterate`` goes on with the markers joined so far until no further one joins.
+    """
     staging = Staging(groups.sparkSession, "singles")
     current = groups.select("marker_id", F.col("lg").cast("bigint").alias("lg"))
     both = lod.filter(F.col("lod") >= limit).select("a", "b", "lod").unionAll(lod.filter(F.col("lod") >= limit).select(F.col("b"), F.col("a"), "lod"))
-    for _ in range(max_rounds if iterate else 1):
+    while True:
         grouped = current.filter("lg > 0").select(F.col("marker_id").alias("b"), F.col("lg").alias("to"))
         single = current.filter("lg = 0").select(F.col("marker_id").alias("a"))
         best = both.join(single, "a", "left_semi").join(grouped, "b").groupBy("a", "to").agg(F.max("lod").alias("lod"))
@@ -96,10 +99,10 @@ def join_singles(groups: DataFrame, lod: DataFrame, limit: float, diff: float, i
             return following
         following = staging.put(following, "round")
         changed = following.filter("lg = 0").count() != current.filter("lg = 0").count()
+        staging.drop(current)
         current = following
         if not changed:
-            break
-    return current
+            return current
 
 
 def join_singles_sweep(groups: DataFrame, lod: DataFrame, lo: int, hi: int, diff: float) -> DataFrame:

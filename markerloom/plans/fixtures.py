@@ -1,6 +1,8 @@
 """Input tables of the operators' shapes, as SQL that Spark and DuckDB both run over the given tables.
 
-``geno`` alone needs a spelling of its own per engine, for exclusive or.
+``geno`` needs a spelling of its own per engine, for exclusive or. Tables that number their rows get
+the number from ``ROW_NUMBER`` in DuckDB and from ``with_row_number`` in Spark, which sorts no table
+in one task.
 """
 
 from __future__ import annotations
@@ -9,17 +11,19 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from markerloom.operators.numbering import with_row_number
+
 SQL = {
     "contig_length": """
 SELECT CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, CAST(20000 + p_size * 1000 AS BIGINT) AS length FROM part
 """,
     "map_markers": """
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS BIGINT) AS marker_id,
- CONCAT('ctg', CAST(l_partkey AS STRING)) AS contig,
+SELECT CONCAT('ctg', CAST(l_partkey AS STRING)) AS contig,
  1 + CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) % (20000 + p_size * 1000) AS pos,
  CASE WHEN l_tax > 0.07 THEN 1 + l_suppkey % 12 ELSE 1 + l_partkey % 12 END AS lg,
  ROUND((l_orderkey % 1000) * 0.1 + l_quantity * 0.001 + CASE WHEN l_orderkey % 1000 >= 985 THEN 30 ELSE 0 END, 3) AS male_cm,
- ROUND((l_orderkey % 1000) * 0.12 + l_discount + CASE WHEN l_orderkey % 1000 < 10 THEN 0 ELSE 20 END, 3) AS female_cm
+ ROUND((l_orderkey % 1000) * 0.12 + l_discount + CASE WHEN l_orderkey % 1000 < 10 THEN 0 ELSE 20 END, 3) AS female_cm,
+ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax
  FROM lineitem JOIN part ON l_partkey = p_partkey
 """,
     "paf": """
@@ -31,16 +35,16 @@ SELECT CONCAT('r', CAST(l_orderkey AS STRING)) AS qname, CAST(20000 AS BIGINT) A
  CAST(FLOOR(l_discount * 600 + 0.5) AS BIGINT) AS mapq, CAST(FLOOR(l_extendedprice) AS BIGINT) % 2000 AS as_score FROM lineitem
 """,
     "sam10x": """
-SELECT CAST(64 + 16 * (event_id % 2) AS BIGINT) AS flag, CONCAT('ctg', CAST(user_id % 20 AS STRING)) AS contig,
+SELECT CAST(64 + 16 * (event_id % 2) AS BIGINT) AS flag, CONCAT('ctg', CAST(event_id % 20 AS STRING)) AS contig,
  1 + CAST(FLOOR(value * 1000) AS BIGINT) AS pos,
  CASE WHEN event_id % 2 = 0 THEN CONCAT(CAST(14 + event_id % 12 AS STRING), 'S100M') ELSE CONCAT('100M', CAST(14 + event_id % 12 AS STRING), 'S') END AS cigar,
- TRANSLATE(MD5(props), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq FROM events
+ TRANSLATE(MD5(CAST(user_id AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq FROM events
 """,
     "fasta_seq": """
 SELECT CONCAT('ctg', CAST(doc_id AS STRING)) AS contig, REPEAT(TRANSLATE(MD5(CAST(doc_id AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT'), CAST(1 + n_chars % 50 AS INT)) AS seq FROM documents
 """,
     "la": """
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY chr, contig, orig_start) AS BIGINT) AS line, contig, orig_start AS start_pos, orig_end AS end_pos, orientation, chr,
+SELECT contig, orig_start AS start_pos, orig_end AS end_pos, orientation, chr,
  orig_start, orig_start + 5 AS alt_start, orig_end, orig_end - 5 AS alt_end,
  CASE WHEN linked = 1 THEN COALESCE(LAG(contig) OVER (PARTITION BY chr ORDER BY contig, orig_start), 'null') ELSE 'null' END AS prev_contig,
  CASE WHEN linked = 1 THEN link_type ELSE 'null' END AS prev_type, CASE WHEN linked = 1 THEN prev_score ELSE 0 END AS prev_score,
@@ -54,7 +58,7 @@ SELECT CAST(ROW_NUMBER() OVER (ORDER BY chr, contig, orig_start) AS BIGINT) AS l
   CASE MIN(l_orderkey) % 5 WHEN 0 THEN 'null' WHEN 1 THEN 'paf' ELSE 'chain' END AS link_type,
   CAST(MAX(FLOOR(l_quantity)) AS BIGINT) AS prev_score, CAST(MAX(FLOOR(l_discount * 100 + 0.5)) AS BIGINT) AS next_score,
   CAST(CASE WHEN MAX(l_tax) > 0.07 AND MIN(l_orderkey) % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS map_score
-  FROM lineitem WHERE l_linenumber = 1 GROUP BY 1, 2, 3, 4) t
+  FROM lineitem GROUP BY 1, 2, 3, 4) t
 """,
     "recomb_log": """
 SELECT event_type AS family, CONCAT('s', CAST(user_id AS STRING)) AS sample, 1 + event_id % 12 AS lg, COUNT(*) AS n_recomb FROM events GROUP BY event_type, user_id, 1 + event_id % 12
@@ -70,12 +74,12 @@ SELECT CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, '1' AS start_s, '9990
  UNION ALL SELECT CONCAT('ctg', CAST(p_partkey AS STRING)), '9991-10011', '20000*', '?', 1 + p_partkey % 12 FROM part
 """,
     "chain": """
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY score DESC, tname, qname, tstart, qstart, qend, tend, qstrand) AS BIGINT) AS id, c.* FROM (SELECT CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS score,
+SELECT * FROM (SELECT CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS score,
  CONCAT('ctg', CAST(l_partkey AS STRING)) AS tname, CAST(20000 + p1.p_size * 1000 AS BIGINT) AS tsize, '+' AS tstrand,
  CAST(FLOOR(l_quantity) * 100 AS BIGINT) AS tstart, CAST(20000 + p1.p_size * 1000 - l_linenumber * 100 AS BIGINT) AS tend,
  CONCAT('ctg', CAST(p2.p_partkey AS STRING)) AS qname, CAST(20000 + p2.p_size * 1000 AS BIGINT) AS qsize,
  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS qstrand, CAST((l_suppkey * 10) % 5000 AS BIGINT) AS qstart, CAST(20000 + p2.p_size * 1000 - l_linenumber * 200 AS BIGINT) AS qend
- FROM lineitem JOIN part p1 ON l_partkey = p1.p_partkey JOIN part p2 ON p2.p_partkey = 1 + (l_partkey * 7 + l_suppkey) % 200 WHERE l_linenumber <= 2) c WHERE tname <> qname
+ FROM (SELECT *, (l_partkey * 7 + l_suppkey) % (SELECT COUNT(*) FROM part) AS partner FROM lineitem) l JOIN part p1 ON l_partkey = p1.p_partkey JOIN part p2 ON p2.p_partkey = partner) c WHERE tname <> qname
 """,
     "agp": """
 SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_size * 1000) OVER w - (20000 + p_size * 1000) + 1 AS obj_beg, SUM(20000 + p_size * 1000) OVER w AS obj_end,
@@ -86,7 +90,7 @@ SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_si
 SELECT CONCAT('ctg', CAST(p_partkey AS STRING)) AS contig, CAST(4000 + 100 * p_size AS BIGINT) AS cut_lo, CAST(4050 + 100 * p_size AS BIGINT) AS cut_hi FROM part WHERE p_partkey % 4 = 0
 """,
     "marey": """
-SELECT CONCAT('LG', CAST(1 + l_suppkey % 12 AS STRING)) AS lg, CAST(l_orderkey * 1000 + l_partkey AS BIGINT) AS pos, 1 AS map_id, ROUND((CASE WHEN l_suppkey % 2 = 0 THEN l_orderkey ELSE 60000 - l_orderkey END) * CAST(0.01 AS DOUBLE), 3) AS male_cm, ROUND(l_orderkey * CAST(0.012 AS DOUBLE), 3) AS female_cm FROM lineitem WHERE l_linenumber = 1
+SELECT CONCAT('LG', CAST(1 + l_suppkey % 12 AS STRING)) AS lg, CAST(l_orderkey * 1000 + l_partkey AS BIGINT) AS pos, 1 AS map_id, ROUND((CASE WHEN l_suppkey % 2 = 0 THEN l_orderkey ELSE 60000 - l_orderkey END) * CAST(0.01 AS DOUBLE), 3) AS male_cm, ROUND(l_orderkey * CAST(0.012 AS DOUBLE), 3) AS female_cm FROM lineitem
 """,
     "axt": """
 SELECT CONCAT('ctg', CAST(l_partkey % 40 AS STRING)) AS tname, CAST(FLOOR(l_quantity) * 1000 AS BIGINT) AS tstart, CAST(FLOOR(l_quantity) * 1000 + 900 AS BIGINT) AS tend,
@@ -95,17 +99,17 @@ SELECT CONCAT('ctg', CAST(l_partkey % 40 AS STRING)) AS tname, CAST(FLOOR(l_quan
 """,
     "links": """
 SELECT l_linenumber AS file_no, CONCAT('ctg', CAST(l_partkey AS STRING)) AS contig1, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS o1,
- CONCAT('ctg', CAST(1 + (l_partkey * 3 + l_suppkey) % 200 AS STRING)) AS contig2, CASE WHEN l_returnflag = 'A' THEN '+' ELSE '-' END AS o2,
+ CONCAT('ctg', CAST((l_partkey * 3 + l_suppkey) % (SELECT COUNT(*) FROM part) AS STRING)) AS contig2, CASE WHEN l_returnflag = 'A' THEN '+' ELSE '-' END AS o2,
  CAST(FLOOR(l_quantity) AS BIGINT) AS score FROM lineitem
 """,
     "prox": """
-SELECT CONCAT('ctg', CAST(user_id % 5 AS STRING)) AS contig1, CAST(1 + 10000 * (event_id % 7) AS BIGINT) AS pos1,
- CONCAT('ctg', CAST(user_id % 3 AS STRING)) AS contig2, CAST(1 + 10000 * (event_id % 4) AS BIGINT) AS pos2, CAST(COUNT(*) AS BIGINT) AS weight
- FROM events GROUP BY user_id % 5, event_id % 7, user_id % 3, event_id % 4
+SELECT CONCAT('ctg', CAST(user_id AS STRING)) AS contig1, CAST(1 + 10000 * (event_id % 7) AS BIGINT) AS pos1,
+ CONCAT('ctg', CAST(user_id - user_id % 3 AS STRING)) AS contig2, CAST(1 + 10000 * (event_id % 4) AS BIGINT) AS pos2, CAST(COUNT(*) AS BIGINT) AS weight
+ FROM events GROUP BY user_id, event_id % 7, event_id % 4
 """,
     "ld_pairs": """
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY weight DESC, contig1, pos1, contig2, pos2) AS BIGINT) AS line, p.* FROM (SELECT CONCAT('ctg', CAST(l_partkey % 6 AS STRING)) AS contig1, CAST(l_linenumber * 700 AS BIGINT) AS pos1,
- CONCAT('ctg', CAST(6 + l_suppkey % 6 AS STRING)) AS contig2, CAST(FLOOR(l_quantity) * 900 AS BIGINT) AS pos2, CAST(MAX(FLOOR(l_extendedprice)) AS BIGINT) AS weight FROM lineitem GROUP BY 1, 2, 3, 4) p
+SELECT CONCAT('ctg', CAST(l_partkey AS STRING)) AS contig1, CAST(l_linenumber * 700 AS BIGINT) AS pos1,
+ CONCAT('sup', CAST(l_suppkey AS STRING)) AS contig2, CAST(FLOOR(l_quantity) * 900 AS BIGINT) AS pos2, CAST(MAX(FLOOR(l_extendedprice)) AS BIGINT) AS weight FROM lineitem GROUP BY 1, 2, 3, 4
 """,
     "agp_seq": """
 SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_size * 1000) OVER w - (20000 + p_size * 1000) + 1 AS obj_beg, SUM(20000 + p_size * 1000) OVER w AS obj_end,
@@ -113,11 +117,19 @@ SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_si
  FROM part WHERE p_partkey % 10 <> 0 AND p_partkey IN (SELECT doc_id FROM documents) WINDOW w AS (PARTITION BY p_partkey % 12 ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """,
 }
+#: Tables that number their rows: the number's name, what orders them, columns that only order them.
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"]
+NUMBERED: dict[str, tuple[str, list[str], list[str]]] = {
+    "map_markers": ("marker_id", _LINE, _LINE),
+    "la": ("line", ["chr", "contig", "orig_start"], []),
+    "chain": ("id", ["-score", "tname", "qname", "tstart", "qstart", "qend", "tend", "qstrand"], []),
+    "ld_pairs": ("line", ["-weight", "contig1", "pos1", "contig2", "pos2"], []),
+}
 GENO_DUCKDB = """
-SELECT p_partkey AS marker_id, xor(CAST(((1 + p_partkey % 12) * 7919 * 104729 * 1299709) % 1099511627776 AS BIGINT), CAST(POWER(2, p_partkey % 40) AS BIGINT)) AS bits FROM part WHERE p_size <= 10
+SELECT p_partkey AS marker_id, xor(CAST(((1 + p_partkey % 12) * 7919 * 104729 * 1299709) % 1099511627776 AS BIGINT), CAST(POWER(2, p_partkey % 40) AS BIGINT)) AS bits FROM part
 """
 GENO_SPARK = """
-SELECT p_partkey AS marker_id, CAST(((1 + p_partkey % 12) * 7919 * 104729 * 1299709) % 1099511627776 AS BIGINT) ^ CAST(POWER(2, p_partkey % 40) AS BIGINT) AS bits FROM part WHERE p_size <= 10
+SELECT p_partkey AS marker_id, CAST(((1 + p_partkey % 12) * 7919 * 104729 * 1299709) % 1099511627776 AS BIGINT) ^ CAST(POWER(2, p_partkey % 40) AS BIGINT) AS bits FROM part
 """
 
 _TABLES = re.compile(r"\b(FROM|JOIN) (region|nation|customer|supplier|part|orders|lineitem|events|documents)\b")
@@ -126,12 +138,22 @@ _TABLES = re.compile(r"\b(FROM|JOIN) (region|nation|customer|supplier|part|order
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture over the tables of ``sf_dir``, read in place; no view is registered."""
     sql = GENO_SPARK if name == "geno" else SQL[name]
-    return spark.sql(_TABLES.sub(lambda m: f"{m[1]} parquet.`{sf_dir}/{m[2]}.parquet`", sql))
+    table = spark.sql(_TABLES.sub(lambda m: f"{m[1]} parquet.`{sf_dir}/{m[2]}.parquet`", sql))
+    if name not in NUMBERED:
+        return table
+    number, order, extra = NUMBERED[name]
+    return with_row_number(table, order, number).drop(*extra)
+
+
+def _numbered_sql(name: str) -> str:
+    number, order, extra = NUMBERED[name]
+    rest = f"* EXCLUDE ({', '.join(extra)})" if extra else "*"
+    return f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {', '.join(order)}) AS BIGINT) AS {number}, {rest} FROM ({SQL[name].strip()}) numbered"
 
 
 def with_fixtures(names: str, query: str, recursive: bool = False) -> str:
     """``query`` for DuckDB with the named fixtures as leading common table expressions."""
-    sql = SQL | {"geno": GENO_DUCKDB}
+    sql = SQL | {"geno": GENO_DUCKDB} | {n: _numbered_sql(n) for n in NUMBERED}
     head = ",\n".join(f"{n} AS ({sql[n].strip()})" for n in names.split())
     query = query.strip()
     rest = ", " + query[5:] if query.upper().startswith("WITH ") else " " + query

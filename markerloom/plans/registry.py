@@ -63,7 +63,15 @@ def _read_fasta(sp: SparkSession, d: str) -> DataFrame:
 
 
 _add("read_fasta", _read_fasta, "fasta_seq", "SELECT contig, seq FROM fasta_seq")
-_add("write_fasta", _read_fasta, "fasta_seq", "SELECT contig, seq FROM fasta_seq")
+
+
+def _write_fasta(sp: SparkSession, d: str) -> DataFrame:
+    path = _file(sp, "fasta-lines")
+    wr.write_fasta(fx(sp, d, "fasta_seq"), path)
+    return sp.read.text(path)
+
+
+_add("write_fasta", _write_fasta, "fasta_seq", "SELECT '>' || contig AS value FROM fasta_seq UNION ALL SELECT seq FROM fasta_seq")
 
 
 def _extract_markers(sp: SparkSession, d: str) -> DataFrame:
@@ -81,7 +89,15 @@ def _file_number(sp: SparkSession, d: str) -> DataFrame:
 
 
 _add("with_file_number", _file_number, "map_markers", "SELECT CAST(marker_id AS BIGINT) AS marker_id, contig, lg FROM map_markers")
-_add("write_by_key", _file_number, "map_markers", "SELECT CAST(marker_id AS BIGINT) AS marker_id, contig, lg FROM map_markers")
+
+
+def _write_by_key(sp: SparkSession, d: str) -> DataFrame:
+    path = _file(sp, "by-lg")
+    wr.write_by_key(_markers(sp, d).select("marker_id", "contig", "lg"), "lg", path)
+    return sp.read.csv(path, schema="marker_id bigint, contig string, lg bigint", sep="\t")
+
+
+_add("write_by_key", _write_by_key, "map_markers", "SELECT marker_id, contig, lg FROM map_markers")
 
 
 def _read_paf(sp: SparkSession, d: str) -> DataFrame:
@@ -159,8 +175,8 @@ def _cigar(sp: SparkSession, d: str) -> DataFrame:
 
 
 _add("cigar_blocks", _cigar, "paf", "SELECT qname, qstart, tname, tstart, as_score, 0 AS no, qend - qstart - 200 AS size, as_score % 9 + 1 AS dt, CAST(7 AS BIGINT) AS dq FROM paf UNION ALL SELECT qname, qstart, tname, tstart, as_score, 1, CAST(200 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM paf")
-_RF = "(l_discount * CAST(4 AS DOUBLE))"
-_add("map_distance", lambda sp, d: sp.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_discount") * 4.0).alias("r")).select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(s.map_distance(F.col("r"), m), 6).alias(m) for m in ("kosambi", "haldane", "morgan")]), "", f"SELECT l_orderkey, l_linenumber, l_partkey, round(25 * ln((1 + 2 * {_RF}) / (1 - 2 * {_RF})), 6) AS kosambi, round(0 - 50 * ln(1 - 2 * {_RF}), 6) AS haldane, round(100 * {_RF}, 6) AS morgan FROM lineitem")
+_RF = "(l_discount * CAST(5 AS DOUBLE))"
+_add("map_distance", lambda sp, d: sp.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_discount") * 5.0).alias("r")).select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(s.map_distance(F.col("r"), m), 6).alias(m) for m in ("kosambi", "haldane", "morgan")]), "", f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN {_RF} < 0.5 THEN round(25 * ln((1 + 2 * {_RF}) / (1 - 2 * {_RF})), 6) END AS kosambi, CASE WHEN {_RF} < 0.5 THEN round(0 - 50 * ln(1 - 2 * {_RF}), 6) END AS haldane, round(100 * {_RF}, 6) AS morgan FROM lineitem")
 _add("map_position", lambda sp, d: s.map_position(_markers(sp, d).select("marker_id", "lg", ((F.col("pos") % 40) / 100.0).alias("r")), order=("marker_id",)).select("marker_id", "lg", F.round("cm", 3).alias("cm")), "map_markers", "WITH r AS (SELECT marker_id, lg, (pos % 40) / CAST(100 AS DOUBLE) AS r FROM map_markers) SELECT marker_id, lg, round(sum(25 * ln((1 + 2 * r) / (1 - 2 * r))) OVER (PARTITION BY lg ORDER BY marker_id), 3) AS cm FROM r")
 _add("natural_sort", lambda sp, d: s.natural_sort(fx(sp, d, "contig_length"), "contig"), "contig_length", "SELECT * FROM contig_length")
 _add("validate_fasta", lambda sp, d: s.validate_fasta(fx(sp, d, "fasta_seq").withColumn("seq", F.when(F.col("contig").endswith("7"), F.concat("seq", F.lit("X"))).otherwise(F.col("seq")))), "fasta_seq", "SELECT contig, 'letters' AS problem FROM fasta_seq WHERE contig LIKE '%7' UNION ALL SELECT contig, 'repeated name' FROM fasta_seq GROUP BY contig HAVING count(*) > 1")
@@ -220,7 +236,7 @@ _add("longread_links", lambda sp, d: j.longread_links(fx(sp, d, "paf")), "paf",
     k AS (SELECT *, CASE WHEN sx = '+' THEN xe + 1 - ov ELSE xs + ov END AS pos1, CASE WHEN sy = '+' THEN ys + ov ELSE ye + 1 - ov END AS pos2 FROM l)
     SELECT contig1, pos1, contig2, pos2, sx || sy AS orientation, quality FROM k UNION ALL SELECT contig2, pos2, contig1, pos1, CASE WHEN sy = '+' THEN '-' ELSE '+' END || CASE WHEN sx = '+' THEN '-' ELSE '+' END, quality FROM k
     UNION ALL SELECT tname, tstart + 1, tname, tend, '++', mapq FROM p""")
-_add("umi_proximity", lambda sp, d: j.umi_proximity(s.extract_umi(fx(sp, d, "sam10x")).withColumn("umi", F.substring("umi", 1, 3))), "sam10x", f"""WITH u AS ({_UMI}), b AS (SELECT DISTINCT contig, 1 + 10000 * CAST(FLOOR((pos - 1) / 10000) AS BIGINT) AS bin, substring(umi, 1, 3) AS umi FROM u),
+_add("umi_proximity", lambda sp, d: j.umi_proximity(s.extract_umi(fx(sp, d, "sam10x"))), "sam10x", f"""WITH u AS ({_UMI}), b AS (SELECT DISTINCT contig, 1 + 10000 * CAST(FLOOR((pos - 1) / 10000) AS BIGINT) AS bin, umi FROM u),
     c AS (SELECT x.contig AS contig1, x.bin AS bin1, y.contig AS contig2, y.bin AS bin2, count(*) AS n FROM b x JOIN b y ON x.umi = y.umi AND (x.contig < y.contig OR (x.contig = y.contig AND x.bin < y.bin)) GROUP BY 1, 2, 3, 4 HAVING count(*) >= 2)
     SELECT * FROM c UNION ALL SELECT contig2, bin2, contig1, bin1, n FROM c""")
 _add("reciprocal_best", lambda sp, d: j.reciprocal_best(fx(sp, d, "chain")), "chain", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tname ORDER BY score DESC, id) AS rt, row_number() OVER (PARTITION BY qname ORDER BY score DESC, id) AS rq FROM chain WHERE score >= 10000) WHERE rt = 1 AND rq = 1".replace("SELECT * FROM (", "SELECT id, score, tname, tsize, tstrand, tstart, tend, qname, qsize, qstrand, qstart, qend FROM (", 1))
@@ -237,8 +253,8 @@ _add("orient_map", lambda sp, d: a.orient_map(fx(sp, d, "marey")), "marey", """W
     SELECT lg, pos, map_id, CASE WHEN falls THEN round(m - male_cm, 3) ELSE male_cm END AS male_cm, CASE WHEN falls THEN round(f - female_cm, 3) ELSE female_cm END AS female_cm FROM marey JOIN k USING (lg, map_id)""")
 _DIAG = "d AS (SELECT contig1 AS contig, pos1 AS pos, sum(weight) AS s FROM prox WHERE contig1 = contig2 AND pos1 = pos2 GROUP BY 1, 2), p AS (SELECT prox.*, coalesce(x.s, 0) AS s1, coalesce(y.s, 0) AS s2, (SELECT avg(s) FROM d) AS m FROM prox LEFT JOIN d x ON x.contig = contig1 AND x.pos = pos1 LEFT JOIN d y ON y.contig = contig2 AND y.pos = pos2)"
 _near = lambda df: df.withColumn("weight", F.round("weight", 6))
-_add("normalise_proximity", lambda sp, d: _near(a.normalise_proximity(fx(sp, d, "prox"), "max")), "prox", f"WITH {_DIAG} SELECT contig1, pos1, contig2, pos2, round(weight * CASE WHEN s1 <= m / 2 AND s2 <= m / 2 THEN 200.0 / m ELSE CAST(100 AS DOUBLE) / greatest(s1, s2) END, 6) AS weight FROM p")
-_add("normalise_proximity_min", lambda sp, d: _near(a.normalise_proximity(fx(sp, d, "prox"), "min")), "prox", f"WITH {_DIAG} SELECT contig1, pos1, contig2, pos2, round(weight * CASE WHEN s1 <= m OR s2 <= m THEN 100.0 / m ELSE CAST(100 AS DOUBLE) / least(s1, s2) END, 6) AS weight FROM p")
+_add("normalise_proximity", lambda sp, d: _near(a.normalise_proximity(fx(sp, d, "prox"), "max")), "prox", f"WITH {_DIAG} SELECT contig1, pos1, contig2, pos2, round(weight * CASE WHEN s1 <= m / 2 AND s2 <= m / 2 THEN 200.0 / m ELSE CAST(100 AS DOUBLE) / nullif(greatest(s1, s2), 0) END, 6) AS weight FROM p")
+_add("normalise_proximity_min", lambda sp, d: _near(a.normalise_proximity(fx(sp, d, "prox"), "min")), "prox", f"WITH {_DIAG} SELECT contig1, pos1, contig2, pos2, round(weight * CASE WHEN s1 <= m OR s2 <= m THEN 100.0 / m ELSE CAST(100 AS DOUBLE) / nullif(least(s1, s2), 0) END, 6) AS weight FROM p")
 _add("proximity_stats", lambda sp, d: a.proximity_stats(fx(sp, d, "prox")).withColumn("mean", F.round("mean", 6)).withColumn("sd", F.round("sd", 6)), "prox", f"WITH {_DIAG} SELECT round(avg(s), 6) AS mean, round(stddev_samp(s), 6) AS sd, CAST(min(s) AS BIGINT) AS min, CAST(max(s) AS BIGINT) AS max, count(*) AS n FROM d")
 _add("filter_distorted", lambda sp, d: lk.filter_distorted(fx(sp, d, "geno"), 0.01, INDIVIDUALS), "geno", f"SELECT * FROM geno WHERE power(2 * bit_count(bits) - {INDIVIDUALS}, 2) / {INDIVIDUALS} <= 6.635")
 _LOD = f"""r AS (SELECT x.marker_id AS a, y.marker_id AS b, least(bit_count(xor(x.bits, y.bits)), {INDIVIDUALS} - bit_count(xor(x.bits, y.bits))) AS r FROM geno x JOIN geno y ON x.marker_id < y.marker_id),
@@ -247,16 +263,20 @@ _pairs = lambda sp, d, least: lk.pairwise_lod(fx(sp, d, "geno"), INDIVIDUALS, le
 _add("pairwise_lod", lambda sp, d: _pairs(sp, d, 5).withColumn("lod", F.round("lod", 6)), "geno", f"WITH {_LOD} SELECT a, b, round(lod, 6) AS lod FROM lods WHERE lod >= 5")
 
 
-def _groups(limit: str, least: int = 1, markers: str = "geno") -> str:
-    """Groups by SQL: the smallest marker reachable, numbered by size."""
-    return f"""reach AS (SELECT marker_id AS x, marker_id AS y FROM {markers} UNION SELECT x, CASE WHEN y = a THEN b ELSE a END FROM reach JOIN (SELECT * FROM lods WHERE lod >= {limit}) ON y = a OR y = b),
-    root AS (SELECT x AS marker_id, min(y) AS root FROM reach GROUP BY x), size AS (SELECT root, count(*) AS n FROM root GROUP BY root HAVING count(*) >= {least}), named AS (SELECT root, row_number() OVER (ORDER BY n DESC, root) AS lg FROM size),
-    grouped AS (SELECT marker_id, coalesce(lg, 0) AS lg FROM root LEFT JOIN named USING (root))"""
+def _groups(limit: str, least: int = 1, markers: str = "geno", tag: str = "") -> str:
+    """Groups by SQL, as ``grouped{tag}``: the smallest marker reachable, numbered by size."""
+    return f"""links{tag} AS (SELECT a, b FROM lods WHERE lod >= {limit} AND a IN (SELECT marker_id FROM {markers}) AND b IN (SELECT marker_id FROM {markers})), step{tag} AS (SELECT a AS x, b AS y FROM links{tag} UNION SELECT b, a FROM links{tag}),
+    reach{tag} AS (SELECT marker_id AS x, marker_id AS y FROM {markers} UNION SELECT r.x, s.y FROM reach{tag} r JOIN step{tag} s ON s.x = r.y),
+    near{tag} AS (SELECT x, min(y) AS y FROM reach{tag} GROUP BY x), root{tag} AS (SELECT x AS marker_id, y AS root FROM near{tag}), size{tag} AS (SELECT root, count(*) AS n FROM root{tag} GROUP BY root HAVING count(*) >= {least}), named{tag} AS (SELECT root, row_number() OVER (ORDER BY n DESC, root) AS lg FROM size{tag}),
+    grouped{tag} AS (SELECT marker_id, coalesce(lg, 0) AS lg FROM root{tag} LEFT JOIN named{tag} USING (root))"""
 
 
 _add("separate_chromosomes", lambda sp, d: lk.separate_chromosomes(_pairs(sp, d, LIMIT), fx(sp, d, "geno"), LIMIT, 5), "geno", f"WITH {_LOD}, {_groups(str(LIMIT), 5)} SELECT marker_id, lg FROM grouped", recursive=True)
-_add("lod_sweep", lambda sp, d: lk.lod_sweep(_pairs(sp, d, 8), fx(sp, d, "geno"), 8, 10, 2))
-_add("refine_lg", lambda sp, d: lk.refine_lg(lk.separate_chromosomes(_pairs(sp, d, 2), fx(sp, d, "geno"), 2, 1), _pairs(sp, d, 5), 1, 5, 6, 2))
+_SWEPT = ", ".join(_groups(str(n), 2, tag=f"_{n}") for n in (8, 9, 10))
+_add("lod_sweep", lambda sp, d: lk.lod_sweep(_pairs(sp, d, 8), fx(sp, d, "geno"), 8, 10, 2), "geno", f"WITH {_LOD}, {_SWEPT} " + " UNION ALL ".join(f"SELECT {n} AS lod, marker_id, lg FROM grouped_{n}" for n in (8, 9, 10)), recursive=True)
+_INSIDE = ", ".join([_groups("2", 1, tag="_b"), "inside AS (SELECT marker_id FROM grouped_b WHERE lg = 1)", *[_groups(str(n), 2, "inside", f"_{n}") for n in (5, 6)]])
+_REFINED = "SELECT {n} AS lod, marker_id, CASE WHEN lg <= 1 THEN lg ELSE (SELECT max(lg) FROM grouped_b) + lg - 1 END AS lg FROM grouped_{n} UNION ALL SELECT {n}, marker_id, lg FROM grouped_b WHERE lg <> 1"
+_add("refine_lg", lambda sp, d: lk.refine_lg(lk.separate_chromosomes(_pairs(sp, d, 2), fx(sp, d, "geno"), 2, 1), _pairs(sp, d, 5), 1, 5, 6, 2), "geno", f"WITH {_LOD}, {_INSIDE} " + " UNION ALL ".join(_REFINED.format(n=n) for n in (5, 6)), recursive=True)
 
 
 def _singles(sp: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -268,7 +288,7 @@ def _singles(sp: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 _BEST = "best AS (SELECT s.marker_id, g.lg, max(lod) AS lod FROM g s JOIN lods ON (a = s.marker_id OR b = s.marker_id) JOIN g ON g.marker_id = CASE WHEN a = s.marker_id THEN b ELSE a END WHERE s.lg = 0 AND g.lg > 0 AND lod >= {limit} GROUP BY 1, 2), ranked AS (SELECT *, row_number() OVER w AS rn, lead(lod) OVER w AS second FROM best WINDOW w AS (PARTITION BY marker_id ORDER BY lod DESC, lg)), won AS (SELECT marker_id, lg FROM ranked WHERE rn = 1 AND lod - coalesce(second, 0) >= 1)"
 _G = "g AS (SELECT marker_id, CASE WHEN marker_id % 4 = 0 THEN 0 ELSE 1 + marker_id % 12 END AS lg FROM geno)"
 _add("join_singles", lambda sp, d: lk.join_singles(*_singles(sp, d), 4, 1), "geno", f"WITH {_LOD}, {_G}, {_BEST.format(limit=4)} SELECT g.marker_id, coalesce(won.lg, g.lg) AS lg FROM g LEFT JOIN won USING (marker_id)")
-_add("join_singles_sweep", lambda sp, d: lk.join_singles_sweep(*_singles(sp, d), 4, 6, 1))
+_add("join_singles_sweep", lambda sp, d: lk.join_singles_sweep(*_singles(sp, d), 4, 6, 1), "geno", " UNION ALL ".join(f"(WITH {_LOD}, {_G}, {_BEST.format(limit=n)} SELECT {n} AS lod, g.marker_id, coalesce(won.lg, g.lg) AS lg FROM g LEFT JOIN won USING (marker_id))" for n in (4, 5, 6)))
 _add("map_summary", lambda sp, d: rs.map_summary(fx(sp, d, "lod_maps")), "lod_maps", "SELECT lod, lg, count(*) AS markers, round(count(*) / sum(count(*)) OVER (PARTITION BY lod), 6) AS share FROM lod_maps GROUP BY lod, lg")
 _add("assign_by_margin", lambda sp, d: a.assign_by_margin(fx(sp, d, "links"), 2, "contig1", "contig2"), "links", """WITH b AS (SELECT contig1, contig2, max(score) AS score FROM links GROUP BY 1, 2), r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS second FROM b WINDOW w AS (PARTITION BY contig1 ORDER BY score DESC, contig2 DESC))
     SELECT contig1, contig2, score FROM r WHERE rn = 1 AND score > 0 AND coalesce(second, 0) + 2 <= score""")
@@ -299,12 +319,23 @@ _add("marker_intervals", lambda sp, d: w.marker_intervals(_intervals(sp, d)), "m
 _add("clean_map", lambda sp, d: w.clean_map(_intervals(sp, d)))
 _add("join_intervals", lambda sp, d: w.join_intervals(w.marker_intervals(_intervals(sp, d)), fx(sp, d, "contig_length")), "map_markers contig_length", f"""WITH {_RUNS} SELECT contig, run, CASE WHEN lag("end") OVER w IS NULL THEN 1 ELSE (lag("end") OVER w + start) // 2 + 1 END AS start, CASE WHEN lead(start) OVER w IS NULL THEN length ELSE ("end" + lead(start) OVER w) // 2 END AS "end", chr FROM runs LEFT JOIN contig_length USING (contig) WINDOW w AS (PARTITION BY contig ORDER BY run)""")
 _add("map_to_bed", lambda sp, d: w.map_to_bed(_intervals(sp, d), fx(sp, d, "contig_length")))
-_add("cut_bed", lambda sp, d: w.cut_bed(fx(sp, d, "bed"), fx(sp, d, "cuts")))
+# every cut lies inside a contig's first piece and becomes a border of both sides' bounds
+_add("cut_bed", lambda sp, d: w.cut_bed(fx(sp, d, "bed"), fx(sp, d, "cuts")), "bed cuts", """WITH c AS (SELECT contig, cut_lo - 1 AS lo, cut_hi AS hi, chr FROM cuts JOIN bed USING (contig) WHERE start_s = '1')
+    SELECT contig, start_s, end_s, orientation, chr FROM bed WHERE contig NOT IN (SELECT contig FROM c)
+    UNION ALL SELECT contig, '1-1', lo || '-' || hi, '?', chr FROM c UNION ALL SELECT contig, (lo + 1) || '-' || (hi + 1), '9990-10010', '?', chr FROM c UNION ALL SELECT contig, '9991-10011', '20000-20000*', '?', chr FROM c""")
 _BLOCK = """l AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR orientation = '?' OR length(orientation) <> length(lag(orientation) OVER w) OR lag(orientation) OVER w = '?' THEN 1 ELSE 0 END AS new FROM la WINDOW w AS (PARTITION BY chr ORDER BY line)),
     blocks AS (SELECT * EXCLUDE (new), CAST(sum(new) OVER (PARTITION BY chr ORDER BY line) AS BIGINT) AS block FROM l)"""
 _add("orientation_blocks", lambda sp, d: w.orientation_blocks(fx(sp, d, "la")).select("line", "chr", "block"), "la", f"WITH {_BLOCK} SELECT line, chr, block FROM blocks")
 _add("prune_blocks", lambda sp, d: sets.concat_tagged(dict(zip(("kept", "rejected"), w.prune_blocks(fx(sp, d, "la")), strict=True))).select("line", "chr", "block", "source"), "la", f"WITH {_BLOCK} SELECT line, chr, block, CASE WHEN sum(map_score) OVER (PARTITION BY chr, block) > 0 THEN 'kept' ELSE 'rejected' END AS source FROM blocks")
-_add("remove_overlaps", lambda sp, d: w.remove_overlaps(fx(sp, d, "bed"), fx(sp, d, "la")))
+_HELD = "({0}_contig <> 'null' AND ({0}_type = 'null' OR {0}_type LIKE 'chain%'))"
+_add("remove_overlaps", lambda sp, d: w.remove_overlaps(fx(sp, d, "bed"), fx(sp, d, "la")), "bed la", f"""WITH k AS (SELECT DISTINCT contig, sm, em FROM ({_BED_KEY})),
+    f AS (SELECT *, contains(orientation, '-') AS m, {_HELD.format('prev')} AS p, {_HELD.format('next')} AS n FROM la),
+    c AS (SELECT *, CASE WHEN (p AND NOT m) OR (n AND m) THEN least(start_pos, alt_start) END AS cs, CASE WHEN (p AND m) OR (n AND NOT m) THEN greatest(end_pos, alt_end) END AS ce FROM f),
+    h AS (SELECT contig, orig_start AS sm, orig_end AS em, arg_max(cs, line) FILTER (cs IS NOT NULL) AS cs, arg_max(ce, line) FILTER (ce IS NOT NULL) AS ce FROM c GROUP BY ALL),
+    s AS (SELECT contig, sm, em, coalesce(cs, lag(ce) OVER w + 1) AS s, coalesce(ce, lead(cs) OVER w - 1) AS e FROM k LEFT JOIN h USING (contig, sm, em) WINDOW w AS (PARTITION BY contig ORDER BY sm, em))
+    SELECT line, contig, CASE WHEN (NOT p AND NOT m) OR (NOT n AND m) THEN coalesce(s.s, start_pos) ELSE start_pos END AS start_pos, CASE WHEN (NOT p AND m) OR (NOT n AND NOT m) THEN coalesce(s.e, end_pos) ELSE end_pos END AS end_pos, orientation, chr,
+      orig_start, alt_start, orig_end, alt_end, prev_contig, prev_type, prev_score, next_contig, next_type, next_score, map_score
+    FROM f LEFT JOIN s ON s.contig = f.contig AND s.sm = orig_start AND s.em = orig_end""".replace("SELECT line, contig,", "SELECT line, f.contig,"))
 
 
 def _agp_sql(gapped: str, scaffolds: bool) -> str:
@@ -338,7 +369,7 @@ def _maps(sp: SparkSession, d: str) -> DataFrame:
 
 
 _add("marey_data_multi", lambda sp, d: w.marey_data_multi(_maps(sp, d), fx(sp, d, "agp")), "map_markers agp", f"WITH l AS (SELECT g.obj, CAST({_LIFT} AS BIGINT) AS pos, lg, CAST(1 + marker_id % 2 AS INTEGER) AS map_id, male_cm, female_cm FROM {_LIFTED}) SELECT obj, pos, lg, map_id, male_cm AS cm1, female_cm AS cm2 FROM l UNION ALL SELECT obj, pos, lg, map_id, female_cm, male_cm FROM l")
-_add("marey_split_merge", lambda sp, d: w.marey_split_merge(fx(sp, d, "marey"), ["LG1", "LG10", "LG11"], lambda df: df.filter("male_cm >= 1")), "marey", "SELECT * FROM marey WHERE lg IN ('LG1', 'LG10', 'LG11') AND male_cm >= 1")
+_add("marey_split_merge", lambda sp, d: w.marey_split_merge(fx(sp, d, "marey"), [f"LG{n}" for n in range(1, 13)], lambda df: df.withColumn("pos", F.col("pos") + 1)), "marey", "SELECT lg, pos + 1 AS pos, map_id, male_cm, female_cm FROM marey")
 
 
 # ---- iterative ----
@@ -352,11 +383,11 @@ _add("scored_haplotypes", lambda sp, d: it.scored_haplotypes(_records(sp, d)))
 
 
 def _hap_records(sp: SparkSession, d: str) -> DataFrame:
-    rows = fx(sp, d, "la").filter("line % 5 = 0")
+    rows = fx(sp, d, "la").filter("orientation = '?'")  # pieces without orientation are the haplotypes
     return rows.select("contig", F.when(F.col("orig_start") == 1, 1).otherwise(10001).cast("bigint").alias("start"), F.when(F.col("orig_start") == 1, 10000).otherwise(20000).cast("bigint").alias("end"), F.col("prev_score").alias("score"), (F.col("orig_start") + 7 + F.col("line") % 50).alias("aligned_start"), (F.col("orig_end") - 9).alias("aligned_end"))
 
 
-_add("remove_haplotypes", lambda sp, d: it.remove_haplotypes(fx(sp, d, "bed"), _hap_records(sp, d)), "la bed", f"""WITH k AS ({_BED_KEY}), h AS (SELECT contig, CASE WHEN orig_start = 1 THEN 1 ELSE 10001 END AS sm, CASE WHEN orig_start = 1 THEN 10000 ELSE 20000 END AS em, orig_start + 7 + line % 50 AS s, orig_end - 9 AS e, row_number() OVER (PARTITION BY contig, orig_start ORDER BY prev_score DESC, orig_start + 7 + line % 50) AS rn FROM la WHERE line % 5 = 0),
+_add("remove_haplotypes", lambda sp, d: it.remove_haplotypes(fx(sp, d, "bed"), _hap_records(sp, d)), "la bed", f"""WITH k AS ({_BED_KEY}), h AS (SELECT contig, CASE WHEN orig_start = 1 THEN 1 ELSE 10001 END AS sm, CASE WHEN orig_start = 1 THEN 10000 ELSE 20000 END AS em, orig_start + 7 + line % 50 AS s, orig_end - 9 AS e, row_number() OVER (PARTITION BY contig, orig_start ORDER BY prev_score DESC, orig_start + 7 + line % 50) AS rn FROM la WHERE orientation = '?'),
     x AS (SELECT k.*, h.s, h.e, lead(h.s) OVER w AS ns, lag(h.e) OVER w AS pe, (SELECT max(chr) FROM bed) AS top FROM k LEFT JOIN (SELECT * FROM h WHERE rn = 1) h ON h.contig = k.contig AND h.sm = k.sm AND h.em = k.em WINDOW w AS (PARTITION BY k.contig ORDER BY k.sm, k.em))
     SELECT contig, CASE WHEN s IS NOT NULL THEN CAST(s AS VARCHAR) WHEN pe IS NOT NULL THEN CAST(greatest(pe + 1, CAST(split_part(start_s, '-', 1) AS BIGINT)) AS VARCHAR) ELSE start_s END AS start_s,
       CASE WHEN e IS NOT NULL THEN CAST(e AS VARCHAR) WHEN ns IS NOT NULL THEN CAST(least(ns - 1, CAST(replace(split_part(end_s, '-', -1), '*', '') AS BIGINT)) AS VARCHAR) ELSE end_s END AS end_s, orientation, CASE WHEN s IS NOT NULL THEN top + 1 ELSE chr END AS chr FROM x""")

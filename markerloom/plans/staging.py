@@ -1,13 +1,17 @@
 """Cutting lineage through tables in the folder that driver and executors share.
 
 The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that setting is
-missing (tests, a laptop) is a local folder made and used instead.
+missing and the master is local (tests, a laptop) is a local folder made and used instead.
+
+Results are read from staged tables after an operator has returned, so it cannot delete them
+itself; ``clear`` does, for all operators of a session, once its results have been used.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +21,33 @@ _SETTING = "spark.checkpoint.dir"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_local: dict[str, str] = {}
+_made: list[str] = []
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder, or a fresh local one where none is named."""
+    """The cluster's shared checkpoint folder, or a fresh local one where a local master names none."""
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="markerloom-")
-        spark.conf.set(_SETTING, folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{_SETTING} must name a folder that driver and executors share")
+        folder = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="markerloom-")
+        _local[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every staged table of this driver; results that were not written elsewhere are lost."""
+    while _made:
+        _delete(spark, _made.pop())
+
+
 class Staging:
     """Named Parquet tables of one operator run, each readable by every later stage.
 
@@ -37,6 +59,7 @@ class Staging:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        _made.append(self.root)
 
     def put(self, df: DataFrame, name: str, release: bool = False) -> DataFrame:
         """Write ``df`` and read it back; ``release`` drops the query's shuffle files at once."""
@@ -53,16 +76,13 @@ class Staging:
             elif release:
                 self.spark.conf.unset(_CLEANUP)
         back = self.spark.read.schema(df.schema).parquet(path)
-        back.staged_path = path
+        _paths[back] = path
         return back
 
     def drop(self, df: DataFrame | None) -> None:
         """Delete a staged table that nothing reads any more."""
-        path = getattr(df, "staged_path", None)
-        if path:
-            jvm, hadoop = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(hadoop).delete(target, True)
+        if df is not None and (path := _paths.pop(df, None)):
+            _delete(self.spark, path)
 
 
 def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:

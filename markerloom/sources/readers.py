@@ -36,8 +36,11 @@ def read_table(spark: SparkSession, path: str, schema: str, sep: str = "\t", com
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """``(contig, seq)``: one row per record, named by the first word of its header."""
-    records = spark.read.option("lineSep", ">").text(path).filter(F.trim("value") != "")
+    """``(contig, seq)``: one row per record, named by the first word of its header.
+
+    A record begins with ``>`` at the start of a line; further such signs in a header are text.
+    """
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).filter(F.trim("value") != "")
     head = F.substring_index("value", "\n", 1)
     body = F.when(F.col("value").contains("\n"), F.expr("substring(value, length(substring_index(value, '\n', 1)) + 2)")).otherwise(F.lit(""))
     return records.select(F.regexp_extract(head, r"^\s*(\S*)", 1).alias("contig"), F.regexp_replace(body, r"\s", "").alias("seq"))
@@ -72,10 +75,12 @@ _CHAIN = ["score", "tname", "tsize", "tstrand", "tstart", "tend", "qname", "qsiz
 def read_chain(spark: SparkSession, path: str) -> DataFrame:
     """Chain headers with their block lines as ``blocks array<struct<size,dt,dq>>``.
 
-    A record is the text between two ``chain`` words, so records are read whole and apart.
+    A record begins with ``chain`` at the start of a line, so records are read whole and apart.
+    Comment lines are left out, and so is text without a header of twelve fields.
     """
-    records = spark.read.option("lineSep", "chain ").text(path).filter(F.trim("value") != "").filter(~F.col("value").startswith("#"))
-    lines = F.filter(F.split("value", "\n"), lambda x: (F.trim(x) != "") & ~x.startswith("#"))
+    parts = spark.read.option("lineSep", "\nchain ").text(path).select(F.regexp_replace("value", r"^(?:#[^\n]*\n|\s*\n)*chain ", "").alias("value"))
+    records = parts.filter(F.col("value").rlike(r"^\s*[-+0-9.]+\s"))
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: (F.trim(x) != "") & ~x.startswith("#"))
     head = F.split(F.trim(F.get(lines, F.lit(0))), r"\s+")
     columns = [F.get(head, F.lit(i)) if c in ("tname", "tstrand", "qname", "qstrand") else F.get(head, F.lit(i)).try_cast("bigint") for i, c in enumerate(_CHAIN)]
     number = lambda x, i: F.coalesce(F.get(F.split(F.trim(x), r"\s+"), F.lit(i)).try_cast("bigint"), F.lit(0).cast("bigint"))
@@ -84,9 +89,13 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_axt(spark: SparkSession, path: str) -> DataFrame:
-    """Three-line records: header fields and both sequences; records are parted by empty lines."""
-    records = spark.read.option("lineSep", "\n\n").text(path).filter(F.trim("value") != "")
-    lines = F.filter(F.split("value", "\n"), lambda x: (F.trim(x) != "") & ~x.startswith("#"))
+    """Three-line records: header fields and both sequences; records are parted by empty lines.
+
+    A file whose lines end in CR LF is one piece to the reader, which this cuts into records.
+    """
+    read = spark.read.option("lineSep", "\n\n").text(path)
+    records = read.select(F.explode(F.split("value", r"\r?\n[ \t]*\r?\n")).alias("value")).filter(F.trim("value") != "")
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: (F.trim(x) != "") & ~x.startswith("#"))
     head = F.split(F.get(lines, F.lit(0)), " ")
     at = lambda i: F.get(head, F.lit(i))
     number = lambda i: at(i).try_cast("bigint")

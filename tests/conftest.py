@@ -1,6 +1,8 @@
 import os
 import sys
 
+import numpy as np
+import pandas as pd
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -34,11 +36,19 @@ def duck():
     return con
 
 
+def _cell(v):
+    """A value as text: whole numbers alike whatever their type, doubles to six digits."""
+    if np.ndim(v) == 0 and pd.isna(v):
+        return None
+    if isinstance(v, (float, np.floating)):
+        return str(int(v)) if float(v).is_integer() else repr(round(float(v), 6))
+    return str(v)
+
+
 def rows_of(frame):
-    """Rows of a pandas frame as sorted tuples, doubles to six digits."""
-    cell = lambda v: None if v is None or v != v else repr(round(float(v), 6)) if isinstance(v, float) else str(v)
+    """Rows of a pandas frame as sorted tuples of texts."""
     frame = frame[sorted(frame.columns)]
-    return sorted((tuple(cell(v) for v in row) for row in frame.astype(object).itertuples(index=False, name=None)), key=str)
+    return sorted((tuple(map(_cell, row)) for row in frame.astype(object).itertuples(index=False, name=None)), key=str)
 
 
 @pytest.fixture(scope="session")
