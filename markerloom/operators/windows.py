@@ -330,9 +330,10 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
 
     Two passes use windows of a tenth and a seventh of a group's markers, each moved by half its
     width; a marker gains a penalty in every window where its residual is above twice the mean,
-    the upper half of the last window one more, and fails at three. The spline is piecewise
-    linear with a knot per ``resolution`` (second pass: 0.7 of it) markers at quantiles. Its
-    tridiagonal Gram sums are aggregated per group and knot and solved group by group in the tasks.
+    the upper half of the last window one more, and fails at three. The spline is cubic, with a
+    knot per ``resolution`` (second pass: 0.7 of it) markers at quantiles. In B-spline form a row
+    meets four basis functions, so its Gram sums are aggregated per group and stretch between knots,
+    and the banded equations that come of them are solved group by group in the tasks.
     """
     ordered = W.partitionBy(by).orderBy(x, y)
     df = marey.withColumn("i", F.row_number().over(ordered)).withColumn("n", F.count("*").over(W.partitionBy(by)))
@@ -357,8 +358,23 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
     return df.withColumn("penalty", penalty.cast("int")).withColumn("qc", F.when(F.col("penalty") >= 3, "FAIL").otherwise("PASS")).select(*marey.columns, "penalty", "qc")
 
 
+def _cubic(x: Column, t: list[Column]) -> list[Column]:
+    """The four cubic B-splines at ``x`` between the middle two of six knots, by their recurrence."""
+    left, right = [x - t[2 - d] for d in range(3)], [t[3 + d] - x for d in range(3)]
+    out = [F.lit(1.0)]
+    for degree in (1, 2, 3):
+        carried, following = F.lit(0.0), []
+        for r in range(degree):
+            # knots that coincide leave nothing to share out
+            share = F.coalesce(F.try_divide(out[r], right[r] + left[degree - 1 - r]), F.lit(0.0))
+            following.append(carried + right[r] * share)
+            carried = left[degree - 1 - r] * share
+        out = [*following, carried]
+    return out
+
+
 def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str) -> DataFrame:
-    """Add ``name``: ``y`` less its least-squares fit by lines between one node per ``size`` rows."""
+    """Add ``name``: ``y`` less its least-squares fit by cubics between one node per ``size`` rows."""
     kind, staging = dict(df.dtypes)[by], Staging(df.sparkSession, "spline")
     up = W.partitionBy(by).orderBy("u")
     ranked = df.filter(F.col("u").isNotNull()).select(by, "u", F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint").alias("k"), (F.row_number().over(up) - 1).cast("bigint").alias("s"), F.lead("u").over(up).alias("after"), F.greatest(F.count("*").over(W.partitionBy(by)) - 1, F.lit(1)).alias("m"))
@@ -370,35 +386,53 @@ def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str) -> Data
     nodes = staging.put(held.select(by, at.alias("u")).distinct().withColumn("node", F.lit(1)), "nodes")
     # a row belongs to the last node that is not above it; nodes come before rows of the same place
     running = W.partitionBy(by).orderBy("u", F.desc_nulls_last("node")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    both = df.withColumn("node", F.lit(0)).unionByName(nodes, allowMissingColumns=True).withColumn("seg", F.sum("node").over(running)).withColumn("t", F.last(F.when(F.col("node") == 1, F.col("u")), ignorenulls=True).over(running))
-    ends = nodes.select(by, F.row_number().over(up).cast("bigint").alias("seg"), F.lead("u").over(up).alias("t2"))
-    based = both.filter("node = 0").join(ends, [by, "seg"], "left").withColumn("f", F.coalesce((F.col("u") - F.col("t")) / (F.col("t2") - F.col("t")), F.lit(0.0))).drop("node", "t", "t2")
-    f, g = F.col("f"), 1 - F.col("f")
-    sums = based.filter(F.col("u").isNotNull() & F.col(y).isNotNull()).groupBy(by, "seg").agg(F.sum(g * g).alias("a"), F.sum(g * f).alias("b"), F.sum(f * f).alias("c"), F.sum(g * F.col(y)).cast("double").alias("p"), F.sum(f * F.col(y)).cast("double").alias("q"))
-    sums = ends.select(by, "seg").join(sums, [by, "seg"], "left").fillna(0.0, ["a", "b", "c", "p", "q"])
-    fitted = staging.put(sums.groupBy(by).applyInPandas(_solve, f"`{by}` {kind}, seg bigint, at double, next double"), "heights")
-    value = (1 - F.col("f")) * F.col("at") + F.col("f") * F.col("next")
-    return based.join(fitted, [by, "seg"]).withColumn(name, F.col(y) - value).drop("seg", "f", "at", "next")
+    both = df.withColumn("node", F.lit(0)).unionByName(nodes, allowMissingColumns=True).withColumn("seg", F.sum("node").over(running))
+    ends, whole = F.count("*").over(W.partitionBy(by)), W.partitionBy(by)
+    beside = lambda k: F.coalesce(F.lag("u", k).over(up) if k >= 0 else F.lead("u", -k).over(up), F.min("u").over(whole) if k >= 0 else F.max("u").over(whole))
+    knots = nodes.select(by, F.row_number().over(up).cast("bigint").alias("seg"), ends.alias("nodes"), *[beside(2 - d).alias(f"t{d}") for d in range(6)])
+    # the last node ends the last stretch, unless it is alone
+    stretches = knots.filter("seg < nodes OR nodes = 1")
+    most = knots.filter("seg = 1").select(by, F.greatest(F.col("nodes") - 1, F.lit(1)).alias("most"))
+    placed = both.filter("node = 0").drop("node").join(most, by, "left").withColumn("seg", F.least("seg", "most")).drop("most").join(stretches.drop("nodes"), [by, "seg"], "left")
+    basis = _cubic(F.col("u"), [F.col(f"t{d}") for d in range(6)])
+    alone = F.col("t2") == F.col("t3")
+    based = placed.select(*df.columns, "seg", *[F.when(alone, F.lit(float(i == 0))).otherwise(b).alias(f"b{i}") for i, b in enumerate(basis)])
+    pairs = [(i, j) for i in range(4) for j in range(i, 4)]
+    sums = [F.sum(F.col(f"b{i}") * F.col(f"b{j}")).alias(f"g{i}{j}") for i, j in pairs] + [F.sum(F.col(f"b{i}") * F.col(y)).cast("double").alias(f"p{i}") for i in range(4)]
+    gram = based.filter(F.col("u").isNotNull() & F.col(y).isNotNull()).groupBy(by, "seg").agg(*sums)
+    filled = stretches.select(by, "seg").join(gram, [by, "seg"], "left").fillna(0.0)
+    fitted = staging.put(filled.groupBy(by).applyInPandas(_solve, f"`{by}` {kind}, seg bigint, " + ", ".join(f"c{i} double" for i in range(4))), "weights")
+    value = sum(F.col(f"b{i}") * F.col(f"c{i}") for i in range(4))
+    return based.join(fitted, [by, "seg"], "left").withColumn(name, F.col(y) - value).select(*df.columns, name)
 
 
 def _solve(group: pd.DataFrame) -> pd.DataFrame:
-    """Heights of one group's nodes: the tridiagonal normal equations, by elimination.
+    """Weights of one group's basis functions: the banded normal equations, by elimination.
 
-    A node that no row decides has a pivot of zero; any height fits it, and it gets zero.
+    A function that no row decides has a pivot of zero; any weight fits it, and it gets zero.
     """
     group = group.sort_values("seg")
-    a, b, c, p, q = (group[name].to_numpy(float) for name in "abcpq")
-    diagonal, right = a + np.r_[0.0, c[:-1]], p + np.r_[0.0, q[:-1]]
-    pivot, value = diagonal.copy(), right.copy()
-    free = np.zeros(len(a), bool)
-    for k in range(len(a)):
-        if k and not free[k - 1]:
-            ratio = b[k - 1] / pivot[k - 1]
-            pivot[k] -= ratio * b[k - 1]
-            value[k] -= ratio * value[k - 1]
-        free[k] = pivot[k] <= 1e-12 * max(diagonal[k], 1e-300)
-    height = np.zeros(len(a) + 1)
-    for k in range(len(a) - 1, -1, -1):
-        if not free[k]:
-            height[k] = (value[k] - b[k] * height[k + 1]) / pivot[k]
-    return pd.DataFrame({group.columns[0]: group.iloc[:, 0], "seg": group["seg"], "at": height[:-1], "next": height[1:]})
+    n = len(group)
+    band, right = np.zeros((4, n + 3)), np.zeros(n + 3)
+    for i in range(4):
+        right[i : i + n] += group[f"p{i}"].to_numpy(float)
+        for j in range(i, 4):
+            band[j - i, i : i + n] += group[f"g{i}{j}"].to_numpy(float)
+    diagonal, pivot = band[0].copy(), band[0].copy()
+    factor = np.zeros((4, n + 3))  # factor[d, k]: by what row k is taken off row k + d
+    for k in range(n + 3):
+        if pivot[k] <= 1e-12 * max(diagonal[k], 1e-300):
+            pivot[k] = 0.0
+            continue
+        below = band[1:, k].copy()
+        factor[1:, k] = below / pivot[k]
+        for d in range(1, min(4, n + 3 - k)):
+            pivot[k + d] -= factor[d, k] * below[d - 1]
+            right[k + d] -= factor[d, k] * right[k]
+            for e in range(1, min(4 - d, n + 3 - k - d)):
+                band[e, k + d] -= factor[d, k] * below[d + e - 1]
+    weight = np.zeros(n + 6)
+    for k in range(n + 2, -1, -1):
+        if pivot[k] > 0:
+            weight[k] = right[k] / pivot[k] - factor[1:, k] @ weight[k + 1 : k + 4]
+    return pd.DataFrame({group.columns[0]: group.iloc[:, 0], "seg": group["seg"]} | {f"c{i}": weight[i : i + n] for i in range(4)})

@@ -7,10 +7,24 @@ from pyspark.sql import functions as F
 from markerloom.operators import windows as w
 
 
+def basis(u, inner):
+    """Every cubic B-spline of the knots at ``u``, by the recursion over degrees."""
+    knots = np.unique(np.concatenate([[u.min(), u.max()], inner]))
+    if len(knots) == 1:
+        return np.ones((len(u), 1))
+    t = np.concatenate([[knots[0]] * 3, knots, [knots[-1]] * 3])
+    last = np.searchsorted(t, knots[-1]) - 1
+    out = [((t[k] <= u) & ((u < t[k + 1]) | ((k == last) & (u == knots[-1])))).astype(float) for k in range(len(t) - 1)]
+    for degree in (1, 2, 3):
+        ratio = lambda a, b: a / b if b > 0 else 0 * a
+        out = [ratio(u - t[k], t[k + degree] - t[k]) * out[k] + ratio(t[k + degree + 1] - u, t[k + degree + 1] - t[k + 1]) * out[k + 1] for k in range(len(out) - 1)]
+    return np.column_stack(out)
+
+
 def fitted(u, y, size):
-    knots = np.quantile(u, np.arange(1, max(1, round(len(u) / size)) + 1) / (max(1, round(len(u) / size)) + 1))
-    basis = np.column_stack([np.ones(len(u)), u, *[np.maximum(u - t, 0) for t in np.unique(knots)]])
-    return y - basis @ np.linalg.lstsq(basis, y, rcond=1e-12)[0]
+    count = max(1, round(len(u) / size))
+    columns = basis(u, np.quantile(u, np.arange(1, count + 1) / (count + 1)))
+    return y - columns @ np.linalg.lstsq(columns, y, rcond=1e-12)[0]
 
 
 def test_residuals_match_least_squares(spark):
