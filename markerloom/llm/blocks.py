@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +46,14 @@ def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
     if cut is None:
         return df.limit(0)
     return df.filter(h <= cut).orderBy(h).limit(n)
+
+
+def raw_values(column: pa.Array) -> Iterator[np.ndarray]:
+    """The bytes of every string or binary value, in place; null counts as empty."""
+    wide = np.int64 if column.type in (pa.large_string(), pa.large_binary()) else np.int32
+    _, edges, data = column.buffers()
+    edges = np.frombuffer(edges, wide)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, wide)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    for lo, hi, ok in zip(edges[:-1].tolist(), edges[1:].tolist(), known.tolist(), strict=True):
+        yield data[lo:hi] if ok else data[:0]

@@ -23,14 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from markerloom.llm.blocks import hash_sample
+from markerloom.llm.blocks import hash_sample, raw_values
 
 WIDTHS = (2, 3, 4)
 WINDOW = 192
+#: Bytes of a text whose windows are laid out at a time.
+STRETCH = 4096 * WINDOW
 
 
 def remainder(doc_id: str, divisor: int) -> Column:
@@ -38,9 +41,8 @@ def remainder(doc_id: str, divisor: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor
 
 
-def windows(data: bytes, length: int = WINDOW) -> np.ndarray:
-    """All windows of a text as rows of bytes; the last one is filled up with zero bytes."""
-    raw = np.frombuffer(data, dtype=np.uint8)
+def windows(raw: np.ndarray, length: int = WINDOW) -> np.ndarray:
+    """All windows of a text's bytes as rows; the last one is filled up with zero bytes."""
     n = max(1, -(-len(raw) // length))
     out = np.zeros(n * length, dtype=np.uint8)
     out[: len(raw)] = raw
@@ -142,7 +144,7 @@ def train(labelled: DataFrame, text: str, lang: str, id_col: str, train_docs: in
     x, y = [], []
     for r in rows:
         for part in r["parts"]:
-            x.append(windows(part.encode())[0])
+            x.append(windows(np.frombuffer(part.encode(), np.uint8))[0])
             y.append(classes.index(r["lang"]))
     return ByteConvNet(classes).fit(np.array(x), np.array(y))
 
@@ -160,10 +162,10 @@ def predict(docs: DataFrame, net: ByteConvNet | None, text: str = "text") -> Dat
     def batches(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = spread.value
         for batch in batches_:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            texts = batch.column(batch.schema.get_field_index(text))
             sums = np.zeros((len(texts), len(classes)))
             counts = np.ones(len(texts))
-            lettered = np.array([s is not None and any(map(str.isalpha, s)) for s in texts], dtype=bool)
+            lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             parts, owners, held = [], [], 0
 
             def flush() -> None:
@@ -171,10 +173,10 @@ def predict(docs: DataFrame, net: ByteConvNet | None, text: str = "text") -> Dat
                 for at in range(0, len(x), chunk):
                     np.add.at(sums, who[at : at + chunk], responses(t, x[at : at + chunk]))
 
-            for i, s in enumerate(texts):
-                if lettered[i]:
-                    w = windows(s.encode())
-                    counts[i] = len(w)
+            for i, raw in enumerate(raw_values(texts)):
+                counts[i] = max(1, -(-len(raw) // WINDOW))
+                for at in range(0, len(raw) if lettered[i] else 0, STRETCH):
+                    w = windows(raw[at : at + STRETCH])
                     parts.append(w)
                     owners.append(np.full(len(w), i))
                     held += len(w)

@@ -196,7 +196,7 @@ def test_bitmap_bound_never_loses_a_pair():
 
 
 # ---- 6 repeated strings ----
-def test_repeated_strings_match_brute_force(spark, empty, monkeypatch):
+def test_repeated_strings_match_brute_force(spark, empty):
     rng = random.Random(9)
     passage = "".join(rng.choice("abcdé ") for _ in range(150))
     noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
@@ -218,18 +218,33 @@ def test_repeated_strings_match_brute_force(spark, empty, monkeypatch):
     df = spark.createDataFrame(data, DOCS).repartition(3, "doc_id")
     assert rows(suffix_dedup.repeated_strings(df), *columns) == sorted(want)
     assert rows(suffix_dedup.repeated_strings(df, bucket_bytes=200), *columns) == sorted(want)
+    # texts cut into segments, also where the last one is longer than a segment
+    for size in (90, 150):
+        assert rows(suffix_dedup.repeated_strings(df, segment_bytes=size), *columns) == sorted(want)
     assert suffix_dedup.repeated_strings(empty).count() == 0
 
 
-def test_difference_cover_and_segments(monkeypatch):
-    assert suffix_dedup.covers(suffix_dedup.MODULUS, suffix_dedup.COVER)
+def test_a_string_in_every_document_goes_past_the_bucket_of_its_name(spark):
+    rng = random.Random(10)
+    footer = "-" * 400 + "".join(rng.choice("abcdefgh ") for _ in range(200))
+    noise = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 120)))
+    data = [(k, noise() + footer, None, None, None) for k in range(120)]
+    got = {r.doc_id: r for r in suffix_dedup.repeated_strings(spark.createDataFrame(data, DOCS).repartition(4), bucket_bytes=4096).collect()}
+    assert got[0].n_removed == 300 + 100 - 100 or got[0].n_removed > 0
+    assert all(got[k].n_removed >= len(footer) for k in range(1, 120))
+    block = suffix_dedup._sent(np.zeros(500, np.int64), np.arange(500), np.zeros(500, np.uint64), 3)
+    dest, names = block.column("dest").to_pylist(), block.column("names").to_pylist()
+    assert [len(n) // 4 for d, n in zip(dest, names, strict=True) if d < 8] == [1] and sum(d >= 8 for d in dest) == 1
+
 
-    monkeypatch.setattr(suffix_dedup, "SEGMENT", 50)
+def test_difference_cover_and_segments():
+    assert suffix_dedup.covers(suffix_dedup.MODULUS, suffix_dedup.COVER)
     text = "".join(map(str, range(100)))
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [text, None]})
-    parts = [x for block in suffix_dedup._segments(iter([batch]), 9) for x in block]
-    starts = [o + k for d, o, b, _ in parts if d == 1 for k in range(min(50, len(b) - 9))]
-    assert starts == list(range(len(text) - 9)) and all(text.encode()[o : o + len(b)] == b for d, o, b, _ in parts if d == 1)
+    parts = [x for block in suffix_dedup._segments(iter([batch]), 9, 50) for x in block]
+    starts = [o + k for d, o, b, *_ in parts if d == 1 for k in range(min(50, len(b) - 9))]
+    assert starts == list(range(len(text) - 9)) and all(text.encode()[o : o + len(b)] == b for d, o, b, *_ in parts if d == 1)
+    assert [last for d, *_, last, _ in parts if d == 1] == [False, False, False, True] and [last for d, *_, last, _ in parts if d == 2] == [True]
 
 
 # ---- 7 language ----
