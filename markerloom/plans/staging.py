@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 _SETTING = "spark.checkpoint.dir"
 #: Spark's own switch for dropping a finished query's shuffle files at once.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 _local: dict[str, str] = {}
@@ -61,20 +62,26 @@ class Staging:
         self.count = 0
         _made.append(self.root)
 
-    def put(self, df: DataFrame, name: str, release: bool = False) -> DataFrame:
-        """Write ``df`` and read it back; ``release`` drops the query's shuffle files at once."""
+    def put(self, df: DataFrame, name: str, release: bool = False, arrow_rows: int | None = None) -> DataFrame:
+        """Write ``df`` and read it back.
+
+        ``release`` drops the query's shuffle files at once; ``arrow_rows`` bounds the rows that a
+        Python task of the query is sent at a time, for tables of long texts.
+        """
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
-        if release:
-            before = self.spark.conf.get(_CLEANUP, None)
-            self.spark.conf.set(_CLEANUP, "true")
+        wanted = ({_CLEANUP: "true"} if release else {}) | ({_BATCH: str(arrow_rows)} if arrow_rows else {})
+        before = {key: self.spark.conf.get(key, None) for key in wanted}
         try:
+            for key, value in wanted.items():
+                self.spark.conf.set(key, value)
             df.write.parquet(path)
         finally:
-            if release and before is not None:
-                self.spark.conf.set(_CLEANUP, before)
-            elif release:
-                self.spark.conf.unset(_CLEANUP)
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
         back = self.spark.read.schema(df.schema).parquet(path)
         _paths[back] = path
         return back
