@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,3 +58,11 @@ def raw_values(column: pa.Array) -> Iterator[np.ndarray]:
     known = column.is_valid().to_numpy(zero_copy_only=False)
     for lo, hi, ok in zip(edges[:-1].tolist(), edges[1:].tolist(), known.tolist(), strict=True):
         yield data[lo:hi] if ok else data[:0]
+
+
+def give_back() -> None:
+    """Return freed memory to the system at a task's end, as worker processes outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

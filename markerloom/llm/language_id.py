@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from markerloom.llm.blocks import hash_sample, raw_values
+from markerloom.llm.blocks import give_back, hash_sample, raw_values
 
 WIDTHS = (2, 3, 4)
 WINDOW = 192
@@ -190,6 +190,7 @@ def predict(docs: DataFrame, net: ByteConvNet | None, text: str = "text") -> Dat
             score = np.clip(mean[np.arange(len(texts)), best], 0.0, 1.0) if len(texts) else np.zeros(0)
             names = pa.array([classes[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, names, pa.array(np.where(lettered, score, 0.0), pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+        give_back()
 
     return docs.mapInArrow(batches, schema)
 

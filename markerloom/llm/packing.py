@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from markerloom.llm.blocks import give_back
 from markerloom.plans.staging import Staging
 
 LENGTH = 4096
@@ -57,10 +58,10 @@ class WordIds:
     are those of its parts in turn. Parts are cut and told apart by array operations on the bytes;
     only a part that is new becomes a Python string. New parts of one class are encoded many at a
     time, and the marks of word ends in the vocabulary tell their ids apart. Up to ``keep`` parts
-    are remembered, which takes about 30 bytes each; later ones are encoded each time they come.
+    are remembered, which takes about 25 bytes each; later ones are encoded each time they come.
     """
 
-    def __init__(self, path: str, keep: int = 1_500_000):
+    def __init__(self, path: str, keep: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
         from tokenizers import Tokenizer
 
@@ -70,15 +71,16 @@ class WordIds:
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = pa.chunked_array([pa.array([""])])
-        self.size, self.flat, self.held = np.zeros(1, np.int32), np.zeros(1 << 16, np.uint32), 0
+        self.id_type = np.uint16 if len(self.closes) <= 1 << 16 else np.uint32
+        self.size, self.flat, self.held = np.zeros(1, np.int32), np.zeros(1 << 16, self.id_type), 0
 
     def _plainly(self, names: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=self.id_type) for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
 
     def _encoded(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Parts in a new order, their numbers of ids, and their ids in one array."""
         plain = pc.match_substring_regex(parts, _PLAIN)
-        order, sizes, flat = [], [np.zeros(0, np.int32)], [np.zeros(0, np.uint32)]
+        order, sizes, flat = [], [np.zeros(0, np.int32)], [np.zeros(0, self.id_type)]
         single = parts.filter(plain)
         for at in range(0, len(single), 20_000):
             names = single.slice(at, 20_000).to_pylist()
@@ -102,7 +104,7 @@ class WordIds:
 
     def _remember(self, parts: pa.Array, sizes: np.ndarray, flat: np.ndarray) -> None:
         if self.held + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat[: self.held], np.zeros(max(len(self.flat), 2 * len(flat)), np.uint32)])
+            self.flat = np.concatenate([self.flat[: self.held], np.zeros(max(len(self.flat) // 2, 2 * len(flat)), self.id_type)])
         self.flat[self.held : self.held + len(flat)] = flat
         self.held += len(flat)
         self.size = np.concatenate([self.size, sizes])
@@ -111,7 +113,7 @@ class WordIds:
     def ids(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         """Ids of the texts that begin at ``starts`` in an array of UTF-8 bytes."""
         if not len(data):
-            return [np.zeros(0, np.uint32) for _ in starts]
+            return [np.zeros(0, self.id_type) for _ in starts]
         kinds = _CLASS[data]
         apostrophes = np.flatnonzero(data[:-1] == 39)
         kinds[apostrophes[kinds[apostrophes + 1] == _LETTER]] = _REST
@@ -128,7 +130,7 @@ class WordIds:
         sizes, flat = self.size, self.flat[: self.held]
         if len(unseen):
             parts_, more, ids = self._encoded(unseen)
-            place = np.empty(len(distinct.dictionary), np.int64)
+            place = np.empty(len(distinct.dictionary), np.int32)
             seen = found.is_valid().to_numpy(zero_copy_only=False)
             place[seen] = found.drop_null().to_numpy()
             place[~seen] = len(sizes) + pc.index_in(unseen, parts_).to_numpy()
@@ -165,7 +167,7 @@ class WordIds:
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         data = [t.encode() for t in texts]
         sizes = np.array([len(d) for d in data], np.int64)
-        return [np.append(x, np.uint32(end)) for x in self.ids(np.frombuffer(b"".join(data), np.uint8), np.cumsum(sizes) - sizes)]
+        return [_ended(x, end) for x in self.ids(np.frombuffer(b"".join(data), np.uint8), np.cumsum(sizes) - sizes)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -225,6 +227,12 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
     return sequences, offsets
 
 
+def _ended(ids: np.ndarray, end: int) -> np.ndarray:
+    out = np.empty(len(ids) + 1, "<u4")
+    out[:-1], out[-1] = ids, end
+    return out
+
+
 def _cut_text(data: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Stretches of a long text of about ``most`` bytes, cut before white space, where no token crosses."""
     edges = [0]
@@ -246,7 +254,8 @@ def _cut_text(data: np.ndarray, most: int) -> list[tuple[int, int]]:
 
 def _token_runs(words: WordIds, texts: pa.Array, end: int, most: int) -> Iterator[tuple[int, np.ndarray]]:
     """(index, ids with the end id) of every text, about ``most`` bytes at a time."""
-    texts = pc.fill_null(texts, "")
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
     wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     edges = np.frombuffer(texts.buffers()[1], wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
@@ -259,7 +268,7 @@ def _token_runs(words: WordIds, texts: pa.Array, end: int, most: int) -> Iterato
         else:
             found = [np.concatenate([words.ids(piece[lo:hi], np.zeros(1, np.int64))[0] for lo, hi in _cut_text(piece, most)])]
         for k, ids in enumerate(found):
-            yield at + k, np.append(ids, np.uint32(end))
+            yield at + k, _ended(ids, end)
         at = upto
 
 
@@ -275,11 +284,12 @@ def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int
                     piece = ids[start : start + length]
                     owner.append(i)
                     cut.append((start, len(piece)))
-                    crc.append(zlib.crc32(np.ascontiguousarray(piece, "<u4")))
+                    crc.append(zlib.crc32(piece))
                     tokens.append(len(ids))
             start, size = np.array(cut, np.int64).reshape(-1, 2).T
             columns = [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(start), pa.array(size), pa.array(crc, pa.int64()), pa.array(tokens, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        give_back()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(batches, PIECES)
 
@@ -289,7 +299,7 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: in
     import public_tokenizers
 
     staging = Staging(docs.sparkSession, "packing")
-    pieces = staging.put(tokenized_pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), length, end, id_col, text), "pieces")
+    pieces = staging.put(tokenized_pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), length, end, id_col, text), "pieces", arrow_rows=2000)
     shards = max(1, -(-pieces.count() // shard_pieces))
     keyed = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "length", "ids_crc32"), F.lit(shards)))
 
