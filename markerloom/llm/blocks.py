@@ -66,3 +66,15 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def crc32_sql(data: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a blob, byte by byte through the usual table of 256 remainders."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = (byte >> 1) ^ (0xEDB88320 * (byte & 1))
+        table.append(str(byte))
+    found = f"list_transform(regexp_extract_all(hex({data}), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    step = f"lambda a, b: xor(a >> 8, ([{','.join(table)}]::BIGINT[])[1 + (xor(a, b) & 255)])"
+    return f"xor(list_reduce({found}, {step}, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"
