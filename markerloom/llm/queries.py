@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from markerloom.llm import embedding_dedup, language_id, license_scan, mixing, ngram_join, packing, quality, secret_scan, sharding, suffix_dedup, topk
+from markerloom.llm import embedding_dedup, filter_audit, language_id, license_scan, mixing, ngram_join, packing, prefix_trie, quality, secret_scan, sharding, suffix_dedup, topk
 
 
 def queries() -> dict:
@@ -17,6 +17,8 @@ def queries() -> dict:
         "op8_packing": packing.op8_packing,
         "op9_secret_scan": secret_scan.op9_secret_scan,
         "op10_quality": quality.op10_quality,
+        "op11_filter_audit": filter_audit.op11_filter_audit,
+        "op12_prefix_trie": prefix_trie.op12_prefix_trie,
         "op13_sharding": sharding.op13_sharding,
     }
 
@@ -28,5 +30,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_embedding_dedup": embedding_dedup.oracle(),
         "op5_ngram_jaccard": ngram_join.oracle(),
         "op9_secret_scan": secret_scan.oracle(),
+        "op11_filter_audit": filter_audit.oracle(),
+        "op12_prefix_trie": prefix_trie.oracle(),
         "op13_sharding": sharding.oracle(),
     }
