@@ -1,7 +1,8 @@
 """Filter interaction audit as a stream with retractions.
 
-All document files are read as available-now micro-batches. Each text has a state, keyed by its
-digest: the smallest id seen so far and who holds it. A document with a larger id fails the
+All document files are read as available-now micro-batches. Each text has a state under its digest:
+the smallest id seen so far and who holds it. Texts whose digests fall into one of many buckets share
+one entry of the state store, so that a task meets a thousand texts in a call of Python. A document with a larger id fails the
 duplicate filter; when a smaller id arrives, the former holders' masks are taken out of the counters
 of their parts and put back with the duplicate bit. What leaves the stream are signed counts by part
 and mask, a few rows a task and batch; their sums are the counters, from which every order of the
@@ -38,12 +39,14 @@ FILTERS = "ABCDE"
 _COPY = 1 << FILTERS.index("E")
 _LAST = (1 << 63) - 1
 _SPACE = r"[\x20\x09-\x0D]+"
-_JOINED = "key string, part string, mask int, good int, toxic int, n bigint, least bigint, n_least bigint"
-_STATE = "least bigint, part array<string>, good array<int>, toxic array<int>, n array<bigint>"
+_JOINED = "bucket int, key string, part string, mask int, good int, toxic int, n bigint, least bigint, n_least bigint"
+_STATE = "key array<string>, least array<bigint>, part array<string>, good array<int>, toxic array<int>, n array<bigint>"
 _COUNTS = "part string, mask int, n bigint, good bigint, toxic bigint"
 _CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: RocksDB would set aside megabytes of disk for each
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -62,9 +65,9 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(batch):
             continue
         rows = batch.to_pandas()
-        group = rows.groupby(["key", "part", "mask", "good", "toxic"], sort=False)
-        rows["holds"] = (rows["id"] == group["id"].transform("min")).astype("int64")
-        out = group.agg(n=("id", "size"), least=("id", "min")).join(rows.groupby(["key", "part", "mask", "good", "toxic"], sort=False).agg(n_least=("holds", "sum"))).reset_index()
+        group = rows.groupby(["bucket", "key", "part", "mask", "good", "toxic"], sort=False)
+        least = group["id"].transform("min")
+        out = rows.assign(holds=(rows["id"] == least).astype("int64")).groupby(list(group.keys), sort=False).agg(n=("id", "size"), least=("id", "min"), n_least=("holds", "sum")).reset_index()
         yield pa.RecordBatch.from_pandas(out, preserve_index=False).cast(_arrow(_JOINED))
 
 
@@ -73,29 +76,40 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(", "))])
 
 
-def _retracted(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Signed counts that new rows of one text bring; the state keeps the smallest id and its holders."""
-    rows = [r for f in frames for r in zip(*(f[c].tolist() for c in ("part", "mask", "good", "toxic", "n", "least", "n_least")), strict=True)]
-    known, *held = state.get if state.exists else (_LAST, [], [], [], [])
-    old = list(zip(*held, strict=True)) if state.exists else []
-    least = min([r[5] for r in rows] + ([known] if state.exists else []))
-    mask, holders = rows[0][1], {}
-    out = []
-    for part, good, toxic, n in old:
+def _retracted(bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Signed counts that new rows bring to the texts of a bucket; the state keeps smallest ids and their holders."""
+    held: dict[str, tuple[int, dict[tuple, int]]] = {}
+    for key, least, *holder, n in zip(*state.get, strict=True) if state.exists else ():
+        held.setdefault(key, (least, {}))[1][tuple(holder)] = n
+    fresh: dict[str, list[tuple]] = {}
+    for f in frames:
+        for key, *row in zip(*(f[c].tolist() for c in ("key", "part", "mask", "good", "toxic", "n", "least", "n_least")), strict=True):
+            fresh.setdefault(key, []).append(row)
+    signed: dict[tuple[str, int], list[int]] = {}
+
+    def count(part: str, mask: int, good: int, toxic: int, n: int) -> None:
+        sums = signed.setdefault((part, mask), [0, 0, 0])
+        for k, weight in enumerate((1, good, toxic)):
+            sums[k] += weight * n
+
+    for key, rows in fresh.items():
+        known, holders = held.get(key, (_LAST, {}))
+        least, mask = min(known, min(r[5] for r in rows)), rows[0][1]
         if known > least:
-            out += [(part, mask, -n, good * -n, toxic * -n), (part, mask | _COPY, n, good * n, toxic * n)]
-        else:
-            holders[part, good, toxic] = n
-    for part, _, good, toxic, n, own, n_own in rows:
-        first = n_own if own == least else 0
-        if first:
-            holders[part, good, toxic] = holders.get((part, good, toxic), 0) + first
-            out.append((part, mask, first, good * first, toxic * first))
-        if n > first:
-            out.append((part, mask | _COPY, n - first, good * (n - first), toxic * (n - first)))
-    keys = list(holders)
-    state.update((least, [k[0] for k in keys], [k[1] for k in keys], [k[2] for k in keys], [holders[k] for k in keys]))
-    yield pd.DataFrame(out, columns=["part", "mask", "n", "good", "toxic"])
+            for (part, good, toxic), n in holders.items():
+                count(part, mask, good, toxic, -n)
+                count(part, mask | _COPY, good, toxic, n)
+            holders = {}
+        for part, _, good, toxic, n, own, n_own in rows:
+            first = n_own if own == least else 0
+            if first:
+                holders[part, good, toxic] = holders.get((part, good, toxic), 0) + first
+                count(part, mask, good, toxic, first)
+            if n > first:
+                count(part, mask | _COPY, good, toxic, n - first)
+        held[key] = (least, holders)
+    state.update(tuple(map(list, zip(*((key, least, *holder, n) for key, (least, holders) in held.items() for holder, n in holders.items()), strict=True))))
+    yield pd.DataFrame([(*k, *v) for k, v in signed.items()], columns=["part", "mask", "n", "good", "toxic"])
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,11 +124,25 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), _arrow(_COUNTS).types, strict=True)], schema=_arrow(_COUNTS))
 
 
-def _pattern(spark: SparkSession, path: str) -> str:
-    """A folder or pattern as it is; a single file, which a stream takes for a folder, as a pattern of itself."""
+def _status(spark: SparkSession, path: str):
+    """The file system's status of a path, wherever it lies; None where there is nothing."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return f"{path[:-1]}[{path[-1]}]" if system.exists(target) and system.getFileStatus(target).isFile() else path
+    return system.getFileStatus(target) if system.exists(target) else None
+
+
+def _pattern(spark: SparkSession, path: str) -> str:
+    """A folder or pattern as it is; a single file, which a stream takes for a folder, as a pattern of itself."""
+    found = _status(spark, path)
+    return f"{path[:-1]}[{path[-1]}]" if found is not None and found.isFile() else path
+
+
+def _buckets(spark: SparkSession, docs: DataFrame, folder: str, texts: int = 1000) -> int:
+    """How many buckets the texts of a stream's folder fall into: fixed by the rows there are at its start."""
+    path = f"{folder}/buckets"
+    if _status(spark, f"{path}/_SUCCESS") is None:
+        docs.agg(F.ceil(F.count("*") / texts).alias("n")).write.mode("overwrite").parquet(path)
+    return max(1, spark.read.schema("n bigint").parquet(path).first()[0])
 
 
 def follow(spark: SparkSession, path: str, labels: DataFrame, folder: str, files: int | None = None) -> DataFrame:
@@ -130,11 +158,11 @@ def follow(spark: SparkSession, path: str, labels: DataFrame, folder: str, files
     files = files or max(1, -(-len(present.inputFiles()) // 4))
     docs = spark.readStream.schema(present.schema).option("maxFilesPerTrigger", files).parquet(_pattern(spark, path))
     told = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    told = told.select("doc_id", "part", F.md5("text").alias("key"), text_mask(F.col("text")).alias("mask"))
+    told = told.select("doc_id", "part", F.md5("text").alias("key"), F.pmod(F.xxhash64("text"), F.lit(_buckets(spark, present, folder))).cast("int").alias("bucket"), text_mask(F.col("text")).alias("mask"))
     # a row without id meets no label; a key of its own text spares the join a heap of nulls
     meets = [F.coalesce("doc_id", F.xxhash64("key")) == F.col("labelled"), F.col("doc_id").isNotNull()]
-    rated = told.join(known, meets, "left").select("key", "part", "mask", F.coalesce("quality", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"), F.coalesce("doc_id", F.lit(_LAST)).alias("id"))
-    signed = rated.mapInArrow(_combined, _JOINED).groupBy("key").applyInPandasWithState(_retracted, _COUNTS, _STATE, "append", "NoTimeout").mapInArrow(_added, _COUNTS)
+    rated = told.join(known, meets, "left").select("bucket", "key", "part", "mask", F.coalesce("quality", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"), F.coalesce("doc_id", F.lit(_LAST)).alias("id"))
+    signed = rated.mapInArrow(_combined, _JOINED).groupBy("bucket").applyInPandasWithState(_retracted, _COUNTS, _STATE, "append", "NoTimeout").mapInArrow(_added, _COUNTS)
     before = {k: spark.conf.get(k, None) for k in _CONF}
     try:
         for k, v in _CONF.items():
