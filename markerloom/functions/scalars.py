@@ -163,12 +163,36 @@ def map_position(df: DataFrame, fraction: str = "r", by: str = "lg", order: tupl
     return df.withColumn("cm", F.sum(map_distance(F.col(fraction), method)).over(upto))
 
 
+# In version order a tilde comes before the end of a name, letters after it, then all other signs.
+_SIGNS = "".join(c for c in map(chr, range(1, 127)) if not c.isalnum() and c != "~")
+
+
+def version_key(col: Column) -> Column:
+    """Array of (text, digits' number, digits) of a name, which compares as ``sort -V`` compares names.
+
+    Numbers of any length compare by value: leading zeros go, then the longer one is greater. An end
+    mark closes every text and the name.
+    """
+    ranked = lambda text: F.concat(F.translate(text, "~" + _SIGNS, "\x01" + "".join(chr(256 + ord(c)) for c in _SIGNS)), F.lit("\x02"))
+    digits = lambda run: F.regexp_replace(F.regexp_extract(run, r"([0-9]*)$", 1), "^0+", "")
+    part = lambda run: F.struct(ranked(F.regexp_extract(run, r"^([^0-9]*)", 1)).alias("text"), F.length(digits(run)).alias("size"), digits(run).alias("digits"))
+    runs = F.filter(F.regexp_extract_all(col, F.lit(r"[^0-9]*[0-9]*"), F.lit(0)), lambda run: run != "")
+    return F.concat(F.transform(runs, part), F.array(part(F.lit(""))))
+
+
 def natural_key(col: Column) -> list[Column]:
-    """Sort keys that order ``ctg2`` before ``ctg10``: the text part, then the number."""
-    return [F.regexp_extract(col, r"^(\D*)", 1), F.regexp_extract(col, r"(\d+)", 1).try_cast("bigint"), col]
+    """Sort keys of version order: ``c1.2`` before ``c1.10``, whatever the number of parts.
+
+    Names without their file suffixes come first in order, then whole names, then plain text; empty
+    names and those that begin with a dot lead. Letters beyond ASCII come by code point.
+    """
+    dots = F.when(col == "", 0).when(col == ".", 1).when(col == "..", 2).when(col.startswith("."), 3).otherwise(4)
+    stem = F.when(col.startswith("."), F.concat(F.lit("."), F.regexp_replace(F.substring(col, 2, 1 << 30), r"(\.[A-Za-z~][A-Za-z0-9~]*)*$", ""))).otherwise(F.regexp_replace(col, r"(\.[A-Za-z~][A-Za-z0-9~]*)*$", ""))
+    return [dots, version_key(stem), version_key(col), col]
 
 
 def natural_sort(df: DataFrame, col: str) -> DataFrame:
+    """Rows in version order of ``col`` (as ``sort -V``), null first."""
     return df.orderBy(*natural_key(F.col(col)))
 
 
