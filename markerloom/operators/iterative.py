@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import heapq
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,8 @@ from markerloom.functions.scalars import bed_key, to_bin
 from markerloom.operators.aggregates import assign_by_margin
 from markerloom.operators.components import connected_components
 from markerloom.operators.numbering import with_row_number
-from markerloom.plans.staging import Staging
+from markerloom.operators.scans import Ordered
+from markerloom.plans.staging import Staging, small_side
 
 
 #: Rounds over the whole table before what is left is looked at component by component.
@@ -127,35 +129,36 @@ def remove_haplotypes(bed: DataFrame, haplotypes: DataFrame) -> DataFrame:
 
 
 def _pass(la: DataFrame, score_diff: float, bridge: bool) -> DataFrame:
-    """One pass: score ambiguous pieces by their neighbours, null wrong links, drop wrong rows."""
+    """One pass: score ambiguous pieces by their neighbours, null wrong links, drop wrong rows.
+
+    Neighbours are those in ``line`` order of the whole table, so that a piece at a chromosome's
+    border has one in the next chromosome.
+    """
     piece = F.struct("contig", "orig_start", "orig_end")
-    # rows of one table follow each other across chromosomes; chromosomes keep them in bounded groups
-    line = W.partitionBy("chr").orderBy("line")
-    df = la.withColumn("piece", piece).withColumn("count", F.count("*").over(W.partitionBy("contig", "orig_start", "orig_end")))
+    counted = la.withColumn("piece", piece).withColumn("count", F.count("*").over(W.partitionBy("contig", "orig_start", "orig_end")))
     near = F.struct("piece", "count", "contig")
-    df = df.withColumn("before", F.lag(near).over(line)).withColumn("after", F.lead(near).over(line))
+    rows = Ordered(counted, [], ["line"]).scan(before={"before": near}, after={"after": near})
     before_ok, after_ok = F.col("before.contig") == F.col("prev_contig"), F.col("after.contig") == F.col("next_contig")
-    df = df.withColumn("pc", F.when(before_ok, F.col("before.count"))).withColumn("nc", F.when(after_ok, F.col("after.count")))
+    rows = rows.select(pc=F.when(before_ok, F.col("before.count")), nc=F.when(after_ok, F.col("after.count")), prev_piece=F.when(before_ok, F.col("before.piece")), next_piece=F.when(after_ok, F.col("after.piece")))
     one = F.when(F.col("pc") == 1, F.col("prev_score") + F.col("map_score"))
     two = F.when(F.col("nc") == 1, F.col("next_score") + F.col("map_score"))
     both = F.when((F.col("pc") == 1) & (F.col("nc") == 1), F.col("prev_score") + F.col("next_score") + F.col("map_score"))
     score = F.greatest(one, two, both) if bridge else F.greatest(one, two)
-    scores = df.filter("count > 1").select("piece", "chr", score.alias("score")).filter("score IS NOT NULL")
-    chosen = assign_by_margin(scores, score_diff).select("piece", F.col("chr").alias("home"))
+    scores = rows.df.filter("count > 1").select("piece", "chr", score.alias("score")).filter("score IS NOT NULL")
+    chosen = small_side(rows.staging.put(assign_by_margin(scores, score_diff).select("piece", F.col("chr").alias("home")), "chosen"))
 
-    def homed(column: str, name: str) -> DataFrame:
-        return chosen.select(F.col("piece").alias(column), F.col("home").alias(name))
+    def homed(df: DataFrame, column: str, name: str) -> DataFrame:
+        return df.join(chosen.select(F.col("piece").alias(column), F.col("home").alias(name)), column, "left")
 
-    df = df.withColumn("prev_piece", F.when(before_ok, F.col("before.piece"))).withColumn("next_piece", F.when(after_ok, F.col("after.piece")))
-    df = df.join(homed("piece", "home"), "piece", "left").join(homed("prev_piece", "prev_home"), "prev_piece", "left").join(homed("next_piece", "next_home"), "next_piece", "left")
+    rows = rows.through(lambda df: homed(homed(homed(df, "piece", "home"), "prev_piece", "prev_home"), "next_piece", "next_home"))
     cut_prev, cut_next = (F.col("pc") > 1) & (F.col("prev_home") != F.col("chr")), (F.col("nc") > 1) & (F.col("next_home") != F.col("chr"))
-    df = df.withColumn("cp", F.coalesce(cut_prev, F.lit(False))).withColumn("cn", F.coalesce(cut_next, F.lit(False)))
-    df = df.withColumn("lose_prev", F.col("cp") | F.coalesce(F.lag("cn").over(line), F.lit(False))).withColumn("lose_next", F.col("cn") | F.coalesce(F.lead("cp").over(line), F.lit(False)))
-    for side in ("prev", "next"):
-        lost = F.col(f"lose_{side}")
-        df = df.withColumn(f"{side}_contig", F.when(lost, "null").otherwise(F.col(f"{side}_contig"))).withColumn(f"{side}_type", F.when(lost, "null").otherwise(F.col(f"{side}_type")))
-        df = df.withColumn(f"{side}_score", F.when(lost, 0).otherwise(F.col(f"{side}_score")).cast("bigint"))
-    return df.filter("count = 1 OR home IS NULL OR home = chr").select(*la.columns)
+    rows = rows.select(cp=F.coalesce(cut_prev, F.lit(False)), cn=F.coalesce(cut_next, F.lit(False))).scan(before={"from_before": "cn"}, after={"from_after": "cp"})
+    lost = {"prev": F.col("cp") | F.coalesce("from_before", F.lit(False)), "next": F.col("cn") | F.coalesce("from_after", F.lit(False))}
+    new = {}
+    for side, gone in lost.items():
+        new |= {f"{side}_contig": F.when(gone, "null").otherwise(F.col(f"{side}_contig")), f"{side}_type": F.when(gone, "null").otherwise(F.col(f"{side}_type"))}
+        new[f"{side}_score"] = F.when(gone, 0).otherwise(F.col(f"{side}_score")).cast("bigint")
+    return rows.df.filter("count = 1 OR home IS NULL OR home = chr").withColumns(new).select(*la.columns)
 
 
 def propagate(la: DataFrame, score_diff: float = 2, max_rounds: int | None = None, bridge: bool = False) -> DataFrame:
@@ -197,14 +200,140 @@ def link_scores(links: DataFrame) -> DataFrame:
     return per_file.groupBy("contig1", "o1", "contig2", "o2").agg(F.max("score").alias("score"))
 
 
-def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2) -> DataFrame:
-    """``(contig, chr)``: chromosomes of contigs spread along links.
+def _lead(sums: dict[int, list[float]]) -> tuple[float, int | None]:
+    """How far the best chromosome of a contig leads the next (or nothing), and which it is."""
+    best, second, home = 0.0, 0.0, None
+    for chromosome, ends in sums.items():
+        score = ends[0] + ends[1]
+        if score > best:
+            best, second, home = score, best, chromosome
+        elif score > second:
+            second = score
+    return best - second, home
+
+
+def _best_first(rows: pd.DataFrame, score_diff: float) -> pd.DataFrame:
+    """Contigs of whole components placed one after another, the greatest lead first.
 
-    Contigs placed in one chromosome seed; ambiguous ones are settled by their own scores; then,
-    in rounds, unplaced contigs linked to placed ones are scored at either end, and every one whose
-    lead none of its unplaced neighbours exceeds is placed (only neighbours can change a score, so
-    contigs far apart need not wait for each other). What is left goes to every chromosome it scores
-    ``score_diff`` in, and so do its unplaced neighbours until nothing changes.
+    Rows are scores (contig, chr, end, score) and links (contig, other, end, score), whose contig
+    gains ``score`` at ``end`` once ``other`` is placed. The heap keeps old leads, which are passed
+    over when they come up; contigs of one lead are placed together. Several components may share one
+    heap, as they cannot change each other.
+    """
+    sums: dict[str, dict[int, list[float]]] = {}
+    gains: dict[str, list[tuple[str, int, float]]] = {}
+    pairs: dict[tuple[str, str], float] = {}
+    for contig, other, chromosome, end, score in zip(*(rows[c].tolist() for c in ("contig", "other", "chr", "end", "score")), strict=True):
+        if other is None:
+            ends = sums.setdefault(contig, {}).setdefault(int(chromosome), [0.0, 0.0])
+            ends[end - 1] = max(ends[end - 1], score)
+        else:
+            sums.setdefault(contig, {})
+            gains.setdefault(other, []).append((contig, end - 1, score))
+            pairs[contig, other] = pairs.get((contig, other), 0.0) + score
+    placed: dict[str, int] = {}
+    heap = [(-lead, contig) for contig, known in sums.items() if (lead := _lead(known)[0]) >= score_diff]
+    heapq.heapify(heap)
+    while heap:
+        top, now = heap[0][0], {}
+        while heap and heap[0][0] == top:
+            contig = heapq.heappop(heap)[1]
+            lead, home = _lead(sums[contig])
+            if contig not in placed and lead == -top:
+                now[contig] = home
+        placed |= now
+        changed = set()
+        for contig, home in now.items():
+            for other, end, score in gains.get(contig, ()):
+                if other not in placed:
+                    ends = sums[other].setdefault(home, [0.0, 0.0])
+                    if score > ends[end]:
+                        ends[end] = score
+                        changed.add(other)
+        for other in changed:
+            lead = _lead(sums[other])[0]
+            if lead >= score_diff:
+                heapq.heappush(heap, (-lead, other))
+    spread = {c: {h for h, ends in known.items() if ends[0] + ends[1] >= score_diff} for c, known in sums.items() if c not in placed}
+    spread = {c: homes for c, homes in spread.items() if homes}
+    front = spread
+    while front:
+        following: dict[str, set[int]] = {}
+        for contig, homes in front.items():
+            for other, _, _ in gains.get(contig, ()):
+                if other not in placed and other not in spread and pairs[other, contig] >= score_diff:
+                    following.setdefault(other, set()).update(homes)
+        spread |= following
+        front = following
+    out = [*placed.items(), *((c, h) for c, homes in spread.items() for h in homes)]
+    return pd.DataFrame(out, columns=["contig", "chr"])
+
+
+class _Links:
+    """Contigs of ``own`` scores and ``ends`` of links (x, y, end, score): the steps of a placement round."""
+
+    def __init__(self, own: DataFrame, ends: DataFrame, score_diff: float):
+        self.own, self.ends, self.score_diff = own, ends, score_diff
+
+    def scores(self, placed: DataFrame) -> DataFrame:
+        """Best score at either end, for every contig not placed and every chromosome it touches."""
+        near = self.ends.join(placed.select(F.col("contig").alias("y"), "chr"), "y").select(F.col("x").alias("contig"), "chr", "end", "score")
+        base = self.own.select("contig", "chr", F.lit(1).alias("end"), F.col("s1").alias("score")).unionAll(self.own.select("contig", "chr", F.lit(2), F.col("s2")))
+        free = near.unionAll(base).join(placed, "contig", "left_anti")
+        return free.groupBy("contig", "chr", "end").agg(F.max("score").alias("score"))
+
+    def leads(self, scores: DataFrame) -> DataFrame:
+        order = W.partitionBy("contig").orderBy(F.desc("score"), F.desc("chr"))
+        ranked = scores.groupBy("contig", "chr").agg(F.sum("score").alias("score")).withColumn("lead", F.col("score") - F.coalesce(F.lead("score").over(order), F.lit(0.0)))
+        return ranked.withColumn("rn", F.row_number().over(order)).filter((F.col("rn") == 1) & (F.col("lead") >= self.score_diff)).select("contig", "chr", "lead")
+
+    def free_links(self, placed: DataFrame) -> DataFrame:
+        gone = placed.select("contig").distinct()
+        return self.ends.join(gone.withColumnRenamed("contig", "x"), "x", "left_anti").join(gone.withColumnRenamed("contig", "y"), "y", "left_anti")
+
+
+def _one_round(links: _Links, staging: Staging, placed: DataFrame, crowded: DataFrame) -> DataFrame | None:
+    """Contigs of ``crowded`` (contig, component) that can be placed now; none if no lead is left there.
+
+    Those of a component's greatest lead can, and those whose lead no neighbour can ever exceed: a
+    contig's lead stays below the sum of the best scores that any of its links and rows can bring.
+    """
+    lead = staging.put(links.leads(links.scores(placed)).join(crowded, "contig"), "lead")
+    if lead.isEmpty():
+        return None
+    most = links.ends.select(F.col("x").alias("contig"), "end", "score").unionAll(links.own.select("contig", F.lit(1), "s1")).unionAll(links.own.select("contig", F.lit(2), "s2"))
+    most = most.groupBy("contig", "end").agg(F.max("score").alias("score")).groupBy("contig").agg(F.sum("score").alias("most"))
+    beside = links.free_links(placed).select("x", "y").distinct().join(most.withColumnRenamed("contig", "y"), "y").groupBy(F.col("x").alias("contig")).agg(F.max("most").alias("beside"))
+    top = lead.groupBy("component").agg(F.max("lead").alias("top"))
+    now = lead.join(beside, "contig", "left").join(top, "component").filter((F.col("lead") == F.col("top")) | (F.col("lead") >= F.coalesce("beside", F.lit(0.0))))
+    return staging.put(now.select("contig", "chr"), "now")
+
+
+def _spread(links: _Links, staging: Staging, placed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Chromosomes of contigs of ``crowded`` that no lead places, one row of neighbours after another."""
+    scores = links.scores(placed).join(crowded, "contig", "left_semi").groupBy("contig", "chr").agg(F.sum("score").alias("score"))
+    spread = front = staging.put(scores.filter(F.col("score") >= links.score_diff).select("contig", "chr"), "spread")
+    both = staging.put(links.free_links(placed).groupBy("x", "y").agg(F.sum("score").alias("score")).filter(F.col("score") >= links.score_diff).select("x", "y"), "both")
+    while not front.isEmpty():
+        reached = both.join(front.select(F.col("contig").alias("y"), "chr"), "y").select(F.col("x").alias("contig"), "chr")
+        front = staging.put(reached.join(spread.select("contig").distinct(), "contig", "left_anti").distinct(), "front")
+        spread = staging.put(spread.unionAll(front), "spread")
+    return spread
+
+
+def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2, component_rows: int = 2_000_000) -> DataFrame:
+    """``(contig, chr)``: chromosomes of contigs spread along links, best margin first.
+
+    Contigs placed in one chromosome seed; ambiguous ones are settled by their own scores. Then the
+    unplaced contig whose best chromosome leads its next by most (all that tie) is placed, its
+    neighbours' scores at the end it touches may rise, and so on down to a lead of ``score_diff``.
+    What is left goes to every chromosome it scores ``score_diff`` in, and its unplaced neighbours
+    follow it until nothing changes.
+
+    Only a placed neighbour changes a lead, so components of contigs that are not placed yet do not
+    wait for each other: each is walked in a task with a priority queue. A component of more than
+    ``component_rows`` links and scores goes on in rounds over the whole table, which place what
+    nothing can change any more, until it falls apart or is done.
     """
     staging = Staging(la.sparkSession, "propagate-links")
     own = la.groupBy("contig", "chr").agg(F.max(F.col("prev_score") + F.col("map_score") / 2).alias("s1"), F.max(F.col("next_score") + F.col("map_score") / 2).alias("s2"))
@@ -216,39 +345,35 @@ def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2) -> D
     pairs = link_scores(links.filter("score >= 1"))
     # of contig x: its first end is met by y+ and left by x-, its second by y- and left by x+
     ends = pairs.select(F.col("contig2").alias("x"), F.col("contig1").alias("y"), F.when(F.col("o2") == "+", 1).otherwise(2).alias("end"), "score").unionAll(pairs.select(F.col("contig1"), F.col("contig2"), F.when(F.col("o1") == "-", 1).otherwise(2), "score"))
-    ends = staging.put(ends.filter("x <> y").groupBy("x", "y", "end").agg(F.max("score").alias("score")), "ends")
-
-    def scored(placed_: DataFrame) -> DataFrame:
-        near = ends.join(placed_.select(F.col("contig").alias("y"), "chr"), "y").select(F.col("x").alias("contig"), "chr", "end", "score")
-        base = own.select("contig", "chr", F.lit(1).alias("end"), F.col("s1").alias("score")).unionAll(own.select("contig", "chr", F.lit(2), F.col("s2")))
-        free = near.select("contig", "chr", "end", F.col("score").cast("double").alias("score")).unionAll(base.select("contig", "chr", "end", F.col("score").cast("double"))).join(placed_, "contig", "left_anti")
-        return free.groupBy("contig", "chr", "end").agg(F.max("score").alias("score")).groupBy("contig", "chr").agg(F.sum("score").alias("score"))
-
-    near = staging.put(ends.select("x", "y").distinct(), "near")
-    # the unplaced contig with the greatest lead is placed in every round, so the rounds come to an end
+    ends = staging.put(ends.filter("x <> y").groupBy("x", "y", "end").agg(F.max("score").cast("double").alias("score")), "ends")
+    graph = _Links(own, ends, score_diff)
+    walked: list[DataFrame] = []
     while True:
-        order = W.partitionBy("contig").orderBy(F.desc("score"), F.desc("chr"))
-        lead = scored(placed).withColumn("lead", F.col("score") - F.coalesce(F.lead("score").over(order), F.lit(0.0))).withColumn("rn", F.row_number().over(order)).filter("rn = 1")
-        lead = staging.put(lead.filter(F.col("lead") >= score_diff).select("contig", "chr", "lead"), "lead")
-        if lead.isEmpty():
+        free = staging.put(graph.free_links(placed), "free")
+        named = staging.put(connected_components(free, "x", "y"), "components")
+        of = named.select(F.col("node").alias("contig"), "component")
+        whole = graph.scores(placed).join(of, "contig", "left").select(F.coalesce("component", "contig").alias("component"), "contig", F.lit(None).cast("string").alias("other"), F.col("chr").cast("bigint").alias("chr"), "end", F.col("score").cast("double").alias("score"))
+        whole = staging.put(whole.unionAll(free.join(of, F.col("x") == F.col("contig")).select("component", "contig", F.col("y"), F.lit(None).cast("bigint"), "end", "score")), "whole")
+        sizes = staging.put(whole.groupBy("component").agg(F.count("*").alias("rows")), "sizes")
+        buckets = -(-(sizes.filter(F.col("rows") <= component_rows).agg(F.sum("rows")).first()[0] or 0) // max(1, component_rows)) + la.sparkSession.sparkContext.defaultParallelism
+        small = whole.join(sizes.filter(F.col("rows") <= component_rows), "component", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(buckets)))
+        walked.append(staging.put(small.groupBy("bucket").applyInPandas(lambda rows: _best_first(rows, score_diff), "contig string, chr bigint"), "walked"))
+        crowded = staging.put(whole.join(sizes.filter(F.col("rows") > component_rows), "component", "left_semi").select("contig", "component").distinct(), "crowded")
+        if crowded.isEmpty():
             break
-        beside = near.join(lead.select(F.col("contig").alias("y"), F.col("lead").alias("other")), "y").groupBy(F.col("x").alias("contig")).agg(F.max("other").alias("other"))
-        now = lead.join(beside, "contig", "left").filter(F.col("other").isNull() | (F.col("lead") >= F.col("other")))
-        following = staging.put(placed.unionAll(now.select("contig", "chr")), "placed")
-        staging.drop(lead)
-        staging.drop(placed)
-        placed = following
-    spread = staging.put(scored(placed).filter(F.col("score") >= score_diff).select("contig", "chr"), "spread")
-    front = spread
-    both = staging.put(ends.groupBy("x", "y").agg(F.sum("score").alias("score")).filter(F.col("score") >= score_diff).select("x", "y"), "both")
-    while True:
-        known = placed.select("contig").unionAll(spread.select("contig")).distinct()
-        front = both.join(front.select(F.col("contig").alias("y"), "chr"), "y").select(F.col("x").alias("contig"), "chr").join(known, "contig", "left_anti").distinct()
-        front = staging.put(front, "front")
-        if front.isEmpty():
+        # contigs walked above stay out of the way: their components hold none of the others
+        for _ in range(_SPREAD_ROUNDS):
+            now = _one_round(graph, staging, placed, crowded)
+            if now is None:
+                walked.append(_spread(graph, staging, placed, crowded))
+                crowded = crowded.limit(0)
+                break
+            placed = staging.put(placed.unionAll(now), "placed")
+        if crowded.isEmpty():
             break
-        spread = staging.put(spread.unionAll(front), "spread")
-    return placed.unionAll(spread).select("contig", F.col("chr").cast("bigint").alias("chr"))
+        own = graph.own = staging.put(graph.own.join(crowded, "contig", "left_semi").unionAll(graph.own.join(placed, "contig", "left_semi")), "own")
+        ends = graph.ends = staging.put(graph.ends.join(crowded.select(F.col("contig").alias("x")), "x", "left_semi"), "ends")
+    return functools.reduce(DataFrame.unionAll, walked, placed.select("contig", F.col("chr").cast("bigint").alias("chr")))
 
 
 def ld_dedupe(links: DataFrame, window: int = 10000) -> DataFrame:

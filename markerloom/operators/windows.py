@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from markerloom.functions.scalars import after_dash, bed_key, leading_int, reverse_complement
 from markerloom.operators.joins import liftover
-from markerloom.plans.staging import Staging
+from markerloom.operators.scans import Ordered
+from markerloom.plans.staging import Staging, small_side
 
 
 def _share(x: float) -> float:
@@ -24,26 +26,35 @@ def trim_edges(markers: DataFrame, cutoff: float, edge: float, by: str = "lg", o
 
     The first and last ``edge`` share of markers are searched for steps above ``cutoff`` share of
     the span (values of 1 and more are percent). Adds ``male_pass``, ``female_pass``, ``qc`` and
-    rescales both maps so that the least passing position is 0.
+    rescales both maps so that the least passing position is 0. Groups may be of any size: steps come
+    from a scan over ranges, and what holds for a group from sums joined back.
     """
     cutoff, edge = _share(cutoff), _share(edge)
-    group, ordered = W.partitionBy(by), W.partitionBy(by).orderBy(*order)
-    df = markers.withColumn("i", F.row_number().over(ordered)).withColumn("n", F.count("*").over(group))
-    df = df.withColumn("fs", F.bround(F.col("n") * edge, 0).cast("int")).withColumn("rs", (F.col("n") - F.col("fs")).cast("int"))
-    for sex in ("male", "female"):
-        cm = F.col(f"{sex}_cm")
-        limit = (F.max(cm).over(group) - F.min(cm).over(group)) * cutoff
-        df = df.withColumn("limit", limit).withColumn("step", F.abs(cm - F.lag(cm).over(ordered)))
-        far = (F.col("step") > F.col("limit")) & (F.col("fs") >= 2)
-        head = F.max(F.when(far & (F.col("i") >= 2) & (F.col("i") <= F.col("fs")), F.col("i"))).over(group)
-        tail = F.min(F.when(far & (F.col("i") - 1 >= F.col("rs")), F.col("i"))).over(group)
-        df = df.withColumn("head", head).withColumn("tail", tail)
-        df = df.withColumn(f"{sex}_pass", ~(F.coalesce(F.col("i") < F.col("head"), F.lit(False)) | F.coalesce(F.col("i") >= F.col("tail"), F.lit(False)))).drop("head", "tail", "limit", "step")
-    df = df.withColumn("qc", F.col("male_pass") & F.col("female_pass"))
-    for sex in ("male", "female"):
-        base = F.min(F.when(F.col("qc"), F.col(f"{sex}_cm"))).over(group)
-        df = df.withColumn(f"{sex}_new", F.round(F.col(f"{sex}_cm") - base, 3))
-    return df.withColumn("male_cm", F.col("male_new")).withColumn("female_cm", F.col("female_new")).drop("male_new", "female_new", "i", "n", "fs", "rs")
+    staging = Staging(markers.sparkSession, "trim")
+    sexes = ("male", "female")
+    spans = markers.groupBy(by).agg(F.count("*").alias("_n"), *[(F.max(f"{s}_cm") - F.min(f"{s}_cm")).alias(f"_{s}_span") for s in sexes])
+    rows = Ordered(markers, [by], list(order)).scan(before={f"_{s}_was": f"{s}_cm" for s in sexes}, sums={"_i": F.lit(1)}).df
+    rows = _of_group(rows, staging.put(spans, "spans"), by).withColumn("_fs", F.bround(F.col("_n") * edge, 0).cast("int"))
+    i, fs, n = F.col("_i"), F.col("_fs"), F.col("_n")
+    marks = []
+    for s in sexes:
+        far = (F.abs(F.col(f"{s}_cm") - F.col(f"_{s}_was")) > F.col(f"_{s}_span") * cutoff) & (fs >= 2)
+        marks += [F.max(F.when(far & (i >= 2) & (i <= fs), i)).alias(f"_{s}_head"), F.min(F.when(far & (i - 1 >= n - fs), i)).alias(f"_{s}_tail")]
+    rows = staging.put(rows, "rows")
+    rows = _of_group(rows, staging.put(rows.groupBy(by).agg(*marks), "marks"), by)
+    for s in sexes:
+        rows = rows.withColumn(f"{s}_pass", ~(F.coalesce(i < F.col(f"_{s}_head"), F.lit(False)) | F.coalesce(i >= F.col(f"_{s}_tail"), F.lit(False))))
+    rows = rows.withColumn("qc", F.col("male_pass") & F.col("female_pass"))
+    base = rows.groupBy(by).agg(*[F.min(F.when(F.col("qc"), F.col(f"{s}_cm"))).alias(f"_{s}_base") for s in sexes])
+    rows = _of_group(rows, staging.put(base, "base"), by)
+    new = {f"{s}_cm": F.round(F.col(f"{s}_cm") - F.col(f"_{s}_base"), 3) for s in sexes}
+    return rows.withColumns(new).select(*markers.columns, "male_pass", "female_pass", "qc")
+
+
+def _of_group(rows: DataFrame, groups: DataFrame, by: str) -> DataFrame:
+    """Rows with what is known of their group: ``groups`` is a staged table of one row a group."""
+    known = small_side(groups.withColumnRenamed(by, "_group"))
+    return rows.join(known, F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def trim_report(trimmed: DataFrame, by: str = "lg") -> DataFrame:
@@ -70,22 +81,41 @@ def marker_intervals(markers: DataFrame) -> DataFrame:
 
 
 def _pruned(rows: pd.DataFrame, num_snps: int, num_bps: int) -> pd.DataFrame:
-    """Drop the shortest poor interval of a contig until none is poor; equal neighbours merge."""
-    items = rows.sort_values("run")[["start", "end", "chr", "n"]].to_numpy().tolist()
-    if len(items) > 1:
-        while items:
-            poor = [(e - s + 1, k) for k, (s, e, _, n) in enumerate(items) if e - s + 1 < num_bps or n < num_snps]
-            if not poor:
-                break
-            k = min(poor)[1]
-            if 0 < k < len(items) - 1 and items[k - 1][2] == items[k + 1][2]:
-                items[k - 1][1] = items[k + 1][1]
-                items[k - 1][3] += items[k + 1][3]
-                del items[k : k + 2]
-            else:
-                del items[k]
-    contig = rows["contig"].iloc[0]
-    return pd.DataFrame([(contig, k + 1, *map(int, x)) for k, x in enumerate(items)], columns=["contig", "run", "start", "end", "chr", "n"])
+    """Drop the shortest poor interval of a contig until none is poor; equal neighbours merge.
+
+    A heap gives the shortest; intervals know their neighbours. An interval that was dropped, merged
+    away or has grown since leaves an old entry in the heap, which is passed over.
+    """
+    rows = rows.sort_values("run")
+    start, end, home, n = (rows[c].tolist() for c in ("start", "end", "chr", "n"))
+    count = len(start)
+    alive, before, after = [True] * count, list(range(-1, count - 1)), [*range(1, count), -1]
+
+    def poor(k: int) -> bool:
+        return end[k] - start[k] + 1 < num_bps or n[k] < num_snps
+
+    def unlink(k: int) -> None:
+        alive[k] = False
+        if before[k] >= 0:
+            after[before[k]] = after[k]
+        if after[k] >= 0:
+            before[after[k]] = before[k]
+
+    heap = [(end[k] - start[k] + 1, k) for k in range(count) if poor(k)] if count > 1 else []
+    heapq.heapify(heap)
+    while heap:
+        length, k = heapq.heappop(heap)
+        if not alive[k] or length != end[k] - start[k] + 1 or not poor(k):
+            continue
+        unlink(k)
+        a, b = before[k], after[k]
+        if a >= 0 and b >= 0 and home[a] == home[b]:
+            end[a], n[a] = end[b], n[a] + n[b]
+            unlink(b)
+            if poor(a):
+                heapq.heappush(heap, (end[a] - start[a] + 1, a))
+    left = [k for k in range(count) if alive[k]]
+    return pd.DataFrame({"contig": rows["contig"].iloc[0], "run": range(1, len(left) + 1), "start": [start[k] for k in left], "end": [end[k] for k in left], "chr": [home[k] for k in left], "n": [n[k] for k in left]})
 
 
 def clean_map(markers: DataFrame, num_snps: int = 2, num_bps: int = 10000) -> DataFrame:
@@ -116,24 +146,50 @@ def map_to_bed(markers: DataFrame, lengths: DataFrame, num_snps: int = 2, num_bp
     return df.select("contig", start.alias("start_s"), end.alias("end_s"), F.lit("?").alias("orientation"), "chr")
 
 
+def _at_borders(pieces: DataFrame, sites: DataFrame, at: str) -> DataFrame:
+    """Sites with what a sweep along the contig knows at their ``at``: pieces begun and ended, and the last of each.
+
+    A piece has begun where its start is at or before the site, and lies behind where its end is
+    before it. Borders and sites are one list of events in order, so there is no range join.
+    """
+    event = lambda x, rank, i, begun, ended, row: [F.col("contig"), x.alias("x"), F.lit(rank).alias("rank"), i.alias("i"), begun.alias("begun"), ended.alias("ended"), row.alias("site")]
+    piece = F.struct("i", "s", "e", "chr")
+    no_piece, no_site = F.lit(None).cast("struct<i int, s bigint, e bigint, chr bigint>"), F.lit(None).cast("struct<id int, lo bigint, hi bigint>")
+    site = F.struct(F.col("id").cast("int").alias("id"), F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi"))
+    begins = pieces.select(*event(F.col("s"), 2, F.col("i"), piece, no_piece, no_site))
+    ends = pieces.select(*event(F.col("e"), 1, F.col("i"), no_piece, piece, no_site))
+    asks = [sites.select(*event(F.col(at), rank, F.col("id"), no_piece, no_piece, site)) for rank in (0, 3)]
+    swept = Ordered(begins.unionAll(ends).unionAll(asks[0]).unionAll(asks[1]), ["contig"], ["x", "rank", "i"])
+    swept = swept.scan(sums={"starts": F.col("begun").isNotNull().cast("bigint"), "ends": F.col("ended").isNotNull().cast("bigint")}, last={"last_begun": "begun", "last_ended": "ended"})
+    told = swept.df.filter("site IS NOT NULL").groupBy("contig", "site").agg(
+        F.max(F.when(F.col("rank") == 3, F.col("starts"))).alias(f"{at}_starts"), F.max(F.when(F.col("rank") == 0, F.col("ends"))).alias(f"{at}_ends"),
+        F.max(F.when(F.col("rank") == 3, F.col("last_begun"))).alias(f"{at}_begun"), F.max(F.when(F.col("rank") == 0, F.col("last_ended"))).alias(f"{at}_behind"),
+    )
+    return told.select("contig", "site.*", f"{at}_starts", f"{at}_ends", f"{at}_begun", f"{at}_behind")
+
+
 def cut_bed(bed: DataFrame, cuts: DataFrame, chromosomes: int | None = None) -> DataFrame:
     """Cut a bed at further sites (``cut_lo``, ``cut_hi``; a null ``cut_hi`` is a single site).
 
     A cut that crosses one border of a piece's certain part is trimmed to one side of it, one that
     crosses two is dropped. Cuts inside a piece split it; the first cut after a piece ends it; two
-    pieces without a cut between them keep their uncertain border. Stretches that no piece owns,
-    and contigs that the bed lacks, go to every chromosome.
+    pieces without a cut between them keep their uncertain border. A contig's pieces do not overlap.
+    Stretches that no piece owns, and contigs that the bed lacks, go to every chromosome.
     """
     top = chromosomes or bed.agg(F.max("chr")).first()[0] or 0
     number = W.partitionBy("contig").orderBy("s", "e")
     certain = bed.select("contig", after_dash(F.col("start_s")).alias("s"), leading_int(F.col("end_s")).alias("e"), leading_int(F.col("start_s")).alias("first"), after_dash(F.col("end_s")).alias("last"), F.col("chr").cast("bigint").alias("chr"), "start_s", "end_s")
     pieces = certain.withColumn("i", F.row_number().over(number)).withColumn("next_s", F.lead("s").over(number))
+    pieces = Staging(bed.sparkSession, "cut-bed").put(pieces, "pieces")
     sites = cuts.withColumn("id", F.row_number().over(W.partitionBy("contig").orderBy("cut_lo", "cut_hi"))).select("contig", "id", F.when(F.col("cut_hi").isNull(), F.col("cut_lo")).otherwise(F.col("cut_lo") - 1).alias("lo"), F.coalesce("cut_hi", "cut_lo").alias("hi"))
-    over_s, over_e = (F.col("lo") < F.col("s")) & (F.col("hi") >= F.col("s")), (F.col("lo") <= F.col("e")) & (F.col("hi") > F.col("e"))
-    met = sites.join(pieces.select("contig", "s", "e", "i"), "contig", "left").groupBy("contig", "id", "lo", "hi").agg((F.count_if(over_s) + F.count_if(over_e)).alias("crossed"), F.max(F.when(over_s, F.col("s"))).alias("at_s"), F.max(F.when(over_e, F.col("e"))).alias("at_e"))
-    trimmed = met.filter("crossed <= 1").select("contig", "id", F.coalesce(F.col("at_e") + 1, "lo").alias("lo"), F.coalesce(F.col("at_s") - 1, "hi").alias("hi"))
-    inside, behind = (F.col("s") <= F.col("lo")) & (F.col("hi") <= F.col("e")), F.col("e") < F.col("lo")
-    placed = trimmed.join(pieces.select("contig", "s", "e", "i", "chr"), "contig", "left").groupBy("contig", "id", "lo", "hi").agg(F.max(F.when(inside, F.struct("i", "chr"))).alias("in"), F.max(F.when(behind, F.struct("i", "chr"))).alias("after"), F.count("i").alias("known"))
+    lo, hi = _at_borders(pieces, sites, "lo"), _at_borders(pieces, sites, "hi")
+    met = lo.join(hi.drop("lo", "hi"), ["contig", "id"])
+    over_s, over_e = F.col("hi_starts") - F.col("lo_starts"), F.col("hi_ends") - F.col("lo_ends")
+    met = met.filter(over_s + over_e <= 1)
+    trimmed = met.select("contig", "id", F.when(over_e > 0, F.col("hi_behind.e") + 1).otherwise(F.col("lo")).alias("lo"), F.when(over_s > 0, F.col("hi_begun.s") - 1).otherwise(F.col("hi")).alias("hi"))
+    placed = _at_borders(pieces, trimmed, "lo")
+    within = F.when(F.col("hi") <= F.col("lo_begun.e"), F.struct(F.col("lo_begun.i").alias("i"), F.col("lo_begun.chr").alias("chr")))
+    placed = placed.select("contig", "id", "lo", "hi", within.alias("in"), F.col("lo_behind").alias("after"))
     nth = F.row_number().over(W.partitionBy("contig", F.col("in").isNull(), "after.i").orderBy("lo", "hi"))
     owned = placed.withColumn("nth", nth).withColumn("owner", F.when(F.col("in").isNotNull(), F.col("in.chr")).when(F.col("nth") == 1, F.col("after.chr")))
     closing = owned.filter("in IS NULL AND after IS NOT NULL").select("contig", F.col("after.i").alias("i")).distinct()
@@ -158,21 +214,27 @@ def cut_bed(bed: DataFrame, cuts: DataFrame, chromosomes: int | None = None) ->
     return cut.unionAll(untouched)
 
 
-def _breaks(ordered) -> Column:
-    """1 where a new block begins: ``?``, or another number of signs than the row before."""
-    now, before = F.col("orientation"), F.lag("orientation").over(ordered)
-    return F.when(F.row_number().over(ordered) == 1, 1).when(now == "?", 1).when((now != "") & (F.length(now) != F.length(before)), 1).when((now != "") & (before == "?"), 1).otherwise(0)
+def _broken(rows: Ordered) -> Ordered:
+    """Add ``_new``: 1 where a block begins, by ``?`` or another number of signs than the row before."""
+    now, before = F.col("orientation"), F.col("_was")
+    new = F.when(F.col("_later").isNull(), 1).when(now == "?", 1).when((now != "") & (F.length(now) != F.length(before)), 1).when((now != "") & (before == "?"), 1).otherwise(0)
+    return rows.select(_new=new)
+
+
+def _blocks(la: DataFrame, by: str) -> Ordered:
+    return _broken(Ordered(la, [by], ["line"]).scan(before={"_was": "orientation", "_later": F.lit(1)})).scan(sums={"block": F.col("_new")})
 
 
 def orientation_blocks(la: DataFrame, by: str = "chr") -> DataFrame:
     """Add ``block``: a number that rises where the class of the orientation changes."""
-    ordered = W.partitionBy(by).orderBy("line")
-    return la.withColumn("new", _breaks(ordered)).withColumn("block", F.sum("new").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("new")
+    return _blocks(la, by).df.select(*la.columns, "block")
 
 
 def prune_blocks(la: DataFrame, by: str = "chr") -> tuple[DataFrame, DataFrame]:
     """Rows of blocks with map support, and the rows of all other blocks."""
-    df = orientation_blocks(la, by).withColumn("support", F.sum("map_score").over(W.partitionBy(by, "block")))
+    df = Staging(la.sparkSession, "prune").put(orientation_blocks(la, by), "blocks")
+    sums = df.groupBy(F.col(by).alias("_by"), F.col("block").alias("_block")).agg(F.sum("map_score").alias("support"))
+    df = df.join(sums, (F.col(by) == F.col("_by")) & (F.col("block") == F.col("_block"))).drop("_by", "_block")
     return df.filter("support > 0").drop("support"), df.filter("support <= 0").drop("support")
 
 
@@ -203,23 +265,22 @@ def remove_overlaps(bed: DataFrame, la: DataFrame) -> DataFrame:
 
 
 def _agp(la: DataFrame, name: Callable[[DataFrame], DataFrame], gap_rule: str, gap: int, scaffolds: bool) -> DataFrame:
-    rows = name(la.filter("end_pos - start_pos >= 0"))
-    ordered = W.partitionBy("part").orderBy("line")
+    named = name(la.filter("end_pos - start_pos >= 0"))
+    rows = Ordered(named, ["part"], ["line"]).scan(before={"_was": "orientation", "_was_start": "start_pos", "_was_end": "end_pos", "_later": F.lit(1)})
+    later = F.col("_later").isNotNull()
     if scaffolds:
-        rows = rows.withColumn("new", _breaks(ordered)).withColumn("part", F.struct("part", F.sum("new").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("no"))).drop("new")
-        rows = rows.withColumn("obj", F.concat("obj", F.lit("."), F.col("part.no").cast("string")))
+        rows = _broken(rows).scan(sums={"_no": F.col("_new")})
+        rows = rows.select(obj=F.concat("obj", F.lit("."), F.col("_no").cast("string"))).grouped("part", "_no")
+        later = F.col("_new") == 0
     sign_minus, sign_plus = F.col("orientation").contains("-"), F.col("orientation").contains("+") | (F.col("orientation") == "?")
-    before = lambda c: F.lag(c).over(ordered)
-    later = F.row_number().over(ordered) > 1
     if gap_rule == "always":
         gapped = later
     else:
         linked = (F.col("prev_contig") == "null") | ((F.col("prev_type") != "null") & ~F.col("prev_type").startswith("chain"))
-        apart = (F.col("prev_contig") != F.col("contig")) | (before("orientation") != F.col("orientation")) | (sign_plus & (F.col("start_pos") != before("end_pos") + 1)) | (sign_minus & (F.col("end_pos") != before("start_pos") - 1))
+        apart = (F.col("prev_contig") != F.col("contig")) | (F.col("_was") != F.col("orientation")) | (sign_plus & (F.col("start_pos") != F.col("_was_end") + 1)) | (sign_minus & (F.col("end_pos") != F.col("_was_start") - 1))
         gapped = later & linked & apart
-    rows = rows.withColumn("gap", F.when(gapped & F.lit(gap > 0), gap).otherwise(0)).withColumn("size", F.col("end_pos") - F.col("start_pos") + 1)
-    upto = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.withColumn("stop", F.sum(F.col("gap") + F.col("size")).over(upto)).withColumn("last", F.sum(F.when(F.col("gap") > 0, 2).otherwise(1)).over(upto))
+    rows = rows.select(gap=F.when(gapped & F.lit(gap > 0), gap).otherwise(0), size=F.col("end_pos") - F.col("start_pos") + 1)
+    rows = rows.scan(sums={"stop": F.col("gap") + F.col("size"), "last": F.when(F.col("gap") > 0, 2).otherwise(1)}).df
     begin = F.col("stop") - F.col("size")
     piece = F.struct((begin + 1).alias("obj_beg"), F.col("stop").alias("obj_end"), F.col("last").alias("part_no"), F.lit("W").alias("ctype"), F.col("contig").alias("contig"), F.col("start_pos").alias("contig_beg"), F.col("end_pos").alias("contig_end"), F.when(sign_minus, "-").otherwise("+").alias("orientation"), F.lit(None).cast("bigint").alias("gap_length"))
     none = F.lit(None).cast("bigint")

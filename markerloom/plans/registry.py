@@ -256,11 +256,11 @@ _near = lambda df: df.withColumn("weight", F.round("weight", 6))
 _add("normalise_proximity", lambda sp, d: _near(a.normalise_proximity(fx(sp, d, "prox"), "max")), "prox", f"WITH {_DIAG} SELECT contig1, pos1, contig2, pos2, round(weight * CASE WHEN s1 <= m / 2 AND s2 <= m / 2 THEN 200.0 / m ELSE CAST(100 AS DOUBLE) / nullif(greatest(s1, s2), 0) END, 6) AS weight FROM p")
 _add("normalise_proximity_min", lambda sp, d: _near(a.normalise_proximity(fx(sp, d, "prox"), "min")), "prox", f"WITH {_DIAG} SELECT contig1, pos1, contig2, pos2, round(weight * CASE WHEN s1 <= m OR s2 <= m THEN 100.0 / m ELSE CAST(100 AS DOUBLE) / nullif(least(s1, s2), 0) END, 6) AS weight FROM p")
 _add("proximity_stats", lambda sp, d: a.proximity_stats(fx(sp, d, "prox")).withColumn("mean", F.round("mean", 6)).withColumn("sd", F.round("sd", 6)), "prox", f"WITH {_DIAG} SELECT round(avg(s), 6) AS mean, round(stddev_samp(s), 6) AS sd, CAST(min(s) AS BIGINT) AS min, CAST(max(s) AS BIGINT) AS max, count(*) AS n FROM d")
-_add("filter_distorted", lambda sp, d: lk.filter_distorted(fx(sp, d, "geno"), 0.01, INDIVIDUALS), "geno", f"SELECT * FROM geno WHERE power(2 * bit_count(bits) - {INDIVIDUALS}, 2) / {INDIVIDUALS} <= 6.635")
+_add("filter_distorted", lambda sp, d: lk.filter_distorted(fx(sp, d, "geno"), 0.01, INDIVIDUALS), "geno", f"SELECT * FROM geno WHERE power(2 * bit_count(bits) - {INDIVIDUALS}, 2) / {INDIVIDUALS} <= 6.634896601021213")
 _LOD = f"""r AS (SELECT x.marker_id AS a, y.marker_id AS b, least(bit_count(xor(x.bits, y.bits)), {INDIVIDUALS} - bit_count(xor(x.bits, y.bits))) AS r FROM geno x JOIN geno y ON x.marker_id < y.marker_id),
     lods AS (SELECT a, b, CAST({INDIVIDUALS} AS DOUBLE) * log10(2) + CASE WHEN r = 0 THEN 0 ELSE r * log10(r / {INDIVIDUALS}.0) + ({INDIVIDUALS} - r) * log10(1 - r / {INDIVIDUALS}.0) END AS lod FROM r)"""
-_pairs = lambda sp, d, least: lk.pairwise_lod(fx(sp, d, "geno"), INDIVIDUALS, least)
-_add("pairwise_lod", lambda sp, d: _pairs(sp, d, 5).withColumn("lod", F.round("lod", 6)), "geno", f"WITH {_LOD} SELECT a, b, round(lod, 6) AS lod FROM lods WHERE lod >= 5")
+_forest = lambda sp, d, least: lk.linkage_forest(fx(sp, d, "geno"), INDIVIDUALS, least)
+_add("pairwise_lod", lambda sp, d: lk.pairwise_lod(fx(sp, d, "geno"), INDIVIDUALS, 5).withColumn("lod", F.round("lod", 6)), "geno", f"WITH {_LOD} SELECT a, b, round(lod, 6) AS lod FROM lods WHERE lod >= 5")
 
 
 def _groups(limit: str, least: int = 1, markers: str = "geno", tag: str = "") -> str:
@@ -271,24 +271,36 @@ def _groups(limit: str, least: int = 1, markers: str = "geno", tag: str = "") ->
     grouped{tag} AS (SELECT marker_id, coalesce(lg, 0) AS lg FROM root{tag} LEFT JOIN named{tag} USING (root))"""
 
 
-_add("separate_chromosomes", lambda sp, d: lk.separate_chromosomes(_pairs(sp, d, LIMIT), fx(sp, d, "geno"), LIMIT, 5), "geno", f"WITH {_LOD}, {_groups(str(LIMIT), 5)} SELECT marker_id, lg FROM grouped", recursive=True)
+_add("separate_chromosomes", lambda sp, d: lk.separate_chromosomes(_forest(sp, d, LIMIT), fx(sp, d, "geno"), LIMIT, 5), "geno", f"WITH {_LOD}, {_groups(str(LIMIT), 5)} SELECT marker_id, lg FROM grouped", recursive=True)
 _SWEPT = ", ".join(_groups(str(n), 2, tag=f"_{n}") for n in (8, 9, 10))
-_add("lod_sweep", lambda sp, d: lk.lod_sweep(_pairs(sp, d, 8), fx(sp, d, "geno"), 8, 10, 2), "geno", f"WITH {_LOD}, {_SWEPT} " + " UNION ALL ".join(f"SELECT {n} AS lod, marker_id, lg FROM grouped_{n}" for n in (8, 9, 10)), recursive=True)
+_add("lod_sweep", lambda sp, d: lk.lod_sweep(_forest(sp, d, 8), fx(sp, d, "geno"), 8, 10, 2), "geno", f"WITH {_LOD}, {_SWEPT} " + " UNION ALL ".join(f"SELECT {n} AS lod, marker_id, lg FROM grouped_{n}" for n in (8, 9, 10)), recursive=True)
 _INSIDE = ", ".join([_groups("2", 1, tag="_b"), "inside AS (SELECT marker_id FROM grouped_b WHERE lg = 1)", *[_groups(str(n), 2, "inside", f"_{n}") for n in (5, 6)]])
 _REFINED = "SELECT {n} AS lod, marker_id, CASE WHEN lg <= 1 THEN lg ELSE (SELECT max(lg) FROM grouped_b) + lg - 1 END AS lg FROM grouped_{n} UNION ALL SELECT {n}, marker_id, lg FROM grouped_b WHERE lg <> 1"
-_add("refine_lg", lambda sp, d: lk.refine_lg(lk.separate_chromosomes(_pairs(sp, d, 2), fx(sp, d, "geno"), 2, 1), _pairs(sp, d, 5), 1, 5, 6, 2), "geno", f"WITH {_LOD}, {_INSIDE} " + " UNION ALL ".join(_REFINED.format(n=n) for n in (5, 6)), recursive=True)
 
 
-def _singles(sp: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    lod = _pairs(sp, d, 2)
+def _refine(sp: SparkSession, d: str) -> DataFrame:
+    forest = Staging(sp, "refine").put(_forest(sp, d, 2), "forest")
+    return lk.refine_lg(lk.separate_chromosomes(forest, fx(sp, d, "geno"), 2, 1), forest, 1, 5, 6, 2)
+
+
+_add("refine_lg", _refine, "geno", f"WITH {_LOD}, {_INSIDE} " + " UNION ALL ".join(_REFINED.format(n=n) for n in (5, 6)), recursive=True)
+
+
+def _singles(sp: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    classes, lod = lk.class_lods(fx(sp, d, "geno"), INDIVIDUALS, 2)
     groups = fx(sp, d, "geno").select("marker_id", F.when(F.col("marker_id") % 4 == 0, 0).otherwise(1 + F.col("marker_id") % 12).cast("bigint").alias("lg"))
-    return groups, lod
+    return groups, lod, classes
+
+
+def _join_singles(sp: SparkSession, d: str, join: Callable[..., DataFrame], *limits: float) -> DataFrame:
+    groups, lod, classes = _singles(sp, d)
+    return join(groups, lod, *limits, classes=classes)
 
 
 _BEST = "best AS (SELECT s.marker_id, g.lg, max(lod) AS lod FROM g s JOIN lods ON (a = s.marker_id OR b = s.marker_id) JOIN g ON g.marker_id = CASE WHEN a = s.marker_id THEN b ELSE a END WHERE s.lg = 0 AND g.lg > 0 AND lod >= {limit} GROUP BY 1, 2), ranked AS (SELECT *, row_number() OVER w AS rn, lead(lod) OVER w AS second FROM best WINDOW w AS (PARTITION BY marker_id ORDER BY lod DESC, lg)), won AS (SELECT marker_id, lg FROM ranked WHERE rn = 1 AND lod - coalesce(second, 0) >= 1)"
 _G = "g AS (SELECT marker_id, CASE WHEN marker_id % 4 = 0 THEN 0 ELSE 1 + marker_id % 12 END AS lg FROM geno)"
-_add("join_singles", lambda sp, d: lk.join_singles(*_singles(sp, d), 4, 1), "geno", f"WITH {_LOD}, {_G}, {_BEST.format(limit=4)} SELECT g.marker_id, coalesce(won.lg, g.lg) AS lg FROM g LEFT JOIN won USING (marker_id)")
-_add("join_singles_sweep", lambda sp, d: lk.join_singles_sweep(*_singles(sp, d), 4, 6, 1), "geno", " UNION ALL ".join(f"(WITH {_LOD}, {_G}, {_BEST.format(limit=n)} SELECT {n} AS lod, g.marker_id, coalesce(won.lg, g.lg) AS lg FROM g LEFT JOIN won USING (marker_id))" for n in (4, 5, 6)))
+_add("join_singles", lambda sp, d: _join_singles(sp, d, lk.join_singles, 4, 1), "geno", f"WITH {_LOD}, {_G}, {_BEST.format(limit=4)} SELECT g.marker_id, coalesce(won.lg, g.lg) AS lg FROM g LEFT JOIN won USING (marker_id)")
+_add("join_singles_sweep", lambda sp, d: _join_singles(sp, d, lk.join_singles_sweep, 4, 6, 1), "geno", " UNION ALL ".join(f"(WITH {_LOD}, {_G}, {_BEST.format(limit=n)} SELECT {n} AS lod, g.marker_id, coalesce(won.lg, g.lg) AS lg FROM g LEFT JOIN won USING (marker_id))" for n in (4, 5, 6)))
 _add("map_summary", lambda sp, d: rs.map_summary(fx(sp, d, "lod_maps")), "lod_maps", "SELECT lod, lg, count(*) AS markers, round(count(*) / sum(count(*)) OVER (PARTITION BY lod), 6) AS share FROM lod_maps GROUP BY lod, lg")
 _add("assign_by_margin", lambda sp, d: a.assign_by_margin(fx(sp, d, "links"), 2, "contig1", "contig2"), "links", """WITH b AS (SELECT contig1, contig2, max(score) AS score FROM links GROUP BY 1, 2), r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS second FROM b WINDOW w AS (PARTITION BY contig1 ORDER BY score DESC, contig2 DESC))
     SELECT contig1, contig2, score FROM r WHERE rn = 1 AND score > 0 AND coalesce(second, 0) + 2 <= score""")
@@ -396,11 +408,11 @@ _add("remove_haplotypes", lambda sp, d: it.remove_haplotypes(fx(sp, d, "bed"), _
 def _pass_sql(bridge: bool) -> str:
     both = ", CASE WHEN pc = 1 AND nc = 1 THEN prev_score + next_score + map_score END" if bridge else ""
     return f"""WITH c AS (SELECT *, contig || '/' || orig_start || '/' || orig_end AS piece, count(*) OVER (PARTITION BY contig, orig_start, orig_end) AS n FROM la),
-    d AS (SELECT *, CASE WHEN lag(contig) OVER w = prev_contig THEN lag(piece) OVER w END AS pp, CASE WHEN lag(contig) OVER w = prev_contig THEN lag(n) OVER w END AS pc, CASE WHEN lead(contig) OVER w = next_contig THEN lead(piece) OVER w END AS np, CASE WHEN lead(contig) OVER w = next_contig THEN lead(n) OVER w END AS nc FROM c WINDOW w AS (PARTITION BY chr ORDER BY line)),
+    d AS (SELECT *, CASE WHEN lag(contig) OVER w = prev_contig THEN lag(piece) OVER w END AS pp, CASE WHEN lag(contig) OVER w = prev_contig THEN lag(n) OVER w END AS pc, CASE WHEN lead(contig) OVER w = next_contig THEN lead(piece) OVER w END AS np, CASE WHEN lead(contig) OVER w = next_contig THEN lead(n) OVER w END AS nc FROM c WINDOW w AS (ORDER BY line)),
     s AS (SELECT piece, chr, max(greatest(CASE WHEN pc = 1 THEN prev_score + map_score END, CASE WHEN nc = 1 THEN next_score + map_score END{both})) AS score FROM d WHERE n > 1 GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS second FROM (SELECT * FROM s WHERE score IS NOT NULL) WINDOW w AS (PARTITION BY piece ORDER BY score DESC, chr DESC)), home AS (SELECT piece, chr FROM r WHERE rn = 1 AND score > 0 AND coalesce(second, 0) + 2 <= score),
     e AS (SELECT d.*, h.chr AS home, coalesce(pc > 1 AND p.chr <> d.chr, FALSE) AS cp, coalesce(nc > 1 AND q.chr <> d.chr, FALSE) AS cn FROM d LEFT JOIN home h ON h.piece = d.piece LEFT JOIN home p ON p.piece = pp LEFT JOIN home q ON q.piece = np),
-    f AS (SELECT *, cp OR coalesce(lag(cn) OVER w, FALSE) AS lp, cn OR coalesce(lead(cp) OVER w, FALSE) AS ln FROM e WINDOW w AS (PARTITION BY chr ORDER BY line))
+    f AS (SELECT *, cp OR coalesce(lag(cn) OVER w, FALSE) AS lp, cn OR coalesce(lead(cp) OVER w, FALSE) AS ln FROM e WINDOW w AS (ORDER BY line))
     SELECT line, contig, start_pos, end_pos, orientation, chr, orig_start, alt_start, orig_end, alt_end, CASE WHEN lp THEN 'null' ELSE prev_contig END AS prev_contig, CASE WHEN lp THEN 'null' ELSE prev_type END AS prev_type, CASE WHEN lp THEN 0 ELSE prev_score END AS prev_score,
       CASE WHEN ln THEN 'null' ELSE next_contig END AS next_contig, CASE WHEN ln THEN 'null' ELSE next_type END AS next_type, CASE WHEN ln THEN 0 ELSE next_score END AS next_score, map_score FROM f WHERE n = 1 OR home IS NULL OR home = chr"""
 
