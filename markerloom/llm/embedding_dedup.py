@@ -11,6 +11,8 @@ side stays below the threshold cannot link. The others are recomputed in double
 Equal vectors of a label are compared once, with their number as weight. A tile pair reports link
 counts and a spanning forest of its links, never all pairs.
 
+Vectors are scaled by powers of two first, so components of any size are compared.
+
 Defined results: a vector without label, or one that is null, empty, zero or holds a null or
 non-finite component, links with nothing and is its own component; vectors of different lengths
 never link; repeated rows link with each other; a row without id gets its vector's component but
@@ -39,8 +41,14 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return codes, scale, np.linalg.norm(decoded, axis=1), np.linalg.norm(unit - decoded, axis=1)
 
 
+def even_sized(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two, so that squares of very long or short vectors stay in range; no bit is lost."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of two matrices with cosine of at least ``threshold``, in double precision."""
+    a, b = even_sized(a), even_sized(b)
     size_a, size_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
     (qa, sa, la, ea), (qb, sb, _, eb) = quantised(a / size_a[:, None]), quantised(b / size_b[:, None])
     # single precision holds sums of int8 products exactly up to 2**24
@@ -108,7 +116,8 @@ def op4_embedding_dedup(spark, sf_dir):
 def oracle(threshold: float = 0.98) -> str:
     return f"""
     WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-    good AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+    sound AS (SELECT *, list_max(list_transform(e, lambda x: abs(x))) AS most FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    good AS (SELECT vec_id, label, list_transform(e, lambda x: x / pow(2, floor(log2(most)))) AS e FROM sound WHERE most > 0),
     links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
       WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= {threshold}),
     reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
