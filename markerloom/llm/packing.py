@@ -4,12 +4,13 @@ Every document becomes token ids and an end id. Documents longer than a sequence
 into full windows; what remains of each is placed, longest first, into the open sequence with the
 least room that still holds it. A segment tree over remaining capacities finds that sequence.
 
-Pieces are spread over shards by a hash, each shard holding a bounded number of them, and each
+Pieces are spread over shards by a hash of themselves and their row, each shard holding a bounded number of them, and each
 shard is packed by itself; only its last few sequences stay partly empty.
 
 Defined results: a null text counts as empty; an empty text is the end id alone; a very long text
 is read whole, in stretches cut at white space; repeated rows are packed as separate documents, and
-rows without id keep a null id; ties in length go by id, start and checksum; an empty table gives
+rows without id keep a null id; ties in length go by id, start, checksum and row, so reruns over the
+same files agree; an empty table gives
 an empty table; columns other than id and text, whatever their names, are not read.
 """
 
@@ -299,14 +300,15 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: in
     import public_tokenizers
 
     staging = Staging(docs.sparkSession, "packing")
-    pieces = staging.put(tokenized_pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), length, end, id_col, text), "pieces", arrow_rows=2000)
+    pieces = staging.put(tokenized_pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), length, end, id_col, text).withColumn("row", F.monotonically_increasing_id()), "pieces", arrow_rows=2000)
     shards = max(1, -(-pieces.count() // shard_pieces))
-    keyed = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "length", "ids_crc32"), F.lit(shards)))
+    # a row's place in the written table is part of its key, so that rows that repeat each other spread
+    keyed = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "length", "ids_crc32", "row"), F.lit(shards)))
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
+        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32", "row"], ascending=[False, True, True, True, True])
         sequences, offsets = best_fit(rows["length"].tolist(), length)
-        return rows.assign(sequence_id=(rows["shard"].to_numpy() << 32) + np.array(sequences, dtype=np.int64), offset=np.array(offsets, dtype=np.int64)).drop(columns="shard")
+        return rows.assign(sequence_id=(rows["shard"].to_numpy() << 32) + np.array(sequences, dtype=np.int64), offset=np.array(offsets, dtype=np.int64)).drop(columns=["shard", "row"])
 
     return keyed.groupBy("shard").applyInPandas(place, PIECES + ", sequence_id bigint, offset bigint")
 
