@@ -40,13 +40,14 @@ def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
     """``n`` rows at most, those whose ids hash lowest; ``df`` should hold only what is needed.
 
     The n-th hash is found on the ids alone, so that no task sends more than its share of the
-    sampled rows to the driver, however many rows and columns there are.
+    sampled rows to the driver, however many rows and columns there are. Of rows that repeat an id the
+    least are taken, by all columns in turn, so reruns agree.
     """
     h = F.xxhash64(id_col)
     cut = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
     if cut is None:
         return df.limit(0)
-    return df.filter(h <= cut).orderBy(h).limit(n)
+    return df.filter(h <= cut).orderBy(h, *df.columns).limit(n)
 
 
 def raw_values(column: pa.Array) -> Iterator[np.ndarray]:

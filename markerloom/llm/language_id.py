@@ -13,8 +13,8 @@ byte pairs for width 2, pairs plus bytes for width 3, two pairs for width 4.
 Defined results: a null text, or one without a letter (as Unicode has it), is ``und`` with score
 0; ties go to the language first in code-point order; repeated rows are judged each on its own;
 where no labelled row exists, every document is ``und``; a very long text is read whole, some
-thousand windows at a time; an empty table gives an empty table;
-further columns are carried along unless they bear the name of a result column.
+thousand windows at a time; a row without id is not held out and teaches nothing; of rows that repeat
+an id in the sample the least teach; an empty table gives an empty table; further columns are carried along unless they bear the name of a result column.
 """
 
 from __future__ import annotations
@@ -206,4 +206,4 @@ def identify(docs: DataFrame, learn_from: DataFrame, text: str = "text", lang: s
 def op7_language_id(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = identify(docs, docs.filter(remainder("doc_id", 5) != 0))
-    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -5,11 +5,15 @@ counts and how much of it repeats; gated attention weighs the encodings, and the
 scored. Only documents carry labels, so the attention weights are learned from those alone.
 
 Training reads a bounded, documented sample: ``train_docs`` labelled documents in hash order and
-up to ``train_passages`` passages spread over each. Scoring reads every passage of every text.
+up to ``train_passages`` passages spread over each. It takes a fixed number of steps, however many
+labels there are, and both labels weigh alike. A fifth of the sample is held back from it; there the
+scale of the scores is fitted, so that 0.7 lies where both labels, taken as equally frequent, are
+equally likely. Scoring reads every passage of every text.
 
 Defined results: a null text counts as empty; an empty text is one empty passage and gets the
 score the model gives that; repeated rows are judged each on its own; of rows that repeat a labelled
-id the least sampled passages and the least label teach; without any labelled row every score is
+id the least sampled passages and the least label teach; a row without id teaches nothing and is not
+held out; without any labelled row every score is
 0.5; a very long text is scored whole, a stretch of passages at a time, by running sums of the
 attention; equal scores are not ordered; an empty table gives an empty table; labels that are null
 teach nothing; columns other than id, text and label, whatever their names, are not read.
@@ -30,6 +34,8 @@ from markerloom.llm.language_id import remainder
 
 PASSAGE = 512
 PAIRS = 256
+#: The score at which a document counts as good.
+CUT = 0.7
 #: Bytes whose features a task holds at a time: whole passages.
 STRETCH = 1024 * PASSAGE
 
@@ -67,6 +73,7 @@ class AttentionBag:
             "W": rng.normal(0, 1 / np.sqrt(inputs / 8), (inputs, hidden)), "b": np.zeros(hidden), "V": rng.normal(0, 0.3, (hidden, gate)),
             "U": rng.normal(0, 0.3, (hidden, gate)), "w": rng.normal(0, 0.3, gate), "o": rng.normal(0, 0.3, hidden), "c": np.zeros(1),
         }
+        self.slope, self.shift = 1.0, 0.0
 
     def _forward(self, x: np.ndarray, counts: np.ndarray) -> tuple:
         p = self.params
@@ -80,8 +87,12 @@ class AttentionBag:
         z = np.add.reduceat(a[:, None] * h, first, axis=0)
         return bag, first, h, t, g, a, z, _sigmoid(z @ p["o"] + p["c"])
 
+    def margin(self, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """What the score is a sigmoid of, before it is put to scale."""
+        return self._forward(x, counts)[6] @ self.params["o"] + self.params["c"]
+
     def score(self, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self._forward(x, counts)[-1]
+        return _sigmoid(self.slope * self.margin(x, counts) + self.shift)
 
     def score_in_stretches(self, data: bytes, stretch: int) -> float:
         """The score of one text of any length, ``stretch`` bytes (whole passages) of features at a time."""
@@ -92,7 +103,7 @@ class AttentionBag:
             before, top = top, max(top, e.max())
             a, shrink = np.exp(e - top), np.exp(before - top)
             total, weighted = total * shrink + a.sum(), weighted * shrink + a @ h
-        return float(_sigmoid(weighted / total @ p["o"] + p["c"])[0])
+        return float(_sigmoid(self.slope * (weighted / total @ p["o"] + p["c"]) + self.shift)[0])
 
     def gradients(self, x: np.ndarray, counts: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
         """Of the weighted mean cross entropy of the bags, and the decay of the encoder."""
@@ -110,27 +121,47 @@ class AttentionBag:
         grads["W"], grads["b"] = x.T @ dh + 1e-5 * p["W"], dh.sum(axis=0)
         return grads
 
-    def fit(self, bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.005, seed: int = 4) -> AttentionBag:
+    def fit(self, bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, steps: int = 1100, batch: int = 64, rate: float = 0.005, seed: int = 4) -> AttentionBag:
         rng = np.random.default_rng(seed)
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.params.items()}
-        step = 0
-        for epoch in range(epochs):
-            order = rng.permutation(len(bags))
-            for at in range(0, len(order), batch):
-                rows = order[at : at + batch]
-                x, counts = np.concatenate([bags[i] for i in rows]).astype(np.float64), np.array([len(bags[i]) for i in rows])
-                p, grads = self.params, self.gradients(x, counts, y[rows], weight[rows])
-                step += 1
-                for k, grad in grads.items():
-                    m, v = moments[k]
-                    m += 0.1 * (grad - m)
-                    v += 0.001 * (grad * grad - v)
-                    p[k] -= rate * (1 - epoch / epochs) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        order = np.zeros(0, np.int64)
+        for step in range(1, steps + 1):
+            if not len(order):
+                order = rng.permutation(len(bags))
+            rows, order = order[:batch], order[batch:]
+            x, counts = np.concatenate([bags[i] for i in rows]).astype(np.float64), np.array([len(bags[i]) for i in rows])
+            p, grads = self.params, self.gradients(x, counts, y[rows], weight[rows])
+            for k, grad in grads.items():
+                m, v = moments[k]
+                m += 0.1 * (grad - m)
+                v += 0.001 * (grad * grad - v)
+                p[k] -= rate * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        return self
+
+    def put_to_scale(self, bags: list[np.ndarray], y: np.ndarray, rounds: int = 50) -> AttentionBag:
+        """Fit slope and shift of the score by Newton steps on the cross entropy, both labels weighing alike.
+
+        Targets keep off 0 and 1 by the number of documents, as if one more of the other label had
+        been seen, so that a few documents that are told apart well do not make the slope infinite.
+        """
+        if not len(y) or y.min() == y.max():
+            return self
+        ones, zeros = y.sum(), len(y) - y.sum()
+        target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+        weight = np.where(y == 1, 0.5 / ones, 0.5 / zeros)
+        m = self.margin(np.concatenate(bags).astype(np.float64), np.array([len(b) for b in bags]))
+        x = np.stack([m, np.ones(len(m))], axis=1)
+        known = np.array([1.0, 0.0])
+        for _ in range(rounds):
+            p = _sigmoid(x @ known)
+            bend = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-6 * np.eye(2)
+            known = known - np.clip(np.linalg.solve(bend, x.T @ (weight * (p - target))), -1, 1)
+        self.slope, self.shift = max(float(known[0]), 1e-3), float(known[1]) + float(np.log(CUT / (1 - CUT)))
         return self
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str, label: str, id_col: str, train_docs: int = 5000, train_passages: int = 8) -> AttentionBag | None:
-    """Fit on ``train_docs`` labelled ids at most, all of one weight.
+    """Fit on ``train_docs`` labelled ids at most.
 
     The sample is drawn from the labels alone, so ``train_docs`` bounds what is broadcast to the
     texts, and of each text only its sampled passages travel.
@@ -144,7 +175,15 @@ def train(docs: DataFrame, labels: DataFrame, text: str, label: str, id_col: str
         return None
     bags = [features([part.encode()[:PASSAGE] for part in r["parts"]])[0] for r in rows]
     y = np.array([1.0 if r["y"] == 1 else 0.0 for r in rows])
-    return AttentionBag(bags[0].shape[1]).fit(bags, y, np.ones(len(y)))
+    # every fifth document of either label is held back, where there are enough of both
+    place = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y == 0))
+    few = min((y == 1).sum(), (y == 0).sum()) < 20
+    held, taught = (np.ones(len(y), bool), np.ones(len(y), bool)) if few else (place % 5 == 0, place % 5 != 0)
+    some = lambda which: [b for b, ok in zip(bags, which, strict=True) if ok]
+    share = np.array([(y[taught] == v).sum() for v in (0, 1)])
+    weight = len(y[taught]) / (2 * np.maximum(share, 1))[y[taught].astype(int)]
+    net = AttentionBag(bags[0].shape[1]).fit(some(taught), y[taught], weight)
+    return net.put_to_scale(some(held), y[held])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", id_col: str = "doc_id", **bounds: int) -> DataFrame:
@@ -185,4 +224,4 @@ def op10_quality(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     scored = score_quality(docs, labels.filter(remainder("doc_id", 4) != 2))
-    return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
