@@ -15,6 +15,7 @@ unless they bear the name of a result column, which then replaces them.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -41,9 +42,8 @@ CLASSES = {"hex": (r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.0), "mixed": (r
 RUN = r"[A-Za-z0-9]{20,}"
 #: Further classes of runs, after those above; prose and digits alone stay below these limits.
 RUN_CLASSES = {"lower": (r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", 3.5), "upper": (r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", 3.5), "letters": (r"^[A-Za-z]+$", 3.9)}
-#: Well-known harmless strings: UUIDs, examples, runs of the alphabet or of digits.
-ALLOWED = r"(?:[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}|EXAMPLE|[Ee]xample|abcdefghij|ABCDEFGHIJ|0123456789|1234567890)"
-#: The same at full length, with their lengths; a hot span is harmless if they leave less than a window of it.
+#: Well-known harmless strings (UUIDs, examples, runs of the alphabet or of digits) with their lengths; a
+#: hot span is harmless if they leave less than a window of it.
 HARMLESS = (
     ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", 40), ("[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}", 36),
     ("abcdefghijklmnopqrstuvwxyz|ABCDEFGHIJKLMNOPQRSTUVWXYZ", 26), ("abcdefghij|ABCDEFGHIJ|0123456789|1234567890", 10), ("EXAMPLE|[Ee]xample", 7),
@@ -236,17 +236,33 @@ def _duck_text(spans: str) -> str:
     return f"array_to_string(list_transform({spans}, lambda s: ['assign', 'access', 'hex', 'entropy'][s.kind + 1] || ':' || s.start || ':' || s.end), ',')"
 
 
+def _duck_bits(classes: dict[str, tuple[str, float]]) -> str:
+    """CASE of the first class a value is of; what a look-ahead asks for is asked for by itself."""
+    whens = []
+    for test, least in classes.values():
+        needs = re.findall(r"\(\?=\.\*(\[[^\]]*\])\)", test)
+        plain = re.sub(r"\(\?=[^)]*\)", "", test)
+        whens.append("WHEN " + " AND ".join(f"regexp_matches(m.value, '{x}')" for x in [*needs, plain]) + f" THEN {least}")
+    return f"CASE {' '.join(whens)} END"
+
+
 def oracle() -> str:
+    """All classes of whole candidates and of the runs in them, and the allow-list laid over hot spans."""
     window = f"v[i + 1:i + {WINDOW}]"
     entropy = f"round(-list_sum(list_transform(list_distinct(string_split({window}, '')), lambda c: (length({window}) - length(replace({window}, c, ''))) / {WINDOW}.0 * log2((length({window}) - length(replace({window}, c, ''))) / {WINDOW}.0))), 6)"
-    bits = f"CASE WHEN regexp_matches(m.value, '^[0-9A-Fa-f]+$') AND regexp_matches(m.value, '[0-9]') AND regexp_matches(m.value, '[A-Fa-f]') THEN {CLASSES['hex'][1]} WHEN regexp_matches(m.value, '[0-9]') AND regexp_matches(m.value, '[a-z]') AND regexp_matches(m.value, '[A-Z]') THEN {CLASSES['mixed'][1]} END"
+    masked = "v"
+    for pattern, size in HARMLESS:
+        masked = f"regexp_replace({masked}, '{pattern}', '{' ' * size}', 'g')"
+    pieces = lambda kind, pattern, classes: f"SELECT rid, b, {kind} AS kind, m.start AS p0, m.value AS v, {_duck_bits(classes)} AS bits FROM (SELECT rid, b, unnest({_duck_pieces(pattern, 0)}) AS m FROM base)"
     return f"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
     base AS (SELECT rid, doc_id, t, list_sort(list_concat({_duck_base(0, ASSIGN, 2, 6)}, list_concat({_duck_base(1, ACCESS, 0, 20)}, {_duck_base(2, HEX, 0, 24)}))) AS b FROM d),
-    cand AS (SELECT rid, b, m.start AS p0, m.value AS v, {bits} AS bits FROM (SELECT rid, b, unnest({_duck_pieces(CANDIDATE, 0)}) AS m FROM base) WHERE NOT regexp_matches(m.value, '{ALLOWED}')),
-    wins AS (SELECT rid, b, p0, bits, i, {entropy} AS h FROM (SELECT rid, b, p0, bits, v, unnest(range(0, length(v) - {WINDOW} + 1)) AS i FROM cand WHERE bits IS NOT NULL)),
-    hot AS (SELECT rid, any_value(b) AS b, {{'start': p0 + min(i), 'kind': 3, 'end': p0 + max(i) + {WINDOW}}} AS s FROM wins WHERE h >= bits GROUP BY rid, p0),
-    extra AS (SELECT rid, list(s) AS e FROM hot WHERE len(list_filter(b, lambda x: x.start <= s.start AND x.end >= s.end)) = 0 GROUP BY rid)
+    cand AS ({pieces(1, CANDIDATE, CLASSES)} UNION ALL {pieces(2, RUN, CLASSES | RUN_CLASSES)}),
+    wins AS (SELECT rid, b, kind, p0, v, bits, i, {entropy} AS h FROM (SELECT *, unnest(range(0, length(v) - {WINDOW} + 1)) AS i FROM cand WHERE bits IS NOT NULL)),
+    ranges AS (SELECT rid, any_value(b) AS b, any_value(v) AS v, p0, min(i) AS lo, max(i) + {WINDOW} AS hi FROM wins WHERE h >= bits GROUP BY rid, kind, p0),
+    hot AS (SELECT DISTINCT rid, b, {{'start': p0 + lo, 'kind': 3, 'end': p0 + hi}} AS s FROM ranges WHERE length(replace(substring({masked}, lo + 1, hi - lo), ' ', '')) >= {WINDOW}),
+    extra AS (SELECT rid, list(s) AS e FROM hot h WHERE len(list_filter(b, lambda x: x.start <= s.start AND x.end >= s.end)) = 0
+      AND NOT EXISTS (SELECT 1 FROM hot o WHERE o.rid = h.rid AND o.s <> h.s AND o.s.start <= h.s.start AND o.s.end >= h.s.end) GROUP BY rid)
     SELECT doc_id, len(list_filter(b, lambda s: s.kind = 0)) AS n_assign, len(list_filter(b, lambda s: s.kind = 1)) AS n_access, len(list_filter(b, lambda s: s.kind = 2)) AS n_hex,
       sha256({_duck_text('b')}) AS base_sha256, {_duck_text('list_sort(list_concat(b, coalesce(e, [])))')} AS spans
     FROM base LEFT JOIN extra USING (rid)"""
