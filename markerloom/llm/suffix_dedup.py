@@ -33,6 +33,7 @@ other than id and text are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,8 +48,25 @@ _U = np.uint64
 #: A perfect difference set: every residue modulo 21 is a difference of two of these.
 MODULUS, COVER = 21, (0, 1, 4, 14, 16)
 _KEY = mix64(np.arange(77, 77 + 128, dtype=np.uint64)) | _U(1)
-#: Bytes of text that a task names together.
+#: Bytes of text that a task names together, at first, and of a segment of a text.
 BLOCK, SEGMENT = 4 << 20, 1 << 20
+#: Buckets of names beyond which they grow with the input as well as their number; partitions that hold them.
+EVEN_BUCKETS, PARTITIONS = 1 << 16, 20_000
+
+
+def bucket_plan(total: int, bucket_bytes: int) -> tuple[int, int]:
+    """(bits of a bucket's number, bytes of text in a block) for ``total`` bytes of text.
+
+    Up to ``EVEN_BUCKETS`` buckets a bucket holds the names of ``bucket_bytes`` of text. Beyond, number
+    and size both grow as the square root, and blocks with the number, so that a block still sends
+    many names to each bucket: 30 GB take 4,096 buckets of 8 MB and blocks of 4 MB, 100 TB take
+    1,048,576 of 95 MB and blocks of 64 MB.
+    """
+    buckets = -(-total // bucket_bytes)
+    if buckets > EVEN_BUCKETS:
+        buckets = int(EVEN_BUCKETS * math.sqrt(buckets / EVEN_BUCKETS))
+    bits = max(0, (buckets - 1).bit_length())
+    return bits, BLOCK * max(1, (1 << bits) // EVEN_BUCKETS)
 
 
 def covers(modulus: int, cover: tuple[int, ...]) -> bool:
@@ -262,7 +280,7 @@ def _meet(bits: int, wide: bool, carry: bool):
     return run
 
 
-def _segments(batches: Iterator[pa.RecordBatch], overlap: int, segment: int = SEGMENT) -> Iterator[list[tuple]]:
+def _segments(batches: Iterator[pa.RecordBatch], overlap: int, segment: int = SEGMENT, block: int = BLOCK) -> Iterator[list[tuple]]:
     """Blocks of (doc, offset, bytes, whether the text ends there, rest of the row).
 
     Segments of a text overlap by ``overlap`` bytes.
@@ -275,7 +293,7 @@ def _segments(batches: Iterator[pa.RecordBatch], overlap: int, segment: int = SE
                 piece = data[offset : offset + segment + overlap]
                 held.append((doc, offset, piece, offset + len(piece) == len(data), rest))
                 size += len(piece)
-                if size >= BLOCK:
+                if size >= block:
                     yield sorted(held, key=lambda x: x[:2])
                     held, size = [], 0
     if held:
@@ -292,7 +310,7 @@ def _starts(packed: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(packed))
 
 
-def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 << 20, id_col: str = "doc_id", text: str = "text", with_kept: bool = True, segment_bytes: int = SEGMENT) -> DataFrame:
+def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 << 20, id_col: str = "doc_id", text: str = "text", with_kept: bool = True, segment_bytes: int = SEGMENT, partitions: int = PARTITIONS) -> DataFrame:
     """``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (bytes) of every text.
 
     Without ``with_kept`` the last column is null and the kept bytes stay in the tasks.
@@ -315,14 +333,14 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 <
     # only exact copies need telling apart later, and they are far fewer than the documents
     later = staging.put(copies.join(firsts, "digest").filter((F.col("doc_id") != F.col("first")) & (F.col("n_bytes") >= length)).select("doc_id", F.lit(True).alias("copy")), "copies", release=True)
     total = copies.agg(F.sum("n_bytes")).first()[0] or 0
-    bits = max(0, int(-(-total // bucket_bytes) - 1).bit_length()) if total else 0
+    bits, block_bytes = bucket_plan(total, bucket_bytes)
     staging.drop(copies)
     unique = source.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)).join(later.select("doc_id"), "doc_id", "left_anti")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         on = np.zeros(MODULUS, dtype=bool)
         on[list(COVER)] = True
-        for block in _segments(batches, length - 1, segment_bytes):
+        for block in _segments(batches, length - 1, segment_bytes, block_bytes):
             raw, first, sizes = _laid(block)
             doc, at, name = [], [], []
             for (d, offset, _, last, _), f, n in zip(block, first, sizes, strict=True):
@@ -334,15 +352,16 @@ def repeated_strings(docs: DataFrame, length: int = 100, bucket_bytes: int = 8 <
                 name.append(where + f)
             yield from _sent(np.concatenate(doc), np.concatenate(at), names_at(raw, np.concatenate(name), tuple_bytes), bits, carry=True).to_batches()
 
-    buckets = 1 << bits
-    met = lambda sent, wide, carry: sent.repartition(buckets, "dest").groupBy("dest").applyInArrow(_meet(bits, wide, carry), _PARTS).repartition(buckets, "part").groupBy("part")
+    # a partition may hold many buckets, each of which is met by itself
+    dealt = min(1 << bits, partitions)
+    met = lambda sent, wide, carry: sent.repartition(dealt, "dest").groupBy("dest").applyInArrow(_meet(bits, wide, carry), _PARTS).repartition(dealt, "part").groupBy("part")
     named = unique.select("doc_id", "text").mapInArrow(sample, _SENT)
     triples = met(named, False, True).applyInArrow(_triples(bits, step), _SENT)
     sampled = staging.put(met(triples, False, False).applyInArrow(_gather, _FOUND), "sample", release=True)
     merging = source.join(sampled, "doc_id").select("doc_id", "text", "starts")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _segments(batches, length - 1, segment_bytes):
+        for block in _segments(batches, length - 1, segment_bytes, block_bytes):
             raw, first, sizes = _laid(block)
             doc, at, name = [], [], []
             for (d, offset, _, _, rest), f, n in zip(block, first, sizes, strict=True):
