@@ -393,35 +393,82 @@ def ld_dedupe(links: DataFrame, window: int = 10000) -> DataFrame:
 _ROW = "qname string, qlen bigint, qstart bigint, qend bigint, strand string, tname string, tlen bigint, tstart bigint, tend bigint, mapq bigint, as_score bigint, cigar string, chained int"
 
 
-def _link_costs(part: dict[str, np.ndarray], j: int, gap_open: int, gap_penalty: int, best: float) -> tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Later parts that part ``j`` may lead to: (slice, allowed, cut, price on the query, price in all).
-
-    Parts come by start on the query. Once the gap there alone costs more than ``best`` no later one
-    can follow. An overlap is cut off the later part's first match, which must be long enough.
-    """
-    reach = part["qend"][j] + (max(0.0, best + gap_open) / -gap_penalty if gap_penalty else np.inf)
-    s = slice(j + 1, int(np.searchsorted(part["qstart"], reach, side="right")) if np.isfinite(reach) else len(part["qstart"]))
-    on_q = part["qstart"][s] - part["qend"][j]
-    on_t = part["tstart"][s] - part["tend"][j] if part["forward"] else part["tstart"][j] - part["tend"][s]
-    cut = np.maximum(0, np.maximum(-on_q, -on_t))
-    price = lambda gap: np.where(gap > 0, gap_open + gap_penalty * gap, 0)
-    first = price(on_q + cut)
-    return s, cut <= part["head"][s], cut, first, first + price(on_t + cut) - cut * part["density"][s]
+class _MaxTree:
+    """The greatest of values at places 0 .. n - 1 below a place; of equal ones that of the least owner."""
+
+    def __init__(self, n: int):
+        self.size = 1 << max(0, n - 1).bit_length()
+        self.value, self.owner = [-np.inf] * (2 * self.size), [-1] * (2 * self.size)
+
+    def put(self, place: int, value: float, owner: int) -> None:
+        values, owners, i = self.value, self.owner, place + self.size
+        values[i], owners[i] = value, owner
+        while i > 1:
+            i >>= 1
+            left, right = 2 * i, 2 * i + 1
+            better = right if values[right] > values[left] or (values[right] == values[left] and 0 <= owners[right] < owners[left]) else left
+            values[i], owners[i] = values[better], owners[better]
+
+    def below(self, place: int) -> tuple[float, int]:
+        values, owners, lo, hi = self.value, self.owner, self.size, place + self.size
+        best, owner = -np.inf, -1
+        while lo < hi:
+            for i in ([lo] if lo & 1 else []) + ([hi - 1] if hi & 1 else []):
+                if values[i] > best or (values[i] == best and 0 <= owners[i] < owner):
+                    best, owner = values[i], owners[i]
+            lo, hi = (lo + 1) >> 1, hi >> 1
+        return best, owner
 
 
 def _best_chains(part: dict[str, np.ndarray], gap_open: int, gap_penalty: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Score of the best chain that ends in each part, the part before it (or itself), and its cut."""
-    n = len(part["score"])
-    best, before, cuts = part["score"].astype(float), np.arange(n), np.zeros(n, np.int64)
-    for j in range(n - 1):
-        s, allowed, cut, first, price = _link_costs(part, j, gap_open, gap_penalty, best[j])
-        # the first part that the chain cannot pay for ends the search
-        spent = np.flatnonzero(allowed & (best[j] + first <= 0))
-        if len(spent):
-            s, allowed, cut, price = slice(s.start, s.start + int(spent[0])), allowed[: spent[0]], cut[: spent[0]], price[: spent[0]]
-        total = best[j] + part["score"][s] + price
-        better = np.flatnonzero(allowed & (total > best[s]))
-        best[s.start + better], before[s.start + better], cuts[s.start + better] = total[better], j, cut[better]
+    """Score of the best chain that ends in each part, the part before it (or itself), and its cut.
+
+    Parts come by start on the query. Of those that end before a part begins, on both sequences, the
+    best is the greatest of score plus place, found in a tree over ends on the target. Those that
+    overlap it, by its first match at most, or touch it are few and are looked at one by one: the
+    overlap is cut off at the price of its share of the score. A part leads no further once an
+    overlapping part's gap on the query costs more than its chain has.
+    """
+    n, forward = len(part["score"]), bool(part["forward"])
+    q_from, q_to = part["qstart"].astype(np.int64), part["qend"].astype(np.int64)
+    # on the minus strand the target is walked backwards
+    t_from, t_to = (part["tstart"], part["tend"]) if forward else (-part["tend"], -part["tstart"])
+    t_from, t_to = t_from.astype(np.int64), t_to.astype(np.int64)
+    score, head, density = part["score"].astype(float), part["head"], part["density"]
+    best, before, cuts, open_ = score.copy(), np.arange(n), np.zeros(n, np.int64), np.ones(n, bool)
+    by_q, by_t = np.argsort(q_to, kind="stable"), np.argsort(t_to, kind="stable")
+    place = np.empty(n, np.int64)
+    place[by_t] = np.arange(n)
+    ends_q, ends_t = q_to[by_q], t_to[by_t]
+    # parts that end on, or up to the first match behind, a part's start; and those that end before it
+    near = [(np.searchsorted(ends, start, "left").tolist(), np.searchsorted(ends, start + head, "right").tolist()) for ends, start in ((ends_q, q_from), (ends_t, t_from))]
+    ended, done = np.searchsorted(ends_t, t_from, "right").tolist(), 0
+    tree = _MaxTree(n)
+    price = lambda gap: np.where(gap > 0, gap_open + gap_penalty * gap, 0)
+    for k in range(n):
+        while done < n and ends_q[done] <= q_from[k]:
+            j = int(by_q[done])
+            if open_[j] and j < k:
+                tree.put(int(place[j]), best[j] - gap_penalty * float(q_to[j] + t_to[j]), j)
+            done += 1
+        _, far = tree.below(ended[k])
+        some = np.concatenate([by_q[near[0][0][k] : near[0][1][k]], by_t[near[1][0][k] : near[1][1][k]], [far] if far >= 0 else []]).astype(np.int64)
+        some = some[some < k]
+        some = np.unique(some[open_[some]])
+        if not len(some):
+            continue
+        on_q, on_t = q_from[k] - q_to[some], t_from[k] - t_to[some]
+        cut = np.maximum(0, np.maximum(-on_q, -on_t))
+        first = price(on_q + cut)
+        allowed = cut <= head[k]
+        spent = allowed & (best[some] + first <= 0)
+        for j in some[spent].tolist():
+            open_[j] = False
+            tree.put(int(place[j]), -np.inf, -1)
+        total = np.where(allowed & ~spent, best[some] + score[k] + (first + price(on_t + cut) - cut * density[k]), -np.inf)
+        top = int(np.argmax(total))
+        if total[top] > best[k]:
+            best[k], before[k], cuts[k] = total[top], some[top], cut[top]
     return best, before, cuts
 
 
