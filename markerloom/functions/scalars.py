@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # The IUPAC letters and their complements.
@@ -157,12 +156,6 @@ def map_distance(fraction: Column, method: str = "kosambi") -> Column:
     raise ValueError(method)
 
 
-def map_position(df: DataFrame, fraction: str = "r", by: str = "lg", order: tuple[str, ...] = ("line",), method: str = "kosambi") -> DataFrame:
-    """Add ``cm``: the running sum of map distances along each group."""
-    upto = W.partitionBy(by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return df.withColumn("cm", F.sum(map_distance(F.col(fraction), method)).over(upto))
-
-
 # In version order a tilde comes before the end of a name, letters after it, then all other signs.
 _SIGNS = "".join(c for c in map(chr, range(1, 127)) if not c.isalnum() and c != "~")
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from markerloom.functions.scalars import bed_key, to_bin
+from markerloom.plans.staging import Staging, small_side
 
 #: Width of the bins that turn point-in-interval tests on long contigs into equality joins.
 BIN = 1 << 20
@@ -32,11 +33,15 @@ def _first_cover(pieces: DataFrame, key: str, lo: str, hi: str, rank: list) -> D
     """Stretches of each key that pieces cover, with the first piece by ``rank`` of each.
 
     Returns ``s_key``, ``s_bin``, ``s_lo``, ``s_hi`` and the struct ``s_piece``. Pieces are cut at
-    bins, and inside a bin at each other's ends; no two stretches meet, so a point lies in one at
-    most.
+    bins, and inside a bin at each other's ends where some of them overlap (mostly none do, which is
+    found out first); no two stretches meet, so a point lies in one at most.
     """
     kept = pieces.filter(F.col(lo) <= F.col(hi)).withColumn("s_bin", F.explode(F.sequence(F.floor(F.col(lo) / BIN), F.floor(F.col(hi) / BIN))))
     held = kept.select(F.col(key).alias("s_key"), "s_bin", F.greatest(F.col(lo), F.col("s_bin") * BIN).alias("c_lo"), F.least(F.col(hi), F.col("s_bin") * BIN + (BIN - 1)).alias("c_hi"), F.struct(*pieces.columns).alias("s_piece"), F.struct(*rank).alias("rank"))
+    held = Staging(pieces.sparkSession, "cover").put(held, "held")
+    bins = W.partitionBy("s_key", "s_bin").orderBy("c_lo", "c_hi").rowsBetween(W.unboundedPreceding, -1)
+    if held.withColumn("reached", F.max("c_hi").over(bins)).filter("reached >= c_lo").isEmpty():
+        return held.select("s_key", "s_bin", F.col("c_lo").alias("s_lo"), F.col("c_hi").alias("s_hi"), "s_piece")
     edges = held.select("s_key", "s_bin", F.col("c_lo").alias("s_lo")).unionAll(held.select("s_key", "s_bin", F.col("c_hi") + 1)).distinct()
     after = W.partitionBy("s_key", "s_bin").orderBy("s_lo")
     stretches = edges.withColumn("s_hi", F.lead("s_lo").over(after) - 1).filter("s_hi IS NOT NULL")
@@ -116,33 +121,43 @@ def fix_open_ends(bed: DataFrame, lengths: DataFrame) -> DataFrame:
     return joined.withColumn("end_s", F.when(F.col("end_s") == "N*", known).otherwise(F.col("end_s"))).drop("length")
 
 
-def _read_pairs(rows: DataFrame, read: str, order: list[str]) -> DataFrame:
-    """All pairs of one read's rows, the earlier first, as structs ``a`` and ``b``.
+def pairs_within(rows: DataFrame, key: str, order: list[str], tile_rows: int = 1000) -> DataFrame:
+    """All pairs of rows of one ``key``, the earlier by ``order`` first, as structs ``a`` and ``b``.
 
-    A read has a handful of alignments; rows of one read meet by an equality join on its name,
-    which adaptive execution splits where one name is crowded.
+    A key mostly has a handful of rows, which meet by an equality join. Those of a key of more than
+    ``tile_rows`` are dealt to tiles, and each pair of tiles is a join key of its own, so that the
+    pairs of one crowded key spread over all tasks.
     """
-    keyed = rows.withColumn("o", F.struct(*order))
-    a, b = keyed.select(F.col(read).alias("r"), F.struct("*").alias("a")), keyed.select(F.col(read).alias("r"), F.struct("*").alias("b"))
-    return a.join(b, "r").filter(F.col("a.o") < F.col("b.o")).drop("r")
-
-
-def hic_pairs(sam: DataFrame, q: int = 20) -> DataFrame:
+    keyed = rows.filter(F.col(key).isNotNull()).withColumn("o", F.struct(*order))
+    sizes = keyed.groupBy(F.col(key).alias("r")).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles")).filter("tiles > 1")
+    crowded = Staging(rows.sparkSession, "crowded").put(sizes, "keys")
+    side = lambda name: keyed.select(F.col(key).alias("r"), F.struct("*").alias(name), F.col("o").alias(f"{name}_o"))
+    if crowded.isEmpty():
+        return side("a").join(side("b"), "r").filter("a_o < b_o").select("a", "b")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))
+    own = lambda name: F.pmod(F.xxhash64(f"{name}_o"), F.coalesce("tiles", F.lit(1))).cast("int")
+    tiled = lambda name: side(name).join(small_side(crowded), "r", "left")
+    left = tiled("a").select("r", "a", "a_o", own("a").alias("p"), every.alias("q"))
+    right = tiled("b").select("r", "b", "b_o", every.alias("p"), own("b").alias("q"))
+    return left.join(right, ["r", "p", "q"]).filter("a_o < b_o").select("a", "b")
+
+
+def hic_pairs(sam: DataFrame, q: int = 20, tile_rows: int = 1000) -> DataFrame:
     """Contacts of all pairs of a read's kept alignments, in both directions, with the lesser quality."""
-    pairs = _read_pairs(sam.filter(F.col("mapq") >= q).select("read", "contig", "pos", "mapq", "line"), "read", ["line"])
+    pairs = pairs_within(sam.filter(F.col("mapq") >= q).select("read", "contig", "pos", "mapq", "line"), "read", ["line"], tile_rows)
     quality = F.least("a.mapq", "b.mapq").alias("quality")
     side = lambda x, y: [F.col(f"{x}.contig").alias("contig1"), F.col(f"{x}.pos").alias("pos1"), F.col(f"{y}.contig").alias("contig2"), F.col(f"{y}.pos").alias("pos2"), quality]
     return pairs.select(*side("a", "b")).unionAll(pairs.select(*side("b", "a")))
 
 
-def longread_links(paf: DataFrame, q: int = 1) -> DataFrame:
+def longread_links(paf: DataFrame, q: int = 1, tile_rows: int = 1000) -> DataFrame:
     """Links between a read's alignments on different contigs, both ways, and spans on one contig.
 
     An overlap on the read is halved into both positions; a mirrored link swaps the contigs and
     turns both orientations.
     """
     rows = paf.filter(F.col("mapq") >= q).select("qname", "qstart", "qend", "strand", "tname", "tstart", "tend", "mapq")
-    pairs = _read_pairs(rows, "qname", ["qstart", "qend", "tname", "tstart", "tend", "strand", "mapq"])
+    pairs = pairs_within(rows, "qname", ["qstart", "qend", "tname", "tstart", "tend", "strand", "mapq"], tile_rows)
     ov = F.floor(F.greatest(F.lit(0), F.col("a.qend") - F.col("b.qstart")) / 2)
     one = F.when(F.col("a.strand") == "+", F.col("a.tend") + 1 - ov).otherwise(F.col("a.tstart") + ov).cast("bigint")
     two = F.when(F.col("b.strand") == "+", F.col("b.tstart") + ov).otherwise(F.col("b.tend") + 1 - ov).cast("bigint")
@@ -154,16 +169,15 @@ def longread_links(paf: DataFrame, q: int = 1) -> DataFrame:
     return there.unionAll(back).unionAll(within)
 
 
-def umi_proximity(umis: DataFrame, bin_size: int = 10000, min_d: int = 2) -> DataFrame:
+def umi_proximity(umis: DataFrame, bin_size: int = 10000, min_d: int = 2, tile_rows: int = 1000) -> DataFrame:
     """Pairs of contig bins and the number of barcodes that both hold, ``min_d`` at least.
 
     The pairs are the result, so they grow with the square of the bins that one barcode holds; a
-    barcode is one molecule and holds few. Bins are told apart before the join, so a barcode read
+    barcode is one molecule and holds few; a crowded one is cut into pairs of tiles. Bins are told apart before the join, so a barcode read
     many times in one bin counts once.
     """
     held = umis.filter(F.col("umi").isNotNull()).select("contig", to_bin(F.col("pos"), bin_size).alias("bin"), "umi").distinct()
-    a, b = held.select("umi", F.col("contig").alias("contig1"), F.col("bin").alias("bin1")), held.select("umi", F.col("contig").alias("contig2"), F.col("bin").alias("bin2"))
-    pairs = a.join(b, "umi").filter(F.struct("contig1", "bin1") < F.struct("contig2", "bin2"))
+    pairs = pairs_within(held, "umi", ["contig", "bin"], tile_rows).select(F.col("a.contig").alias("contig1"), F.col("a.bin").alias("bin1"), F.col("b.contig").alias("contig2"), F.col("b.bin").alias("bin2"))
     counted = pairs.groupBy("contig1", "bin1", "contig2", "bin2").agg(F.count("*").alias("n")).filter(F.col("n") >= min_d)
     return counted.unionAll(counted.select(F.col("contig2"), F.col("bin2"), F.col("contig1"), F.col("bin1"), "n"))
 

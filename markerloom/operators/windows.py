@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from markerloom.functions.scalars import after_dash, bed_key, leading_int, reverse_complement
+from markerloom.functions.scalars import after_dash, bed_key, leading_int, map_distance, reverse_complement
 from markerloom.operators.joins import liftover
 from markerloom.operators.scans import Ordered
 from markerloom.plans.staging import Staging, small_side
+from markerloom.sources.readers import CHUNK, chunked
 
 
 def _share(x: float) -> float:
@@ -63,6 +64,11 @@ def trim_report(trimmed: DataFrame, by: str = "lg") -> DataFrame:
     return trimmed.groupBy(by).agg(F.count_if(~m & f).alias("male"), F.count_if(m & ~f).alias("female"), F.count_if(~m & ~f).alias("both"))
 
 
+def map_position(df: DataFrame, fraction: str = "r", by: str = "lg", order: tuple[str, ...] = ("line",), method: str = "kosambi") -> DataFrame:
+    """Add ``cm``: the running sum of map distances along each group."""
+    return Ordered(df, [by], list(order)).scan(sums={"cm": map_distance(F.col(fraction), method)}).df
+
+
 def marker_index(df: DataFrame, by: list[str], order: list) -> DataFrame:
     return df.withColumn("marker", F.row_number().over(W.partitionBy(*by).orderBy(*order)))
 
@@ -346,7 +352,7 @@ def assembly_parts(fasta: DataFrame, agp: DataFrame) -> DataFrame:
 def build_fasta(fasta: DataFrame, agp: DataFrame, unused: bool = False) -> DataFrame:
     """Objects' whole sequences, parts in order; ``unused`` adds the contigs no object holds.
 
-    A whole object is one string, which Spark limits to 2 GB; ``assembly_parts`` has no such limit.
+    A whole object is one string, which Spark limits to 2 GB; ``build_fasta_chunks`` has no such limit.
     """
     parts = assembly_parts(fasta, agp).groupBy("obj").agg(F.sort_array(F.collect_list(F.struct("part_no", "seq"))).alias("p"))
     whole = parts.select(F.col("obj").alias("name"), F.concat_ws("", F.transform("p", lambda x: x["seq"])).alias("seq"))
@@ -355,6 +361,35 @@ def build_fasta(fasta: DataFrame, agp: DataFrame, unused: bool = False) -> DataF
     return whole.unionAll(fasta.join(agp.select("contig"), "contig", "left_anti").select(F.col("contig").alias("name"), "seq"))
 
 
+def build_fasta_chunks(chunks: DataFrame, agp: DataFrame, unused: bool = False, chunk: int = CHUNK) -> DataFrame:
+    """As ``build_fasta`` for sequences of any length: ``(name, chunk, seq)`` from ``(contig, chunk, seq)``.
+
+    A part meets the chunks of its contig by number; pieces get their place in the object from running
+    sums over its parts and are put together chunk by chunk. A contig or a stretch that the sequences
+    lack raises.
+    """
+    whole = F.col("ctype") == "W"
+    gap = F.coalesce(F.col("gap_length"), F.lit(0)) if "gap_length" in agp.columns else F.lit(0)
+    size = F.when(whole, F.col("contig_end") - F.col("contig_beg") + 1).otherwise(gap).cast("bigint")
+    placed = Ordered(agp.withColumn("size", size), ["obj"], ["part_no"]).scan(sums={"stop": F.col("size")}).df.filter("size > 0").withColumn("begin", F.col("stop") - F.col("size"))
+    parts = placed.filter(whole).select(F.col("obj").alias("name"), "contig", F.col("contig_beg").cast("bigint").alias("beg"), F.col("contig_end").cast("bigint").alias("end"), "orientation", "begin")
+    spread = parts.withColumn("chunk", F.explode(F.sequence(F.expr(f"(beg - 1) div {chunk}"), F.expr(f"(end - 1) div {chunk}"))))
+    lo, hi = F.greatest(F.col("beg") - 1, F.col("chunk") * chunk), F.least(F.col("end"), (F.col("chunk") + 1) * chunk)
+    cut = F.substring("seq", (lo - F.col("chunk") * chunk + 1).cast("int"), (hi - lo).cast("int"))
+    missing = F.raise_error(F.concat(F.lit("sequence not found: "), F.coalesce("contig", F.lit("null")))).cast("string")
+    text = F.when(F.col("seq").isNull() | (F.length(cut) < hi - lo), missing).when(F.col("orientation") == "-", reverse_complement(cut)).otherwise(cut)
+    at = F.when(F.col("orientation") == "-", F.col("begin") + F.col("end") - hi).otherwise(F.col("begin") + lo - F.col("beg") + 1)
+    pieces = spread.join(chunks.select("contig", "chunk", "seq"), ["contig", "chunk"], "left").select("name", at.alias("at"), text.alias("seq"))
+    # a gap is written chunk by chunk of the object, as it may be longer than any row
+    holes = placed.filter(~whole).select(F.col("obj").alias("name"), "begin", "stop", F.explode(F.sequence(F.expr(f"begin div {chunk}"), F.expr(f"(stop - 1) div {chunk}"))).alias("c"))
+    first, behind = F.greatest(F.col("begin"), F.col("c") * chunk), F.least(F.col("stop"), (F.col("c") + 1) * chunk)
+    holes = holes.select("name", first.alias("at"), F.repeat(F.lit("N"), (behind - first).cast("int")).alias("seq"))
+    built = chunked(pieces.unionAll(holes), ["name"], chunk)
+    if not unused:
+        return built
+    return built.unionAll(chunks.join(agp.select("contig"), "contig", "left_anti").select(F.col("contig").alias("name"), "chunk", "seq"))
+
+
 def marey_data(markers: DataFrame, agp: DataFrame, variant: str = "interval") -> DataFrame:
     """Markers moved through the assembly, as map against position; unlifted ones are left out.
 
@@ -396,11 +431,10 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
     meets four basis functions, so its Gram sums are aggregated per group and stretch between knots,
     and the banded equations that come of them are solved group by group in the tasks.
     """
-    ordered = W.partitionBy(by).orderBy(x, y)
-    df = marey.withColumn("i", F.row_number().over(ordered)).withColumn("n", F.count("*").over(W.partitionBy(by)))
-    span = W.partitionBy(by)
-    df = df.withColumn("u", ((F.col(x) - F.min(x).over(span)) / F.greatest(F.max(x).over(span) - F.min(x).over(span), F.lit(1))).cast("double"))
     staging = Staging(marey.sparkSession, "outliers")
+    spans = staging.put(marey.groupBy(by).agg(F.count("*").alias("n"), F.min(x).alias("_least"), F.max(x).alias("_most")), "spans")
+    df = _of_group(Ordered(marey, [by], [x, y]).scan(sums={"i": F.lit(1)}).df, spans, by)
+    df = df.withColumn("u", ((F.col(x) - F.col("_least")) / F.greatest(F.col("_most") - F.col("_least"), F.lit(1))).cast("double")).drop("_least", "_most")
     df = staging.put(df, "rows")
     penalty = F.lit(0)
     for k, (size, part) in enumerate(((resolution, 10), (int(resolution * 0.7), 7))):
@@ -410,7 +444,10 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
         slot = F.least(F.floor((F.col("i") - 1) / half).cast("int"), count)
         windows = F.array_distinct(F.array(F.least(slot, count - 1), F.greatest(F.least(slot, count) - 1, F.lit(0))))
         spread = df.withColumn("count", count).withColumn("half", half).withColumn("w", F.explode(windows))
-        mean = F.avg(F.abs(f"res{k}")).over(W.partitionBy(by, "w"))
+        # a group has a window for every half of a tenth or a seventh of its rows, however many rows those are
+        means = F.broadcast(spread.groupBy(F.col(by).alias("_group"), F.col("w").alias("_window")).agg(F.avg(F.abs(f"res{k}")).alias("mean")))
+        spread = spread.join(means, F.col(by).eqNullSafe(F.col("_group")) & (F.col("w") == F.col("_window"))).drop("_group", "_window")
+        mean = F.col("mean")
         middle = F.floor((F.col("w") * F.col("half") + 1 + F.col("n")) / 2)
         late = (F.col("w") == F.col("count") - 1) & (F.col("i") >= middle)
         points = spread.withColumn("p", (F.abs(f"res{k}") > 2 * mean).cast("int") + late.cast("int")).groupBy(by, "i").agg(F.sum("p").alias(f"p{k}"))
@@ -438,7 +475,9 @@ def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str) -> Data
     """Add ``name``: ``y`` less its least-squares fit by cubics between one node per ``size`` rows."""
     kind, staging = dict(df.dtypes)[by], Staging(df.sparkSession, "spline")
     up = W.partitionBy(by).orderBy("u")
-    ranked = df.filter(F.col("u").isNotNull()).select(by, "u", F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint").alias("k"), (F.row_number().over(up) - 1).cast("bigint").alias("s"), F.lead("u").over(up).alias("after"), F.greatest(F.count("*").over(W.partitionBy(by)) - 1, F.lit(1)).alias("m"))
+    known = df.filter(F.col("u").isNotNull()).select(by, "u", F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint").alias("k"))
+    counts = staging.put(known.groupBy(by).agg(F.greatest(F.count("*") - 1, F.lit(1)).alias("m")), "counts")
+    ranked = _of_group(Ordered(known, [by], ["u"]).scan(sums={"place": F.lit(1)}, after={"after": "u"}).df, counts, by).withColumn("s", (F.col("place") - 1).cast("bigint"))
     # node j of 0 .. k + 1 lies at rank j / (k + 1) * m, between the rows of ranks s and s + 1
     least = lambda s: F.floor((s * (F.col("k") + 1) + F.col("m") - 1) / F.col("m"))
     first, last = least(F.col("s")), F.least(least(F.col("s") + 1) - 1, F.col("k") + 1)
@@ -446,8 +485,8 @@ def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str) -> Data
     at = F.col("u") + F.coalesce((F.col("j") * F.col("m") / (F.col("k") + 1) - F.col("s")) * (F.col("after") - F.col("u")), F.lit(0.0))
     nodes = staging.put(held.select(by, at.alias("u")).distinct().withColumn("node", F.lit(1)), "nodes")
     # a row belongs to the last node that is not above it; nodes come before rows of the same place
-    running = W.partitionBy(by).orderBy("u", F.desc_nulls_last("node")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    both = df.withColumn("node", F.lit(0)).unionByName(nodes, allowMissingColumns=True).withColumn("seg", F.sum("node").over(running))
+    both = df.withColumn("node", F.lit(0)).unionByName(nodes, allowMissingColumns=True).withColumn("after_nodes", 1 - F.col("node"))
+    both = Ordered(both, [by], ["u", "after_nodes"]).scan(sums={"seg": F.col("node")}).df.drop("after_nodes")
     ends, whole = F.count("*").over(W.partitionBy(by)), W.partitionBy(by)
     beside = lambda k: F.coalesce(F.lag("u", k).over(up) if k >= 0 else F.lead("u", -k).over(up), F.min("u").over(whole) if k >= 0 else F.max("u").over(whole))
     knots = nodes.select(by, F.row_number().over(up).cast("bigint").alias("seg"), ends.alias("nodes"), *[beside(2 - d).alias(f"t{d}") for d in range(6)])

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from markerloom.operators.numbering import with_row_number
+from markerloom.plans.staging import shared
 
 SQL = {
     "contig_length": """
@@ -136,13 +137,16 @@ _TABLES = re.compile(r"\b(FROM|JOIN) (region|nation|customer|supplier|part|order
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture over the tables of ``sf_dir``, read in place; no view is registered."""
+    """A fixture over the tables of ``sf_dir``, read in place; no view is registered.
+
+    Tables that number their rows are sorted once a session and folder.
+    """
     sql = GENO_SPARK if name == "geno" else SQL[name]
     table = spark.sql(_TABLES.sub(lambda m: f"{m[1]} parquet.`{sf_dir}/{m[2]}.parquet`", sql))
     if name not in NUMBERED:
         return table
     number, order, extra = NUMBERED[name]
-    return with_row_number(table, order, number).drop(*extra)
+    return shared(spark, ("fixture", sf_dir, name), lambda: with_row_number(table, order, number).drop(*extra))
 
 
 def _numbered_sql(name: str) -> str:

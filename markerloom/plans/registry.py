@@ -177,7 +177,7 @@ def _cigar(sp: SparkSession, d: str) -> DataFrame:
 _add("cigar_blocks", _cigar, "paf", "SELECT qname, qstart, tname, tstart, as_score, 0 AS no, qend - qstart - 200 AS size, as_score % 9 + 1 AS dt, CAST(7 AS BIGINT) AS dq FROM paf UNION ALL SELECT qname, qstart, tname, tstart, as_score, 1, CAST(200 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM paf")
 _RF = "(l_discount * CAST(5 AS DOUBLE))"
 _add("map_distance", lambda sp, d: sp.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_discount") * 5.0).alias("r")).select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(s.map_distance(F.col("r"), m), 6).alias(m) for m in ("kosambi", "haldane", "morgan")]), "", f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN {_RF} < 0.5 THEN round(25 * ln((1 + 2 * {_RF}) / (1 - 2 * {_RF})), 6) END AS kosambi, CASE WHEN {_RF} < 0.5 THEN round(0 - 50 * ln(1 - 2 * {_RF}), 6) END AS haldane, round(100 * {_RF}, 6) AS morgan FROM lineitem")
-_add("map_position", lambda sp, d: s.map_position(_markers(sp, d).select("marker_id", "lg", ((F.col("pos") % 40) / 100.0).alias("r")), order=("marker_id",)).select("marker_id", "lg", F.round("cm", 3).alias("cm")), "map_markers", "WITH r AS (SELECT marker_id, lg, (pos % 40) / CAST(100 AS DOUBLE) AS r FROM map_markers) SELECT marker_id, lg, round(sum(25 * ln((1 + 2 * r) / (1 - 2 * r))) OVER (PARTITION BY lg ORDER BY marker_id), 3) AS cm FROM r")
+_add("map_position", lambda sp, d: w.map_position(_markers(sp, d).select("marker_id", "lg", ((F.col("pos") % 40) / 100.0).alias("r")), order=("marker_id",)).select("marker_id", "lg", F.round("cm", 3).alias("cm")), "map_markers", "WITH r AS (SELECT marker_id, lg, (pos % 40) / CAST(100 AS DOUBLE) AS r FROM map_markers) SELECT marker_id, lg, round(sum(25 * ln((1 + 2 * r) / (1 - 2 * r))) OVER (PARTITION BY lg ORDER BY marker_id), 3) AS cm FROM r")
 _add("natural_sort", lambda sp, d: s.natural_sort(fx(sp, d, "contig_length"), "contig"), "contig_length", "SELECT * FROM contig_length")
 _add("validate_fasta", lambda sp, d: s.validate_fasta(fx(sp, d, "fasta_seq").withColumn("seq", F.when(F.col("contig").endswith("7"), F.concat("seq", F.lit("X"))).otherwise(F.col("seq")))), "fasta_seq", "SELECT contig, 'letters' AS problem FROM fasta_seq WHERE contig LIKE '%7' UNION ALL SELECT contig, 'repeated name' FROM fasta_seq GROUP BY contig HAVING count(*) > 1")
 
@@ -370,6 +370,25 @@ _add("agp_links", lambda sp, d: w.agp_links(fx(sp, d, "agp")), "agp", f"""WITH p
     UNION ALL SELECT {_SIDE}, 100, 200, o, contig, e - b + 1, CASE WHEN o = '-' THEN e - 100 ELSE b - 1 END, CASE WHEN o = '-' THEN e ELSE b + 99 END, 60 FROM p WHERE pc IS NOT NULL""")
 _CUT = "substring(seq, contig_beg, contig_end - contig_beg + 1)"
 _add("build_fasta", lambda sp, d: w.build_fasta(fx(sp, d, "fasta_seq"), fx(sp, d, "agp_seq"), True), "fasta_seq agp_seq", f"SELECT obj AS name, string_agg(CASE WHEN orientation = '-' THEN translate(reverse({_CUT}), 'ACGT', 'TGCA') ELSE {_CUT} END, '' ORDER BY part_no) AS seq FROM agp_seq JOIN fasta_seq USING (contig) GROUP BY obj UNION ALL SELECT contig, seq FROM fasta_seq WHERE contig NOT IN (SELECT contig FROM agp_seq)")
+_BUILT = f"SELECT obj AS name, string_agg(CASE WHEN orientation = '-' THEN translate(reverse({_CUT}), 'ACGT', 'TGCA') ELSE {_CUT} END, '' ORDER BY part_no) AS seq FROM agp_seq JOIN fasta_seq USING (contig) GROUP BY obj UNION ALL SELECT contig, seq FROM fasta_seq WHERE contig NOT IN (SELECT contig FROM agp_seq)"
+_SMALL = 480  # letters of a chunk: small, so that contigs and objects have borders of chunks inside
+
+
+def _assembled(sp: SparkSession, d: str) -> DataFrame:
+    path = _file(sp, "fasta-chunks")
+    wr.write_fasta(fx(sp, d, "fasta_seq"), path)
+    agp = fx(sp, d, "agp_seq").join(fx(sp, d, "fasta_seq").select("contig", F.length("seq").alias("held")), "contig").withColumn("contig_end", F.least("contig_end", "held")).drop("held")
+    return w.build_fasta_chunks(rd.read_fasta_chunks(sp, path, _SMALL), agp, True, _SMALL)
+
+
+def _wrapped(sp: SparkSession, d: str) -> DataFrame:
+    path = _file(sp, "fasta-wrapped")
+    wr.write_fasta_chunks(_assembled(sp, d), path, contig="name")
+    return sp.read.text(path)
+
+
+_add("build_fasta_chunks", _assembled, "fasta_seq agp_seq", f"SELECT name, chunk, substring(seq, chunk * {_SMALL} + 1, {_SMALL}) AS seq FROM (SELECT name, seq, CAST(unnest(range(0, (length(seq) - 1) // {_SMALL} + 1)) AS BIGINT) AS chunk FROM ({_BUILT}))")
+_add("write_fasta_chunks", _wrapped, "fasta_seq agp_seq", f"WITH o AS ({_BUILT}) SELECT '>' || name AS value FROM o UNION ALL SELECT substring(seq, line * 60 + 1, 60) FROM (SELECT seq, unnest(range(0, (length(seq) - 1) // 60 + 1)) AS line FROM o)")
 _LIFTED = f"map_markers m JOIN ({_FIRST_W}) g ON g.contig = m.contig AND m.pos BETWEEN contig_beg AND contig_end"
 _add("marey_data", lambda sp, d: w.marey_data(_markers(sp, d), fx(sp, d, "agp")), "map_markers agp", f"SELECT g.obj, CAST({_LIFT} AS BIGINT) AS pos, lg, 1 AS map_id, male_cm, female_cm FROM {_LIFTED}")
 _add("marey_data_average", lambda sp, d: w.marey_data(_markers(sp, d), fx(sp, d, "agp"), "average").withColumn("cm", F.round("cm", 4)), "map_markers agp", f"SELECT g.obj, CAST({_LIFT} AS BIGINT) AS pos, lg, 1 AS map_id, round((male_cm + female_cm) * CAST(0.5 AS DOUBLE), 4) AS cm FROM {_LIFTED}")

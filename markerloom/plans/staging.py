@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _local: dict[str, str] = {}
 _made: list[str] = []
+_shared: dict[tuple, DataFrame] = {}
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
@@ -43,8 +45,17 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def shared(spark: SparkSession, key: tuple, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table over staged data that several queries of a session read: made at first, and anew after ``clear``."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _shared:
+        _shared[key] = make()
+    return _shared[key]
+
+
 def clear(spark: SparkSession) -> None:
     """Delete every staged table of this driver; results that were not written elsewhere are lost."""
+    _shared.clear()
     while _made:
         _delete(spark, _made.pop())
 

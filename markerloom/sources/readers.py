@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from markerloom.operators.scans import Ordered
+
+#: Letters of a sequence in one row: a multiple of the usual widths of a line.
+CHUNK = 60 * 16384
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text with ``file`` and ``line``, the number of a line in its file from 1.
@@ -46,6 +50,33 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(F.regexp_extract(head, r"^\s*(\S*)", 1).alias("contig"), F.regexp_replace(body, r"\s", "").alias("seq"))
 
 
+def read_fasta_chunks(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
+    """``(contig, chunk, seq)``: records of any length, ``chunk`` letters a row (fewer in a record's last).
+
+    Lines are placed by running sums over ranges of a file, so no record is held as one string. A
+    record without letters is one empty chunk; lines before the first header are left out.
+    """
+    lines = _numbered(spark, path)
+    head = F.col("value").startswith(">")
+    lines = lines.select("file", "line", head.alias("head"), F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("name"), F.when(head, F.lit("")).otherwise(F.regexp_replace("value", r"\s", "")).alias("seq"))
+    placed = Ordered(lines, ["file"], ["line"]).scan(sums={"record": F.col("head").cast("bigint")}, last={"contig": "name"})
+    placed = placed.keep("record > 0 AND (head OR seq <> '')").grouped("file", "record").scan(sums={"upto": F.length("seq").cast("bigint")})
+    rows = placed.df.withColumn("at", F.col("upto") - F.length("seq"))
+    return chunked(rows, ["file", "record", "contig"], chunk).select("contig", "chunk", "seq")
+
+
+def chunked(pieces: DataFrame, by: list[str], chunk: int, at: str = "at", seq: str = "seq") -> DataFrame:
+    """Pieces of sequences of ``by``, which begin ``at`` letters from 0, as rows of whole chunks: adds ``chunk``."""
+    start, size = F.col(at), F.length(seq)
+    numbers = F.sequence(F.expr(f"`{at}` div {chunk}"), F.expr(f"greatest(`{at}`, `{at}` + length(`{seq}`) - 1) div {chunk}"))
+    spread = pieces.select(*by, start.alias("_at"), F.col(seq).alias("_seq"), size.alias("_size"), F.explode(numbers).alias("chunk"))
+    lo = F.greatest(F.col("_at"), F.col("chunk") * chunk)
+    hi = F.least(F.col("_at") + F.col("_size"), (F.col("chunk") + 1) * chunk)
+    cut = F.substring("_seq", (lo - F.col("_at") + 1).cast("int"), (hi - lo).cast("int"))
+    parts = spread.select(*by, "chunk", F.struct(lo.alias("at"), cut.alias("seq")).alias("part")).groupBy(*by, "chunk").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    return parts.select(*by, "chunk", F.array_join(F.col("parts.seq"), "").alias("seq"))
+
+
 def extract_markers(genotypes: DataFrame, header: int = 6) -> DataFrame:
     """Number, contig and position of the marker rows after the pedigree header; needs ``line``."""
     rows = genotypes.filter(F.col("line") > header)
