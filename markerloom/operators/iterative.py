@@ -21,10 +21,12 @@ from markerloom.plans.staging import Staging, small_side
 
 #: Rounds over the whole table before what is left is looked at component by component.
 _SPREAD_ROUNDS = 8
+#: Components are looked at earlier where a round leaves more than this share of its rows.
+_SLOW = 0.7
 
 
 def _in_turn(rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one component that are accepted, taken one after another by their number."""
+    """Rows of whole components that are accepted, taken one after another by their number."""
     taken, kept = set(), []
     rows = rows.sort_values("turn")
     for k, (a, b, take) in enumerate(zip(rows["a"], rows["b"], rows["take"], strict=True)):
@@ -40,21 +42,25 @@ def _accepted(rows: DataFrame, component_rows: int) -> DataFrame:
     A row is accepted if no earlier one has taken either of its ends; it then takes its end
     ``take``. A row that is the first of all at both of its ends depends on no other, so each round
     accepts all of these and drops every row that meets an end they take. A long chain of dependent
-    rows would need as many rounds; after some rounds the components of what is left are small, and
-    those of up to ``component_rows`` rows are walked in order, each in a task. Larger ones go on
-    in rounds, which end because every round accepts the first row left.
+    rows would need as many rounds; so after some rounds, or once a round settles few rows, what is
+    left is split into components, and those of up to ``component_rows`` rows are walked in order,
+    some of them in each task. Larger ones go on in rounds, which end because every round accepts the
+    first row left.
     """
     staging = Staging(rows.sparkSession, "greedy")
     left = staging.put(rows.select("turn", "a", "b", "take"), "left")
     parts: list[DataFrame] = []
-    count = 0
-    while not left.isEmpty():
+    count, size, slow, split = 0, left.count(), False, False
+    while size:
         count += 1
-        if count % _SPREAD_ROUNDS == 0:
+        if count % _SPREAD_ROUNDS == 0 or (slow and not split):
+            split = True  # once early; larger components then go on in rounds
             named = left.join(connected_components(left, "a", "b"), F.col("a") == F.col("node")).drop("node")
             named = staging.put(named, "named")
             small = named.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") <= component_rows).select("component")
-            walked = named.join(small, "component", "left_semi").groupBy("component").applyInPandas(_in_turn, rows.select("turn").schema)
+            buckets = -(-size // max(1, component_rows)) + rows.sparkSession.sparkContext.defaultParallelism
+            dealt = named.join(small, "component", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(buckets)))
+            walked = dealt.groupBy("bucket").applyInPandas(_in_turn, rows.select("turn").schema)
             parts.append(staging.put(walked, "walked"))
             following = staging.put(named.join(small, "component", "left_anti").drop("component"), "left")
             staging.drop(named)
@@ -70,7 +76,8 @@ def _accepted(rows: DataFrame, component_rows: int) -> DataFrame:
             following = staging.put(free.select("turn", "a", "b", "take"), "left")
             staging.drop(judged)
         staging.drop(left)
-        left = following
+        left, before, size = following, size, following.count()
+        slow = size > _SLOW * before
     if not parts:
         return rows.select("turn").limit(0)
     return functools.reduce(DataFrame.unionAll, parts)

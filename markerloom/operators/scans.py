@@ -29,6 +29,7 @@ class Ordered:
         self.by, self.order = by, order
         self.staging = Staging(df.sparkSession, "ordered")
         dealt = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+        self.written = True  # what a scan reads twice is written, or follows from what is by plain columns
         self.rows = self.staging.put(dealt.withColumn(_PART, F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "dealt")
 
     @property
@@ -41,7 +42,7 @@ class Ordered:
 
     def through(self, step: Callable[[DataFrame], DataFrame]) -> Ordered:
         """Apply a step that neither drops nor repeats rows, such as a left join with one row a key."""
-        return self._with(step(self.rows))
+        return self._with(step(self.rows), written=False)
 
     def keep(self, condition: Column | str) -> Ordered:
         """Only rows that meet ``condition``, in the same order."""
@@ -53,9 +54,10 @@ class Ordered:
         out.by = list(by)
         return out
 
-    def _with(self, rows: DataFrame) -> Ordered:
+    def _with(self, rows: DataFrame, written: bool | None = None) -> Ordered:
         out = object.__new__(Ordered)
         out.by, out.order, out.staging, out.rows = self.by, self.order, self.staging, rows
+        out.written = self.written if written is None else written
         return out
 
     def scan(self, before: dict[str, Column | str] | None = None, after: dict[str, Column | str] | None = None, sums: dict[str, Column] | None = None, last: dict[str, Column | str] | None = None) -> Ordered:
@@ -66,7 +68,8 @@ class Ordered:
         """
         before, after, sums, last = before or {}, after or {}, sums or {}, last or {}
         cells = {**{f"_b_{k}": v for k, v in before.items()}, **{f"_a_{k}": v for k, v in after.items()}, **{f"_s_{k}": F.coalesce(v, F.lit(0)) for k, v in sums.items()}, **{f"_l_{k}": v for k, v in last.items()}}
-        rows = self.staging.put(self.rows.withColumns({k: F.col(v) if isinstance(v, str) else v for k, v in cells.items()}), "cells")
+        rows = self.rows.withColumns({k: F.col(v) if isinstance(v, str) else v for k, v in cells.items()})
+        rows = rows if self.written else self.staging.put(rows, "cells")
         keys = [_PART, *self.by]
         local = W.partitionBy(*keys).orderBy("_row")
         upto = local.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -103,4 +106,4 @@ class Ordered:
         new = {k: F.coalesce("_before", "_cb")[f"_b_{k}"] for k in before} | {k: F.coalesce("_after", "_ca")[f"_a_{k}"] for k in after}
         new |= {k: F.col(f"_upto_{k}") + F.col(f"_cs_{k}") for k in sums} | {k: F.coalesce(f"_known_{k}", f"_cl_{k}") for k in last}
         kept = [c for c in self.rows.columns if c not in new]
-        return self._with(joined.select(*kept, *[v.alias(k) for k, v in new.items()]))
+        return self._with(joined.select(*kept, *[v.alias(k) for k, v in new.items()]), written=False)

@@ -86,14 +86,12 @@ def marker_intervals(markers: DataFrame) -> DataFrame:
     return ends.select("contig", F.col("run").cast("bigint").alias("run"), F.col("a.pos").alias("start"), F.col("b.pos").alias("end"), "chr", "n")
 
 
-def _pruned(rows: pd.DataFrame, num_snps: int, num_bps: int) -> pd.DataFrame:
-    """Drop the shortest poor interval of a contig until none is poor; equal neighbours merge.
+def _left(start: list[int], end: list[int], home: list[int], n: list[int], num_snps: int, num_bps: int) -> list[int]:
+    """Which intervals of one contig are left; ``end`` and ``n`` of those that others merge into change.
 
-    A heap gives the shortest; intervals know their neighbours. An interval that was dropped, merged
-    away or has grown since leaves an old entry in the heap, which is passed over.
+    A heap gives the shortest poor interval; intervals know their neighbours. One that was dropped,
+    merged away or has grown since leaves an old entry in the heap, which is passed over.
     """
-    rows = rows.sort_values("run")
-    start, end, home, n = (rows[c].tolist() for c in ("start", "end", "chr", "n"))
     count = len(start)
     alive, before, after = [True] * count, list(range(-1, count - 1)), [*range(1, count), -1]
 
@@ -120,14 +118,29 @@ def _pruned(rows: pd.DataFrame, num_snps: int, num_bps: int) -> pd.DataFrame:
             unlink(b)
             if poor(a):
                 heapq.heappush(heap, (end[a] - start[a] + 1, a))
-    left = [k for k in range(count) if alive[k]]
-    return pd.DataFrame({"contig": rows["contig"].iloc[0], "run": range(1, len(left) + 1), "start": [start[k] for k in left], "end": [end[k] for k in left], "chr": [home[k] for k in left], "n": [n[k] for k in left]})
+    return [k for k in range(count) if alive[k]]
+
+
+def _pruned(rows: pd.DataFrame, num_snps: int, num_bps: int) -> pd.DataFrame:
+    """Drop the shortest poor interval of each contig until none is poor; equal neighbours merge."""
+    rows = rows.sort_values(["contig", "run"])
+    contig = rows["contig"].to_numpy()
+    edges = [*np.flatnonzero(np.append(True, contig[1:] != contig[:-1])).tolist(), len(rows)]
+    start, end, home, n = (rows[c].tolist() for c in ("start", "end", "chr", "n"))
+    out: list[tuple] = []
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        own = start[lo:hi], end[lo:hi], home[lo:hi], n[lo:hi]
+        out += [(contig[lo], run, *(c[k] for c in own)) for run, k in enumerate(_left(*own, num_snps, num_bps), 1)]
+    return pd.DataFrame(out, columns=["contig", "run", "start", "end", "chr", "n"])
 
 
-def clean_map(markers: DataFrame, num_snps: int = 2, num_bps: int = 10000) -> DataFrame:
-    """Marker intervals with the short and the poor ones pruned; a contig is one group."""
+def clean_map(markers: DataFrame, num_snps: int = 2, num_bps: int = 10000, bucket_rows: int = 200_000) -> DataFrame:
+    """Marker intervals with the short and the poor ones pruned; a task takes whole contigs, about ``bucket_rows`` at a time."""
     kind = "contig string, run bigint, start bigint, end bigint, chr bigint, n bigint"
-    return marker_intervals(markers).groupBy("contig").applyInPandas(lambda rows: _pruned(rows, num_snps, num_bps), kind)
+    intervals = Staging(markers.sparkSession, "intervals").put(marker_intervals(markers), "intervals")
+    buckets = -(-intervals.count() // bucket_rows) + markers.sparkSession.sparkContext.defaultParallelism
+    dealt = intervals.withColumn("bucket", F.pmod(F.xxhash64("contig"), F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInPandas(lambda rows: _pruned(rows, num_snps, num_bps), kind)
 
 
 def join_intervals(intervals: DataFrame, lengths: DataFrame) -> DataFrame:
