@@ -135,16 +135,16 @@ def remove_haplotypes(bed: DataFrame, haplotypes: DataFrame) -> DataFrame:
     return keyed.select("contig", start.alias("start_s"), end.alias("end_s"), "orientation", F.when(F.col("aligned_start").isNotNull(), F.col("top") + 1).otherwise(F.col("chr")).cast("bigint").alias("chr"))
 
 
-def _pass(la: DataFrame, score_diff: float, bridge: bool) -> DataFrame:
+def _pass(la: Ordered, columns: list[str], score_diff: float, bridge: bool) -> Ordered:
     """One pass: score ambiguous pieces by their neighbours, null wrong links, drop wrong rows.
 
     Neighbours are those in ``line`` order of the whole table, so that a piece at a chromosome's
     border has one in the next chromosome.
     """
     piece = F.struct("contig", "orig_start", "orig_end")
-    counted = la.withColumn("piece", piece).withColumn("count", F.count("*").over(W.partitionBy("contig", "orig_start", "orig_end")))
+    of_piece = W.partitionBy("contig", "orig_start", "orig_end")
     near = F.struct("piece", "count", "contig")
-    rows = Ordered(counted, [], ["line"]).scan(before={"before": near}, after={"after": near})
+    rows = la.through(lambda df: df.withColumn("piece", piece).withColumn("count", F.count("*").over(of_piece))).scan(before={"before": near}, after={"after": near})
     before_ok, after_ok = F.col("before.contig") == F.col("prev_contig"), F.col("after.contig") == F.col("next_contig")
     rows = rows.select(pc=F.when(before_ok, F.col("before.count")), nc=F.when(after_ok, F.col("after.count")), prev_piece=F.when(before_ok, F.col("before.piece")), next_piece=F.when(after_ok, F.col("after.piece")))
     one = F.when(F.col("pc") == 1, F.col("prev_score") + F.col("map_score"))
@@ -165,7 +165,7 @@ def _pass(la: DataFrame, score_diff: float, bridge: bool) -> DataFrame:
     for side, gone in lost.items():
         new |= {f"{side}_contig": F.when(gone, "null").otherwise(F.col(f"{side}_contig")), f"{side}_type": F.when(gone, "null").otherwise(F.col(f"{side}_type"))}
         new[f"{side}_score"] = F.when(gone, 0).otherwise(F.col(f"{side}_score")).cast("bigint")
-    return rows.df.filter("count = 1 OR home IS NULL OR home = chr").withColumns(new).select(*la.columns)
+    return rows.keep("count = 1 OR home IS NULL OR home = chr").select(**new).only(*columns)
 
 
 def propagate(la: DataFrame, score_diff: float = 2, max_rounds: int | None = None, bridge: bool = False) -> DataFrame:
@@ -174,21 +174,18 @@ def propagate(la: DataFrame, score_diff: float = 2, max_rounds: int | None = Non
     A pass only drops rows and nulls links, so the passes come to an end. ``max_rounds`` asks for so
     many passes at most; with 1 it is a plain query.
     """
+    rows, columns = Ordered(la, [], ["line"]), la.columns
     if max_rounds == 1:
-        return _pass(la, score_diff, bridge)
-    staging = Staging(la.sparkSession, "propagate")
-    mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)"))).first()
-    current = staging.put(la, "pass")
-    before, passes = mark(current), 0
+        return _pass(rows, columns, score_diff, bridge).df
+    mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))).first()
+    before, passes = mark(rows.df), 0
     while max_rounds is None or passes < max_rounds:
-        following = staging.put(_pass(current, score_diff, bridge), "pass")
-        staging.drop(current)
-        current, passes = following, passes + 1
-        after = mark(current)
+        rows, passes = _pass(rows, columns, score_diff, bridge).kept(), passes + 1
+        after = mark(rows.df)
         if after == before:
             break
         before = after
-    return current
+    return rows.df
 
 
 def propagate_bridge(la: DataFrame, score_diff: float = 2, max_rounds: int | None = 1) -> DataFrame:

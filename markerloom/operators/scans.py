@@ -48,6 +48,14 @@ class Ordered:
         """Only rows that meet ``condition``, in the same order."""
         return self._with(self.rows.filter(condition))
 
+    def only(self, *columns: str) -> Ordered:
+        """No columns but these; the order stays."""
+        return self._with(self.rows.select(*columns, _PART, "_row"))
+
+    def kept(self) -> Ordered:
+        """The table as it is now, written, so that what follows does not compute it again."""
+        return self._with(self.staging.put(self.rows, "kept"), written=True)
+
     def grouped(self, *by: str) -> Ordered:
         """The same order with groups of ``by``, each of which must be a run of rows."""
         out = self._with(self.rows)

@@ -328,9 +328,17 @@ _add("marker_index", lambda sp, d: w.marker_index(_markers(sp, d).select("marker
 _RUNS = """o AS (SELECT *, row_number() OVER (PARTITION BY contig ORDER BY pos, marker_id) AS i, CASE WHEN lag(lg) OVER (PARTITION BY contig ORDER BY pos, marker_id) = lg THEN 0 ELSE 1 END AS new FROM map_markers),
     q AS (SELECT *, CAST(sum(new) OVER (PARTITION BY contig ORDER BY i) AS BIGINT) AS run FROM o), runs AS (SELECT contig, run, min(pos) AS start, max(pos) AS "end", any_value(lg) AS chr, count(*) AS n FROM q GROUP BY contig, run)"""
 _add("marker_intervals", lambda sp, d: w.marker_intervals(_intervals(sp, d)), "map_markers", f"WITH {_RUNS} SELECT * FROM runs")
-_add("clean_map", lambda sp, d: w.clean_map(_intervals(sp, d)))
+# one interval goes a step: the shortest poor one of each contig, with its right neighbour where both neighbours are of one chromosome
+_POOR = "list_sort(list_transform(list_filter(range(1, len(items) + 1), lambda i: items[i].e - items[i].s + 1 < 10000 OR items[i].n < 2), lambda i: {'size': items[i].e - items[i].s + 1, 'i': i}))[1].i"
+_PRUNED = f"""{_RUNS}, p AS (SELECT contig, count(*) = 1 AS alone, list({{'s': start, 'e': "end", 'c': chr, 'n': n}} ORDER BY run) AS items FROM runs GROUP BY contig
+    UNION ALL SELECT contig, alone, CASE WHEN k > 1 AND k < len(items) AND items[k - 1].c = items[k + 1].c THEN items[1:k - 2] || [{{'s': items[k - 1].s, 'e': items[k + 1].e, 'c': items[k - 1].c, 'n': items[k - 1].n + items[k + 1].n}}] || items[k + 2:] ELSE items[1:k - 1] || items[k + 1:] END
+      FROM (SELECT *, {_POOR} AS k FROM p WHERE NOT alone) WHERE k IS NOT NULL),
+    left_over AS (SELECT contig, items FROM (SELECT *, {_POOR} AS k FROM p) WHERE alone OR k IS NULL),
+    pruned AS (SELECT contig, run, items[run].s AS start, items[run].e AS "end", items[run].c AS chr, items[run].n AS n FROM (SELECT contig, items, CAST(unnest(range(1, len(items) + 1)) AS BIGINT) AS run FROM left_over))"""
+_add("clean_map", lambda sp, d: w.clean_map(_intervals(sp, d)), "map_markers", f"WITH {_PRUNED} SELECT * FROM pruned", recursive=True)
 _add("join_intervals", lambda sp, d: w.join_intervals(w.marker_intervals(_intervals(sp, d)), fx(sp, d, "contig_length")), "map_markers contig_length", f"""WITH {_RUNS} SELECT contig, run, CASE WHEN lag("end") OVER w IS NULL THEN 1 ELSE (lag("end") OVER w + start) // 2 + 1 END AS start, CASE WHEN lead(start) OVER w IS NULL THEN length ELSE ("end" + lead(start) OVER w) // 2 END AS "end", chr FROM runs LEFT JOIN contig_length USING (contig) WINDOW w AS (PARTITION BY contig ORDER BY run)""")
-_add("map_to_bed", lambda sp, d: w.map_to_bed(_intervals(sp, d), fx(sp, d, "contig_length")))
+_add("map_to_bed", lambda sp, d: w.map_to_bed(_intervals(sp, d), fx(sp, d, "contig_length")), "map_markers contig_length", f"""WITH {_PRUNED}, b AS (SELECT p.*, length, lag("end") OVER w AS before, lead(start) OVER w AS after FROM pruned p JOIN contig_length USING (contig) WINDOW w AS (PARTITION BY contig ORDER BY run))
+    SELECT contig, CASE WHEN before IS NULL THEN '1' ELSE (before + 1) || '-' || start END AS start_s, CASE WHEN after IS NULL THEN length || '*' ELSE "end" || '-' || (after - 1) END AS end_s, '?' AS orientation, chr FROM b""", recursive=True)
 # every cut lies inside a contig's first piece and becomes a border of both sides' bounds
 _add("cut_bed", lambda sp, d: w.cut_bed(fx(sp, d, "bed"), fx(sp, d, "cuts")), "bed cuts", """WITH c AS (SELECT contig, cut_lo - 1 AS lo, cut_hi AS hi, chr FROM cuts JOIN bed USING (contig) WHERE start_s = '1')
     SELECT contig, start_s, end_s, orientation, chr FROM bed WHERE contig NOT IN (SELECT contig FROM c)
@@ -424,9 +432,9 @@ _add("remove_haplotypes", lambda sp, d: it.remove_haplotypes(fx(sp, d, "bed"), _
       CASE WHEN e IS NOT NULL THEN CAST(e AS VARCHAR) WHEN ns IS NOT NULL THEN CAST(least(ns - 1, CAST(replace(split_part(end_s, '-', -1), '*', '') AS BIGINT)) AS VARCHAR) ELSE end_s END AS end_s, orientation, CASE WHEN s IS NOT NULL THEN top + 1 ELSE chr END AS chr FROM x""")
 
 
-def _pass_sql(bridge: bool) -> str:
+def _pass_sql(bridge: bool, source: str = "la") -> str:
     both = ", CASE WHEN pc = 1 AND nc = 1 THEN prev_score + next_score + map_score END" if bridge else ""
-    return f"""WITH c AS (SELECT *, contig || '/' || orig_start || '/' || orig_end AS piece, count(*) OVER (PARTITION BY contig, orig_start, orig_end) AS n FROM la),
+    return f"""WITH c AS (SELECT *, contig || '/' || orig_start || '/' || orig_end AS piece, count(*) OVER (PARTITION BY contig, orig_start, orig_end) AS n FROM {source}),
     d AS (SELECT *, CASE WHEN lag(contig) OVER w = prev_contig THEN lag(piece) OVER w END AS pp, CASE WHEN lag(contig) OVER w = prev_contig THEN lag(n) OVER w END AS pc, CASE WHEN lead(contig) OVER w = next_contig THEN lead(piece) OVER w END AS np, CASE WHEN lead(contig) OVER w = next_contig THEN lead(n) OVER w END AS nc FROM c WINDOW w AS (ORDER BY line)),
     s AS (SELECT piece, chr, max(greatest(CASE WHEN pc = 1 THEN prev_score + map_score END, CASE WHEN nc = 1 THEN next_score + map_score END{both})) AS score FROM d WHERE n > 1 GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS second FROM (SELECT * FROM s WHERE score IS NOT NULL) WINDOW w AS (PARTITION BY piece ORDER BY score DESC, chr DESC)), home AS (SELECT piece, chr FROM r WHERE rn = 1 AND score > 0 AND coalesce(second, 0) + 2 <= score),
@@ -438,7 +446,10 @@ def _pass_sql(bridge: bool) -> str:
 
 _add("propagate_pass", lambda sp, d: it.propagate(fx(sp, d, "la"), max_rounds=1), "la", _pass_sql(False))
 _add("propagate_bridge", lambda sp, d: it.propagate_bridge(fx(sp, d, "la")), "la", _pass_sql(True))
-_add("propagate", lambda sp, d: it.propagate(fx(sp, d, "la")))
+# a pass changes nothing once all is settled, so passes beyond that do no harm; the given tables take a handful
+_SETTLED = f"""WITH passes AS (SELECT 0 AS step, * FROM la UNION ALL SELECT * FROM (SELECT (SELECT max(step) FROM passes) + 1 AS step, * FROM ({_pass_sql(False, "(SELECT * EXCLUDE (step) FROM passes)")})) WHERE step <= 20)
+    SELECT * EXCLUDE (step) FROM passes WHERE step = (SELECT max(step) FROM passes)"""
+_add("propagate", lambda sp, d: it.propagate(fx(sp, d, "la")), "la", _SETTLED, recursive=True)
 _add("unique_pieces", lambda sp, d: it.unique_pieces(fx(sp, d, "la")), "la", "SELECT * FROM la QUALIFY count(*) OVER (PARTITION BY contig, orig_start, orig_end) = 1")
 _add("link_scores", lambda sp, d: it.link_scores(fx(sp, d, "links")), "links", "SELECT contig1, o1, contig2, o2, CAST(max(s) AS BIGINT) AS score FROM (SELECT file_no, contig1, o1, contig2, o2, sum(score) AS s FROM links GROUP BY ALL) GROUP BY ALL")
 _add("propagate_links", lambda sp, d: it.propagate_links(fx(sp, d, "la"), fx(sp, d, "links")))
