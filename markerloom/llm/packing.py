@@ -273,7 +273,7 @@ def _token_runs(words: WordIds, texts: pa.Array, end: int, most: int) -> Iterato
         at = upto
 
 
-def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text: str = "text", slice_bytes: int = 1 << 20) -> DataFrame:
     """One row per piece of every document: full windows and what remains."""
 
     def batches(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
