@@ -273,7 +273,7 @@ def _token_runs(words: WordIds, texts: pa.Array, end: int, most: int) -> Iterato
         at = upto
 
 
-def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text: str = "text", slice_bytes: int = 1 << 20) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, id_col: str = "doc_id", text: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
     """One row per piece of every document: full windows and what remains."""
 
     def batches(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,12 +295,15 @@ def tokenized_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(batches, PIECES)
 
 
-def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, shard_pieces: int = 16384, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``; ``shard_pieces`` is about what one shard holds."""
+def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, shard_pieces: int = 16384, id_col: str = "doc_id", text: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
+    """Pieces with ``sequence_id`` and ``offset``; ``shard_pieces`` is about what one shard holds.
+
+    A task lays out ``slice_bytes`` of text at a time: fewer take less memory and more time.
+    """
     import public_tokenizers
 
     staging = Staging(docs.sparkSession, "packing")
-    pieces = staging.put(tokenized_pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), length, end, id_col, text).withColumn("row", F.monotonically_increasing_id()), "pieces", arrow_rows=2000)
+    pieces = staging.put(tokenized_pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), length, end, id_col, text, slice_bytes).withColumn("row", F.monotonically_increasing_id()), "pieces", arrow_rows=2000)
     shards = max(1, -(-pieces.count() // shard_pieces))
     # a row's place in the written table is part of its key, so that rows that repeat each other spread
     keyed = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "length", "ids_crc32", "row"), F.lit(shards)))
