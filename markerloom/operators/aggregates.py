@@ -32,15 +32,25 @@ def orient_map(marey: DataFrame) -> DataFrame:
     """Turn maps whose position falls as cM grows, so that both rise together.
 
     The sign of the covariance of position and the first cM column decides per group and map. It
-    is summed as exact integers of thousandths, so it does not depend on the order of rows.
+    is summed as exact integers of thousandths, so it does not depend on the order of rows, and
+    compared through whole means and what they leave, so no product of two sums has to fit. Rows
+    without one of the two do not count.
     """
-    whole = F.round(F.col("male_cm") * 1000).cast("decimal(38,0)")
-    pos = F.col("pos").cast("decimal(19,0)")
+    whole = F.round(F.col("male_cm") * 1000).cast("decimal(18,0)")
+    pos = F.when(whole.isNotNull(), F.col("pos")).cast("decimal(19,0)")
+    both = F.when(pos.isNotNull(), whole)
     stats = marey.groupBy("lg", "map_id").agg(
-        F.count("*").cast("decimal(12,0)").alias("n"), F.sum((pos * whole.cast("decimal(12,0)"))).cast("decimal(38,0)").alias("xy"), F.sum(pos).cast("decimal(24,0)").alias("x"), F.sum(whole.cast("decimal(12,0)")).cast("decimal(14,0)").alias("y"),
-        F.max("male_cm").alias("top_male"), F.max("female_cm").alias("top_female"),
+        F.count(both).cast("decimal(18,0)").alias("n"), F.sum(pos * both).alias("xy"), F.sum(pos).alias("x"), F.sum(both).alias("y"), F.max("male_cm").alias("top_male"), F.max("female_cm").alias("top_female"),
     )
-    falling = stats.select("lg", "map_id", "top_male", "top_female", ((F.col("n") * F.col("xy")).cast("double") < (F.col("x").cast("double") * F.col("y").cast("double"))).alias("falls"))
+    wide = lambda c: c.cast("decimal(38,0)")
+    for c in ("x", "y"):
+        stats = stats.withColumn(f"{c}_mean", F.expr(f"CASE WHEN n > 0 THEN {c} DIV n END").cast("decimal(19,0)"))
+        stats = stats.withColumn(f"{c}_rest", wide(F.col(c) - F.col(f"{c}_mean") * F.col("n")))
+    # n * xy - x * y is n * less - x_rest * y_rest, and the rests are smaller than n
+    less = wide(wide(F.col("xy") - wide(F.col("x_mean") * F.col("y"))) - wide(F.col("x_rest") * F.col("y_mean")))
+    stats = stats.withColumn("less", less)
+    falls = F.when(F.abs("less") >= F.col("n"), F.col("less") < 0).otherwise(wide(F.col("less") * F.col("n")) < wide(F.col("x_rest") * F.col("y_rest")))
+    falling = stats.select("lg", "map_id", "top_male", "top_female", falls.alias("falls"))
     joined = marey.join(falling, ["lg", "map_id"])
     turn = lambda c, top: F.when(F.col("falls"), F.round(F.col(top) - F.col(c), 3)).otherwise(F.col(c)).alias(c)
     return joined.select("lg", "pos", "map_id", turn("male_cm", "top_male"), turn("female_cm", "top_female"))
