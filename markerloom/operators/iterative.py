@@ -476,51 +476,58 @@ def _best_chains(part: dict[str, np.ndarray], gap_open: int, gap_penalty: int) -
     return best, before, cuts
 
 
-def _merged(rows: pd.DataFrame, cuts: np.ndarray, score: float) -> tuple:
+def _merged(rows: dict[str, list], path: list[int], cuts: list[int], score: float) -> tuple:
     """One alignment row of the parts of a chain; gaps between them become insertions and deletions."""
-    first, last, forward = rows.iloc[0], rows.iloc[-1], rows["strand"].iloc[0] == "+"
-    q_gap = rows["qstart"].to_numpy()[1:] - rows["qend"].to_numpy()[:-1] + cuts[1:]
-    t_gap = (rows["tstart"].to_numpy()[1:] - rows["tend"].to_numpy()[:-1] if forward else rows["tstart"].to_numpy()[:-1] - rows["tend"].to_numpy()[1:]) + cuts[1:]
-    text = [first["cigar"]]
-    for cigar, ins, dele, cut in zip(rows["cigar"].tolist()[1:], q_gap.tolist(), t_gap.tolist(), cuts[1:].tolist(), strict=True):
-        head, _, tail = cigar.partition("M")
-        text += [f"{ins}I" if ins > 0 else "", f"{dele}D" if dele > 0 else "", f"{int(head) - cut}M{tail}" if cut else cigar]
-    lo, hi = (first["tstart"], last["tend"]) if forward else (last["tstart"], first["tend"])
-    return (first["qname"], first["qlen"], first["qstart"], last["qend"], first["strand"], first["tname"], first["tlen"], lo, hi, 0, int(score), "".join(text), len(rows))
+    first, last, forward = path[0], path[-1], rows["strand"][path[0]] == "+"
+    text = [rows["cigar"][first]]
+    for j, k, cut in zip(path, path[1:], cuts[1:], strict=False):
+        ins = rows["qstart"][k] - rows["qend"][j] + cut
+        dele = (rows["tstart"][k] - rows["tend"][j] if forward else rows["tstart"][j] - rows["tend"][k]) + cut
+        head, _, tail = rows["cigar"][k].partition("M")
+        text += [f"{ins}I" if ins > 0 else "", f"{dele}D" if dele > 0 else "", f"{int(head) - cut}M{tail}" if cut else rows["cigar"][k]]
+    lo, hi = (first, last) if forward else (last, first)
+    same = lambda *names: tuple(rows[c][first] for c in names)
+    return (*same("qname", "qlen", "qstart"), rows["qend"][last], *same("strand", "tname", "tlen"), rows["tstart"][lo], rows["tend"][hi], 0, int(score), "".join(text), len(path))
 
 
 def _chain_group(rows: pd.DataFrame, gap_open: int, gap_penalty: int) -> pd.DataFrame:
-    """A segment's alignments and its chains, the best taken off first.
+    """Alignments of whole segments and their chains, the best of a segment taken off first.
 
     As soon as the next best chain shares a part with one taken off, chains are sought anew among
-    the parts that are left.
+    the parts that are left. A call takes many segments, as most have a few rows.
     """
-    rows = rows.drop(columns="segment").sort_values(["qstart", "qend", "tstart", "tend", "as_score"], ignore_index=True)
+    key = ["qname", "tname", "strand", "segment"]
+    rows = rows.sort_values([*key, "qstart", "qend", "tstart", "tend", "as_score"], ignore_index=True)
+    new = np.append(True, (rows[key].to_numpy()[1:] != rows[key].to_numpy()[:-1]).any(axis=1)) if len(rows) else np.zeros(0, bool)
+    edges = [*np.flatnonzero(new).tolist(), len(rows)]
+    rows = rows.drop(columns=["segment", "bucket"], errors="ignore")
     head = rows["cigar"].str.extract(r"^(\d+)M", expand=False).fillna("0").astype("int64").to_numpy()
     shorter = np.minimum(rows["tend"] - rows["tstart"], rows["qend"] - rows["qstart"]).to_numpy()
     part = {c: rows[c].to_numpy() for c in ("qstart", "qend", "tstart", "tend")} | {"score": rows["as_score"].to_numpy(), "head": head, "density": rows["as_score"].to_numpy() / np.maximum(shorter, 1)}
-    left, chains = np.arange(len(rows)), []
-    while len(left) > 1:
-        best, before, cuts = _best_chains({c: v[left] for c, v in part.items()} | {"forward": rows["strand"].iloc[0] == "+"}, gap_open, gap_penalty)
-        used = np.zeros(len(left), bool)
-        for top in np.lexsort((np.arange(len(left)), -best)):
-            if used[top]:
-                continue
-            path = [int(top)]
-            while before[path[-1]] != path[-1]:
-                path.append(int(before[path[-1]]))
-            if used[path].any():
-                break
-            used[path] = True
-            if len(path) > 1:
-                path = path[::-1]
-                chains.append(_merged(rows.iloc[left[path]], cuts[path], best[top]))
-        left = left[~used]
+    cells, chains = {c: rows[c].tolist() for c in rows.columns}, []
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        left, forward = np.arange(lo, hi), cells["strand"][lo] == "+"
+        while len(left) > 1:
+            best, before, cuts = _best_chains({c: v[left] for c, v in part.items()} | {"forward": forward}, gap_open, gap_penalty)
+            used = np.zeros(len(left), bool)
+            for top in np.lexsort((np.arange(len(left)), -best)).tolist():
+                if used[top]:
+                    continue
+                path = [top]
+                while before[path[-1]] != path[-1]:
+                    path.append(int(before[path[-1]]))
+                if used[path].any():
+                    break
+                used[path] = True
+                if len(path) > 1:
+                    path = path[::-1]
+                    chains.append(_merged(cells, left[path].tolist(), cuts[path].tolist(), best[top]))
+            left = left[~used]
     merged = pd.DataFrame(chains, columns=[c.split()[0] for c in _ROW.split(", ")])
     return pd.concat([rows.assign(chained=1), merged], ignore_index=True) if chains else rows.assign(chained=1)
 
 
-def chain_paf(paf: DataFrame, gap_open: int = -12, gap_penalty: int = -1) -> DataFrame:
+def chain_paf(paf: DataFrame, gap_open: int = -12, gap_penalty: int = -1, bucket_rows: int = 20_000) -> DataFrame:
     """Alignments plus the chains of co-linear ones per query, target and strand.
 
     A chain's score is the sum of its parts less gap costs; an overlap is cut off the first match
@@ -528,7 +535,8 @@ def chain_paf(paf: DataFrame, gap_open: int = -12, gap_penalty: int = -1) -> Dat
     without a positive score are dropped; without a CIGAR a row counts as one match.
 
     Alignments of one query, target and strand are cut into segments wherever the gap on the query
-    costs more than all that precedes it scores, which no chain can pay for.
+    costs more than all that precedes it scores, which no chain can pay for. Most segments are small;
+    a call of Python takes those of a bucket, about ``bucket_rows`` rows, and a bucket is a task.
     """
     whole = F.concat(F.least(F.col("qend") - F.col("qstart"), F.col("tend") - F.col("tstart")).cast("string"), F.lit("M"))
     cigar = F.coalesce("cigar", whole) if "cigar" in paf.columns else whole
@@ -541,4 +549,6 @@ def chain_paf(paf: DataFrame, gap_open: int = -12, gap_penalty: int = -1) -> Dat
     counted = cut.withColumn("peers", F.count("*").over(W.partitionBy("qname", "tname", "strand", "segment")))
     alone = counted.filter("peers = 1").drop("peers", "segment").withColumn("chained", F.lit(1))
     several = counted.filter("peers > 1").drop("peers")
-    return alone.unionAll(several.groupBy("qname", "tname", "strand", "segment").applyInPandas(lambda g: _chain_group(g, gap_open, gap_penalty), _ROW))
+    buckets = -(-paf.count() // bucket_rows) + paf.sparkSession.sparkContext.defaultParallelism
+    dealt = several.withColumn("bucket", F.pmod(F.xxhash64("qname", "tname", "strand", "segment"), F.lit(buckets)))
+    return alone.unionAll(dealt.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(lambda rows: _chain_group(rows, gap_open, gap_penalty), _ROW))
