@@ -183,10 +183,15 @@ def umi_proximity(umis: DataFrame, bin_size: int = 10000, min_d: int = 2, tile_r
 
 
 def reciprocal_best(chains: DataFrame, min_score: int = 10000) -> DataFrame:
-    """Chains that are the best of their target and of their query; ties go to the smaller id."""
+    """Chains that are the best of their target and of their query; ties go to the smaller id.
+
+    Either best is an aggregate over names, scores and ids; whole chains are only met by the ids that
+    are both.
+    """
     kept = chains.filter((F.col("score") >= min_score) & (F.col("tname") != F.col("qname")))
-    rank = lambda c: F.row_number().over(W.partitionBy(c).orderBy(F.desc("score"), "id"))
-    return kept.withColumn("rt", rank("tname")).withColumn("rq", rank("qname")).filter("rt = 1 AND rq = 1").drop("rt", "rq")
+    best = lambda c: kept.groupBy(c).agg(F.min(F.struct((-F.col("score")).alias("worst"), "id")).alias("first")).select("first.id")
+    both = Staging(chains.sparkSession, "best").put(best("tname").join(best("qname"), "id"), "both")
+    return kept.join(small_side(both, 4_000_000), "id", "left_semi").select(*chains.columns)
 
 
 def swap_chain(chains: DataFrame) -> DataFrame:
