@@ -140,7 +140,7 @@ def clean_map(markers: DataFrame, num_snps: int = 2, num_bps: int = 10000, bucke
     intervals = Staging(markers.sparkSession, "intervals").put(marker_intervals(markers), "intervals")
     buckets = -(-intervals.count() // bucket_rows) + markers.sparkSession.sparkContext.defaultParallelism
     dealt = intervals.withColumn("bucket", F.pmod(F.xxhash64("contig"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInPandas(lambda rows: _pruned(rows, num_snps, num_bps), kind)
+    return dealt.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(lambda rows: _pruned(rows, num_snps, num_bps), kind)
 
 
 def join_intervals(intervals: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -445,26 +445,34 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
     and the banded equations that come of them are solved group by group in the tasks.
     """
     staging = Staging(marey.sparkSession, "outliers")
-    spans = staging.put(marey.groupBy(by).agg(F.count("*").alias("n"), F.min(x).alias("_least"), F.max(x).alias("_most")), "spans")
-    df = _of_group(Ordered(marey, [by], [x, y]).scan(sums={"i": F.lit(1)}).df, spans, by)
-    df = df.withColumn("u", ((F.col(x) - F.col("_least")) / F.greatest(F.col("_most") - F.col("_least"), F.lit(1))).cast("double")).drop("_least", "_most")
+    spans = staging.put(marey.groupBy(by).agg(F.count("*").alias("n"), F.count(x).alias("known"), F.min(x).alias("_least"), F.max(x).alias("_most")), "spans")
+    df = _of_group(Ordered(marey, [by], [x, y]).scan(after={"_next": x}, sums={"i": F.lit(1)}).df, spans, by)
+    share = lambda c: ((F.col(c) - F.col("_least")) / F.greatest(F.col("_most") - F.col("_least"), F.lit(1))).cast("double")
+    df = df.withColumn("u", share(x)).withColumn("after", share("_next")).drop("_least", "_most", "_next")
     df = staging.put(df, "rows")
+    # the order by position is that by u, rows without one first
+    place = F.col("i") - (F.col("n") - F.col("known"))
+    ranks = df.filter(F.col("u").isNotNull()).select(by, "u", "n", "after", F.greatest(F.col("known") - 1, F.lit(1)).alias("m"), (place - 1).cast("bigint").alias("s"))
+    df = df.drop("known", "after")
     penalty = F.lit(0)
     for k, (size, part) in enumerate(((resolution, 10), (int(resolution * 0.7), 7))):
-        df = staging.put(_with_residual(df, by, y, size, f"res{k}"), "residuals")
+        df = staging.put(_with_residual(df, by, y, size, f"res{k}", ranks), "residuals")
         half = F.greatest(F.bround(F.col("n") / part / 2, 0).cast("int"), F.lit(1))
         count = F.greatest(F.ceil((F.col("n") - half) / half).cast("int"), F.lit(1))
         slot = F.least(F.floor((F.col("i") - 1) / half).cast("int"), count)
         windows = F.array_distinct(F.array(F.least(slot, count - 1), F.greatest(F.least(slot, count) - 1, F.lit(0))))
-        spread = df.withColumn("count", count).withColumn("half", half).withColumn("w", F.explode(windows))
+        laid = df.withColumn("count", count).withColumn("half", half).withColumn("w", windows)
         # a group has a window for every half of a tenth or a seventh of its rows, however many rows those are
-        means = F.broadcast(spread.groupBy(F.col(by).alias("_group"), F.col("w").alias("_window")).agg(F.avg(F.abs(f"res{k}")).alias("mean")))
-        spread = spread.join(means, F.col(by).eqNullSafe(F.col("_group")) & (F.col("w") == F.col("_window"))).drop("_group", "_window")
-        mean = F.col("mean")
-        middle = F.floor((F.col("w") * F.col("half") + 1 + F.col("n")) / 2)
-        late = (F.col("w") == F.col("count") - 1) & (F.col("i") >= middle)
-        points = spread.withColumn("p", (F.abs(f"res{k}") > 2 * mean).cast("int") + late.cast("int")).groupBy(by, "i").agg(F.sum("p").alias(f"p{k}"))
-        df = staging.put(df.join(points, [by, "i"]), "points")
+        means = staging.put(laid.select(F.col(by).alias("_group"), F.explode("w").alias("_window"), F.abs(f"res{k}").alias("off")).groupBy("_group", "_window").agg(F.avg("off").alias("_mean")), "means")
+        points = F.lit(0)
+        for m in range(2):
+            of = F.broadcast(means.select(F.col("_group").alias(f"_group{m}"), F.col("_window").alias(f"_window{m}"), F.col("_mean").alias(f"_mean{m}")))
+            window = F.get("w", F.lit(m))
+            laid = laid.join(of, F.col(by).eqNullSafe(F.col(f"_group{m}")) & (window == F.col(f"_window{m}")), "left")
+            late = (window == F.col("count") - 1) & (F.col("i") >= F.floor((window * F.col("half") + 1 + F.col("n")) / 2))
+            off = (F.abs(f"res{k}") > 2 * F.col(f"_mean{m}")).cast("int") + late.cast("int")
+            points = points + (F.when(window.isNotNull(), off).otherwise(0) if m else off)
+        df = laid.withColumn(f"p{k}", points).select(*df.columns, f"p{k}")
         penalty = penalty + F.col(f"p{k}")
     return df.withColumn("penalty", penalty.cast("int")).withColumn("qc", F.when(F.col("penalty") >= 3, "FAIL").otherwise("PASS")).select(*marey.columns, "penalty", "qc")
 
@@ -484,29 +492,39 @@ def _cubic(x: Column, t: list[Column]) -> list[Column]:
     return out
 
 
-def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str) -> DataFrame:
-    """Add ``name``: ``y`` less its least-squares fit by cubics between one node per ``size`` rows."""
+def _ranks(df: DataFrame, by: str) -> DataFrame:
+    """Rows that have a ``u``: its next one in the group, their rank ``s`` from 0 and the group's last rank ``m``."""
+    known = df.filter(F.col("u").isNotNull()).select(by, "u", "n")
+    counts = Staging(df.sparkSession, "spline").put(known.groupBy(by).agg(F.greatest(F.count("*") - 1, F.lit(1)).alias("m")), "counts")
+    return _of_group(Ordered(known, [by], ["u"]).scan(sums={"place": F.lit(1)}, after={"after": "u"}).df, counts, by).withColumn("s", (F.col("place") - 1).cast("bigint"))
+
+
+def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str, ranks: DataFrame | None = None) -> DataFrame:
+    """Add ``name``: ``y`` less its least-squares fit by cubics between one node per ``size`` rows.
+
+    ``ranks`` are those of ``_ranks``, where they are known.
+    """
     kind, staging = dict(df.dtypes)[by], Staging(df.sparkSession, "spline")
     up = W.partitionBy(by).orderBy("u")
-    known = df.filter(F.col("u").isNotNull()).select(by, "u", F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint").alias("k"))
-    counts = staging.put(known.groupBy(by).agg(F.greatest(F.count("*") - 1, F.lit(1)).alias("m")), "counts")
-    ranked = _of_group(Ordered(known, [by], ["u"]).scan(sums={"place": F.lit(1)}, after={"after": "u"}).df, counts, by).withColumn("s", (F.col("place") - 1).cast("bigint"))
+    ranked = (_ranks(df, by) if ranks is None else ranks).withColumn("k", F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint"))
     # node j of 0 .. k + 1 lies at rank j / (k + 1) * m, between the rows of ranks s and s + 1
     least = lambda s: F.floor((s * (F.col("k") + 1) + F.col("m") - 1) / F.col("m"))
     first, last = least(F.col("s")), F.least(least(F.col("s") + 1) - 1, F.col("k") + 1)
     held = ranked.filter(first <= last).withColumn("j", F.explode(F.sequence(first, last)))
     at = F.col("u") + F.coalesce((F.col("j") * F.col("m") / (F.col("k") + 1) - F.col("s")) * (F.col("after") - F.col("u")), F.lit(0.0))
     nodes = staging.put(held.select(by, at.alias("u")).distinct().withColumn("node", F.lit(1)), "nodes")
-    # a row belongs to the last node that is not above it; nodes come before rows of the same place
-    both = df.withColumn("node", F.lit(0)).unionByName(nodes, allowMissingColumns=True).withColumn("after_nodes", 1 - F.col("node"))
-    both = Ordered(both, [by], ["u", "after_nodes"]).scan(sums={"seg": F.col("node")}).df.drop("after_nodes")
     ends, whole = F.count("*").over(W.partitionBy(by)), W.partitionBy(by)
     beside = lambda k: F.coalesce(F.lag("u", k).over(up) if k >= 0 else F.lead("u", -k).over(up), F.min("u").over(whole) if k >= 0 else F.max("u").over(whole))
-    knots = nodes.select(by, F.row_number().over(up).cast("bigint").alias("seg"), ends.alias("nodes"), *[beside(2 - d).alias(f"t{d}") for d in range(6)])
+    knots = nodes.select(by, "u", F.row_number().over(up).cast("bigint").alias("seg"), ends.alias("nodes"), *[beside(2 - d).alias(f"t{d}") for d in range(6)])
     # the last node ends the last stretch, unless it is alone
     stretches = knots.filter("seg < nodes OR nodes = 1")
-    most = knots.filter("seg = 1").select(by, F.greatest(F.col("nodes") - 1, F.lit(1)).alias("most"))
-    placed = both.filter("node = 0").drop("node").join(most, by, "left").withColumn("seg", F.least("seg", "most")).drop("most").join(stretches.drop("nodes"), [by, "seg"], "left")
+    knot = F.struct("seg", *[f"t{d}" for d in range(6)])
+    held = knots.select(by, "u", F.when((F.col("seg") < F.col("nodes")) | (F.col("nodes") == 1), knot).otherwise(F.lag(knot).over(up)).alias("knot"))
+    # a row belongs to the last node that is not above it, whose stretch it is handed; nodes come before rows of the same place
+    marked = held.withColumn("node", F.lit(1))
+    both = df.withColumn("node", F.lit(0)).unionByName(marked, allowMissingColumns=True).withColumn("after_nodes", 1 - F.col("node"))
+    both = Ordered(both, [by], ["u", "after_nodes"]).scan(last={"knot": "knot"}).df.filter("node = 0")
+    placed = both.select(*df.columns, "knot.*")
     basis = _cubic(F.col("u"), [F.col(f"t{d}") for d in range(6)])
     alone = F.col("t2") == F.col("t3")
     based = placed.select(*df.columns, "seg", *[F.when(alone, F.lit(float(i == 0))).otherwise(b).alias(f"b{i}") for i, b in enumerate(basis)])
