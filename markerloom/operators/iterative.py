@@ -60,7 +60,7 @@ def _accepted(rows: DataFrame, component_rows: int) -> DataFrame:
             small = named.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") <= component_rows).select("component")
             buckets = -(-size // max(1, component_rows)) + rows.sparkSession.sparkContext.defaultParallelism
             dealt = named.join(small, "component", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(buckets)))
-            walked = dealt.groupBy("bucket").applyInPandas(_in_turn, rows.select("turn").schema)
+            walked = dealt.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_in_turn, rows.select("turn").schema)
             parts.append(staging.put(walked, "walked"))
             following = staging.put(named.join(small, "component", "left_anti").drop("component"), "left")
             staging.drop(named)
@@ -361,7 +361,7 @@ def propagate_links(la: DataFrame, links: DataFrame, score_diff: float = 2, comp
         sizes = staging.put(whole.groupBy("component").agg(F.count("*").alias("rows")), "sizes")
         buckets = -(-(sizes.filter(F.col("rows") <= component_rows).agg(F.sum("rows")).first()[0] or 0) // max(1, component_rows)) + la.sparkSession.sparkContext.defaultParallelism
         small = whole.join(sizes.filter(F.col("rows") <= component_rows), "component", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(buckets)))
-        walked.append(staging.put(small.groupBy("bucket").applyInPandas(lambda rows: _best_first(rows, score_diff), "contig string, chr bigint"), "walked"))
+        walked.append(staging.put(small.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(lambda rows: _best_first(rows, score_diff), "contig string, chr bigint"), "walked"))
         crowded = staging.put(whole.join(sizes.filter(F.col("rows") > component_rows), "component", "left_semi").select("contig", "component").distinct(), "crowded")
         if crowded.isEmpty():
             break
