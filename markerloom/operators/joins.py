@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from markerloom.functions.scalars import bed_key, to_bin
-from markerloom.plans.staging import Staging, small_side
+from markerloom.plans.staging import Staging, dealt, small_side
 
 #: Width of the bins that turn point-in-interval tests on long contigs into equality joins.
 BIN = 1 << 20
+#: Pieces beyond which points meet them by a hash in each task; up to it Spark chooses.
+_HASHED = 500_000
+#: Rows of chain parts, or of points, that a Python task takes at a time.
+_BUCKET = 200_000
 
 
 def attach_positions(ordered: DataFrame, markers: DataFrame) -> DataFrame:
@@ -60,9 +68,13 @@ def _pieces(agp: DataFrame, inverse: bool) -> DataFrame:
 
 def _placed(points: DataFrame, agp: DataFrame, inverse: bool, contig: str, pos: str) -> DataFrame:
     """Points with their first covering piece (or nulls), each point once."""
+    pieces = _pieces(agp, inverse)
+    if (count := pieces.count()) > _HASHED:
+        # few pieces a point: a hash of them in each task, so that points are neither sorted nor spilled
+        pieces = dealt(pieces, count, "s_key", "s_bin").hint("shuffle_hash")
     hit = (F.col(contig) == F.col("s_key")) & (F.floor(F.col(pos) / BIN) == F.col("s_bin")) & F.col(pos).between(F.col("s_lo"), F.col("s_hi"))
     piece = [F.col(f"s_piece.{c}").alias(c) for c in ("a_lo", "a_hi", "a_to", "b_lo", "b_hi", "a_or")]
-    return points.join(_pieces(agp, inverse), hit, "left").select(*points.columns, *piece)
+    return points.join(pieces, hit, "left").select(*points.columns, *piece)
 
 
 def liftover(points: DataFrame, agp: DataFrame, inverse: bool = False, contig: str = "contig", pos: str = "pos") -> DataFrame:
@@ -204,23 +216,72 @@ def swap_chain(chains: DataFrame) -> DataFrame:
     )
 
 
-def liftover_chain(points: DataFrame, chains: DataFrame, contig: str = "contig", pos: str = "pos") -> DataFrame:
+def _painted(points: pa.Table, parts: pa.Table, rank: list[tuple[str, str]], payload: list[str]) -> pa.Table:
+    """Points that a part covers, each with the ``payload`` of the first by ``rank`` that does.
+
+    Parts are taken best first, and each takes the points in it that are still free. A taken point
+    leads to the next free one, so none is looked at for every part that covers it.
+    """
+    count = points.num_rows
+    names = pa.chunked_array([*points["_key"].chunks, *parts["_key"].chunks], pa.string()).combine_chunks()
+    names = names.chunk(0) if isinstance(names, pa.ChunkedArray) else names
+    code = names.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    at, lo, hi = points["_pos"].to_numpy(), parts["_lo"].to_numpy(), parts["_hi"].to_numpy()
+    known = np.unique(at)
+    place = lambda group, k: group * (len(known) + 1) + k
+    line = place(code[:count], np.searchsorted(known, at))
+    order = np.argsort(line, kind="stable")
+    first = np.searchsorted(line[order], place(code[count:], np.searchsorted(known, lo)))
+    last = np.searchsorted(line[order], place(code[count:], np.searchsorted(known, hi, "right")))
+    best = pc.sort_indices(parts, sort_keys=rank, null_placement="at_start").to_numpy()
+    best = best[first[best] < last[best]]
+    free, owner = list(range(count + 1)), [-1] * count
+    for part, i, end in zip(best.tolist(), first[best].tolist(), last[best].tolist(), strict=True):
+        while True:
+            while free[i] != i:
+                free[i] = free[free[i]]
+                i = free[i]
+            if i >= end:
+                break
+            owner[i], free[i] = part, i + 1
+    owner = np.array(owner, np.int64)
+    hit, by = points.take(order[owner >= 0]), parts.take(owner[owner >= 0])
+    columns = [c for c in points.column_names if c not in ("_key", "_pos", "_bucket")]
+    return pa.table([*[hit[c] for c in columns], *[by[c] for c in payload]], names=[*columns, *payload])
+
+
+def liftover_chain(points: DataFrame, chains: DataFrame, contig: str = "contig", pos: str = "pos", ties: tuple[str, ...] = ("id",)) -> DataFrame:
     """Move points to the partner contig through the best chain whose blocks cover them.
 
     ``chains`` has header columns and ``blocks array<struct<size,dt,dq>>``; without blocks the
     whole aligned range counts as one. Points that no block covers are left out. Positions are
-    1-based, chain coordinates 0-based.
+    1-based, chain coordinates 0-based. The greater score is the better chain, of one target's
+    equal ones that with the lesser ``ties``, then the earlier block.
+
+    Blocks are cut at bins and meet the points of their (contig, bin) in buckets of some 200,000 rows,
+    each sorted by numpy in a task.
     """
-    span = F.array(F.struct((F.col("tend") - F.col("tstart")).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("dt"), F.lit(0).cast("bigint").alias("dq")))
-    blocks = F.col("blocks") if "blocks" in chains.columns else span
-    head = ["id", "score", "tname", "tstart", "qname", "qsize", "qstrand", "qstart"]
-    each = chains.select(*head, F.posexplode(blocks).alias("no", "b"))
-    earlier = W.partitionBy(*head).orderBy("no").rowsBetween(W.unboundedPreceding, -1)
-    moved = lambda start, gap: F.col(start) + F.coalesce(F.sum(F.col("b.size") + F.col(f"b.{gap}")).over(earlier), F.lit(0))
-    placed = each.withColumn("lo", (moved("tstart", "dt") + 1).cast("bigint")).withColumn("q", moved("qstart", "dq").cast("bigint"))
-    parts = placed.withColumn("hi", F.col("lo") + F.col("b.size") - 1).select("tname", "lo", "hi", "score", "id", "qname", "qsize", "qstrand", "q")
-    first = _first_cover(parts, "tname", "lo", "hi", [(-F.col("score")).alias("worst"), "id", "lo"])
-    hit = (F.col(contig) == F.col("s_key")) & (F.floor(F.col(pos) / BIN) == F.col("s_bin")) & F.col(pos).between(F.col("s_lo"), F.col("s_hi"))
-    to = F.col("s_piece.q") + F.col(pos) - F.col("s_piece.lo")
-    lifted = F.when(F.col("s_piece.qstrand") == "-", F.col("s_piece.qsize") - to).otherwise(to + 1).cast("bigint")
-    return points.join(first, hit).select(*points.columns, F.col("s_piece.qname").alias("lifted_name"), lifted.alias("lifted_pos"))
+    head = list(dict.fromkeys([*ties, "score", "tname", "tstart", "qname", "qsize", "qstrand", "qstart"]))
+    if "blocks" in chains.columns:
+        each = chains.select(*head, F.posexplode("blocks").alias("no", "b"))
+        earlier = W.partitionBy(*head).orderBy("no").rowsBetween(W.unboundedPreceding, -1)
+        moved = lambda start, gap: F.col(start) + F.coalesce(F.sum(F.col("b.size") + F.col(f"b.{gap}")).over(earlier), F.lit(0))
+        placed = each.withColumn("lo", (moved("tstart", "dt") + 1).cast("bigint")).withColumn("q", moved("qstart", "dq").cast("bigint")).withColumn("hi", F.col("lo") + F.col("b.size") - 1)
+    else:
+        placed = chains.withColumn("lo", (F.col("tstart") + 1).cast("bigint")).withColumn("q", F.col("qstart").cast("bigint")).withColumn("hi", F.col("tend").cast("bigint"))
+    payload = ["qname", "qsize", "qstrand", "lo", "q"]
+    carried = list(dict.fromkeys(["score", *ties, *payload]))
+    bins = placed.filter("lo <= hi AND tname IS NOT NULL").withColumn("_bin", F.explode(F.sequence(F.floor(F.col("lo") / BIN), F.floor(F.col("hi") / BIN))))
+    buckets = -(-max(chains.count(), points.count()) // _BUCKET) + points.sparkSession.sparkContext.defaultParallelism
+    bucket = lambda key: F.pmod(F.xxhash64(key, "_bin"), F.lit(buckets)).alias("_bucket")
+    parts = bins.select(F.col("tname").alias("_key"), F.greatest("lo", F.col("_bin") * BIN).alias("_lo"), F.least("hi", F.col("_bin") * BIN + (BIN - 1)).alias("_hi"), *[F.col(c).alias(f"_p_{c}") for c in carried], bucket("tname"))
+    known = points.filter(F.col(contig).isNotNull() & F.col(pos).isNotNull()).withColumn("_bin", F.floor(F.col(pos) / BIN))
+    known = known.select(*points.columns, F.col(contig).alias("_key"), F.col(pos).cast("bigint").alias("_pos"), bucket(contig))
+    schema = StructType([*points.schema.fields, *[StructField(f"_p_{c}", parts.schema[f"_p_{c}"].dataType) for c in payload]])
+    rank = [("_p_score", "descending"), *[(f"_p_{c}", "ascending") for c in (*ties, "lo")]]
+    names = rank, [f"_p_{c}" for c in payload]
+    by_bucket = lambda df: df.repartition(buckets, "_bucket").groupBy("_bucket")
+    first = by_bucket(known).cogroup(by_bucket(parts)).applyInArrow(lambda x, y: _painted(x, y, *names), schema)
+    to = F.col("_p_q") + F.col(pos) - F.col("_p_lo")
+    lifted = F.when(F.col("_p_qstrand") == "-", F.col("_p_qsize") - to).otherwise(to + 1).cast("bigint")
+    return first.select(*points.columns, F.col("_p_qname").alias("lifted_name"), lifted.alias("lifted_pos"))

@@ -156,12 +156,14 @@ SELECT p_partkey AS marker_id, CAST(((1 + p_partkey % 12) * 7919 * 104729 * 1299
 _TABLES = re.compile(r"\b(FROM|JOIN) (region|nation|customer|supplier|part|orders|lineitem|events|documents)\b")
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str, numbered: bool = True) -> DataFrame:
+def fixture(spark: SparkSession, sf_dir: str, name: str, numbered: bool = True, columns: tuple[str, ...] = ()) -> DataFrame:
     """A fixture over the tables of ``sf_dir``, read in place; no view is registered.
 
     Tables that number their rows are sorted once a session and folder; where ``_NARROW`` names them,
-    only the columns that the others follow from are sorted and written. Without ``numbered`` nothing
-    is sorted, and the number is left out.
+    only the columns that the others follow from are sorted and written, and those of ``columns``
+    alone if some are named. Rows that are equal up to the last of these in the order differ in
+    nothing that is asked for, so the order's columns behind it are left out, too. Without
+    ``numbered`` nothing is sorted, and the number is left out.
     """
     read = lambda sql: spark.sql(_TABLES.sub(lambda m: f"{m[1]} parquet.`{sf_dir}/{m[2]}.parquet`", sql))
     sql = GENO_SPARK if name == "geno" else SQL[name]
@@ -174,11 +176,15 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, numbered: bool = True)
     def make() -> DataFrame:
         if name not in _NARROW:
             return with_row_number(read(sql), order, number).drop(*extra)
-        narrow, by, columns = _NARROW[name]
-        rows = with_row_number(read(narrow), by, number)
-        return rows.selectExpr(number, *columns)
-
-    return shared(spark, ("fixture", sf_dir, name), make)
+        narrow, by, every = _NARROW[name]
+        wanted = [c for c in every if not columns or c.rsplit(" ", 1)[-1] in columns]
+        rows = read(narrow)
+        used = [c for c in rows.columns if re.search(rf"\b{c}\b", " ".join(wanted))]
+        if columns and set(by) <= set(rows.columns):
+            by = by[: max((k for k, c in enumerate(by, 1) if c in used), default=0)] or by[:1]
+        return with_row_number(rows, by, number, used, rows.count()).selectExpr(number, *wanted)
+
+    return shared(spark, ("fixture", sf_dir, name, columns), make)
 
 
 def _numbered_sql(name: str) -> str:
