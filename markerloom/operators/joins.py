@@ -136,30 +136,33 @@ def fix_open_ends(bed: DataFrame, lengths: DataFrame) -> DataFrame:
 def pairs_within(rows: DataFrame, key: str, order: list[str], tile_rows: int = 1000) -> DataFrame:
     """All pairs of rows of one ``key``, the earlier by ``order`` first, as structs ``a`` and ``b``.
 
-    A key mostly has a handful of rows, which meet by an equality join. Those of a key of more than
-    ``tile_rows`` are dealt to tiles, and each pair of tiles is a join key of its own, so that the
-    pairs of one crowded key spread over all tasks.
+    A key mostly has a handful of rows, which meet by an equality join: both sides are one and the same
+    shuffle of the plain columns, and what is compared is made of them behind it. Those of a key of
+    more than ``tile_rows`` are dealt to tiles, and each pair of tiles is a join key of its own, so that
+    the pairs of one crowded key spread over all tasks.
     """
-    keyed = rows.filter(F.col(key).isNotNull()).withColumn("o", F.struct(*order))
-    sizes = keyed.groupBy(F.col(key).alias("r")).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles")).filter("tiles > 1")
-    crowded = Staging(rows.sparkSession, "crowded").put(sizes, "keys")
-    side = lambda name: keyed.select(F.col(key).alias("r"), F.struct("*").alias(name), F.col("o").alias(f"{name}_o"))
-    if crowded.isEmpty():
-        return side("a").join(side("b"), "r").filter("a_o < b_o").select("a", "b")
+    keyed = rows.filter(F.col(key).isNotNull())
+    counted = Staging(rows.sparkSession, "crowded")
+    sizes = keyed.groupBy(F.col(key).alias("r")).agg(F.count("*").alias("n"))
+    total, most = sizes.agg(F.sum("n"), F.max("n")).first()
+    place = F.struct(*order)
+    if (most or 0) <= tile_rows:
+        once = dealt(keyed, total or 0, key)
+        side = lambda name: once.select(F.col(key).alias(f"{name}_r"), F.struct("*").alias(name), place.alias(f"{name}_o"))
+        return side("a").join(side("b"), F.col("a_r") == F.col("b_r")).filter("a_o < b_o").select("a", "b")
+    crowded = counted.put(sizes.select("r", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles")).filter("tiles > 1"), "keys")
     every = F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))
-    own = lambda name: F.pmod(F.xxhash64(f"{name}_o"), F.coalesce("tiles", F.lit(1))).cast("int")
-    tiled = lambda name: side(name).join(small_side(crowded), "r", "left")
-    left = tiled("a").select("r", "a", "a_o", own("a").alias("p"), every.alias("q"))
-    right = tiled("b").select("r", "b", "b_o", every.alias("p"), own("b").alias("q"))
-    return left.join(right, ["r", "p", "q"]).filter("a_o < b_o").select("a", "b")
+    tiled = keyed.join(small_side(crowded), F.col(key) == F.col("r"), "left").withColumn("own", F.pmod(F.xxhash64(place), F.coalesce("tiles", F.lit(1))).cast("int"))
+    side = lambda name, own, other: tiled.select("*", every.alias("every")).select(F.col(key).alias("r"), F.col("own").alias(own), F.col("every").alias(other), F.struct(*rows.columns).alias(name), place.alias(f"{name}_o"))
+    return side("a", "p", "q").join(side("b", "q", "p"), ["r", "p", "q"]).filter("a_o < b_o").select("a", "b")
 
 
 def hic_pairs(sam: DataFrame, q: int = 20, tile_rows: int = 1000) -> DataFrame:
     """Contacts of all pairs of a read's kept alignments, in both directions, with the lesser quality."""
     pairs = pairs_within(sam.filter(F.col("mapq") >= q).select("read", "contig", "pos", "mapq", "line"), "read", ["line"], tile_rows)
     quality = F.least("a.mapq", "b.mapq").alias("quality")
-    side = lambda x, y: [F.col(f"{x}.contig").alias("contig1"), F.col(f"{x}.pos").alias("pos1"), F.col(f"{y}.contig").alias("contig2"), F.col(f"{y}.pos").alias("pos2"), quality]
-    return pairs.select(*side("a", "b")).unionAll(pairs.select(*side("b", "a")))
+    side = lambda x, y: F.struct(F.col(f"{x}.contig").alias("contig1"), F.col(f"{x}.pos").alias("pos1"), F.col(f"{y}.contig").alias("contig2"), F.col(f"{y}.pos").alias("pos2"), quality)
+    return pairs.select(F.inline(F.array(side("a", "b"), side("b", "a"))))
 
 
 def longread_links(paf: DataFrame, q: int = 1, tile_rows: int = 1000) -> DataFrame:
@@ -175,10 +178,11 @@ def longread_links(paf: DataFrame, q: int = 1, tile_rows: int = 1000) -> DataFra
     two = F.when(F.col("b.strand") == "+", F.col("b.tstart") + ov).otherwise(F.col("b.tend") + 1 - ov).cast("bigint")
     turn = lambda c: F.when(F.col(c) == "+", "-").otherwise("+")
     linked = pairs.withColumn("p1", one).withColumn("p2", two).withColumn("quality", F.least("a.mapq", "b.mapq"))
-    there = linked.select(F.col("a.tname").alias("contig1"), F.col("p1").alias("pos1"), F.col("b.tname").alias("contig2"), F.col("p2").alias("pos2"), F.concat("a.strand", "b.strand").alias("orientation"), "quality")
-    back = linked.select(F.col("b.tname").alias("contig1"), F.col("p2").alias("pos1"), F.col("a.tname").alias("contig2"), F.col("p1").alias("pos2"), F.concat(turn("b.strand"), turn("a.strand")).alias("orientation"), "quality")
+    link = lambda x, p, y, q, turned: F.struct(F.col(f"{x}.tname").alias("contig1"), F.col(p).alias("pos1"), F.col(f"{y}.tname").alias("contig2"), F.col(q).alias("pos2"), turned.alias("orientation"), "quality")
+    there, back = link("a", "p1", "b", "p2", F.concat("a.strand", "b.strand")), link("b", "p2", "a", "p1", F.concat(turn("b.strand"), turn("a.strand")))
+    both = linked.select(F.inline(F.array(there, back)))
     within = rows.select(F.col("tname").alias("contig1"), (F.col("tstart") + 1).alias("pos1"), F.col("tname").alias("contig2"), F.col("tend").alias("pos2"), F.lit("++").alias("orientation"), F.col("mapq").alias("quality"))
-    return there.unionAll(back).unionAll(within)
+    return both.unionAll(within)
 
 
 def umi_proximity(umis: DataFrame, bin_size: int = 10000, min_d: int = 2, tile_rows: int = 1000) -> DataFrame:
