@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from markerloom.plans.staging import Staging
+from markerloom.plans.staging import Staging, dealt, dealt_by_range
 
 _PART = "_range"
 
@@ -22,15 +22,16 @@ class Ordered:
     """A table in order inside groups of ``by`` (none: the whole table is one group).
 
     ``order`` names columns. Rows equal in all of them come in any order, which stays the same for
-    one object: the table is written once, and the ranges with it.
+    one object: the table is written once, and the ranges with it. ``size`` says about how many rows
+    there are, if known; ranges, and the tasks that scan them, are then as many as these need.
     """
 
-    def __init__(self, df: DataFrame, by: list[str], order: list[str]):
-        self.by, self.order = by, order
+    def __init__(self, df: DataFrame, by: list[str], order: list[str], size: int = 0):
+        self.by, self.order, self.size = by, order, size
         self.staging = Staging(df.sparkSession, "ordered")
-        dealt = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+        ranges = dealt_by_range(df, size, *by, *order).sortWithinPartitions(*by, *order)
         self.written = True  # what a scan reads twice is written, or follows from what is by plain columns
-        self.rows = self.staging.put(dealt.withColumn(_PART, F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "dealt")
+        self.rows = self.staging.put(ranges.withColumn(_PART, F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "dealt")
 
     @property
     def df(self) -> DataFrame:
@@ -64,7 +65,7 @@ class Ordered:
 
     def _with(self, rows: DataFrame, written: bool | None = None) -> Ordered:
         out = object.__new__(Ordered)
-        out.by, out.order, out.staging, out.rows = self.by, self.order, self.staging, rows
+        out.by, out.order, out.size, out.staging, out.rows = self.by, self.order, self.size, self.staging, rows
         out.written = self.written if written is None else written
         return out
 
@@ -81,7 +82,7 @@ class Ordered:
         keys = [_PART, *self.by]
         local = W.partitionBy(*keys).orderBy("_row")
         upto = local.rowsBetween(W.unboundedPreceding, W.currentRow)
-        near = rows
+        near = dealt(rows, self.size, *keys) if self.size else rows
         if before:
             near = near.withColumn("_before", F.lag(F.struct(*[f"_b_{k}" for k in before])).over(local))
         if after:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from markerloom.functions.scalars import after_dash, bed_key, leading_int, map_distance, reverse_complement
 from markerloom.operators.joins import liftover
 from markerloom.operators.scans import Ordered
-from markerloom.plans.staging import Staging, small_side
+from markerloom.plans.staging import Staging, dealt, small_side
 from markerloom.sources.readers import CHUNK, chunked
 
 
@@ -34,7 +34,7 @@ def trim_edges(markers: DataFrame, cutoff: float, edge: float, by: str = "lg", o
     staging = Staging(markers.sparkSession, "trim")
     sexes = ("male", "female")
     spans = markers.groupBy(by).agg(F.count("*").alias("_n"), *[(F.max(f"{s}_cm") - F.min(f"{s}_cm")).alias(f"_{s}_span") for s in sexes])
-    rows = Ordered(markers, [by], list(order)).scan(before={f"_{s}_was": f"{s}_cm" for s in sexes}, sums={"_i": F.lit(1)}).df
+    rows = Ordered(markers, [by], list(order), markers.count()).scan(before={f"_{s}_was": f"{s}_cm" for s in sexes}, sums={"_i": F.lit(1)}).df
     rows = _of_group(rows, staging.put(spans, "spans"), by).withColumn("_fs", F.bround(F.col("_n") * edge, 0).cast("int"))
     i, fs, n = F.col("_i"), F.col("_fs"), F.col("_n")
     marks = []
@@ -76,10 +76,12 @@ def marker_index(df: DataFrame, by: list[str], order: list) -> DataFrame:
 def marker_intervals(markers: DataFrame) -> DataFrame:
     """Runs of markers on one contig with one chromosome: first and last position, chromosome, size.
 
-    Markers come in ``line`` order; those of chromosome 0 are left out.
+    Markers come in ``line`` order; those of chromosome 0 are left out. Contigs are dealt to as many
+    tasks as the markers need.
     """
     order = W.partitionBy("contig").orderBy("line")
     kept = markers.filter("chr > 0")
+    kept = dealt(kept, kept.count(), "contig")
     new = F.when(F.lag("chr").over(order) == F.col("chr"), 0).otherwise(1)
     runs = kept.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
     ends = runs.groupBy("contig", "run").agg(F.min(F.struct("line", "pos")).alias("a"), F.max(F.struct("line", "pos")).alias("b"), F.first("chr").alias("chr"), F.count("*").alias("n"))
