@@ -62,7 +62,7 @@ def bucket_plan(total: int, bucket_bytes: int) -> tuple[int, int]:
     many names to each bucket: 30 GB take 4,096 buckets of 8 MB and blocks of 4 MB, 100 TB take
     1,048,576 of 95 MB and blocks of 64 MB.
     """
-    buckets = -(-total // bucket_bytes)
+    buckets = max(1, -(-total // bucket_bytes))
     if buckets > EVEN_BUCKETS:
         buckets = int(EVEN_BUCKETS * math.sqrt(buckets / EVEN_BUCKETS))
     bits = max(0, (buckets - 1).bit_length())
