@@ -65,16 +65,15 @@ def _accepted(rows: DataFrame, component_rows: int) -> DataFrame:
             following = staging.put(named.join(small, "component", "left_anti").drop("component"), "left")
             staging.drop(named)
         else:
-            least = left.select(F.col("a").alias("end"), "turn").unionAll(left.select("b", "turn")).groupBy("end").agg(F.min("turn").alias("least"))
-            at = lambda end, name: least.select(F.col("end").alias(end), F.col("least").alias(name))
-            judged = staging.put(left.join(at("a", "la"), "a").join(at("b", "lb"), "b").withColumn("first", (F.col("turn") == F.col("la")) & (F.col("turn") == F.col("lb"))).select("turn", "a", "b", "take", "first"), "judged")
-            parts.append(staging.put(judged.filter("first").select("turn"), "accepted"))
-            taken = judged.filter("first").select("take")
-            free = judged.filter("NOT first").drop("first")
+            ends = left.select(F.col("a").alias("end"), "turn").unionAll(left.select("b", "turn"))
+            # the first of all at both ends is the least turn of two of them, or of one that is both
+            first = ends.groupBy("end").agg(F.min("turn").alias("turn")).groupBy("turn").agg(F.count("*").alias("n"))
+            accepted = staging.put(left.join(first, "turn").filter(F.col("n") == F.when(F.col("a") == F.col("b"), 1).otherwise(2)).select("turn", "take"), "accepted")
+            parts.append(accepted.select("turn"))
+            free = left
             for end in ("a", "b"):
-                free = free.join(taken.select(F.col("take").alias(end)).distinct(), end, "left_anti")
+                free = free.join(accepted.select(F.col("take").alias(end)).distinct(), end, "left_anti")
             following = staging.put(free.select("turn", "a", "b", "take"), "left")
-            staging.drop(judged)
         staging.drop(left)
         left, before, size = following, size, following.count()
         slow = size > _SLOW * before

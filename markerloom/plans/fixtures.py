@@ -81,6 +81,12 @@ SELECT * FROM (SELECT CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS scor
  CONCAT('ctg', CAST(p2.p_partkey AS STRING)) AS qname, CAST(20000 + p2.p_size * 1000 AS BIGINT) AS qsize,
  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS qstrand, CAST((l_suppkey * 10) % 5000 AS BIGINT) AS qstart, CAST(20000 + p2.p_size * 1000 - l_linenumber * 200 AS BIGINT) AS qend
  FROM (SELECT *, (l_partkey * 7 + l_suppkey) % (SELECT COUNT(*) FROM part) AS partner FROM lineitem) l JOIN part p1 ON l_partkey = p1.p_partkey JOIN part p2 ON p2.p_partkey = partner) c WHERE tname <> qname
+""",
+    "chain_records": """
+SELECT CAST(CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) / 1000 AS BIGINT) AS score,
+ CONCAT('ctg', CAST(l_partkey AS STRING)) AS contig, CAST(20000 + p1.p_size * 1000 AS BIGINT) AS length, CONCAT('ctg', CAST(partner AS STRING)) AS partner
+ FROM (SELECT l_extendedprice, l_partkey, (l_partkey * 7 + l_suppkey) % (SELECT COUNT(*) FROM part) AS partner FROM lineitem) l
+ LEFT SEMI JOIN part p2 ON p2.p_partkey = partner JOIN part p1 ON l_partkey = p1.p_partkey WHERE l_partkey <> partner
 """,
     "agp": """
 SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_size * 1000) OVER w - (20000 + p_size * 1000) + 1 AS obj_beg, SUM(20000 + p_size * 1000) OVER w AS obj_end,
