@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -210,6 +210,23 @@ def reciprocal_best(chains: DataFrame, min_score: int = 10000) -> DataFrame:
     return kept.join(small_side(both, 4_000_000), "id", "left_semi").select(*chains.columns)
 
 
+def first_known(rows: DataFrame, known: DataFrame, by: str, order: list[str | Column], key: str) -> DataFrame:
+    """Of every group ``by``, the row that ``order`` puts first among those whose ``key`` is one of ``known``.
+
+    Only the first row of each group is looked up at once: tasks leave out all but the first of their
+    own rows before any is dealt. Groups whose first row is not known, if there are any, have all their
+    rows looked up. Rows without a group or key are left out.
+    """
+    rows = rows.dropna(subset=[by, key])
+    first = lambda df: df.withColumn("_rn", F.row_number().over(W.partitionBy(by).orderBy(*order))).filter("_rn = 1").drop("_rn")
+    marks = known.select(key).distinct().withColumn("_known", F.lit(True))
+    judged = Staging(rows.sparkSession, "first-known").put(first(rows).join(marks, key, "left").select(*rows.columns, "_known"), "judged")
+    sure, unsure = judged.filter("_known").drop("_known"), judged.filter("_known IS NULL").select(by)
+    if unsure.isEmpty():
+        return sure
+    return sure.unionAll(first(rows.join(small_side(unsure), by, "left_semi").join(known, key, "left_semi").select(*rows.columns)))
+
+
 def swap_chain(chains: DataFrame) -> DataFrame:
     """Target and query change places; on the minus strand coordinates count from the other end."""
     minus = F.col("qstrand") == "-"

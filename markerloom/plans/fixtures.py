@@ -87,6 +87,13 @@ SELECT CAST(CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) / 1000 AS BIGINT)
  CONCAT('ctg', CAST(l_partkey AS STRING)) AS contig, CAST(20000 + p1.p_size * 1000 AS BIGINT) AS length, CONCAT('ctg', CAST(partner AS STRING)) AS partner
  FROM (SELECT l_extendedprice, l_partkey, (l_partkey * 7 + l_suppkey) % (SELECT COUNT(*) FROM part) AS partner FROM lineitem) l
  LEFT SEMI JOIN part p2 ON p2.p_partkey = partner JOIN part p1 ON l_partkey = p1.p_partkey WHERE l_partkey <> partner
+""",
+    "chain_claims": """
+SELECT CAST(CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) / 1000 AS BIGINT) AS score, l_partkey, CAST(partner AS STRING) AS partner
+ FROM (SELECT l_extendedprice, l_partkey, (l_partkey * 7 + l_suppkey) % (SELECT COUNT(*) FROM part) AS partner FROM lineitem) l WHERE l_partkey <> partner
+""",
+    "claimed": """
+SELECT p_partkey AS l_partkey, CAST(p_partkey AS STRING) AS partner, CAST(20000 + p_size * 1000 AS BIGINT) AS length FROM part
 """,
     "agp": """
 SELECT CONCAT('LG', CAST(1 + p_partkey % 12 AS STRING)) AS obj, SUM(20000 + p_size * 1000) OVER w - (20000 + p_size * 1000) + 1 AS obj_beg, SUM(20000 + p_size * 1000) OVER w AS obj_end,
