@@ -155,7 +155,7 @@ _NARROW: dict[str, tuple[str, list[str], list[str]]] = {
     ),
     "chain": (
         f"SELECT score, {_key('tname')}, tsize, tstart, tend, {_key('qname')}, qsize, qstrand = '-' AS minus, qstart, qend FROM ({SQL['chain'].strip()}) named",
-        ["-score", "CAST(tkey AS STRING)", "tstart", "CAST(qkey AS STRING)", "qstart", "qend", "tend", "minus"],
+        ["-score", "CAST(tkey AS STRING)", "CAST(qkey AS STRING)", "tstart", "qstart", "qend", "tend", "minus"],
         ["score", "CONCAT('ctg', CAST(tkey AS STRING)) AS tname", "tsize", "'+' AS tstrand", "tstart", "tend", "CONCAT('ctg', CAST(qkey AS STRING)) AS qname", "qsize", "CASE WHEN minus THEN '-' ELSE '+' END AS qstrand", "qstart", "qend"],
     ),
 }
