@@ -12,7 +12,7 @@ from tests.conftest import rows_of
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["swap_chain", "read_chain"])
+@pytest.mark.parametrize("name", ["swap_chain", "read_chain", "reciprocal_best"])
 def test_same_as_sql_with_few_prices(spark, tmp_path, name):
     import __spark_entry__ as entry
 
