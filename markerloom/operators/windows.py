@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 
 from markerloom.functions.scalars import after_dash, bed_key, leading_int, map_distance, reverse_complement
 from markerloom.operators.joins import liftover
+from markerloom.operators.numbering import with_row_number
 from markerloom.operators.scans import Ordered
 from markerloom.plans.staging import Staging, dealt, small_side
 from markerloom.sources.readers import CHUNK, chunked
 
+#: Stretches between knots up to which they are sent to every task whole; more are dealt out with the rows.
+_BROADCAST = 500_000
+
 
 def _share(x: float) -> float:
     return x * 0.01 if x >= 1 else x
@@ -445,98 +449,156 @@ def filter_outliers(marey: DataFrame, by: str = "lg", x: str = "pos", y: str = "
     knot per ``resolution`` (second pass: 0.7 of it) markers at quantiles. In B-spline form a row
     meets four basis functions, so its Gram sums are aggregated per group and stretch between knots,
     and the banded equations that come of them are solved group by group in the tasks.
+
+    Rows are sorted once, which gives their places; a place tells the stretch, so that later steps
+    meet rows with the knots, and with the weights, of their stretches.
     """
     staging = Staging(marey.sparkSession, "outliers")
-    spans = staging.put(marey.groupBy(by).agg(F.count("*").alias("n"), F.count(x).alias("known"), F.min(x).alias("_least"), F.max(x).alias("_most")), "spans")
-    df = _of_group(Ordered(marey, [by], [x, y]).scan(after={"_next": x}, sums={"i": F.lit(1)}).df, spans, by)
-    share = lambda c: ((F.col(c) - F.col("_least")) / F.greatest(F.col("_most") - F.col("_least"), F.lit(1))).cast("double")
-    df = df.withColumn("u", share(x)).withColumn("after", share("_next")).drop("_least", "_most", "_next")
-    df = staging.put(df, "rows")
+    lined = with_row_number(marey, [f"`{c}`" for c in (by, x, y)], "_line", rows=marey.count())
+    spans = lined.groupBy(by).agg(F.count("*").alias("n"), F.count(x).alias("_known"), F.min(x).alias("_least"), F.max(x).alias("_most"), F.min("_line").alias("_first"))
+    df = _of_group(lined, staging.put(spans, "spans"), by).withColumn("i", F.col("_line") - F.col("_first") + 1)
+    df = df.withColumn("u", ((F.col(x) - F.col("_least")) / F.greatest(F.col("_most") - F.col("_least"), F.lit(1))).cast("double"))
     # the order by position is that by u, rows without one first
-    place = F.col("i") - (F.col("n") - F.col("known"))
-    ranks = df.filter(F.col("u").isNotNull()).select(by, "u", "n", "after", F.greatest(F.col("known") - 1, F.lit(1)).alias("m"), (place - 1).cast("bigint").alias("s"))
-    df = df.drop("known", "after")
+    place = F.when(F.col("u").isNotNull(), F.col("i") - (F.col("n") - F.col("_known")) - 1)
+    df = df.withColumn("s", place).withColumn("m", F.greatest(F.col("_known") - 1, F.lit(1))).select(*marey.columns, "n", "i", "u", "s", "m")
+    both = df
+    passes = ((resolution, 10), (int(resolution * 0.7), 7))
+    for k, (size, _) in enumerate(passes):
+        both = _with_residual(both, by, y, size, f"res{k}", df)
+    both = staging.put(both.drop("u", "s", "m"), "residuals")
+    half = [F.greatest(F.bround(F.col("n") / part / 2, 0).cast("int"), F.lit(1)) for _, part in passes]
+    for k in range(2):
+        count = F.greatest(F.ceil((F.col("n") - half[k]) / half[k]).cast("int"), F.lit(1))
+        slot = F.least(F.floor((F.col("i") - 1) / half[k]).cast("int"), count)
+        one, two = F.least(slot, count - 1), F.greatest(F.least(slot, count) - 1, F.lit(0))
+        both = both.withColumns({f"count{k}": count, f"w{k}0": one, f"w{k}1": F.when(one != two, two)})
+    # a group has a window for every half of a tenth or a seventh of its rows, however many rows those are
+    windows = [f"w{k}{m}" for k in range(2) for m in range(2)]
+    sums = [c for k in range(2) for c in (F.sum(F.abs(f"res{k}")).alias(f"off{k}"), F.count(f"res{k}").alias(f"rows{k}"))]
+    met = staging.put(both.groupBy(F.col(by).alias("_group"), *windows).agg(*sums), "windows")
     penalty = F.lit(0)
-    for k, (size, part) in enumerate(((resolution, 10), (int(resolution * 0.7), 7))):
-        df = staging.put(_with_residual(df, by, y, size, f"res{k}", ranks), "residuals")
-        half = F.greatest(F.bround(F.col("n") / part / 2, 0).cast("int"), F.lit(1))
-        count = F.greatest(F.ceil((F.col("n") - half) / half).cast("int"), F.lit(1))
-        slot = F.least(F.floor((F.col("i") - 1) / half).cast("int"), count)
-        windows = F.array_distinct(F.array(F.least(slot, count - 1), F.greatest(F.least(slot, count) - 1, F.lit(0))))
-        laid = df.withColumn("count", count).withColumn("half", half).withColumn("w", windows)
-        # a group has a window for every half of a tenth or a seventh of its rows, however many rows those are
-        means = staging.put(laid.select(F.col(by).alias("_group"), F.explode("w").alias("_window"), F.abs(f"res{k}").alias("off")).groupBy("_group", "_window").agg(F.avg("off").alias("_mean")), "means")
-        points = F.lit(0)
+    for k in range(2):
+        each = met.select("_group", F.explode(F.array(f"w{k}0", f"w{k}1")).alias("_window"), f"off{k}", f"rows{k}").filter("_window IS NOT NULL")
+        means = staging.put(each.groupBy("_group", "_window").agg((F.sum(f"off{k}") / F.sum(f"rows{k}")).alias("_mean")), "means")
         for m in range(2):
-            of = F.broadcast(means.select(F.col("_group").alias(f"_group{m}"), F.col("_window").alias(f"_window{m}"), F.col("_mean").alias(f"_mean{m}")))
-            window = F.get("w", F.lit(m))
-            laid = laid.join(of, F.col(by).eqNullSafe(F.col(f"_group{m}")) & (window == F.col(f"_window{m}")), "left")
-            late = (window == F.col("count") - 1) & (F.col("i") >= F.floor((window * F.col("half") + 1 + F.col("n")) / 2))
-            off = (F.abs(f"res{k}") > 2 * F.col(f"_mean{m}")).cast("int") + late.cast("int")
-            points = points + (F.when(window.isNotNull(), off).otherwise(0) if m else off)
-        df = laid.withColumn(f"p{k}", points).select(*df.columns, f"p{k}")
-        penalty = penalty + F.col(f"p{k}")
-    return df.withColumn("penalty", penalty.cast("int")).withColumn("qc", F.when(F.col("penalty") >= 3, "FAIL").otherwise("PASS")).select(*marey.columns, "penalty", "qc")
-
-
-def _cubic(x: Column, t: list[Column]) -> list[Column]:
-    """The four cubic B-splines at ``x`` between the middle two of six knots, by their recurrence."""
-    left, right = [x - t[2 - d] for d in range(3)], [t[3 + d] - x for d in range(3)]
+            window, mean = F.col(f"w{k}{m}"), f"_mean{k}{m}"
+            of = F.broadcast(means.select(F.col("_group").alias(f"_group{k}{m}"), F.col("_window").alias(f"_window{k}{m}"), F.col("_mean").alias(mean)))
+            both = both.join(of, F.col(by).eqNullSafe(F.col(f"_group{k}{m}")) & (window == F.col(f"_window{k}{m}")), "left")
+            late = (window == F.col(f"count{k}") - 1) & (F.col("i") >= F.floor((window * half[k] + 1 + F.col("n")) / 2))
+            off = (F.abs(f"res{k}") > 2 * F.col(mean)).cast("int") + late.cast("int")
+            penalty = penalty + (F.when(window.isNotNull(), off).otherwise(0) if m else off)
+    return both.withColumn("penalty", penalty.cast("int")).withColumn("qc", F.when(F.col("penalty") >= 3, "FAIL").otherwise("PASS")).select(*marey.columns, "penalty", "qc")
+
+
+def _cubic(df: DataFrame) -> DataFrame:
+    """Add ``b0`` to ``b3``: the four cubic B-splines at ``u`` between the middle two of the knots ``t0`` to ``t5``.
+
+    Their recurrence goes up a degree a step, so that no step writes out the one before it again.
+    """
+    left = [F.col("u") - F.col(f"t{2 - d}") for d in range(3)]
+    right = [F.col(f"t{3 + d}") - F.col("u") for d in range(3)]
+    kept = df.columns
     out = [F.lit(1.0)]
     for degree in (1, 2, 3):
+        # knots that coincide leave nothing to share out
+        shares = {f"_share{r}": F.coalesce(F.try_divide(out[r], right[r] + left[degree - 1 - r]), F.lit(0.0)) for r in range(degree)}
+        df = df.select(*kept, *[v.alias(k) for k, v in shares.items()])
         carried, following = F.lit(0.0), []
         for r in range(degree):
-            # knots that coincide leave nothing to share out
-            share = F.coalesce(F.try_divide(out[r], right[r] + left[degree - 1 - r]), F.lit(0.0))
-            following.append(carried + right[r] * share)
-            carried = left[degree - 1 - r] * share
-        out = [*following, carried]
-    return out
+            following.append(carried + right[r] * F.col(f"_share{r}"))
+            carried = left[degree - 1 - r] * F.col(f"_share{r}")
+        df = df.select(*kept, *[b.alias(f"b{i}") for i, b in enumerate([*following, carried])])
+        out = [F.col(f"b{i}") for i in range(degree + 1)]
+    alone = F.col("t2") == F.col("t3")
+    return df.select(*kept, *[F.when(alone, F.lit(float(i == 0))).otherwise(b).alias(f"b{i}") for i, b in enumerate(out)])
 
 
-def _ranks(df: DataFrame, by: str) -> DataFrame:
-    """Rows that have a ``u``: its next one in the group, their rank ``s`` from 0 and the group's last rank ``m``."""
-    known = df.filter(F.col("u").isNotNull()).select(by, "u", "n")
-    counts = Staging(df.sparkSession, "spline").put(known.groupBy(by).agg(F.greatest(F.count("*") - 1, F.lit(1)).alias("m")), "counts")
-    return _of_group(Ordered(known, [by], ["u"]).scan(sums={"place": F.lit(1)}, after={"after": "u"}).df, counts, by).withColumn("s", (F.col("place") - 1).cast("bigint"))
+def _ranked(df: DataFrame, by: str) -> DataFrame:
+    """Rows with their place ``s`` from 0 by ``u`` in the group, among those that have one, and the last such place ``m``."""
+    counts = Staging(df.sparkSession, "spline").put(df.groupBy(by).agg(F.greatest(F.count("u") - 1, F.lit(1)).alias("m")), "counts")
+    placed = Ordered(df, [by], ["u"]).scan(sums={"s": F.col("u").isNotNull().cast("bigint")}).df
+    return _of_group(placed.withColumn("s", F.when(F.col("u").isNotNull(), F.col("s") - 1)), counts, by)
 
 
-def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str, ranks: DataFrame | None = None) -> DataFrame:
+def _stretches(ranked: DataFrame, by: str, size: int) -> DataFrame:
+    """``(by, seg, t0 .. t5, j)``: stretches between knots of every group, each with the nodes ``j`` it follows.
+
+    Node j of 0 .. k + 1 lies at place j / (k + 1) * m; nodes at one position are one knot. The last
+    knot ends the last stretch, unless it is alone, so its nodes go to that one.
+    """
+    staging = Staging(ranked.sparkSession, "spline")
+    # between the rows of places s and s + 1; either is met with the node, and the lesser is that of s
+    least = lambda s: F.greatest(F.floor((s * (F.col("k") + 1) + F.col("m") - 1) / F.col("m")), F.lit(0))
+    known = ranked.filter(F.col("s").isNotNull() & F.col(by).isNotNull()).select(by, "u", "s", "m", _nodes_of(size).alias("k"))
+    first, last = least(F.col("s") - 1), F.least(least(F.col("s") + 1) - 1, F.col("k") + 1)
+    held = known.filter(first <= last).withColumn("j", F.explode(F.sequence(first, last)))
+    ends = held.groupBy(by, "j", "m", "k").agg(F.min("u").alias("u"), F.max("u").alias("after"))
+    exact = F.col("j") * F.col("m") / (F.col("k") + 1)
+    nodes = ends.select(by, "j", (F.col("u") + (exact - F.floor(exact)) * (F.col("after") - F.col("u"))).alias("u"))
+    nodes = nodes.groupBy(by, "u").agg(F.min("j").alias("low"), F.max("j").alias("high"))
+    placed = staging.put(Ordered(nodes, [by], ["u"]).scan(sums={"seg": F.lit(1)}).df, "nodes")
+    edges = staging.put(placed.groupBy(by).agg(F.count("*").alias("nodes"), F.min("u").alias("start"), F.max("u").alias("stop"), F.max("high").alias("top")), "edges")
+    # a knot is one of the six of the stretches beside it
+    beside = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), (F.col("seg") + 2 - d).alias("seg")) for d in range(6)]))
+    spread = placed.select(by, "u", "low", "high", beside.alias("b")).select(by, "u", "low", "high", "b.d", "b.seg")
+    of = lambda c, d: F.max(F.when(F.col("d") == d, F.col(c)))
+    knots = spread.groupBy(by, "seg").agg(*[of("u", d).alias(f"t{d}") for d in range(6)], of("low", 2).alias("low"), of("high", 2).alias("high"))
+    knots = _of_group(knots, edges, by).filter("t2 IS NOT NULL AND (seg < nodes OR nodes = 1)")
+    filled = [F.coalesce(f"t{d}", "start" if d < 2 else "stop").alias(f"t{d}") for d in range(6)]
+    upto = F.when(F.col("seg") >= F.col("nodes") - 1, F.col("top")).otherwise(F.col("high"))
+    return staging.put(knots.select(by, "seg", *filled, F.explode(F.sequence("low", upto)).alias("j")), "stretches")
+
+
+def _nodes_of(size: int) -> Column:
+    return F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint")
+
+
+def _met(rows: DataFrame, stretches: DataFrame, by: str, size: int, how: str) -> DataFrame:
+    """Rows with the stretch of the last node up to their place, which is joined by a hash where stretches are many.
+
+    Of rows at one position some may meet the stretch that ends there; its splines have the same values.
+    """
+    known = stretches.withColumnRenamed(by, "_group").withColumnRenamed("j", "_j")
+    if (count := stretches.count()) > _BROADCAST:
+        known = dealt(known, count, "_group", "_j").hint("shuffle_hash")
+    else:
+        known = F.broadcast(known)
+    # rows without a place meet none, and are dealt to all tasks
+    node = F.coalesce(F.expr("s * (_k + 1) div m"), -1 - F.pmod(F.xxhash64("u", "n", *([] if "i" not in rows.columns else ["i"])), F.lit(1 << 20)))
+    rows = rows.withColumn("_k", _nodes_of(size)).withColumn("_node", node)
+    return rows.join(known, (F.col(by) == F.col("_group")) & (F.col("_node") == F.col("_j")), how).drop("_k", "_node", "_group", "_j")
+
+
+def _with_residual(df: DataFrame, by: str, y: str, size: int, name: str, ranked: DataFrame | None = None) -> DataFrame:
     """Add ``name``: ``y`` less its least-squares fit by cubics between one node per ``size`` rows.
 
-    ``ranks`` are those of ``_ranks``, where they are known.
+    ``ranked`` has the rows with their places ``s`` and the last place ``m``, as then has ``df``.
     """
-    kind, staging = dict(df.dtypes)[by], Staging(df.sparkSession, "spline")
-    up = W.partitionBy(by).orderBy("u")
-    ranked = (_ranks(df, by) if ranks is None else ranks).withColumn("k", F.greatest(F.bround(F.col("n") / size, 0), F.lit(1)).cast("bigint"))
-    # node j of 0 .. k + 1 lies at rank j / (k + 1) * m, between the rows of ranks s and s + 1
-    least = lambda s: F.floor((s * (F.col("k") + 1) + F.col("m") - 1) / F.col("m"))
-    first, last = least(F.col("s")), F.least(least(F.col("s") + 1) - 1, F.col("k") + 1)
-    held = ranked.filter(first <= last).withColumn("j", F.explode(F.sequence(first, last)))
-    at = F.col("u") + F.coalesce((F.col("j") * F.col("m") / (F.col("k") + 1) - F.col("s")) * (F.col("after") - F.col("u")), F.lit(0.0))
-    nodes = staging.put(held.select(by, at.alias("u")).distinct().withColumn("node", F.lit(1)), "nodes")
-    ends, whole = F.count("*").over(W.partitionBy(by)), W.partitionBy(by)
-    beside = lambda k: F.coalesce(F.lag("u", k).over(up) if k >= 0 else F.lead("u", -k).over(up), F.min("u").over(whole) if k >= 0 else F.max("u").over(whole))
-    knots = nodes.select(by, "u", F.row_number().over(up).cast("bigint").alias("seg"), ends.alias("nodes"), *[beside(2 - d).alias(f"t{d}") for d in range(6)])
-    # the last node ends the last stretch, unless it is alone
-    stretches = knots.filter("seg < nodes OR nodes = 1")
-    knot = F.struct("seg", *[f"t{d}" for d in range(6)])
-    held = knots.select(by, "u", F.when((F.col("seg") < F.col("nodes")) | (F.col("nodes") == 1), knot).otherwise(F.lag(knot).over(up)).alias("knot"))
-    # a row belongs to the last node that is not above it, whose stretch it is handed; nodes come before rows of the same place
-    marked = held.withColumn("node", F.lit(1))
-    both = df.withColumn("node", F.lit(0)).unionByName(marked, allowMissingColumns=True).withColumn("after_nodes", 1 - F.col("node"))
-    both = Ordered(both, [by], ["u", "after_nodes"]).scan(last={"knot": "knot"}).df.filter("node = 0")
-    placed = both.select(*df.columns, "knot.*")
-    basis = _cubic(F.col("u"), [F.col(f"t{d}") for d in range(6)])
-    alone = F.col("t2") == F.col("t3")
-    based = placed.select(*df.columns, "seg", *[F.when(alone, F.lit(float(i == 0))).otherwise(b).alias(f"b{i}") for i, b in enumerate(basis)])
+    kept, kind, staging = df.columns, dict(df.dtypes)[by], Staging(df.sparkSession, "spline")
+    if ranked is None:
+        df = ranked = staging.put(_ranked(df, by), "rows")
+    stretches = _stretches(ranked, by, size)
+    used = ranked.filter(F.col("s").isNotNull() & F.col(y).isNotNull()).select(by, y, "n", "u", "s", "m")
+    based = _cubic(_met(used, stretches, by, size, "inner"))
     pairs = [(i, j) for i in range(4) for j in range(i, 4)]
     sums = [F.sum(F.col(f"b{i}") * F.col(f"b{j}")).alias(f"g{i}{j}") for i, j in pairs] + [F.sum(F.col(f"b{i}") * F.col(y)).cast("double").alias(f"p{i}") for i in range(4)]
-    gram = based.filter(F.col("u").isNotNull() & F.col(y).isNotNull()).groupBy(by, "seg").agg(*sums)
-    filled = stretches.select(by, "seg").join(gram, [by, "seg"], "left").fillna(0.0)
+    filled = stretches.select(by, "seg").distinct().join(based.groupBy(by, "seg").agg(*sums), [by, "seg"], "left").fillna(0.0)
     fitted = staging.put(filled.groupBy(by).applyInPandas(_solve, f"`{by}` {kind}, seg bigint, " + ", ".join(f"c{i} double" for i in range(4))), "weights")
+    # on a stretch the spline is one cubic, which its values at four points give: rows need no basis functions
+    points = stretches.drop("j").distinct().join(fitted, [by, "seg"]).withColumn("at", F.explode(F.array(*map(F.lit, range(4)))))
+    points = _cubic(points.withColumn("u", F.col("t2") + (F.col("t3") - F.col("t2")) * F.col("at") / 3))
     value = sum(F.col(f"b{i}") * F.col(f"c{i}") for i in range(4))
-    return based.join(fitted, [by, "seg"], "left").withColumn(name, F.col(y) - value).select(*df.columns, name)
+    valued = points.groupBy(by, "seg", "t2", "t3").agg(*[F.max(F.when(F.col("at") == k, value)).alias(f"v{k}") for k in range(4)])
+    powers = [(1, 0, 0, 0), (-5.5, 9, -4.5, 1), (9, -22.5, 18, -4.5), (-4.5, 13.5, -13.5, 4.5)]
+    curve = [sum(F.col(f"v{k}") * F.lit(float(c)) for k, c in enumerate(row)).alias(f"a{i}") for i, row in enumerate(powers)]
+    curves = valued.select(by, "seg", F.col("t2").alias("from"), (F.col("t3") - F.col("t2")).alias("width"), *curve)
+    curves = staging.put(stretches.select(by, "seg", "j").join(curves, [by, "seg"]).drop("seg"), "curves")
+    share = F.coalesce(F.try_divide(F.col("u") - F.col("from"), F.col("width")), F.lit(0.0))
+    met = _met(df, curves, by, size, "left").withColumn("_share", F.when(F.col("from").isNotNull(), share))
+    rise = F.lit(0.0)
+    for i in (3, 2, 1):
+        rise = F.col("_share") * (F.col(f"a{i}") + rise)
+    return met.withColumn(name, F.col(y) - (F.col("a0") + rise)).select(*kept, name)
 
 
 def _solve(group: pd.DataFrame) -> pd.DataFrame:
